@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from polarity.functions import text as tx
-from polarity.operators import dedup
+from polarity.operators import dedup, quality, split
 from polarity.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,3 +67,51 @@ def q_preprocess(spark, sf):
 @query("cleaning_report")
 def q_cleaning_report(spark, sf):
     return dedup.preprocess_plan(fx.posts(spark, sf)).report
+
+
+# --- validation and profile (C2-C4, E1-E3, E14) -------------------------------
+
+@query("validation_checks")
+def q_validation_checks(spark, sf):
+    return quality.validation_counts(fx.posts(spark, sf))
+
+
+@query("profile")
+def q_profile(spark, sf):
+    return quality.profile(fx.posts(spark, sf))
+
+
+@query("label_distribution")
+def q_label_distribution(spark, sf):
+    return quality.label_distribution(fx.posts(spark, sf))
+
+
+@query("length_histogram")
+def q_length_histogram(spark, sf):
+    return quality.length_histogram(fx.posts(spark, sf))
+
+
+# --- split (I1, E7, H1, J12) ----------------------------------------------------
+
+def _split_posts(spark, sf):
+    return split.stratified_split(dedup.preprocess_plan(fx.posts(spark, sf)).clean)
+
+
+@query("stratified_split")
+def q_stratified_split(spark, sf):
+    return _split_posts(spark, sf).select("row_id", "sentiment", "split")
+
+
+@query("split_report")
+def q_split_report(spark, sf):
+    return split.split_report(_split_posts(spark, sf))
+
+
+@query("split_leakage")
+def q_split_leakage(spark, sf):
+    return split.split_leakage(_split_posts(spark, sf))
+
+
+@query("class_weights")
+def q_class_weights(spark, sf):
+    return split.class_weights(_split_posts(spark, sf).where(F.col("split") == "train"))

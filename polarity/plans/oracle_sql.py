@@ -75,3 +75,87 @@ SELECT CAST((SELECT count(*) FROM posts) AS BIGINT) AS rows_before,
   CAST((SELECT count(*) FROM kept) - (SELECT count(*) FROM survivors) AS BIGINT) AS same_label_duplicate_rows_removed,
   CAST((SELECT count(*) FROM survivors) AS BIGINT) AS rows_after_key_dedup""",
 }
+
+
+_BLANK = rf"regexp_full_match(text, '{WS}*')"
+
+_SPLIT_STEPS = """,
+hsh AS (SELECT row_id, sentiment, md5('42:' || CAST(row_id AS VARCHAR)) AS h FROM final),
+cls AS (SELECT sentiment, count(*) AS n_c FROM hsh GROUP BY sentiment),
+s1 AS (SELECT sentiment, n_c,
+          CAST(n_c AS DOUBLE) / sum(n_c) OVER () * floor(CAST(0.8 AS DOUBLE) * sum(n_c) OVER ()) AS cont,
+          floor(CAST(0.8 AS DOUBLE) * sum(n_c) OVER ()) AS n_draw FROM cls),
+s1r AS (SELECT *, row_number() OVER (ORDER BY cont - floor(cont) DESC, sentiment) AS rk,
+          n_draw - sum(floor(cont)) OVER () AS need FROM s1),
+q1 AS (SELECT sentiment, n_c, CAST(floor(cont) + CASE WHEN rk <= need THEN 1 ELSE 0 END AS BIGINT) AS q_train FROM s1r),
+s2 AS (SELECT sentiment, q_train,
+          CAST(n_c - q_train AS DOUBLE) / sum(n_c - q_train) OVER ()
+            * floor((CAST(0.1 AS DOUBLE) / (CAST(0.1 AS DOUBLE) + CAST(0.1 AS DOUBLE))) * sum(n_c - q_train) OVER ()) AS cont,
+          floor((CAST(0.1 AS DOUBLE) / (CAST(0.1 AS DOUBLE) + CAST(0.1 AS DOUBLE))) * sum(n_c - q_train) OVER ()) AS n_draw
+       FROM q1),
+s2r AS (SELECT *, row_number() OVER (ORDER BY cont - floor(cont) DESC, sentiment) AS rk,
+          n_draw - sum(floor(cont)) OVER () AS need FROM s2),
+q AS (SELECT sentiment, q_train, CAST(floor(cont) + CASE WHEN rk <= need THEN 1 ELSE 0 END AS BIGINT) AS q_val FROM s2r),
+ranked AS (SELECT row_id, sentiment, row_number() OVER (PARTITION BY sentiment ORDER BY h, row_id) AS pos FROM hsh),
+split AS (SELECT r.row_id, r.sentiment, CASE WHEN pos <= q_train THEN 'train'
+                 WHEN pos <= q_train + q_val THEN 'validation' ELSE 'test' END AS split
+          FROM ranked r JOIN q USING (sentiment))
+"""
+
+
+def _with_split() -> str:
+    return _with_dedup().rstrip() + _SPLIT_STEPS
+
+
+def _histogram(lengths_sql: str, bins: int = 50) -> str:
+    def edge(i: str) -> str:
+        return f"CASE WHEN {i} >= {bins} THEN last ELSE {i} * ((last - first) / {bins}) + first END"
+    return f"""
+lens AS ({lengths_sql}),
+rng AS (SELECT CAST(CASE WHEN min(len) = max(len) THEN min(len) - 0.5 ELSE min(len) END AS DOUBLE) AS first,
+               CAST(CASE WHEN min(len) = max(len) THEN max(len) + 0.5 ELSE max(len) END AS DOUBLE) AS last FROM lens),
+b0 AS (SELECT len, first, last, CAST(floor(((len - first) / (last - first)) * {bins}) AS INTEGER) AS raw FROM lens, rng),
+b1 AS (SELECT len, first, last, CASE WHEN raw = {bins} THEN {bins - 1} ELSE raw END AS i0 FROM b0),
+b2 AS (SELECT len, first, last, CASE WHEN len < {edge('i0')} THEN i0 - 1 ELSE i0 END AS i1 FROM b1),
+b3 AS (SELECT CASE WHEN len >= {edge('(i1 + 1)')} AND i1 <> {bins - 1} THEN i1 + 1 ELSE i1 END AS bin FROM b2),
+grid AS (SELECT CAST(range AS INTEGER) AS bin, first, last FROM range({bins}), rng)
+SELECT g.bin,
+  CASE WHEN g.bin >= {bins} THEN g.last ELSE g.bin * ((g.last - g.first) / {bins}) + g.first END AS bin_start,
+  CASE WHEN g.bin + 1 >= {bins} THEN g.last ELSE (g.bin + 1) * ((g.last - g.first) / {bins}) + g.first END AS bin_end,
+  CAST(count(b3.bin) AS BIGINT) AS count
+FROM grid g LEFT JOIN b3 ON g.bin = b3.bin
+GROUP BY g.bin, g.first, g.last"""
+
+
+ORACLE.update({
+    "validation_checks": duck_cte("posts") + f"""
+SELECT CAST(count(*) AS BIGINT) AS total_rows,
+  CAST(count_if(text IS NULL) AS BIGINT) AS missing_text,
+  CAST(count_if(sentiment IS NULL) AS BIGINT) AS missing_label,
+  CAST(count_if(sentiment IS NOT NULL AND sentiment NOT IN (0, 1)) AS BIGINT) AS invalid_label_rows,
+  CAST(count_if({_BLANK}) AS BIGINT) AS empty_text_rows
+FROM posts""",
+    "profile": duck_cte("posts") + f"""
+SELECT CAST(count(*) AS BIGINT) AS total_rows, CAST(2 AS BIGINT) AS total_columns,
+  CAST(count_if(text IS NULL) AS BIGINT) AS missing_text,
+  CAST(count_if(sentiment IS NULL) AS BIGINT) AS missing_label,
+  CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT sentiment, text FROM posts)) AS BIGINT) AS duplicate_exact_rows,
+  CAST(count_if({_BLANK}) AS BIGINT) AS empty_text_rows,
+  avg(length(text)) AS average_text_length,
+  CAST(quantile_cont(length(text), 0.5) AS DOUBLE) AS median_text_length,
+  CAST(max(length(text)) AS BIGINT) AS max_text_length
+FROM posts""",
+    "label_distribution": duck_cte("posts") + "SELECT sentiment, CAST(count(*) AS BIGINT) AS count FROM posts GROUP BY sentiment",
+    "length_histogram": duck_cte("posts").rstrip() + "," + _histogram(
+        "SELECT length(text) AS len FROM posts WHERE text IS NOT NULL"),
+    "stratified_split": _with_split() + "SELECT row_id, sentiment, split FROM split",
+    "split_report": _with_split() + "SELECT split, sentiment, CAST(count(*) AS BIGINT) AS rows FROM split GROUP BY split, sentiment",
+    "split_leakage": _with_split() + """
+SELECT CAST(count(*) AS BIGINT) AS overlapping_clean_texts FROM (
+  SELECT f.clean_text FROM split s JOIN final f USING (row_id)
+  GROUP BY f.clean_text HAVING min(s.split) <> max(s.split))""",
+    "class_weights": _with_split() + """
+SELECT sentiment, CAST(count(*) AS BIGINT) AS count,
+  CAST(sum(count(*)) OVER () AS DOUBLE) / (count(*) OVER () * count(*)) AS weight
+FROM split WHERE split = 'train' GROUP BY sentiment""",
+})
