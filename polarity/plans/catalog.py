@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from polarity.functions import text as tx
-from polarity.operators import dedup, quality, split
+from polarity.operators import dedup, metrics, quality, split
 from polarity.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,3 +115,68 @@ def q_split_leakage(spark, sf):
 @query("class_weights")
 def q_class_weights(spark, sf):
     return split.class_weights(_split_posts(spark, sf).where(F.col("split") == "train"))
+
+
+# --- metrics, sweep and errors on deterministic scores (E8-E12, G3-G5, K5, C10) --
+
+def _scored(spark, sf):
+    s = fx.scored(spark, sf)
+    return s.withColumn("prediction", metrics.default_decision(F.col("negative_probability"),
+                                                               F.col("positive_probability")))
+
+
+@query("confusion_matrix")
+def q_confusion_matrix(spark, sf):
+    return metrics.confusion_matrix(metrics.evaluate(_scored(spark, sf)))
+
+
+@query("metrics")
+def q_metrics(spark, sf):
+    return metrics.evaluate(_scored(spark, sf))
+
+
+@query("tuned_metrics")
+def q_tuned_metrics(spark, sf):
+    s = fx.scored(spark, sf).withColumn("prediction", metrics.decide(F.col("positive_probability"), 0.47))
+    return metrics.evaluate(s, threshold=0.47)
+
+
+@query("classification_report")
+def q_classification_report(spark, sf):
+    return metrics.classification_report(metrics.evaluate(_scored(spark, sf)))
+
+
+@query("quality_gate")
+def q_quality_gate(spark, sf):
+    return quality.quality_gate(metrics.evaluate(_scored(spark, sf))).select(
+        "accuracy", "macro_f1", "below_quality_gate")
+
+
+@query("threshold_sweep")
+def q_threshold_sweep(spark, sf):
+    return metrics.threshold_sweep(fx.scored(spark, sf))
+
+
+@query("best_threshold")
+def q_best_threshold(spark, sf):
+    return metrics.best_row(metrics.threshold_sweep(fx.scored(spark, sf)))
+
+
+@query("default_threshold_row")
+def q_default_threshold_row(spark, sf):
+    return metrics.threshold_row(metrics.threshold_sweep(fx.scored(spark, sf)), 0.5)
+
+
+@query("error_table")
+def q_error_table(spark, sf):
+    return metrics.error_table(_scored(spark, sf))
+
+
+@query("top_errors")
+def q_top_errors(spark, sf):
+    return metrics.top_errors(metrics.error_table(_scored(spark, sf)), 100)
+
+
+@query("error_summary")
+def q_error_summary(spark, sf):
+    return metrics.error_summary(_scored(spark, sf))

@@ -159,3 +159,120 @@ SELECT sentiment, CAST(count(*) AS BIGINT) AS count,
   CAST(sum(count(*)) OVER () AS DOUBLE) / (count(*) OVER () * count(*)) AS weight
 FROM split WHERE split = 'train' GROUP BY sentiment""",
 })
+
+
+
+def _div(a: str, b: str) -> str:
+    return f"COALESCE(CAST({a} AS DOUBLE) / NULLIF(CAST({b} AS DOUBLE), 0), 0.0)"
+
+
+def _metric_sql(tn="tn", fp="fp", fn="fn", tp="tp") -> dict[str, str]:
+    sup0, sup1 = f"({tn} + {fp})", f"({fn} + {tp})"
+    pred0, pred1 = f"({tn} + {fn})", f"({fp} + {tp})"
+    n = f"({sup0} + {sup1})"
+    p0, p1 = _div(tn, pred0), _div(tp, pred1)
+    r0, r1 = _div(tn, sup0), _div(tp, sup1)
+    f0, f1 = _div(f"2 * {tn}", f"{sup0} + {pred0}"), _div(f"2 * {tp}", f"{sup1} + {pred1}")
+    pr0 = f"CAST(({sup0} > 0 OR {pred0} > 0) AS INTEGER)"
+    pr1 = f"CAST(({sup1} > 0 OR {pred1} > 0) AS INTEGER)"
+
+    def macro(a, b):
+        return _div(f"{a} * {pr0} + {b} * {pr1}", f"{pr0} + {pr1}")
+
+    def weighted(a, b):
+        return _div(f"{a} * {sup0} + {b} * {sup1}", n)
+
+    return {
+        "accuracy": _div(f"{tn} + {tp}", n),
+        "macro_precision": macro(p0, p1), "macro_recall": macro(r0, r1), "macro_f1": macro(f0, f1),
+        "weighted_precision": weighted(p0, p1), "weighted_recall": weighted(r0, r1),
+        "weighted_f1": weighted(f0, f1),
+        "negative_precision": p0, "negative_recall": r0, "negative_f1": f0,
+        "positive_precision": p1, "positive_recall": r1, "positive_f1": f1,
+    }
+
+
+_PRED = "CASE WHEN positive_probability > negative_probability THEN 1 ELSE 0 END"
+
+
+def _counts_sql(pred: str) -> str:
+    return f"""counts AS (SELECT
+  count_if(sentiment = 0 AND {pred} = 0) AS tn, count_if(sentiment = 0 AND {pred} = 1) AS fp,
+  count_if(sentiment = 1 AND {pred} = 0) AS fn, count_if(sentiment = 1 AND {pred} = 1) AS tp FROM scored)
+"""
+
+
+def _metrics_select(threshold: str = "NULL") -> str:
+    m = _metric_sql()
+    cols = ",\n  ".join(f"{expr} AS {name}" for name, expr in m.items())
+    return (f"SELECT CAST({threshold} AS DOUBLE) AS decision_threshold,\n  {cols},\n"
+            "  CAST(tn AS BIGINT) AS tn, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn, "
+            "CAST(tp AS BIGINT) AS tp FROM counts")
+
+
+def _sweep_sql() -> str:
+    m = _metric_sql()
+    keep = ["accuracy", "macro_precision", "macro_recall", "macro_f1", "weighted_f1", "negative_f1", "positive_f1"]
+    cols = ",\n  ".join(f"{m[k]} AS {k}" for k in keep)
+    return f"""grid AS (SELECT CAST(round(0.30 + 0.01 * range, 2) AS DOUBLE) AS threshold FROM range(41)),
+sweep_counts AS (SELECT g.threshold,
+    count_if(s.sentiment = 0 AND NOT (s.positive_probability >= g.threshold)) AS tn,
+    count_if(s.sentiment = 0 AND s.positive_probability >= g.threshold) AS fp,
+    count_if(s.sentiment = 1 AND NOT (s.positive_probability >= g.threshold)) AS fn,
+    count_if(s.sentiment = 1 AND s.positive_probability >= g.threshold) AS tp
+  FROM grid g CROSS JOIN scored s GROUP BY g.threshold),
+sweep AS (SELECT threshold,
+  {cols},
+  CAST(fp AS BIGINT) AS false_positives, CAST(fn AS BIGINT) AS false_negatives FROM sweep_counts)
+"""
+
+
+def _errors_sql() -> str:
+    return rf"""errors AS (SELECT row_id, text, clean_text, sentiment AS actual_sentiment, {_PRED} AS predicted_sentiment,
+    CASE WHEN sentiment = 0 AND {_PRED} = 1 THEN 'false_positive' ELSE 'false_negative' END AS error_type,
+    greatest(negative_probability, positive_probability) AS confidence,
+    negative_probability, positive_probability,
+    CAST(length(clean_text) AS BIGINT) AS text_length,
+    CAST(len(regexp_extract_all(clean_text, '[^\s\x{{0B}}\x{{1c}}-\x{{1f}}\x{{85}}\p{{Z}}]+')) AS BIGINT) AS word_count
+  FROM scored WHERE sentiment <> {_PRED})
+"""
+
+
+_S = duck_cte("posts", "scored")
+
+ORACLE.update({
+    "confusion_matrix": _S.rstrip() + ",\n" + _counts_sql(_PRED) + """
+SELECT * FROM (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) v(actual_sentiment, predicted_sentiment),
+LATERAL (SELECT CAST(CASE WHEN v.actual_sentiment = 0 AND v.predicted_sentiment = 0 THEN tn
+                          WHEN v.actual_sentiment = 0 THEN fp
+                          WHEN v.predicted_sentiment = 0 THEN fn ELSE tp END AS BIGINT) AS count FROM counts)""",
+    "metrics": _S.rstrip() + ",\n" + _counts_sql(_PRED) + _metrics_select(),
+    "tuned_metrics": _S.rstrip() + ",\n" + _counts_sql(
+        "CASE WHEN positive_probability >= 0.47 THEN 1 ELSE 0 END") + _metrics_select("0.47"),
+    "classification_report": _S.rstrip() + ",\n" + _counts_sql(_PRED) + ", m AS (" + _metrics_select() + """)
+SELECT 'negative' AS label, negative_precision AS precision, negative_recall AS recall, negative_f1 AS f1_score,
+       CAST(tn + fp AS BIGINT) AS support FROM m
+UNION ALL SELECT 'positive', positive_precision, positive_recall, positive_f1, CAST(fn + tp AS BIGINT) FROM m
+UNION ALL SELECT 'accuracy', NULL, NULL, accuracy, CAST(tn + fp + fn + tp AS BIGINT) FROM m
+UNION ALL SELECT 'macro avg', (negative_precision + positive_precision) / 2, (negative_recall + positive_recall) / 2,
+       (negative_f1 + positive_f1) / 2, CAST(tn + fp + fn + tp AS BIGINT) FROM m
+UNION ALL SELECT 'weighted avg',
+  (negative_precision * (tn + fp) + positive_precision * (fn + tp)) / (tn + fp + fn + tp),
+  (negative_recall * (tn + fp) + positive_recall * (fn + tp)) / (tn + fp + fn + tp),
+  (negative_f1 * (tn + fp) + positive_f1 * (fn + tp)) / (tn + fp + fn + tp),
+  CAST(tn + fp + fn + tp AS BIGINT) FROM m""",
+    "quality_gate": _S.rstrip() + ",\n" + _counts_sql(_PRED) + ", m AS (" + _metrics_select() + """)
+SELECT accuracy, macro_f1, (accuracy < 0.75 OR macro_f1 < 0.75) AS below_quality_gate FROM m""",
+    "threshold_sweep": _S.rstrip() + ",\n" + _sweep_sql() + "SELECT * FROM sweep",
+    "best_threshold": _S.rstrip() + ",\n" + _sweep_sql() + "SELECT * FROM sweep ORDER BY macro_f1 DESC, threshold LIMIT 1",
+    "default_threshold_row": _S.rstrip() + ",\n" + _sweep_sql() + "SELECT * FROM sweep WHERE round(threshold, 2) = 0.5",
+    "error_table": _S.rstrip() + ",\n" + _errors_sql() + "SELECT * FROM errors",
+    "top_errors": _S.rstrip() + ",\n" + _errors_sql() + "SELECT * FROM errors ORDER BY confidence DESC, row_id LIMIT 100",
+    "error_summary": _S.rstrip() + f""",
+e AS (SELECT count(*) AS total_rows, count_if(sentiment <> {_PRED}) AS total_errors,
+             count_if(sentiment = 0 AND {_PRED} = 1) AS false_positives,
+             count_if(sentiment <> {_PRED} AND NOT (sentiment = 0 AND {_PRED} = 1)) AS false_negatives FROM scored)
+SELECT CAST(total_rows AS BIGINT) AS total_rows, CAST(total_errors AS BIGINT) AS total_errors,
+  CAST(false_positives AS BIGINT) AS false_positives, CAST(false_negatives AS BIGINT) AS false_negatives,
+  {_div('total_errors', 'total_rows')} AS error_rate FROM e""",
+})
