@@ -135,20 +135,22 @@ def _empty_strings() -> Column:
 
 
 def word_ngrams(tokens: Column, ngram_range: tuple[int, int]) -> Column:
-    """Contiguous token n-grams joined by one space, n in the range."""
+    """Contiguous token n-grams joined by one space, n in the range.
+
+    Each n is built from n shifted slices with ``zip_with``; ``tokens`` is only
+    read outside lambdas (pass a column, not an expression).
+    """
     lo, hi = _check_range(ngram_range)
-    if (lo, hi) == (1, 1):
-        return tokens
     parts = []
     for n in range(lo, hi + 1):
         if n == 1:
             parts.append(tokens)
             continue
-        grams = F.transform(
-            F.sequence(F.lit(0), F.size(tokens) - n),
-            lambda i, n=n: F.array_join(F.slice(tokens, i + 1, n), " "),
-        )
-        parts.append(F.when(F.size(tokens) >= n, grams).otherwise(_empty_strings()))
+        m = F.greatest(F.size(tokens) - (n - 1), F.lit(0))
+        grams = F.slice(tokens, 1, m)
+        for k in range(1, n):
+            grams = F.zip_with(grams, F.slice(tokens, k + 1, m), lambda a, b: F.concat(a, F.lit(" "), b))
+        parts.append(grams)
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
@@ -176,36 +178,43 @@ def char_wb_ngrams(c: Column | str, ngram_range: tuple[int, int]) -> Column:
     return F.flatten(F.transform(split_words(c), per_word))
 
 
-def analyzed_terms(c: Column | str, analyzer: str = "word", ngram_range=(1, 1),
-                   lowercase: bool = True, strip_accents_mode: str | None = None) -> Column:
-    """The vectoriser's analyzer as one array<string> expression."""
-    text = preprocess_for_terms(c, lowercase, strip_accents_mode)
+def with_terms(df, text_col: str, out_col: str, analyzer: str = "word", ngram_range=(1, 1),
+               lowercase: bool = True, strip_accents_mode: str | None = None):
+    """The vectoriser's analyzer as projections: preprocess -> tokens -> n-grams.
+
+    Intermediate arrays are separate columns so no lambda re-evaluates them
+    (and no Python UDF sits inside a lambda).
+    """
+    pre, tok = f"_{out_col}_pre", f"_{out_col}_tok"
+    out = df.withColumn(pre, preprocess_for_terms(text_col, lowercase, strip_accents_mode))
     if analyzer == "word":
-        return word_ngrams(word_tokens(text), tuple(ngram_range))
+        out = out.withColumn(tok, word_tokens(pre)).withColumn(out_col, word_ngrams(F.col(tok), tuple(ngram_range)))
+        return out.drop(pre, tok)
     if analyzer == "char_wb":
-        return char_wb_ngrams(text, tuple(ngram_range))
+        return out.withColumn(out_col, char_wb_ngrams(pre, tuple(ngram_range))).drop(pre)
     raise ValueError(f"Unknown analyzer: {analyzer}")
 
 
-def term_counts(terms: Column) -> Column:
+def with_term_counts(df, terms_col: str, out_col: str):
     """Per-row term frequencies as array<struct<term, tf>>, computed in-row.
 
-    Sorting the terms and measuring runs needs no shuffle, so long documents
-    never explode into one row per token before counting.
+    Sort the terms, find where runs start, measure the runs: O(L log L) per
+    row and no shuffle, so a long document is counted where it is read.
     """
-    s = F.array_sort(terms)
-    k = F.size(s)
-    starts = F.filter(
+    s, st = f"_{out_col}_sorted", f"_{out_col}_starts"
+    out = df.withColumn(s, F.sort_array(F.col(terms_col)))
+    sorted_terms, k = F.col(s), F.size(F.col(s))
+    out = out.withColumn(st, F.filter(
         F.sequence(F.lit(1), F.greatest(k, F.lit(1))),
-        lambda i: F.when(i == 1, k > 0).otherwise(F.element_at(s, i) != F.element_at(s, i - 1)),
-    )
-    return F.transform(
+        lambda i: F.when(i == 1, k > 0).otherwise(
+            F.element_at(sorted_terms, i) != F.element_at(sorted_terms, i - 1))))
+    starts = F.col(st)
+    out = out.withColumn(out_col, F.transform(
         starts,
         lambda start, j: F.struct(
-            F.element_at(s, start).alias("term"),
-            (F.coalesce(F.try_element_at(starts, j + 2), k + 1) - start).cast("long").alias("tf"),
-        ),
-    )
+            F.element_at(sorted_terms, start).alias("term"),
+            (F.coalesce(F.try_element_at(starts, j + 2), k + 1) - start).cast("long").alias("tf"))))
+    return out.drop(s, st)
 
 
 def _check_range(ngram_range) -> tuple[int, int]:

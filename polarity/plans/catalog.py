@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from polarity.functions import text as tx
-from polarity.operators import dedup, metrics, quality, split
+from polarity.operators import dedup, features, metrics, quality, split
 from polarity.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -180,3 +180,46 @@ def q_top_errors(spark, sf):
 @query("error_summary")
 def q_error_summary(spark, sf):
     return metrics.error_summary(_scored(spark, sf))
+
+
+# --- tokens, n-grams and TF-IDF on long documents (J1-J5, E15) ---------------------
+
+_WORD12 = features.TfidfConfig(ngram_range=(1, 2), strip_accents="unicode")
+_CHAR35 = features.TfidfConfig(analyzer="char_wb", ngram_range=(3, 5))
+
+
+@query("word_tokens")
+def q_word_tokens(spark, sf):
+    text = tx.preprocess_for_terms("text", True, "unicode")
+    return fx.reviews(spark, sf).select("row_id", F.array_join(tx.word_tokens(text), " ").alias("tokens"))
+
+
+@query("word_ngrams")
+def q_word_ngrams(spark, sf):
+    return features.doc_terms(fx.reviews(spark, sf), _WORD12, text_col="text")
+
+
+@query("char_ngrams")
+def q_char_ngrams(spark, sf):
+    return features.doc_terms(fx.reviews(spark, sf), _CHAR35, text_col="text")
+
+
+@query("document_frequency")
+def q_document_frequency(spark, sf):
+    return features.document_frequency(features.doc_terms(fx.reviews(spark, sf), _WORD12, text_col="text"))
+
+
+@query("vocabulary")
+def q_vocabulary(spark, sf):
+    return features.fit_vocabulary(fx.reviews(spark, sf), features.BASELINE_TFIDF, text_col="text")[0]
+
+
+@query("tfidf_long")
+def q_tfidf_long(spark, sf):
+    return features.tfidf_long(fx.reviews(spark, sf), features.BASELINE_TFIDF, text_col="text")
+
+
+@query("char_tfidf_long")
+def q_char_tfidf_long(spark, sf):
+    return features.tfidf_long(fx.reviews(spark, sf), features.VARIANTS["real_word_char_hybrid"].parts[1],
+                               text_col="text")

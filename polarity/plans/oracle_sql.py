@@ -276,3 +276,49 @@ SELECT CAST(total_rows AS BIGINT) AS total_rows, CAST(total_errors AS BIGINT) AS
   CAST(false_positives AS BIGINT) AS false_positives, CAST(false_negatives AS BIGINT) AS false_negatives,
   {_div('total_errors', 'total_rows')} AS error_rate FROM e""",
 })
+
+
+_R = duck_cte("reviews")
+_TOKENS = r"regexp_extract_all(strip_accents(lower(text)), '[\p{L}\p{N}_]{2,}')"
+_WORD12_TERMS = f"""word_terms AS (
+  SELECT row_id, term, count(*) AS tf FROM (
+    SELECT row_id, unnest(list_concat(t, list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1]))) AS term
+    FROM (SELECT row_id, {_TOKENS} AS t FROM reviews))
+  GROUP BY row_id, term)
+"""
+_CHAR35_TERMS = r"""char_terms AS (
+  SELECT row_id, term, count(*) AS tf FROM (
+    SELECT row_id, unnest(flatten(list_transform(range(3, 6), lambda n:
+        CASE WHEN n < L THEN list_transform(range(1, L - n + 2), lambda i: substring(p, i, n))
+             WHEN n = greatest(3, L) THEN [p] ELSE [] END))) AS term
+    FROM (SELECT row_id, ' ' || w || ' ' AS p, length(' ' || w || ' ') AS L
+          FROM (SELECT row_id, unnest(regexp_extract_all(lower(text), '[^\s\x{0B}\x{1c}-\x{1f}\x{85}\p{Z}]+')) AS w
+                FROM reviews)))
+  GROUP BY row_id, term)
+"""
+
+
+def _tfidf_sql(terms: str, min_df: int, max_df: float, max_features: int) -> str:
+    return f"""ndocs AS (SELECT count(*) AS n FROM reviews),
+dfreq AS (SELECT term, count(*) AS df, sum(tf) AS tf_total FROM {terms} GROUP BY term),
+vocab AS (SELECT term, CAST(df AS BIGINT) AS df, CAST(tf_total AS BIGINT) AS tf_total,
+                 ln((1 + CAST(n AS DOUBLE)) / (1 + CAST(df AS DOUBLE))) + 1 AS idf
+          FROM dfreq, ndocs WHERE df >= {min_df} AND df <= CAST({max_df} AS DOUBLE) * n
+          ORDER BY tf_total DESC, term LIMIT {max_features}),
+w AS (SELECT t.row_id, t.term, t.tf * v.idf AS w FROM {terms} t JOIN vocab v USING (term))
+"""
+
+
+ORACLE.update({
+    "word_tokens": _R + f"SELECT row_id, array_to_string({_TOKENS}, ' ') AS tokens FROM reviews",
+    "word_ngrams": _R.rstrip() + ",\n" + _WORD12_TERMS + "SELECT row_id, term, CAST(tf AS BIGINT) AS tf FROM word_terms",
+    "char_ngrams": _R.rstrip() + ",\n" + _CHAR35_TERMS + "SELECT row_id, term, CAST(tf AS BIGINT) AS tf FROM char_terms",
+    "document_frequency": _R.rstrip() + ",\n" + _WORD12_TERMS + """
+SELECT term, CAST(count(*) AS BIGINT) AS df, CAST(sum(tf) AS BIGINT) AS tf_total FROM word_terms GROUP BY term""",
+    "vocabulary": _R.rstrip() + ",\n" + _WORD12_TERMS + "," + _tfidf_sql("word_terms", 2, 0.95, 50000)
+        + "SELECT * FROM vocab",
+    "tfidf_long": _R.rstrip() + ",\n" + _WORD12_TERMS + "," + _tfidf_sql("word_terms", 2, 0.95, 50000)
+        + "SELECT row_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY row_id)) AS tfidf FROM w",
+    "char_tfidf_long": _R.rstrip() + ",\n" + _CHAR35_TERMS + "," + _tfidf_sql("char_terms", 2, 0.95, 30000)
+        + "SELECT row_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY row_id)) AS tfidf FROM w",
+})
