@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from polarity.functions import text as tx
-from polarity.operators import dedup, features, metrics, quality, split
+from polarity.operators import dedup, features, metrics, models, quality, score, split
+from polarity.plans import pipeline
+from polarity.streaming import replay as streams
 from polarity.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -223,3 +225,61 @@ def q_tfidf_long(spark, sf):
 def q_char_tfidf_long(spark, sf):
     return features.tfidf_long(fx.reviews(spark, sf), features.VARIANTS["real_word_char_hybrid"].parts[1],
                                text_col="text")
+
+
+# --- input guards (C7) ---------------------------------------------------------------
+
+@query("guarded_input")
+def q_guarded_input(spark, sf):
+    return score.guard_inputs(fx.reviews(spark, sf)).select("row_id", "accepted", "rejection_reason")
+
+
+# --- models, scoring, streams (rows-only: J8-J17, K1-K7, L1-L2) --------------------
+
+@query("train_baseline")
+def q_train_baseline(spark, sf):
+    return pipeline.posts_baseline(spark, sf)[1]
+
+
+@query("experiment_grid")
+def q_experiment_grid(spark, sf):
+    return pipeline.posts_grid(spark, sf)[0]
+
+
+@query("variant_comparison")
+def q_variant_comparison(spark, sf):
+    return metrics.variant_comparison(pipeline.posts_grid(spark, sf)[0])
+
+
+@query("tuned_test_metrics")
+def q_tuned_test_metrics(spark, sf):
+    board, fitted = pipeline.posts_grid(spark, sf)
+    best = fitted[models.select_best(board)["experiment_name"]]
+    table = pipeline.posts_splits(spark, sf)
+    val_preds = models.predict(best, pipeline.part(table, "validation"))
+    threshold = None
+    if models.has_probability(best):
+        threshold = metrics.best_row(metrics.threshold_sweep(val_preds)).first()["threshold"]
+    return models.evaluate_model(best, pipeline.part(table, "test"), threshold)[0]
+
+
+@query("evaluation_predictions")
+def q_evaluation_predictions(spark, sf):
+    model, _ = pipeline.posts_baseline(spark, sf)
+    preds = models.predict(model, pipeline.part(pipeline.posts_splits(spark, sf), "test"))
+    return score.evaluation_predictions(preds)
+
+
+@query("score_batch")
+def q_score_batch(spark, sf):
+    return pipeline.score_unlabelled(spark, sf, 0.47)
+
+
+@query("prediction_log")
+def q_prediction_log(spark, sf):
+    return score.prediction_log(pipeline.score_unlabelled(spark, sf, 0.47)).drop("timestamp", "request_id")
+
+
+@query("score_stream")
+def q_score_stream(spark, sf):
+    return streams.stream_output(spark, sf)

@@ -322,3 +322,11 @@ SELECT term, CAST(count(*) AS BIGINT) AS df, CAST(sum(tf) AS BIGINT) AS tf_total
     "char_tfidf_long": _R.rstrip() + ",\n" + _CHAR35_TERMS + "," + _tfidf_sql("char_terms", 2, 0.95, 30000)
         + "SELECT row_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY row_id)) AS tfidf FROM w",
 })
+
+
+ORACLE["guarded_input"] = _R + f"""
+SELECT row_id,
+  NOT (text IS NULL OR regexp_full_match(text, '{WS}*') OR length(text) > 1000) AS accepted,
+  CASE WHEN text IS NULL OR regexp_full_match(text, '{WS}*') THEN 'empty_text'
+       WHEN length(text) > 1000 THEN 'text_too_long' END AS rejection_reason
+FROM reviews"""

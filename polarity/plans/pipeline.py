@@ -1,0 +1,192 @@
+"""The end-to-end job (N1) and its stages as DataFrame -> DataFrame functions.
+
+Order: profile -> clean/dedup -> split -> baseline (validation, test) -> grid
+-> errors -> threshold -> final test.  One session; each stage's result that is
+read again is written once to the checkpoint folder, so a lost executor
+recomputes at most one stage.  Model selection and the threshold use
+validation only; test is touched by the baseline test and the final test.
+"""
+
+from __future__ import annotations
+
+import time
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from polarity.functions.text import CleaningFlags
+from polarity.operators import dedup, features as feat, metrics as mx, models, quality, score, split
+from polarity.operators.dedup import DEFAULT, Columns
+from polarity.session import materialize
+from polarity.sources import fixtures as fx
+
+
+@dataclass
+class PipelineConfig:
+    cols: Columns = DEFAULT
+    allowed_labels: tuple = (0, 1)
+    flags: CleaningFlags = field(default_factory=CleaningFlags)
+    split: split.SplitConfig = field(default_factory=split.SplitConfig)
+    thresholds: list[float] = field(default_factory=mx.default_grid)
+    top_errors: int = 100
+    models: dict = field(default_factory=lambda: dict(models.MODEL_CONFIGS))
+    variants: dict = field(default_factory=lambda: dict(feat.VARIANTS))
+
+
+def preprocess(df: DataFrame, cfg: PipelineConfig = PipelineConfig(), validate: bool = True) -> tuple[DataFrame, dict]:
+    """F5 with C12 first: (materialised clean table, nested cleaning report)."""
+    summary = quality.validate_dataset(df, cfg.cols, cfg.allowed_labels) if validate else None
+    keyed = materialize(dedup.key_groups(dedup.exact_groups(df, cfg.cols), cfg.cols))
+    grouped = materialize(dedup.clean_groups(dedup.dedup_survivors(keyed), cfg.cols, cfg.flags))
+    report = dedup.cleaning_report(keyed, grouped).first().asDict()
+    clean = dedup.clean_survivors(grouped)
+    nested = {k: report[k] for k in ("rows_before", "rows_after", "empty_clean_text_rows_removed",
+                                     "conflicting_clean_text_groups", "conflicting_clean_text_rows_removed",
+                                     "same_label_clean_text_duplicates_removed",
+                                     "total_clean_text_duplicates_removed")}
+    nested["validation_summary"] = summary
+    nested["duplicate_report"] = {
+        "rows_before": report["rows_before"],
+        "exact_duplicate_rows_removed": report["exact_duplicate_rows_removed"],
+        "conflicting_duplicate_text_groups": report["conflicting_duplicate_text_groups"],
+        "conflicting_duplicate_rows_removed": report["conflicting_duplicate_rows_removed"],
+        "same_label_duplicate_rows_removed": report["same_label_duplicate_rows_removed"],
+        "rows_after": report["rows_after_key_dedup"],
+    }
+    return clean, nested
+
+
+def split_dataset(clean: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> tuple[DataFrame, dict]:
+    """I1 + H1 + E7: (materialised table with ``split``, split report)."""
+    if "clean_text" not in clean.columns:
+        raise ValueError("Expected a clean_text column before splitting")
+    q = split.quotas(split.class_counts(clean, cfg.cols, cfg.split.stratify), cfg.split)
+    table = materialize(split.assign_splits(clean, q, cfg.cols, cfg.split))
+    split.assert_no_leakage(table)
+    rows = split.split_report(table, cfg.cols).collect()
+    report = {f"{s}_rows": sum(r["rows"] for r in rows if r["split"] == s) for s in split.SPLITS}
+    for s in split.SPLITS:
+        report[f"{s}_label_distribution"] = {
+            str(r[cfg.cols.label]): r["rows"] for r in sorted(rows, key=lambda r: r[cfg.cols.label]) if r["split"] == s}
+    return table, report
+
+
+def part(table: DataFrame, name: str) -> DataFrame:
+    return table.where(F.col("split") == name).drop("split")
+
+
+def run_pipeline(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig = PipelineConfig(),
+                 out_dir: str | None = None) -> dict:
+    """Every stage in the reference's order; returns reports and frames."""
+    timings = {}
+    t = time.perf_counter()
+    clean, cleaning = preprocess(raw, cfg)
+    timings["preprocess"] = time.perf_counter() - t
+    t = time.perf_counter()
+    table, split_report = split_dataset(clean, cfg)
+    train, val, test = part(table, "train"), part(table, "validation"), part(table, "test")
+    timings["split"] = time.perf_counter() - t
+
+    t = time.perf_counter()
+    baseline, baseline_val = models.train_baseline(train, val)
+    baseline_test = models.evaluate_model(baseline, test)[0]
+    timings["baseline"] = time.perf_counter() - t
+
+    t = time.perf_counter()
+    board, fitted = models.run_experiments(train, val, cfg.models, cfg.variants)
+    board = materialize(board)
+    best = models.select_best(board)
+    best_model = fitted[best["experiment_name"]]
+    timings["grid"] = time.perf_counter() - t
+
+    t = time.perf_counter()
+    _, val_preds = models.evaluate_model(best_model, val)
+    val_preds = materialize(val_preds.select("row_id", "sentiment", "text", "clean_text", "prediction",
+                                             "negative_probability", "positive_probability"))
+    errors = mx.error_table(val_preds)
+    top = mx.top_errors(errors, cfg.top_errors)
+    summary = mx.error_summary(val_preds)
+    timings["errors"] = time.perf_counter() - t
+
+    t = time.perf_counter()
+    threshold = None
+    sweep = None
+    if models.has_probability(best_model):
+        sweep = mx.threshold_sweep(val_preds, cfg.thresholds)
+        threshold = mx.best_row(sweep).first()["threshold"]
+    final_test = models.evaluate_model(best_model, test, threshold)[0]
+    gate = mx.regression_gate(final_test, baseline_test)
+    timings["threshold_and_final"] = time.perf_counter() - t
+
+    result = {
+        "cleaning_report": cleaning, "split_report": split_report, "clean": clean, "split": table,
+        "baseline_model": baseline, "baseline_validation": baseline_val, "baseline_test": baseline_test,
+        "leaderboard": board, "best": best, "best_model": best_model, "errors": errors, "top_errors": top,
+        "error_summary": summary, "threshold_sweep": sweep, "threshold": threshold,
+        "final_test": final_test, "regression_gate": gate, "timings": timings,
+    }
+    if out_dir:
+        write_outputs(spark, result, out_dir)
+    return result
+
+
+def write_outputs(spark: SparkSession, result: dict, out_dir: str) -> None:
+    """Tables as Parquet, reports as JSON, models via ML persistence."""
+    from polarity.sources import io
+    io.write_report(spark, result["cleaning_report"], f"{out_dir}/cleaning_report")
+    io.write_report(spark, result["split_report"], f"{out_dir}/split_report")
+    io.write_table(result["split"], f"{out_dir}/splits", partition_by=["split"])
+    io.write_table(result["leaderboard"], f"{out_dir}/model_comparison")
+    io.write_table(result["errors"], f"{out_dir}/error_analysis")
+    io.write_table(result["top_errors"], f"{out_dir}/top_misclassified_examples")
+    io.write_table(result["final_test"], f"{out_dir}/final_best_model_test_metrics")
+    models.save_model(result["baseline_model"], f"{out_dir}/models/baseline")
+    models.save_model(result["best_model"], f"{out_dir}/models/best_model")
+    if result["threshold_sweep"] is not None:
+        io.write_table(result["threshold_sweep"], f"{out_dir}/threshold_tuning")
+        best = mx.best_row(result["threshold_sweep"]).first().asDict()
+        io.save_threshold_config(spark, best, f"{out_dir}/models/decision_threshold")
+
+
+# --- cached model fits for the registered rows-only queries ------------------------
+
+_CACHE: dict = {}
+
+
+def posts_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = ("posts_split", sf_dir)
+    if key not in _CACHE:
+        clean, _ = preprocess(fx.posts(spark, sf_dir))
+        _CACHE[key] = split_dataset(clean)[0]
+    return _CACHE[key]
+
+
+def posts_baseline(spark: SparkSession, sf_dir: str):
+    key = ("posts_baseline", sf_dir)
+    if key not in _CACHE:
+        table = posts_splits(spark, sf_dir)
+        _CACHE[key] = models.train_baseline(part(table, "train"), part(table, "validation"))
+    return _CACHE[key]
+
+
+def posts_grid(spark: SparkSession, sf_dir: str):
+    key = ("posts_grid", sf_dir)
+    if key not in _CACHE:
+        table = posts_splits(spark, sf_dir)
+        board, fitted = models.run_experiments(part(table, "train"), part(table, "validation"))
+        _CACHE[key] = (materialize(board), fitted)
+    return _CACHE[key]
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """entry(): clean/dedup -> exact split -> TF-IDF + LR -> test metrics."""
+    table = posts_splits(spark, sf_dir)
+    model, _ = posts_baseline(spark, sf_dir)
+    metrics_row = models.evaluate_model(model, part(table, "test"))[0]
+    return metrics_row.select(F.lit("test").alias("split"), "*")
+
+
+def score_unlabelled(spark: SparkSession, sf_dir: str, threshold: float | None = 0.47) -> DataFrame:
+    model, _ = posts_baseline(spark, sf_dir)
+    return score.score(fx.unlabelled(spark, sf_dir), model, threshold, keep=("row_id",))
