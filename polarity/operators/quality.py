@@ -18,11 +18,12 @@ from polarity.operators.dedup import DEFAULT, Columns
 N_BINS = 50
 
 
-def require_columns(df: DataFrame, columns: list[str], what: str = "Input") -> None:
+def require_columns(df: DataFrame, columns: list[str], what: str | None = None) -> None:
     """Driver-side schema check."""
     missing = [c for c in columns if c not in df.columns]
     if missing:
-        raise ValueError(f"{what} is missing required column(s): {missing}")
+        where = f"{what} is missing required" if what else "Missing required"
+        raise ValueError(f"{where} column(s): {missing}")
 
 
 def validation_counts(df: DataFrame, cols: Columns = DEFAULT, allowed=(0, 1)) -> DataFrame:
@@ -85,7 +86,7 @@ def validate_dataset(df: DataFrame, cols: Columns = DEFAULT, allowed=(0, 1)) ->
 
     Two small jobs: the fused check row, then the profile (only when valid).
     """
-    require_columns(df, [cols.text, cols.label], "Dataset")
+    require_columns(df, [cols.text, cols.label])
     checks = validation_counts(df, cols, allowed).first().asDict()
     missing = {c: checks[k] for c, k in ((cols.text, "missing_text"), (cols.label, "missing_label")) if checks[k]}
     if missing:
