@@ -28,9 +28,12 @@ def strip_accents_py(text: str) -> str:
     return "".join(ch for ch in decomposed if not unicodedata.combining(ch))
 
 
+COARSE_FROM = 0x900
+
+
 @functools.lru_cache(maxsize=1)
 def _tables() -> tuple[str, str, str, str]:
-    """(matching, replacement, deletions, java class of 1->n characters)."""
+    """(matching, replacement, deletions, java class covering all 1->n characters)."""
     single_src, single_dst, deleted, multi = [], [], [], []
     for cp in range(0x80, 0x110000):
         if 0xD800 <= cp <= 0xDFFF:
@@ -46,7 +49,12 @@ def _tables() -> tuple[str, str, str, str]:
             deleted.append(ch)
         else:
             multi.append(cp)
-    return "".join(single_src), "".join(single_dst), "".join(deleted), _java_class(multi)
+    # Routing class: exact below U+0900, one coarse range above.  A Java class
+    # is tested range by range per character, so hundreds of ranges would cost
+    # more than the UDF; a superset only sends a few extra rows to the exact UDF.
+    low = [cp for cp in multi if cp < COARSE_FROM]
+    route = _java_class(low)[:-1] + f"\\x{{{COARSE_FROM:X}}}-\\x{{10FFFF}}]"
+    return "".join(single_src), "".join(single_dst), "".join(deleted), route
 
 
 def _java_class(code_points: list[int]) -> str:

@@ -158,8 +158,29 @@ def char_wb_ngrams(c: Column | str, ngram_range: tuple[int, int]) -> Column:
     """Character n-grams inside words padded by one space on each side.
 
     A padded word no longer than n yields itself once and stops the n loop.
+    For n >= 3 every gram is a window of the string " w1  w2  w3 " (each word
+    padded, pads not shared) whose inner characters are not spaces, so each
+    n is one regex scan with a capturing look-ahead (codegen, no lambdas).
+    A padded word is at least 3 long; for a smallest n above 3 the shorter
+    padded words are matched whole by one more alternative.
     """
     lo, hi = _check_range(ngram_range)
+    if lo < 3:
+        return _char_wb_ngrams_lambda(c, (lo, hi))
+    padded = F.concat(F.lit(" "), F.array_join(split_words(c), "  "), F.lit(" "))
+    parts = []
+    for n in range(lo, hi + 1):
+        window = f"[^ ]{{{n}}}| [^ ]{{{n - 1}}}|[^ ]{{{n - 1}}} | [^ ]{{{n - 2}}} "
+        if n == lo and lo > 3:  # padded words shorter than the smallest n: once, whole
+            window += f"| [^ ]{{1,{lo - 3}}} "
+        # a zero-width match advances one UTF-16 unit: skip the middle of a surrogate pair
+        parts.append(F.regexp_extract_all(padded, F.lit(f"(?![\\x{{DC00}}-\\x{{DFFF}}])(?=({window}))"), 1))
+    return parts[0] if len(parts) == 1 else F.concat(*parts)
+
+
+def _char_wb_ngrams_lambda(c: Column | str, ngram_range: tuple[int, int]) -> Column:
+    """General form of J3 (any n range) with nested lambdas."""
+    lo, hi = _check_range(ngram_range)
 
     def per_word(w: Column) -> Column:
         padded = F.concat(F.lit(" "), w, F.lit(" "))

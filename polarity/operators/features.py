@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from polarity.functions.text import with_term_counts, with_terms
+from polarity.session import materialize
 
 
 @dataclass(frozen=True)
@@ -119,14 +120,15 @@ def document_frequency(terms: DataFrame) -> DataFrame:
 
 
 def fit_vocabulary(fit_df: DataFrame, cfg: TfidfConfig, text_col: str = "clean_text",
-                   id_col: str = "row_id") -> tuple[DataFrame, int]:
+                   id_col: str = "row_id", terms: DataFrame | None = None) -> tuple[DataFrame, int]:
     """Fit J4 on ``fit_df``: (vocabulary frame, number of documents).
 
     One count job supplies n for ``max_df`` and the idf; the rest stays lazy.
+    ``terms`` may pass the already computed (row_id, term, tf) of ``fit_df``.
     """
     n_docs = fit_df.count()
-    dfreq = document_frequency(doc_terms(fit_df, cfg, text_col, id_col))
-    return vocabulary(dfreq, n_docs, cfg), n_docs
+    terms = doc_terms(fit_df, cfg, text_col, id_col) if terms is None else terms
+    return vocabulary(document_frequency(terms), n_docs, cfg), n_docs
 
 
 def vocabulary(dfreq: DataFrame, n_docs: int, cfg: TfidfConfig) -> DataFrame:
@@ -150,13 +152,17 @@ def tfidf_long(df: DataFrame, cfg: TfidfConfig, text_col: str = "clean_text", id
                fit_df: DataFrame | None = None) -> DataFrame:
     """J5 long form: (row_id, term, tfidf), vocabulary fitted on ``fit_df``.
 
+    The (row_id, term, tf) table feeds two passes (vocabulary, weighting), so
+    it is written once to the checkpoint folder instead of being recomputed.
     A vocabulary capped by ``max_features`` is broadcast (its size is that
     cap); an uncapped one is joined with a shuffle.  The L2 norm is a window
     over one document's terms, bounded by the document's length.
     """
-    same = fit_df is None or fit_df is df
-    vocab, _ = fit_vocabulary(df if same else fit_df, cfg, text_col, id_col)
-    terms = doc_terms(df, cfg, text_col, id_col)
+    terms = materialize(doc_terms(df, cfg, text_col, id_col))
+    if fit_df is None or fit_df is df:
+        vocab, _ = fit_vocabulary(df, cfg, text_col, id_col, terms=terms)
+    else:
+        vocab, _ = fit_vocabulary(fit_df, cfg, text_col, id_col)
     v = vocab.select("term", "idf")
     v = F.broadcast(v) if cfg.max_features is not None else v
     weighted = terms.join(v, on="term").select(id_col, "term", (F.col("tf") * F.col("idf")).alias("w"))

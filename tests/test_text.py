@@ -118,9 +118,10 @@ def py_char_wb(text, lo, hi):
 
 
 def test_char_wb_ngrams_rule(spark):
-    cases = ["a bb ccc dddd eeeee", "x", "", "héllo  wörld\tok", "ab"]
-    got = many(spark, cases, lambda c: tx.char_wb_ngrams(c, (3, 5)))
-    assert [sorted(g) for g in got] == [sorted(py_char_wb(c, 3, 5)) for c in cases]
+    cases = ["a bb ccc dddd eeeee", "x", "", "héllo  wörld\tok", "ab", "\U0001f600x ab\u00a0cd"]
+    for rng in [(3, 5), (1, 2), (2, 4), (4, 4)]:
+        got = many(spark, cases, lambda c: tx.char_wb_ngrams(c, rng))
+        assert [sorted(g) for g in got] == [sorted(py_char_wb(c, *rng)) for c in cases], rng
 
 
 def test_word_ngrams_and_term_counts(spark):
