@@ -154,8 +154,13 @@ def write_outputs(spark: SparkSession, result: dict, out_dir: str) -> None:
 _CACHE: dict = {}
 
 
+def _key(spark: SparkSession, what: str, sf_dir: str) -> tuple:
+    # frames and models belong to one application: never reuse across sessions
+    return (spark.sparkContext.applicationId, what, sf_dir)
+
+
 def posts_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = ("posts_split", sf_dir)
+    key = _key(spark, "posts_split", sf_dir)
     if key not in _CACHE:
         clean, _ = preprocess(fx.posts(spark, sf_dir))
         _CACHE[key] = split_dataset(clean)[0]
@@ -163,7 +168,7 @@ def posts_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def posts_baseline(spark: SparkSession, sf_dir: str):
-    key = ("posts_baseline", sf_dir)
+    key = _key(spark, "posts_baseline", sf_dir)
     if key not in _CACHE:
         table = posts_splits(spark, sf_dir)
         _CACHE[key] = models.train_baseline(part(table, "train"), part(table, "validation"))
@@ -171,7 +176,7 @@ def posts_baseline(spark: SparkSession, sf_dir: str):
 
 
 def posts_grid(spark: SparkSession, sf_dir: str):
-    key = ("posts_grid", sf_dir)
+    key = _key(spark, "posts_grid", sf_dir)
     if key not in _CACHE:
         table = posts_splits(spark, sf_dir)
         board, fitted = models.run_experiments(part(table, "train"), part(table, "validation"))
