@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from polarity.functions.text import with_term_counts, with_terms
-from polarity.session import materialize
+from polarity.session import materialize, spread
 
 
 @dataclass(frozen=True)
@@ -106,7 +106,7 @@ def add_terms(df: DataFrame, cfg: TfidfConfig, text_col: str, out_col: str) -> D
 def doc_terms(df: DataFrame, cfg: TfidfConfig, text_col: str = "clean_text",
               id_col: str = "row_id") -> DataFrame:
     """(row_id, term, tf): in-row counting, then one explode of distinct terms."""
-    terms = add_terms(df.select(id_col, text_col), cfg, text_col, "_terms")
+    terms = add_terms(spread(df.select(id_col, text_col), id_col), cfg, text_col, "_terms")
     # explode_outer: a plain explode makes the optimizer infer "size(array) > 0"
     # and push it below the projections, re-running the counting inside it
     counted = with_term_counts(terms, "_terms", "_counts").select(id_col, F.explode_outer("_counts").alias("_e"))

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from polarity.operators import features as feat
 from polarity.operators import metrics as mx
 from polarity.operators.quality import require_columns
-from polarity.session import materialize
+from polarity.session import materialize, spread
 
 # The reference's classifier settings.
 MODEL_CONFIGS = {
@@ -147,13 +147,25 @@ def prepare_variant(name: str, spec: feat.FeatureSpec, train: DataFrame, validat
                     text: str = TEXT, label: str = LABEL, id_col: str = "row_id") -> FittedVariant:
     """Fit one feature variant and write train/validation vectors once."""
     t0 = time.perf_counter()
+    train, validation = spread(train, id_col), spread(validation, id_col)
     fm = feat.fit_features(train, spec, text, FEATURES, id_col)
     weighted, wsum = with_balanced_weights(train, label)
     tr = materialize(feat.drop_feature_intermediates(fm.transform(weighted)).select(id_col, label, WEIGHT, FEATURES))
     va = materialize(feat.drop_feature_intermediates(fm.transform(validation)).select(id_col, label, FEATURES))
+    # every optimizer iteration is one job over the cached vectors: size the
+    # partitions by rows (not cores) so small sets do not pay per-task overhead
+    tr, va = _fit_partitions(tr, int(wsum)), _fit_partitions(va, va.count())
     return FittedVariant(name, fm, tr, va, wsum, time.perf_counter() - t0)
 
 
+ROWS_PER_FIT_TASK = 100_000
+
+
+def _fit_partitions(df: DataFrame, rows: int) -> DataFrame:
+    target = min(df.sparkSession.sparkContext.defaultParallelism, max(1, -(-rows // ROWS_PER_FIT_TASK)))
+    return df.coalesce(target) if df.rdd.getNumPartitions() > target else df
+
+
 def fit_classifier(fv: FittedVariant, model_name: str, cfg: dict, label: str = LABEL) -> tuple[PipelineModel, float]:
     """Fit one classifier on the cached vectors; the result includes the
     feature stages, so it scores raw clean text."""

@@ -83,3 +83,17 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Give CPU-heavy per-row text work at least one task per core.
+
+    Text stages cost CPU per byte far above a scan, and a small or unsplittable
+    input (one Parquet row group, a coalesced join) can land in a single task.
+    Only then is the input hash-repartitioned (by ``key`` when given); a large
+    input already has more splits than cores and is left untouched.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target * 2, key) if key else df.repartition(target * 2)
