@@ -38,8 +38,7 @@ def main() -> None:
     scored = materialize(fx.scored(spark, sf_dir))
     clean, _ = pipeline.preprocess(posts)
     clean = materialize(clean)
-    q = split.quotas(split.class_counts(clean), split.SplitConfig())
-    table = materialize(split.assign_splits(clean, q))
+    table = materialize(split.stratified_split(clean))
     train, val = pipeline.part(table, "train"), pipeline.part(table, "validation")
     baseline, _ = models.train_baseline(train, val)
     unlabelled = materialize(fx.unlabelled(spark, sf_dir))
@@ -49,7 +48,7 @@ def main() -> None:
         "profile": lambda: quality.profile(posts).collect(),
         "preprocess": lambda: noop(dedup.preprocess_plan(posts).clean),
         "cleaning_report": lambda: dedup.preprocess_plan(posts).report.collect(),
-        "split": lambda: noop(split.assign_splits(clean, q)),
+        "split": lambda: noop(split.stratified_split(clean)),
         "tfidf_long": lambda: noop(feat.tfidf_long(reviews, feat.BASELINE_TFIDF, text_col="text")),
         "char_tfidf_long": lambda: noop(feat.tfidf_long(
             reviews, feat.VARIANTS["real_word_char_hybrid"].parts[1], text_col="text")),

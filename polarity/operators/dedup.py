@@ -14,6 +14,12 @@ Each grouping keeps ``min/max(label)``, counts and ``min_by(struct, row_id)``,
 all of which combine map-side, so a key holding a third of the table costs one
 partial row per map task instead of a hot reducer.  Every counter of the
 reports is a sum over the grouped rows, so no step is re-run to count it.
+
+Aggregations that carry the survivor's text (``min_by`` over a struct with a
+string) run as sort-based aggregation: a local sort per map task, still with
+map-side combining and no extra shuffle.  Filters on grouping keys are kept
+as aggregate outputs so the optimizer cannot push them below the grouping
+and re-run the cleaning chain.
 """
 
 from __future__ import annotations
@@ -106,9 +112,11 @@ def remove_duplicate_texts_same_label(df: DataFrame, key: str, cols: Columns = D
 def exact_groups(df: DataFrame, cols: Columns = DEFAULT) -> DataFrame:
     """Aggregation 1: distinct (text, label) with first id, row count and key."""
     carry = [c for c in _carry(df, cols) if c not in (cols.text, cols.label)]
+    # only the id to carry: a plain min keeps the aggregation hash-based
+    first = (F.struct(F.min(cols.row_id).alias(cols.row_id)) if carry == [cols.row_id]
+             else F.min_by(F.struct(*carry), F.col(cols.row_id)))
     return (df.groupBy(cols.text, cols.label)
-              .agg(F.min_by(F.struct(*carry), F.col(cols.row_id)).alias("_f"),
-                   F.count(F.lit(1)).alias("_n"))
+              .agg(first.alias("_f"), F.count(F.lit(1)).alias("_n"))
               .select("_f.*", cols.label, cols.text, "_n")
               .withColumn("duplicate_key", duplicate_key(cols.text)))
 
@@ -170,8 +178,17 @@ def clean_groups(survivors: DataFrame, cols: Columns = DEFAULT,
     """Aggregation 3: clean the key survivors and group by ``clean_text``."""
     cleaned = survivors.drop("duplicate_key").withColumn("clean_text", clean_text(cols.text, flags))
     carry = _carry(cleaned, cols, drop=("clean_text",))
-    return _group_first(cleaned, ["clean_text"], cols, carry).withColumn(
-        "_blank", F.col("clean_text") == F.lit(""))
+    label = F.col(cols.label)
+    # "_blank" is an aggregate on purpose: a filter on the grouping key would be
+    # pushed below the aggregation and re-run the whole cleaning chain
+    return cleaned.groupBy("clean_text").agg(
+        F.min(label).alias("_lo"),
+        F.max(label).alias("_hi"),
+        F.count_if(label.isNull()).alias("_nulls"),
+        F.count(F.lit(1)).alias("_rows"),
+        F.min_by(F.struct(*carry), F.col(cols.row_id)).alias("_first"),
+        F.max(F.col("clean_text") == F.lit("")).alias("_blank"),
+    ).withColumn("_conflict", _conflict())
 
 
 def clean_survivors(cleaned: DataFrame) -> DataFrame:

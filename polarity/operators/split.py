@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from polarity.operators.dedup import DEFAULT, Columns
+from polarity.session import materialize
 
 BUCKET_HEX = 4          # 16-bit buckets: <= 65,536 rows per class in the bucket table
 SPLITS = ("train", "validation", "test")
@@ -111,28 +112,35 @@ def class_counts(df: DataFrame, cols: Columns = DEFAULT, stratify: bool = True)
     return {r[0]: r[1] for r in df.groupBy(cols.label).count().collect()}
 
 
+def bucket_counts(df: DataFrame, cols: Columns = DEFAULT, cfg: SplitConfig = SplitConfig()) -> DataFrame:
+    """Rows per (class, hash bucket): at most 65,536 rows per class, whatever
+    the table size.  Written once: it yields the class totals and the cut
+    positions, and both branches of the assignment read it."""
+    hashed = _hashed(df.select(cols.row_id, cols.label), cols, cfg)
+    return materialize(hashed.groupBy("_class", "_bucket").agg(F.count(F.lit(1)).alias("_cnt")))
+
+
 def assign_splits(df: DataFrame, q: dict, cols: Columns = DEFAULT,
-                  cfg: SplitConfig = SplitConfig()) -> DataFrame:
+                  cfg: SplitConfig = SplitConfig(), buckets: DataFrame | None = None) -> DataFrame:
     """Add ``split`` to every row for the given per-class quotas (lazy)."""
     spark = df.sparkSession
     base = _hashed(df, cols, cfg)
+    counts = bucket_counts(df, cols, cfg) if buckets is None else buckets
     limits = spark.createDataFrame(
         [(k, int(t), int(t + v)) for k, (t, v, _) in q.items()],
-        f"_class {'string' if not cfg.stratify else base.schema[cols.label].dataType.simpleString()}, "
-        "_t long, _v long")
+        f"_class {counts.schema['_class'].dataType.simpleString()}, _t long, _v long")
     by_class = Window.partitionBy("_class").orderBy("_bucket")
-    buckets = (base.groupBy("_class", "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
-                   .withColumn("_lo", F.coalesce(F.sum("_cnt").over(
-                       by_class.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    table = (counts.withColumn("_lo", F.coalesce(F.sum("_cnt").over(
+                    by_class.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
                    .withColumn("_hi", F.col("_lo") + F.col("_cnt"))
                    .join(F.broadcast(limits), on="_class"))
     lo, hi, t, v = F.col("_lo"), F.col("_hi"), F.col("_t"), F.col("_v")
-    buckets = buckets.select(
+    table = table.select(
         "_class", "_bucket", "_lo", "_t", "_v",
         F.when(hi <= t, "train").when((lo >= t) & (hi <= v), "validation")
          .when(lo >= v, "test").alias("_fixed"))
     # bounded: <= 65,536 buckets per class, whatever the table size
-    tagged = base.join(F.broadcast(buckets), on=["_class", "_bucket"])
+    tagged = base.join(F.broadcast(table), on=["_class", "_bucket"])
     out_cols = list(df.columns)
     fixed = tagged.where(F.col("_fixed").isNotNull()).select(*out_cols, F.col("_fixed").alias("split"))
     in_bucket = Window.partitionBy("_class", "_bucket").orderBy("_h", cols.row_id)
@@ -147,10 +155,15 @@ def assign_splits(df: DataFrame, q: dict, cols: Columns = DEFAULT,
 
 
 def stratified_split(df: DataFrame, cols: Columns = DEFAULT, cfg: SplitConfig = SplitConfig()) -> DataFrame:
-    """I1 as one lazy DataFrame with a ``split`` column (one count job for quotas)."""
+    """I1 as a DataFrame with a ``split`` column.
+
+    One light job (row_id and label only) writes the bucket table; the class
+    totals for the quotas are summed from it (k rows to the driver).
+    """
     cfg.check()
-    q = quotas(class_counts(df, cols, cfg.stratify), cfg)
-    return assign_splits(df, q, cols, cfg)
+    buckets = bucket_counts(df, cols, cfg)
+    totals = {r[0]: r[1] for r in buckets.groupBy("_class").agg(F.sum("_cnt")).collect()}
+    return assign_splits(df, quotas(totals, cfg), cols, cfg, buckets)
 
 
 def split_report(split_df: DataFrame, cols: Columns = DEFAULT) -> DataFrame:

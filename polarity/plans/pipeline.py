@@ -61,8 +61,7 @@ def split_dataset(clean: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> t
     """I1 + H1 + E7: (materialised table with ``split``, split report)."""
     if "clean_text" not in clean.columns:
         raise ValueError("Expected a clean_text column before splitting")
-    q = split.quotas(split.class_counts(clean, cfg.cols, cfg.split.stratify), cfg.split)
-    table = materialize(split.assign_splits(clean, q, cfg.cols, cfg.split))
+    table = materialize(split.stratified_split(clean, cfg.cols, cfg.split))
     split.assert_no_leakage(table)
     rows = split.split_report(table, cfg.cols).collect()
     report = {f"{s}_rows": sum(r["rows"] for r in rows if r["split"] == s) for s in split.SPLITS}
