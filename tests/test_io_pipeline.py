@@ -1,0 +1,65 @@
+"""Sources/sinks (A1-A7) and the end-to-end job."""
+
+import os
+
+import pytest
+
+from polarity.operators import metrics as mx
+from polarity.plans import pipeline
+from polarity.sources import fixtures as fx
+from polarity.sources import io
+
+
+def test_csv_quotes_commas_newlines(spark, tmp_path):
+    path = tmp_path / "raw.csv"
+    path.write_text('sentiment,text\n1,"hello, world"\n0,"she said ""hi"""\n1,"two\nlines"\n', encoding="utf-8")
+    df = io.read_csv(spark, str(path))
+    rows = sorted(df.collect(), key=lambda r: r.row_id)
+    assert [r.text for r in rows] == ["hello, world", 'she said "hi"', "two\nlines"]
+    assert [r.sentiment for r in rows] == [1, 0, 1]
+    with pytest.raises(FileNotFoundError):
+        io.read_csv(spark, str(tmp_path / "missing.csv"))
+
+
+def test_threshold_file_round_trip_and_range(spark, tmp_path):
+    best = {"threshold": 0.47, "accuracy": 0.8, "macro_f1": 0.75, "weighted_f1": 0.78,
+            "false_positives": 2, "false_negatives": 3}
+    io.save_threshold_config(spark, best, str(tmp_path / "t"))
+    loaded = io.load_threshold_config(spark, str(tmp_path / "t"))
+    assert loaded["threshold"] == 0.47 and loaded["selected_metric_value"] == 0.75
+    bad = dict(best, threshold=1.5)
+    io.save_threshold_config(spark, bad, str(tmp_path / "bad"))
+    with pytest.raises(ValueError, match="between 0 and 1"):
+        io.load_threshold_config(spark, str(tmp_path / "bad"))
+    with pytest.raises(FileNotFoundError):
+        io.load_threshold_config(spark, str(tmp_path / "none"))
+
+
+def test_report_round_trip(spark, tmp_path):
+    report = {"rows_before": 3, "duplicate_report": {"rows_after": 2}, "label_distribution": {"0": 1, "1": 2}}
+    io.write_report(spark, report, str(tmp_path / "r"))
+    back = io.read_report(spark, str(tmp_path / "r"))
+    assert back["rows_before"] == 3 and back["duplicate_report"]["rows_after"] == 2
+
+
+def test_full_pipeline_writes_every_output(spark, sf_small, tmp_path):
+    out = str(tmp_path / "run")
+    small = pipeline.PipelineConfig(
+        models={"logistic_regression": dict(pipeline.models.MODEL_CONFIGS["logistic_regression"]),
+                "complement_nb": dict(pipeline.models.MODEL_CONFIGS["complement_nb"])},
+        variants={"unigram_bigram": pipeline.feat.VARIANTS["unigram_bigram"]})
+    result = pipeline.run_pipeline(spark, fx.posts(spark, sf_small), small, out)
+    rep = result["cleaning_report"]
+    assert rep["rows_before"] == 1000 and rep["validation_summary"]["total_rows"] == 1000
+    sr = result["split_report"]
+    assert sr["train_rows"] + sr["validation_rows"] + sr["test_rows"] == rep["rows_after"]
+    assert result["leaderboard"].count() == 2
+    assert result["threshold"] in mx.default_grid()
+    assert result["final_test"].first().decision_threshold == result["threshold"]
+    assert result["top_errors"].count() <= 100
+    for name in ["cleaning_report", "split_report", "splits", "model_comparison", "error_analysis",
+                 "top_misclassified_examples", "final_best_model_test_metrics", "threshold_tuning",
+                 "models/baseline", "models/best_model", "models/decision_threshold"]:
+        assert os.path.exists(os.path.join(out, name)), name
+    parts = {d for d in os.listdir(os.path.join(out, "splits")) if d.startswith("split=")}
+    assert parts == {"split=train", "split=validation", "split=test"}
