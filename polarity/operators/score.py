@@ -87,3 +87,32 @@ def prediction_log(scored: DataFrame, event_time: str | None = None, request_id:
         F.col("decision_threshold").alias("threshold"),
         char_length("cleaned_text").cast("long").alias("text_length"),
     )
+
+
+def score_guarded(df: DataFrame, model: PipelineModel, threshold: float | None = None,
+                  text_col: str = "text", keep: tuple[str, ...] = ("row_id",)) -> DataFrame:
+    """K7: guard every row (C7), score the accepted ones; rejected rows keep
+    their reason and carry null predictions.  One output, no row dropped."""
+    guarded = guard_inputs(df, text_col)
+    accepted = score(guarded.where(F.col("accepted")), model, threshold, text_col,
+                     keep=tuple(keep) + ("accepted", "rejection_reason"))
+    rejected = guarded.where(~F.col("accepted")).select(
+        *keep, "accepted", "rejection_reason",
+        F.col(text_col).cast("string").alias("text"),
+        F.lit(None).cast("string").alias("cleaned_text"),
+        F.lit(None).cast("int").alias("predicted_label"),
+        F.lit(None).cast("string").alias("predicted_sentiment"),
+        F.lit(None if threshold is None else float(threshold)).cast("double").alias("decision_threshold"),
+        F.lit(None).cast("double").alias("negative_probability"),
+        F.lit(None).cast("double").alias("positive_probability"))
+    return accepted.unionByName(rejected)
+
+
+def score_csv(spark, input_path: str, output_path: str, model: PipelineModel,
+              threshold: float | None = None, text_col: str = "text") -> DataFrame:
+    """K3: CSV in -> the seven prediction columns -> CSV out (header, quoted)."""
+    from polarity.sources import io
+    df = io.read_csv(spark, input_path, schema=io.SCORING_SCHEMA, with_row_id=False)
+    out = score(df, model, threshold, text_col)
+    io.write_table(out, output_path, fmt="csv")
+    return out

@@ -283,3 +283,32 @@ def q_prediction_log(spark, sf):
 @query("score_stream")
 def q_score_stream(spark, sf):
     return streams.stream_output(spark, sf)
+
+
+@query("best_experiment")
+def q_best_experiment(spark, sf):
+    return metrics.best_row(pipeline.posts_grid(spark, sf)[0], "macro_f1", "experiment_name")
+
+
+@query("score_guarded")
+def q_score_guarded(spark, sf):
+    model, _ = pipeline.posts_baseline(spark, sf)
+    return score.score_guarded(fx.reviews(spark, sf), model, 0.47)
+
+
+# --- more SQL-checked operators (C11, H2, E14 on long texts) -----------------------
+
+@query("regression_gate")
+def q_regression_gate(spark, sf):
+    tuned = fx.scored(spark, sf).withColumn("prediction", metrics.decide(F.col("positive_probability"), 0.47))
+    return metrics.regression_gate(metrics.evaluate(tuned, threshold=0.47), metrics.evaluate(_scored(spark, sf)))
+
+
+@query("invalid_labels")
+def q_invalid_labels(spark, sf):
+    return quality.invalid_labels(fx.posts(spark, sf))
+
+
+@query("review_length_histogram")
+def q_review_length_histogram(spark, sf):
+    return quality.length_histogram(fx.reviews(spark, sf))

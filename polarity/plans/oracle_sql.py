@@ -330,3 +330,15 @@ SELECT row_id,
   CASE WHEN text IS NULL OR regexp_full_match(text, '{WS}*') THEN 'empty_text'
        WHEN length(text) > 1000 THEN 'text_too_long' END AS rejection_reason
 FROM reviews"""
+
+
+ORACLE.update({
+    "regression_gate": _S.rstrip() + ",\n" + _counts_sql(_PRED) + ", base AS (" + _metrics_select() + "),\n"
+        + _counts_sql("CASE WHEN positive_probability >= 0.47 THEN 1 ELSE 0 END").replace("counts AS", "tcounts AS")
+        + ", cand AS (" + _metrics_select("0.47").replace("FROM counts", "FROM tcounts") + """)
+SELECT c.macro_f1 AS candidate_macro_f1, b.macro_f1 AS baseline_macro_f1,
+       COALESCE(c.macro_f1 < b.macro_f1, false) AS below_baseline
+FROM cand c, base b""",
+    "invalid_labels": duck_cte("posts") + "SELECT DISTINCT sentiment FROM posts WHERE sentiment IS NOT NULL AND sentiment NOT IN (0, 1)",
+    "review_length_histogram": _R.rstrip() + "," + _histogram("SELECT length(text) AS len FROM reviews WHERE text IS NOT NULL"),
+})

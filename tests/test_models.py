@@ -88,3 +88,18 @@ def test_stream_equals_batch(spark, sf_small):
     batch = pipeline.score_unlabelled(spark, sf_small, 0.47)
     cols = ["row_id", "cleaned_text", "predicted_label", "positive_probability"]
     assert sorted(streamed.select(cols).collect()) == sorted(batch.select(cols).collect())
+
+
+def test_score_csv_and_guarded(spark, sf_small, tmp_path):
+    model, _ = pipeline.posts_baseline(spark, sf_small)
+    src = tmp_path / "in.csv"
+    src.write_text('text\nI love this product!\n"Amazing, very happy"\n', encoding="utf-8")
+    out = score.score_csv(spark, str(src), str(tmp_path / "out"), model, 0.47)
+    assert out.columns == score.PREDICTION_COLUMNS and out.count() == 2
+    back = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(str(tmp_path / "out"))
+    assert sorted(r.text for r in back.collect()) == ["Amazing, very happy", "I love this product!"]
+    df = spark.createDataFrame([(1, "fine"), (2, " "), (3, "x" * 1001)], "row_id long, text string")
+    g = {r.row_id: r for r in score.score_guarded(df, model, 0.47).collect()}
+    assert g[1].accepted and g[1].predicted_label in (0, 1)
+    assert g[2].rejection_reason == "empty_text" and g[2].predicted_label is None
+    assert g[3].rejection_reason == "text_too_long"

@@ -25,7 +25,8 @@ def test_query_matches_oracle(spark, con, name):
 def test_every_query_is_registered_with_a_check():
     rows_only = set(entry.queries()) - set(entry.oracle_sql())
     assert rows_only == {"train_baseline", "experiment_grid", "variant_comparison", "tuned_test_metrics",
-                         "evaluation_predictions", "score_batch", "prediction_log", "score_stream"}
+                         "evaluation_predictions", "score_batch", "prediction_log", "score_stream",
+                         "best_experiment", "score_guarded"}
 
 
 def test_entry_smoke(spark):
