@@ -45,6 +45,9 @@ MODEL_CONFIGS = {
     "complement_nb": {"enabled": True, "alpha": 1.0},
 }
 
+# The reference estimators' default stopping tolerance.
+DEFAULT_TOL = 1e-4
+
 LABEL, TEXT, WEIGHT, FEATURES = "sentiment", "clean_text", "_weight", "features"
 BIAS_FEATURES = "_features_bias"
 
@@ -69,7 +72,7 @@ def build_classifier(name: str, cfg: dict, weight_sum: float, label: str = LABEL
         bias = [SQLTransformer(statement="SELECT *, 1.0 AS _bias FROM __THIS__"),
                 VectorAssembler(inputCols=[FEATURES, "_bias"], outputCol=BIAS_FEATURES)]
         common = dict(featuresCol=BIAS_FEATURES, labelCol=label, regParam=1.0 / (c * weight_sum),
-                      standardization=False, fitIntercept=False, tol=1e-6, **weight_kw)
+                      standardization=False, fitIntercept=False, tol=float(cfg.get("tol", DEFAULT_TOL)), **weight_kw)
         if name == "logistic_regression":
             clf = LogisticRegression(maxIter=int(cfg.get("max_iter", 1000)), elasticNetParam=0.0,
                                      family="binomial", **common)
@@ -81,7 +84,8 @@ def build_classifier(name: str, cfg: dict, weight_sum: float, label: str = LABEL
             raise ValueError("sgd_classifier supports loss='log_loss' with penalty='l2'")
         clf = LogisticRegression(featuresCol=FEATURES, labelCol=label, regParam=float(cfg.get("alpha", 1e-4)),
                                  elasticNetParam=0.0, standardization=False, fitIntercept=True,
-                                 maxIter=int(cfg.get("max_iter", 1000)), tol=1e-6, family="binomial",
+                                 maxIter=int(cfg.get("max_iter", 1000)), tol=float(cfg.get("tol", DEFAULT_TOL)),
+                                 family="binomial",
                                  **weight_kw)
         return [clf], balanced
     if name == "complement_nb":
