@@ -49,18 +49,6 @@ def _conflict(lo: str = "_lo", hi: str = "_hi", nulls: str = "_nulls", rows: str
     return differ | mixed_null
 
 
-def _group_first(df: DataFrame, keys: list[str], cols: Columns, carry: list[str]) -> DataFrame:
-    """Label range, row count and the first row (by id) per key."""
-    label = F.col(cols.label)
-    return df.groupBy(*keys).agg(
-        F.min(label).alias("_lo"),
-        F.max(label).alias("_hi"),
-        F.count_if(label.isNull()).alias("_nulls"),
-        F.count(F.lit(1)).alias("_rows"),
-        F.min_by(F.struct(*carry), F.col(cols.row_id)).alias("_first"),
-    ).withColumn("_conflict", _conflict())
-
-
 def _carry(df: DataFrame, cols: Columns, drop: tuple[str, ...] = ()) -> list[str]:
     first = [cols.row_id, cols.label, cols.text]
     rest = [c for c in df.columns if c not in first and c not in drop and not c.startswith("_")]

@@ -172,6 +172,11 @@ def tfidf_long(df: DataFrame, cfg: TfidfConfig, text_col: str = "clean_text", id
 
 # --- vector form (Spark ML stages) -------------------------------------------------
 
+# The vector form keeps its vocabulary in the fitted model (driver and every
+# executor); beyond this size only the relational long form is offered.
+MAX_VECTOR_TERMS = 1 << 22
+
+
 class TextTerms(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
     """Analyzer stage: text -> array<string> of terms (word or char_wb n-grams)."""
 
@@ -203,6 +208,11 @@ def fit_tfidf_stages(train: DataFrame, cfg: TfidfConfig, text_col: str, out_col:
     equals the long form term by term.
     """
     vocab, _ = fit_vocabulary(train, cfg, text_col, id_col)
+    if cfg.max_features is None or cfg.max_features > MAX_VECTOR_TERMS:
+        size = vocab.count()
+        if size > MAX_VECTOR_TERMS:
+            raise ValueError(f"vocabulary of {size} terms is too large for vectors held by the model; "
+                             f"set max_features <= {MAX_VECTOR_TERMS} or use the long form (tfidf_long)")
     rows = vocab.orderBy(F.col("tf_total").desc(), F.col("term").asc()).select("term", "idf").collect()
     if not rows:
         raise ValueError("empty vocabulary: no term passes min_df/max_df")
