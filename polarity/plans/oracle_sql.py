@@ -316,11 +316,11 @@ ORACLE.update({
     "document_frequency": _R.rstrip() + ",\n" + _WORD12_TERMS + """
 SELECT term, CAST(count(*) AS BIGINT) AS df, CAST(sum(tf) AS BIGINT) AS tf_total FROM word_terms GROUP BY term""",
     "vocabulary": _R.rstrip() + ",\n" + _WORD12_TERMS + "," + _tfidf_sql("word_terms", 2, 0.95, 50000)
-        + "SELECT * FROM vocab",
+        + "SELECT term, df, tf_total, round(idf, 6) AS idf FROM vocab",
     "tfidf_long": _R.rstrip() + ",\n" + _WORD12_TERMS + "," + _tfidf_sql("word_terms", 2, 0.95, 50000)
-        + "SELECT row_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY row_id)) AS tfidf FROM w",
+        + "SELECT row_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY row_id)), 6) AS tfidf FROM w",
     "char_tfidf_long": _R.rstrip() + ",\n" + _CHAR35_TERMS + "," + _tfidf_sql("char_terms", 2, 0.95, 30000)
-        + "SELECT row_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY row_id)) AS tfidf FROM w",
+        + "SELECT row_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY row_id)), 6) AS tfidf FROM w",
 })
 
 

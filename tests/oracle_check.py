@@ -31,13 +31,16 @@ def duck_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+EXACT = os.environ.get("ORACLE_EXACT") == "1"
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6) + 0.0
+        return v + 0.0 if EXACT else round(v, 6) + 0.0
     if hasattr(v, "item"):
         return _norm(v.item())
     if isinstance(v, (list, tuple)):
