@@ -144,7 +144,9 @@ def threshold_sweep(df: DataFrame, thresholds: list[float] | None = None, actual
         raise ValueError("at least one threshold is required")
     p = F.col(proba)
     lits = F.array(*[F.lit(t) for t in grid])
-    bucket = F.when(p.isNull() | F.isnan(p), 0).otherwise(F.size(F.filter(lits, lambda t: p >= t)))
+    # number of thresholds <= p as a flat sum of comparisons (codegen, no lambda)
+    at_or_below = sum((p >= F.lit(t)).cast("int") for t in grid)
+    bucket = F.when(p.isNull() | F.isnan(p), 0).otherwise(at_or_below)
     y = F.col(actual)
     counts = df.groupBy(bucket.alias("j")).agg(
         F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"))
