@@ -103,3 +103,23 @@ def test_score_csv_and_guarded(spark, sf_small, tmp_path):
     assert g[1].accepted and g[1].predicted_label in (0, 1)
     assert g[2].rejection_reason == "empty_text" and g[2].predicted_label is None
     assert g[3].rejection_reason == "text_too_long"
+
+
+def test_stream_sinks_route_rejected_rows_and_log_metadata_only(spark, sf_small, tmp_path):
+    from polarity.streaming.scoring import run_to_completion, start_scoring
+    model, _ = pipeline.posts_baseline(spark, sf_small)
+    src = str(tmp_path / "in")
+    rows = [(1, "I love it"), (2, "   "), (3, "y" * 1001), (4, "meh @bob")]
+    spark.createDataFrame(rows, "row_id long, text string").repartition(2).write.parquet(src)
+    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+    run_to_completion(start_scoring(spark, src, model, out, ckpt, threshold=0.47))
+    scored = spark.read.parquet(f"{out}/scored")
+    rejected = {r.row_id: r.rejection_reason for r in spark.read.parquet(f"{out}/rejected").collect()}
+    log = spark.read.json(f"{out}/prediction_log")
+    assert sorted(r.row_id for r in scored.collect()) == [1, 4]
+    assert rejected == {2: "empty_text", 3: "text_too_long"}
+    assert log.count() == 2 and "text" not in log.columns and "request_id" in log.columns
+    assert sorted(r.text_length for r in log.collect()) == sorted(len(r.cleaned_text) for r in scored.collect())
+    # a rerun over the same checkpoint adds nothing (exactly-once file sink)
+    run_to_completion(start_scoring(spark, src, model, out, ckpt, threshold=0.47))
+    assert spark.read.parquet(f"{out}/scored").count() == 2
