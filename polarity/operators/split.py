@@ -13,7 +13,9 @@ so the cut is found in two steps instead:
 2. rows of a bucket entirely below/above a cut take their split from the
    bucket (broadcast join with the bounded bucket table); only rows of the
    at most two buckets per class that straddle a cut are ranked, with a window
-   over that bucket alone.
+   over that bucket alone.  If such a bucket is still large, its rows alone
+   are re-bucketed by a longer hash prefix until the straddling bucket is
+   small (bounded window task at any scale).
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ from polarity.operators.dedup import DEFAULT, Columns
 from polarity.session import materialize
 
 BUCKET_HEX = 4          # 16-bit buckets: <= 65,536 rows per class in the bucket table
+MAX_RANK_ROWS = 1_000_000   # largest straddling bucket ranked in one window task
 SPLITS = ("train", "validation", "test")
 
 
@@ -98,11 +101,8 @@ def quotas(class_counts: dict, cfg: SplitConfig) -> dict:
 def _hashed(df: DataFrame, cols: Columns, cfg: SplitConfig) -> DataFrame:
     h = F.md5(F.concat(F.lit(f"{cfg.seed}:"), F.col(cols.row_id).cast("string")))
     klass = F.col(cols.label) if cfg.stratify else F.lit("__all__")
-    return df.select(
-        "*",
-        klass.alias("_class"),
-        h.alias("_h"),
-        F.conv(F.substring(h, 1, BUCKET_HEX), 16, 10).cast("int").alias("_bucket"))
+    return df.select("*", klass.alias("_class"), h.alias("_h"),
+                     F.substring(h, 1, BUCKET_HEX).alias("_p"))
 
 
 def class_counts(df: DataFrame, cols: Columns = DEFAULT, stratify: bool = True) -> dict:
@@ -113,48 +113,84 @@ def class_counts(df: DataFrame, cols: Columns = DEFAULT, stratify: bool = True)
 
 
 def bucket_counts(df: DataFrame, cols: Columns = DEFAULT, cfg: SplitConfig = SplitConfig()) -> DataFrame:
-    """Rows per (class, hash bucket): at most 65,536 rows per class, whatever
+    """Rows per (class, hash prefix): at most 65,536 rows per class, whatever
     the table size.  Written once: it yields the class totals and the cut
     positions, and both branches of the assignment read it."""
     hashed = _hashed(df.select(cols.row_id, cols.label), cols, cfg)
-    return materialize(hashed.groupBy("_class", "_bucket").agg(F.count(F.lit(1)).alias("_cnt")))
+    return materialize(hashed.groupBy("_class", "_p").agg(F.count(F.lit(1)).alias("_cnt")))
 
 
-def assign_splits(df: DataFrame, q: dict, cols: Columns = DEFAULT,
-                  cfg: SplitConfig = SplitConfig(), buckets: DataFrame | None = None) -> DataFrame:
-    """Add ``split`` to every row for the given per-class quotas (lazy)."""
+def _classify(table: DataFrame, limits: DataFrame) -> DataFrame:
+    """Attach quotas and mark buckets lying wholly inside one split."""
+    t = table.join(F.broadcast(limits), on="_class")
+    lo, hi, tq, vq = F.col("_lo"), F.col("_lo") + F.col("_cnt"), F.col("_t"), F.col("_v")
+    return t.select("_class", "_p", "_lo", "_cnt", "_t", "_v",
+                    F.when(hi <= tq, "train").when((lo >= tq) & (hi <= vq), "validation")
+                     .when(lo >= vq, "test").alias("_fixed"))
+
+
+def assign_splits(df: DataFrame, q: dict, cols: Columns = DEFAULT, cfg: SplitConfig = SplitConfig(),
+                  buckets: DataFrame | None = None, max_rank_rows: int = MAX_RANK_ROWS) -> DataFrame:
+    """Add ``split`` to every row for the given per-class quotas.
+
+    Level 1 uses 4 hex digits of the hash.  While a bucket that straddles a
+    cut holds more than ``max_rank_rows`` rows, only the rows of those buckets
+    are counted again by a prefix 4 digits longer (another table of at most
+    65,536 rows per cut bucket), so the final ranking window is bounded.
+    """
     spark = df.sparkSession
     base = _hashed(df, cols, cfg)
     counts = bucket_counts(df, cols, cfg) if buckets is None else buckets
     limits = spark.createDataFrame(
         [(k, int(t), int(t + v)) for k, (t, v, _) in q.items()],
         f"_class {counts.schema['_class'].dataType.simpleString()}, _t long, _v long")
-    by_class = Window.partitionBy("_class").orderBy("_bucket")
-    table = (counts.withColumn("_lo", F.coalesce(F.sum("_cnt").over(
-                    by_class.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-                   .withColumn("_hi", F.col("_lo") + F.col("_cnt"))
-                   .join(F.broadcast(limits), on="_class"))
-    lo, hi, t, v = F.col("_lo"), F.col("_hi"), F.col("_t"), F.col("_v")
-    table = table.select(
-        "_class", "_bucket", "_lo", "_t", "_v",
-        F.when(hi <= t, "train").when((lo >= t) & (hi <= v), "validation")
-         .when(lo >= v, "test").alias("_fixed"))
-    # bounded: <= 65,536 buckets per class, whatever the table size
-    tagged = base.join(F.broadcast(table), on=["_class", "_bucket"])
+    by_class = Window.partitionBy("_class").orderBy("_p")
+    level1 = counts.withColumn("_lo", F.coalesce(F.sum("_cnt").over(
+        by_class.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    # bounded: <= 65,536 prefixes per class, whatever the table size
+    table = materialize(_classify(level1, limits))
     out_cols = list(df.columns)
-    fixed = tagged.where(F.col("_fixed").isNotNull()).select(*out_cols, F.col("_fixed").alias("split"))
-    in_bucket = Window.partitionBy("_class", "_bucket").orderBy("_h", cols.row_id)
+    tagged = base.join(F.broadcast(table.select("_class", "_p", "_fixed")), on=["_class", "_p"])
+    parts = [tagged.where(F.col("_fixed").isNotNull()).select(*out_cols, F.col("_fixed").alias("split"))]
+
+    cut = table.where(F.col("_fixed").isNull()).select("_class", "_p", "_lo", "_cnt")
+    rows = base.join(F.broadcast(cut.select("_class", "_p")), on=["_class", "_p"])
+    width = BUCKET_HEX
+    while width < 32 and (cut.agg(F.max("_cnt")).first()[0] or 0) > max_rank_rows:
+        width += BUCKET_HEX
+        rows = rows.withColumn("_parent", F.col("_p")).withColumn("_p", F.substring("_h", 1, width))
+        sub = rows.groupBy("_class", "_parent", "_p").agg(F.count(F.lit(1)).alias("_cnt"))
+        parent = cut.select("_class", F.col("_p").alias("_parent"), F.col("_lo").alias("_plo"))
+        within = Window.partitionBy("_class", "_parent").orderBy("_p")
+        sub = (sub.join(F.broadcast(parent), on=["_class", "_parent"])
+                  .withColumn("_lo", F.col("_plo") + F.coalesce(F.sum("_cnt").over(
+                      within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+                  .drop("_parent", "_plo"))
+        # bounded: <= 65,536 sub-prefixes per straddling bucket (<= 2 per class)
+        table = materialize(_classify(sub, limits))
+        rows = rows.drop("_parent").join(F.broadcast(table.select("_class", "_p", "_fixed")), on=["_class", "_p"])
+        parts.append(rows.where(F.col("_fixed").isNotNull()).select(*out_cols, F.col("_fixed").alias("split")))
+        cut = table.where(F.col("_fixed").isNull()).select("_class", "_p", "_lo", "_cnt")
+        rows = rows.where(F.col("_fixed").isNull()).drop("_fixed")
+
+    rows = rows.select(*out_cols, "_class", "_p", "_h").join(
+        F.broadcast(cut.select("_class", "_p", "_lo")), on=["_class", "_p"])
+    rows = rows.join(F.broadcast(limits), on="_class")
+    in_bucket = Window.partitionBy("_class", "_p").orderBy("_h", cols.row_id)
     pos = F.col("_lo") + F.row_number().over(in_bucket)
-    ranked = (tagged.where(F.col("_fixed").isNull())
-                    .select(*out_cols, "_t", "_v", pos.alias("_pos"))
-                    .select(*out_cols,
-                            F.when(F.col("_pos") <= F.col("_t"), "train")
-                             .when(F.col("_pos") <= F.col("_v"), "validation")
-                             .otherwise("test").alias("split")))
-    return fixed.unionByName(ranked)
-
-
-def stratified_split(df: DataFrame, cols: Columns = DEFAULT, cfg: SplitConfig = SplitConfig()) -> DataFrame:
+    parts.append(rows.select(*out_cols, "_t", "_v", pos.alias("_pos")).select(
+        *out_cols,
+        F.when(F.col("_pos") <= F.col("_t"), "train")
+         .when(F.col("_pos") <= F.col("_v"), "validation")
+         .otherwise("test").alias("split")))
+    out = parts[0]
+    for extra in parts[1:]:
+        out = out.unionByName(extra)
+    return out
+
+
+def stratified_split(df: DataFrame, cols: Columns = DEFAULT, cfg: SplitConfig = SplitConfig(),
+                     max_rank_rows: int = MAX_RANK_ROWS) -> DataFrame:
     """I1 as a DataFrame with a ``split`` column.
 
     One light job (row_id and label only) writes the bucket table; the class
@@ -163,7 +199,7 @@ def stratified_split(df: DataFrame, cols: Columns = DEFAULT, cfg: SplitConfig =
     cfg.check()
     buckets = bucket_counts(df, cols, cfg)
     totals = {r[0]: r[1] for r in buckets.groupBy("_class").agg(F.sum("_cnt")).collect()}
-    return assign_splits(df, quotas(totals, cfg), cols, cfg, buckets)
+    return assign_splits(df, quotas(totals, cfg), cols, cfg, buckets, max_rank_rows)
 
 
 def split_report(split_df: DataFrame, cols: Columns = DEFAULT) -> DataFrame:

@@ -26,7 +26,7 @@ def test_split_ranks_only_inside_buckets(spark, sf_small):
     p = plan(split.stratified_split(clean))
     for line in p.splitlines():
         if "row_number()" in line:
-            assert "_bucket" in line.split("windowspecdefinition(")[1].split(",")[1]
+            assert "_p#" in line.split("windowspecdefinition(")[1].split(",")[1]
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
 
 

@@ -67,3 +67,10 @@ def test_class_weights_balanced(spark):
     df = spark.createDataFrame([(i, 1 if i < 3 else 0, "t") for i in range(4)], "row_id long, sentiment int, text string")
     w = {r.sentiment: r.weight for r in split.class_weights(df).collect()}
     assert w == {1: 4 / (2 * 3), 0: 4 / (2 * 1)}
+
+
+def test_refined_buckets_give_the_same_split(spark):
+    clean, _ = preprocess(fx.posts(spark, "/root/testdata/sf0.01"))
+    plain = split.stratified_split(clean).select("row_id", "split").collect()
+    refined = split.stratified_split(clean, max_rank_rows=2).select("row_id", "split").collect()
+    assert sorted(plain) == sorted(refined)
