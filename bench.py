@@ -27,7 +27,7 @@ def main() -> None:
     spark = get_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2)
 
     from polarity.operators import dedup, features as feat, metrics as mx, models, quality, score, split
-    from polarity.plans import pipeline
+    from polarity.plans import job
     from polarity.sources import fixtures as fx
 
     def noop(df):
@@ -36,10 +36,10 @@ def main() -> None:
     posts = materialize(fx.posts(spark, sf_dir))
     reviews = materialize(fx.reviews(spark, sf_dir))
     scored = materialize(fx.scored(spark, sf_dir))
-    clean, _ = pipeline.preprocess(posts)
+    clean, _ = job.preprocess(posts)
     clean = materialize(clean)
     table = materialize(split.stratified_split(clean))
-    train, val = pipeline.part(table, "train"), pipeline.part(table, "validation")
+    train, val = job.part(table, "train"), job.part(table, "validation")
     baseline, _ = models.train_baseline(train, val)
     unlabelled = materialize(fx.unlabelled(spark, sf_dir))
     n_unlabelled = unlabelled.count()

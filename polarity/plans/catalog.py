@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from polarity.functions import text as tx
 from polarity.operators import dedup, features, metrics, models, quality, score, split
-from polarity.plans import pipeline
+from polarity.plans import job
 from polarity.streaming import replay as streams
 from polarity.sources import fixtures as fx
 
@@ -244,46 +244,46 @@ def q_guarded_input(spark, sf):
 
 @query("train_baseline")
 def q_train_baseline(spark, sf):
-    return pipeline.posts_baseline(spark, sf)[1]
+    return job.posts_baseline(spark, sf)[1]
 
 
 @query("experiment_grid")
 def q_experiment_grid(spark, sf):
-    return pipeline.posts_grid(spark, sf)[0]
+    return job.posts_grid(spark, sf)[0]
 
 
 @query("variant_comparison")
 def q_variant_comparison(spark, sf):
-    return metrics.variant_comparison(pipeline.posts_grid(spark, sf)[0])
+    return metrics.variant_comparison(job.posts_grid(spark, sf)[0])
 
 
 @query("tuned_test_metrics")
 def q_tuned_test_metrics(spark, sf):
-    board, fitted = pipeline.posts_grid(spark, sf)
+    board, fitted = job.posts_grid(spark, sf)
     best = fitted[models.select_best(board)["experiment_name"]]
-    table = pipeline.posts_splits(spark, sf)
-    val_preds = models.predict(best, pipeline.part(table, "validation"))
+    table = job.posts_splits(spark, sf)
+    val_preds = models.predict(best, job.part(table, "validation"))
     threshold = None
     if models.has_probability(best):
         threshold = metrics.best_row(metrics.threshold_sweep(val_preds)).first()["threshold"]
-    return models.evaluate_model(best, pipeline.part(table, "test"), threshold)[0]
+    return models.evaluate_model(best, job.part(table, "test"), threshold)[0]
 
 
 @query("evaluation_predictions")
 def q_evaluation_predictions(spark, sf):
-    model, _ = pipeline.posts_baseline(spark, sf)
-    preds = models.predict(model, pipeline.part(pipeline.posts_splits(spark, sf), "test"))
+    model, _ = job.posts_baseline(spark, sf)
+    preds = models.predict(model, job.part(job.posts_splits(spark, sf), "test"))
     return score.evaluation_predictions(preds)
 
 
 @query("score_batch")
 def q_score_batch(spark, sf):
-    return pipeline.score_unlabelled(spark, sf, 0.47)
+    return job.score_unlabelled(spark, sf, 0.47)
 
 
 @query("prediction_log")
 def q_prediction_log(spark, sf):
-    return score.prediction_log(pipeline.score_unlabelled(spark, sf, 0.47)).drop("timestamp", "request_id")
+    return score.prediction_log(job.score_unlabelled(spark, sf, 0.47)).drop("timestamp", "request_id")
 
 
 @query("score_stream")
@@ -293,12 +293,12 @@ def q_score_stream(spark, sf):
 
 @query("best_experiment")
 def q_best_experiment(spark, sf):
-    return metrics.best_row(pipeline.posts_grid(spark, sf)[0], "macro_f1", "experiment_name")
+    return metrics.best_row(job.posts_grid(spark, sf)[0], "macro_f1", "experiment_name")
 
 
 @query("score_guarded")
 def q_score_guarded(spark, sf):
-    model, _ = pipeline.posts_baseline(spark, sf)
+    model, _ = job.posts_baseline(spark, sf)
     return score.score_guarded(fx.reviews(spark, sf), model, 0.47)
 
 

@@ -23,7 +23,7 @@ from polarity.sources import fixtures as fx
 
 
 @dataclass
-class PipelineConfig:
+class JobConfig:
     cols: Columns = DEFAULT
     allowed_labels: tuple = (0, 1)
     flags: CleaningFlags = field(default_factory=CleaningFlags)
@@ -34,7 +34,7 @@ class PipelineConfig:
     variants: dict = field(default_factory=lambda: dict(feat.VARIANTS))
 
 
-def preprocess(df: DataFrame, cfg: PipelineConfig = PipelineConfig(), validate: bool = True) -> tuple[DataFrame, dict]:
+def preprocess(df: DataFrame, cfg: JobConfig = JobConfig(), validate: bool = True) -> tuple[DataFrame, dict]:
     """F5 with C12 first: (materialised clean table, nested cleaning report)."""
     summary = quality.validate_dataset(df, cfg.cols, cfg.allowed_labels) if validate else None
     keyed = materialize(dedup.key_groups(dedup.exact_groups(df, cfg.cols), cfg.cols))
@@ -57,7 +57,7 @@ def preprocess(df: DataFrame, cfg: PipelineConfig = PipelineConfig(), validate:
     return clean, nested
 
 
-def split_dataset(clean: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> tuple[DataFrame, dict]:
+def split_dataset(clean: DataFrame, cfg: JobConfig = JobConfig()) -> tuple[DataFrame, dict]:
     """I1 + H1 + E7: (materialised table with ``split``, split report)."""
     if "clean_text" not in clean.columns:
         raise ValueError("Expected a clean_text column before splitting")
@@ -75,7 +75,7 @@ def part(table: DataFrame, name: str) -> DataFrame:
     return table.where(F.col("split") == name).drop("split")
 
 
-def run_pipeline(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig = PipelineConfig(),
+def run_job(spark: SparkSession, raw: DataFrame, cfg: JobConfig = JobConfig(),
                  out_dir: str | None = None) -> dict:
     """Every stage in the reference's order; returns reports and frames."""
     timings = {}

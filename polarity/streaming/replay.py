@@ -11,7 +11,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from polarity.plans import pipeline
+from polarity.plans import job
 from polarity.session import ensure_checkpoint_dir
 from polarity.sources import fixtures as fx
 from polarity.streaming.scoring import run_to_completion, start_scoring
@@ -22,7 +22,7 @@ def replay_unlabelled(spark: SparkSession, sf_dir: str, threshold: float | None
     """(scored stream output, scratch folder) for the posts of ``sf_dir``."""
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
     fx.unlabelled(spark, sf_dir).repartition(files).write.parquet(f"{root}/input")
-    model, _ = pipeline.posts_baseline(spark, sf_dir)
+    model, _ = job.posts_baseline(spark, sf_dir)
     queries = start_scoring(spark, f"{root}/input", model, f"{root}/out", f"{root}/checkpoints", threshold)
     run_to_completion(queries)
     return spark.read.parquet(f"{root}/out/scored"), root

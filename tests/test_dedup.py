@@ -1,7 +1,7 @@
 """Duplicate handling: the reference's cases, counters, keep-first, partition invariance."""
 
 from polarity.operators import dedup
-from polarity.plans.pipeline import preprocess
+from polarity.plans.job import preprocess
 from polarity.sources import fixtures as fx
 
 

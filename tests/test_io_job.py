@@ -5,7 +5,7 @@ import os
 import pytest
 
 from polarity.operators import metrics as mx
-from polarity.plans import pipeline
+from polarity.plans import job
 from polarity.sources import fixtures as fx
 from polarity.sources import io
 
@@ -42,13 +42,13 @@ def test_report_round_trip(spark, tmp_path):
     assert back["rows_before"] == 3 and back["duplicate_report"]["rows_after"] == 2
 
 
-def test_full_pipeline_writes_every_output(spark, sf_small, tmp_path):
+def test_full_job_writes_every_output(spark, sf_small, tmp_path):
     out = str(tmp_path / "run")
-    small = pipeline.PipelineConfig(
-        models={"logistic_regression": dict(pipeline.models.MODEL_CONFIGS["logistic_regression"]),
-                "complement_nb": dict(pipeline.models.MODEL_CONFIGS["complement_nb"])},
-        variants={"unigram_bigram": pipeline.feat.VARIANTS["unigram_bigram"]})
-    result = pipeline.run_pipeline(spark, fx.posts(spark, sf_small), small, out)
+    small = job.JobConfig(
+        models={"logistic_regression": dict(job.models.MODEL_CONFIGS["logistic_regression"]),
+                "complement_nb": dict(job.models.MODEL_CONFIGS["complement_nb"])},
+        variants={"unigram_bigram": job.feat.VARIANTS["unigram_bigram"]})
+    result = job.run_job(spark, fx.posts(spark, sf_small), small, out)
     rep = result["cleaning_report"]
     assert rep["rows_before"] == 1000 and rep["validation_summary"]["total_rows"] == 1000
     sr = result["split_report"]

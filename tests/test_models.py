@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from polarity.operators import features as feat
 from polarity.operators import models, score
-from polarity.plans import pipeline
+from polarity.plans import job
 from polarity.sources import fixtures as fx
 
 
@@ -46,15 +46,15 @@ def test_vector_form_equals_long_form(spark, sf_small):
 
 
 def test_hybrid_structure_and_persistence(spark, sf_small, tmp_path):
-    table = pipeline.posts_splits(spark, sf_small)
-    train = pipeline.part(table, "train")
+    table = job.posts_splits(spark, sf_small)
+    train = job.part(table, "train")
     fm = feat.fit_features(train, feat.VARIANTS["real_word_char_hybrid"])
     assert type(fm.stages[-1]).__name__ == "VectorAssembler"
-    model, _ = pipeline.posts_baseline(spark, sf_small)
+    model, _ = job.posts_baseline(spark, sf_small)
     path = str(tmp_path / "model")
     models.save_model(model, path)
     loaded = models.load_model(path)
-    test = pipeline.part(table, "test")
+    test = job.part(table, "test")
     a = models.predict(model, test).select("row_id", "positive_probability").collect()
     b = models.predict(loaded, test).select("row_id", "positive_probability").collect()
     assert sorted(a) == sorted(b)
@@ -63,7 +63,7 @@ def test_hybrid_structure_and_persistence(spark, sf_small, tmp_path):
 
 
 def test_scoring_columns_and_threshold(spark, sf_small):
-    model, _ = pipeline.posts_baseline(spark, sf_small)
+    model, _ = job.posts_baseline(spark, sf_small)
     df = spark.createDataFrame([(1, "I love this"), (2, None)], "row_id long, text string")
     out = score.score(df, model, threshold=0.47, keep=("row_id",))
     assert out.columns == ["row_id"] + score.PREDICTION_COLUMNS
@@ -85,13 +85,13 @@ def test_guard_reasons(spark):
 def test_stream_equals_batch(spark, sf_small):
     from polarity.streaming.replay import replay_unlabelled
     streamed, _ = replay_unlabelled(spark, sf_small, threshold=0.47)
-    batch = pipeline.score_unlabelled(spark, sf_small, 0.47)
+    batch = job.score_unlabelled(spark, sf_small, 0.47)
     cols = ["row_id", "cleaned_text", "predicted_label", "positive_probability"]
     assert sorted(streamed.select(cols).collect()) == sorted(batch.select(cols).collect())
 
 
 def test_score_csv_and_guarded(spark, sf_small, tmp_path):
-    model, _ = pipeline.posts_baseline(spark, sf_small)
+    model, _ = job.posts_baseline(spark, sf_small)
     src = tmp_path / "in.csv"
     src.write_text('text\nI love this product!\n"Amazing, very happy"\n', encoding="utf-8")
     out = score.score_csv(spark, str(src), str(tmp_path / "out"), model, 0.47)
@@ -107,7 +107,7 @@ def test_score_csv_and_guarded(spark, sf_small, tmp_path):
 
 def test_stream_sinks_route_rejected_rows_and_log_metadata_only(spark, sf_small, tmp_path):
     from polarity.streaming.scoring import run_to_completion, start_scoring
-    model, _ = pipeline.posts_baseline(spark, sf_small)
+    model, _ = job.posts_baseline(spark, sf_small)
     src = str(tmp_path / "in")
     rows = [(1, "I love it"), (2, "   "), (3, "y" * 1001), (4, "meh @bob")]
     spark.createDataFrame(rows, "row_id long, text string").repartition(2).write.parquet(src)

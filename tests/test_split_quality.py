@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from polarity.operators import quality, split
-from polarity.plans.pipeline import preprocess, split_dataset
+from polarity.plans.job import preprocess, split_dataset
 from polarity.sources import fixtures as fx
 
 
