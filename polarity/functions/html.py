@@ -2,9 +2,10 @@
 
 HTML5 names (2,231 of them), legacy forms without ``;`` and the numeric
 character rules have no Spark built-in, so the standard-library decoder runs
-in an Arrow UDF.  Only rows that contain ``&`` are sent with a value; all other
-rows travel as nulls and keep their text through ``coalesce`` (a UDF nested in
-``when`` would still be evaluated for every row).
+in an Arrow UDF.  Only rows holding something that can start a character
+reference are sent with a value; all other rows travel as nulls and keep
+their text through ``coalesce`` (a UDF nested in ``when`` would still be
+evaluated for every row).
 """
 
 from __future__ import annotations
@@ -22,6 +23,12 @@ def _unescape(texts: pd.Series) -> pd.Series:
     return texts.map(html.unescape, na_action="ignore")
 
 
+# A character reference starts with "&" followed by "#digit", "#x"+hex digit or
+# a character that may begin a name; the decoder leaves every other "&" alone
+# (so "a & b" never needs Python).
+REFERENCE_START = r"&(?:#[0-9]|#[xX][0-9a-fA-F]|[^\t\n\f <&#;])"
+
+
 def decode_html_entities(col: Column) -> Column:
-    """B1: ``html.unescape`` semantics; identity for text without ``&``."""
-    return F.coalesce(_unescape(F.when(F.instr(col, "&") > 0, col)), col)
+    """B1: ``html.unescape`` semantics; rows without a reference stay JVM-side."""
+    return F.coalesce(_unescape(F.when(col.rlike(REFERENCE_START), col)), col)

@@ -41,7 +41,8 @@ def many(spark, values, expr):
 
 def test_decode_html_entities(spark):
     from polarity.functions.html import decode_html_entities
-    cases = ["Tom &amp; Jerry", "&lt;3 &#39;x&#39;", "caf&eacute;", "&amp no semicolon", "plain", "&notit;", "&#0;"]
+    cases = ["Tom &amp; Jerry", "&lt;3 &#39;x&#39;", "caf&eacute;", "&amp no semicolon", "plain", "&notit;", "&#0;",
+             "a & b", "&&amp;", "&#", "&#x41;", "&#X4a", "& #38;", "x&\ty", "&\rz", "&;", "end &"]
     assert many(spark, cases, decode_html_entities) == [html.unescape(c) for c in cases]
 
 
