@@ -13,7 +13,7 @@ from polarity.plans import job
 from polarity.sources import fixtures as fx
 
 
-def test_factory_types_and_unknown_name():
+def test_factory_types_and_unknown_name(spark):
     assert isinstance(models.build_classifier("logistic_regression", models.MODEL_CONFIGS["logistic_regression"], 10.0)[0][-1], LogisticRegression)
     assert isinstance(models.build_classifier("linear_svc", models.MODEL_CONFIGS["linear_svc"], 10.0)[0][-1], LinearSVC)
     assert isinstance(models.build_classifier("sgd_classifier", models.MODEL_CONFIGS["sgd_classifier"], 10.0)[0][-1], LogisticRegression)
