@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 
 from polarity.operators import dedup
 
+# The reference's cleaning patterns (Python re).
 WS = re.compile(r"\s+")
 URL = re.compile(r"(https?://\S+|www\.\S+)", flags=re.IGNORECASE)
 MENTION = re.compile(r"(?<!\w)@[A-Za-z0-9_]+")
