@@ -200,13 +200,10 @@ class TextTerms(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, D
                           self.getOrDefault(self.lowercase), accents)
 
 
-def fit_tfidf_stages(train: DataFrame, cfg: TfidfConfig, text_col: str, out_col: str,
-                     id_col: str = "row_id") -> list:
-    """J5/J6 as fitted stages: terms -> counts -> x idf -> L2 norm.
-
-    The vocabulary comes from the relational fit above, so the vector form
-    equals the long form term by term.
-    """
+def fit_vocabulary_lists(train: DataFrame, cfg: TfidfConfig, text_col: str = "clean_text",
+                         id_col: str = "row_id") -> tuple[list[str], list[float]]:
+    """The fitted vocabulary as (terms, idf) lists in index order (driver side,
+    as Spark ML keeps it; bounded by ``max_features`` / ``MAX_VECTOR_TERMS``)."""
     vocab, _ = fit_vocabulary(train, cfg, text_col, id_col)
     if cfg.max_features is None or cfg.max_features > MAX_VECTOR_TERMS:
         size = vocab.count()
@@ -216,8 +213,17 @@ def fit_tfidf_stages(train: DataFrame, cfg: TfidfConfig, text_col: str, out_col:
     rows = vocab.orderBy(F.col("tf_total").desc(), F.col("term").asc()).select("term", "idf").collect()
     if not rows:
         raise ValueError("empty vocabulary: no term passes min_df/max_df")
-    terms = [r[0] for r in rows]
-    idf = [float(r[1]) for r in rows]
+    return [r[0] for r in rows], [float(r[1]) for r in rows]
+
+
+def fit_tfidf_stages(train: DataFrame, cfg: TfidfConfig, text_col: str, out_col: str,
+                     id_col: str = "row_id", vocab: tuple[list[str], list[float]] | None = None) -> list:
+    """J5/J6 as fitted stages: terms -> counts -> x idf -> L2 norm.
+
+    The vocabulary comes from the relational fit above, so the vector form
+    equals the long form term by term.
+    """
+    terms, idf = vocab if vocab is not None else fit_vocabulary_lists(train, cfg, text_col, id_col)
     tag = out_col
     return [
         TextTerms(inputCol=text_col, outputCol=f"{tag}_terms", analyzer=cfg.analyzer,
@@ -230,14 +236,16 @@ def fit_tfidf_stages(train: DataFrame, cfg: TfidfConfig, text_col: str, out_col:
 
 
 def fit_features(train: DataFrame, spec: FeatureSpec, text_col: str = "clean_text",
-                 out_col: str = "features", id_col: str = "row_id") -> PipelineModel:
+                 out_col: str = "features", id_col: str = "row_id", vocabs: dict | None = None) -> PipelineModel:
     """Fitted feature pipeline; hybrid = word and char halves, each
-    normalised, then concatenated."""
+    normalised, then concatenated.  ``vocabs`` may hold already fitted
+    vocabularies keyed by ``TfidfConfig`` (shared across variants)."""
+    vocabs = vocabs or {}
     if spec.feature_type == "word":
-        stages = fit_tfidf_stages(train, spec.parts[0], text_col, out_col, id_col)
+        stages = fit_tfidf_stages(train, spec.parts[0], text_col, out_col, id_col, vocabs.get(spec.parts[0]))
     elif spec.feature_type == "word_char_hybrid":
-        stages = (fit_tfidf_stages(train, spec.parts[0], text_col, "word_tfidf", id_col)
-                  + fit_tfidf_stages(train, spec.parts[1], text_col, "char_tfidf", id_col)
+        stages = (fit_tfidf_stages(train, spec.parts[0], text_col, "word_tfidf", id_col, vocabs.get(spec.parts[0]))
+                  + fit_tfidf_stages(train, spec.parts[1], text_col, "char_tfidf", id_col, vocabs.get(spec.parts[1]))
                   + [VectorAssembler(inputCols=["word_tfidf", "char_tfidf"], outputCol=out_col)])
     else:
         raise ValueError(f"Unknown TF-IDF feature_type: {spec.feature_type}")

@@ -148,18 +148,23 @@ class FittedVariant:
 
 
 def prepare_variant(name: str, spec: feat.FeatureSpec, train: DataFrame, validation: DataFrame,
-                    text: str = TEXT, label: str = LABEL, id_col: str = "row_id") -> FittedVariant:
-    """Fit one feature variant and write train/validation vectors once."""
+                    text: str = TEXT, label: str = LABEL, id_col: str = "row_id",
+                    vocabs: dict | None = None, vocab_seconds: dict | None = None) -> FittedVariant:
+    """Fit one feature variant and write train/validation vectors once.
+
+    With shared ``vocabs`` the variant's time includes the fit time of the
+    vocabularies it uses (as if fitted alone)."""
     t0 = time.perf_counter()
     train, validation = spread(train, id_col), spread(validation, id_col)
-    fm = feat.fit_features(train, spec, text, FEATURES, id_col)
+    fm = feat.fit_features(train, spec, text, FEATURES, id_col, vocabs)
+    shared = sum((vocab_seconds or {}).get(p, 0.0) for p in spec.parts)
     weighted, wsum = with_balanced_weights(train, label)
     tr = materialize(feat.drop_feature_intermediates(fm.transform(weighted)).select(id_col, label, WEIGHT, FEATURES))
     va = materialize(feat.drop_feature_intermediates(fm.transform(validation)).select(id_col, label, FEATURES))
     # every optimizer iteration is one job over the cached vectors: size the
     # partitions by rows (not cores) so small sets do not pay per-task overhead
     tr, va = _fit_partitions(tr, int(wsum)), _fit_partitions(va, va.count())
-    return FittedVariant(name, fm, tr, va, wsum, time.perf_counter() - t0)
+    return FittedVariant(name, fm, tr, va, wsum, time.perf_counter() - t0 + shared)
 
 
 ROWS_PER_FIT_TASK = 100_000
@@ -209,8 +214,22 @@ def run_experiments(train: DataFrame, validation: DataFrame, models: dict | None
     if not enabled:
         raise ValueError("No enabled experiments found in config")
     workers = max(1, parallelism)
+    # each distinct vectoriser is fitted once, even when several variants use it
+    configs = list(dict.fromkeys(p for spec in variants.values() for p in spec.parts))
+    fit_train = spread(train, "row_id")
+
+    def fit_vocab(cfg):
+        t0 = time.perf_counter()
+        return cfg, feat.fit_vocabulary_lists(fit_train, cfg, TEXT), time.perf_counter() - t0
+
+    with ThreadPoolExecutor(max_workers=min(workers, len(configs))) as pool:
+        fitted_vocabs = list(pool.map(fit_vocab, configs))
+    vocabs = {cfg: v for cfg, v, _ in fitted_vocabs}
+    vocab_seconds = {cfg: secs for cfg, _, secs in fitted_vocabs}
     with ThreadPoolExecutor(max_workers=min(workers, len(variants))) as pool:
-        prepared = list(pool.map(lambda kv: prepare_variant(kv[0], kv[1], train, validation), variants.items()))
+        prepared = list(pool.map(lambda kv: prepare_variant(kv[0], kv[1], train, validation,
+                                                            vocabs=vocabs, vocab_seconds=vocab_seconds),
+                                 variants.items()))
 
     def one(job):
         fv, (mname, cfg) = job
