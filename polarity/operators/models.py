@@ -58,6 +58,8 @@ def with_balanced_weights(df: DataFrame, label: str = LABEL) -> tuple[DataFrame,
     The class counts are k rows; the weight is a literal map lookup.
     """
     counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
+    if 1 not in counts:  # B16: the positive class must be learnable
+        raise ValueError("Model classes do not include positive label 1")
     n, k = sum(counts.values()), len(counts)
     mapping = F.create_map(*[x for c, m in counts.items() for x in (F.lit(c), F.lit(n / (k * m)))])
     return df.withColumn(WEIGHT, F.element_at(mapping, F.col(label)).cast("double")), float(n)
@@ -105,6 +107,12 @@ def check_training_frame(df: DataFrame, what: str, text: str = TEXT, label: str
         raise ValueError(f"{what} data contains missing values in {label}")
 
 
+def check_threshold(threshold: float) -> None:
+    """A decision threshold is a probability."""
+    if not 0.0 <= float(threshold) <= 1.0:
+        raise ValueError(f"Threshold must be between 0 and 1, got {threshold}")
+
+
 def has_probability(model: PipelineModel) -> bool:
     last = model.stages[-1]
     return last.hasParam("probabilityCol") if hasattr(last, "hasParam") else False
@@ -131,6 +139,7 @@ def evaluate_model(model: PipelineModel, df: DataFrame, threshold: float | None
     """
     preds = predict(model, df)
     if threshold is not None:
+        check_threshold(threshold)
         if not has_probability(model):
             raise ValueError("Custom threshold evaluation requires a model that supports probabilities")
         preds = preds.withColumn("prediction", mx.decide(F.col("positive_probability"), threshold))

@@ -57,16 +57,23 @@ def _groups(df: DataFrame, cols: Columns) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
 
 
-def profile(df: DataFrame, cols: Columns = DEFAULT) -> DataFrame:
+def profile(df: DataFrame, cols: Columns = DEFAULT, approx: bool = False) -> DataFrame:
     """E1 (scalar part) + E3 as one row.
 
-    ``total_columns`` counts the data columns (the id column is ours).
+    ``total_columns`` counts the data columns (the id column is ours).  The
+    median is exact and interpolated; ``approx=True`` uses ``percentile_approx``
+    over the rows instead (bounded memory for any number of distinct lengths).
     """
     g = _groups(df, cols)
     text = F.col(cols.text)
     n = F.col("_n")
     length = char_length(text)
     data_cols = [c for c in df.columns if c != cols.row_id]
+    if approx:
+        median = df.agg(F.percentile_approx(char_length(cols.text), 0.5).alias("m"))
+        median = F.lit(median.first()["m"])
+    else:
+        median = F.percentile(length, F.lit(0.5), n)
     return g.agg(
         F.sum(n).cast("long").alias("total_rows"),
         F.lit(len(data_cols)).cast("long").alias("total_columns"),
@@ -76,7 +83,7 @@ def profile(df: DataFrame, cols: Columns = DEFAULT) -> DataFrame:
         F.coalesce(F.sum(F.when(is_blank(text), n)), F.lit(0)).cast("long").alias("empty_text_rows"),
         F.coalesce(F.try_divide(F.sum(length * n), F.sum(F.when(text.isNotNull(), n))), F.lit(0.0))
          .alias("average_text_length"),
-        F.coalesce(F.percentile(length, F.lit(0.5), n), F.lit(0.0)).cast("double").alias("median_text_length"),
+        F.coalesce(median, F.lit(0.0)).cast("double").alias("median_text_length"),
         F.coalesce(F.max(length), F.lit(0)).cast("long").alias("max_text_length"),
     )
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from polarity.functions.text import CleaningFlags, char_length, clean_text, is_blank
 from polarity.operators import metrics as mx
-from polarity.operators.models import has_probability, predict
+from polarity.operators.models import check_threshold, has_probability, predict
 from polarity.session import spread
 
 # The scoring output columns, in order, and the input limits.
@@ -37,6 +37,8 @@ def score(df: DataFrame, model: PipelineModel, threshold: float | None = None, t
     """
     if text_col not in df.columns:
         raise ValueError(f"Input data is missing required text column: {text_col}")
+    if threshold is not None:
+        check_threshold(threshold)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     if not df.isStreaming:  # per-row model work: at least one task per core
         df = spread(df)

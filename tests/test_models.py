@@ -123,3 +123,13 @@ def test_stream_sinks_route_rejected_rows_and_log_metadata_only(spark, sf_small,
     # a rerun over the same checkpoint adds nothing (exactly-once file sink)
     run_to_completion(start_scoring(spark, src, model, out, ckpt, threshold=0.47))
     assert spark.read.parquet(f"{out}/scored").count() == 2
+
+
+def test_threshold_range_and_positive_class(spark, sf_small):
+    model, _ = job.posts_baseline(spark, sf_small)
+    df = spark.createDataFrame([(1, "x")], "row_id long, text string")
+    with pytest.raises(ValueError, match="between 0 and 1"):
+        score.score(df, model, threshold=1.2)
+    only_neg = spark.createDataFrame([(i, 0, f"t{i}") for i in range(4)], "row_id long, sentiment int, clean_text string")
+    with pytest.raises(ValueError, match="positive label 1"):
+        models.with_balanced_weights(only_neg)

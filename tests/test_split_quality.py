@@ -74,3 +74,9 @@ def test_refined_buckets_give_the_same_split(spark):
     plain = split.stratified_split(clean).select("row_id", "split").collect()
     refined = split.stratified_split(clean, max_rank_rows=2).select("row_id", "split").collect()
     assert sorted(plain) == sorted(refined)
+
+
+def test_profile_approx_median(spark):
+    df = spark.createDataFrame([(i, 1, "x" * (i + 1)) for i in range(9)], "row_id long, sentiment int, text string")
+    assert quality.profile(df, approx=True).first().median_text_length == 5.0
+    assert quality.profile(df).first().median_text_length == 5.0
