@@ -42,3 +42,11 @@ def test_tfidf_counts_terms_in_row(spark, sf_small):
     assert "BroadcastHashJoin" in p                  # vocabulary bounded by max_features
     assert p.count("Exchange hashpartitioning(row_id") == 1   # only the per-document norm
     assert p.count("Exchange hashpartitioning(term") == 1     # document frequency (partial aggregation)
+
+
+def test_scoring_is_map_only(spark, sf_small):
+    from polarity.operators import score
+    from polarity.plans import job
+    model, _ = job.posts_baseline(spark, sf_small)
+    p = plan(score.score(fx.unlabelled(spark, sf_small), model, 0.47, keep=("row_id",)))
+    assert "Exchange hashpartitioning" not in p and "SortMergeJoin" not in p

@@ -80,3 +80,13 @@ def test_profile_approx_median(spark):
     df = spark.createDataFrame([(i, 1, "x" * (i + 1)) for i in range(9)], "row_id long, sentiment int, text string")
     assert quality.profile(df, approx=True).first().median_text_length == 5.0
     assert quality.profile(df).first().median_text_length == 5.0
+
+
+def test_unstratified_split_sizes(spark):
+    clean, _ = preprocess(fx.posts(spark, "/root/testdata/sf0.001"))
+    cfg = split.SplitConfig(stratify=False)
+    table = split.stratified_split(clean, cfg=cfg)
+    n = clean.count()
+    (t, v, s), = split.quotas({"__all__": n}, cfg).values()
+    got = {r.split: r["count"] for r in table.groupBy("split").count().collect()}
+    assert got == {"train": t, "validation": v, "test": s}
