@@ -5,7 +5,6 @@ import math
 import pytest
 from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import functions as F
 
 from polarity.operators import features as feat
 from polarity.operators import models, score

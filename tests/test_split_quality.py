@@ -2,7 +2,6 @@
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from polarity.operators import quality, split
 from polarity.plans.job import preprocess, split_dataset
