@@ -132,3 +132,19 @@ def test_threshold_range_and_positive_class(spark, sf_small):
     only_neg = spark.createDataFrame([(i, 0, f"t{i}") for i in range(4)], "row_id long, sentiment int, clean_text string")
     with pytest.raises(ValueError, match="positive label 1"):
         models.with_balanced_weights(only_neg)
+
+
+def test_model_without_probabilities(spark, sf_small):
+    table = job.posts_splits(spark, sf_small)
+    train, val = job.part(table, "train"), job.part(table, "validation")
+    fv = models.prepare_variant("basic", feat.VARIANTS["basic_unigram"], train, val)
+    svc, _ = models.fit_classifier(fv, "linear_svc", models.MODEL_CONFIGS["linear_svc"])
+    assert not models.has_probability(svc)
+    metrics_row, preds = models.evaluate_model(svc, val)
+    assert preds.where("positive_probability IS NOT NULL").count() == 0
+    assert 0.0 <= metrics_row.first().accuracy <= 1.0
+    with pytest.raises(ValueError, match="requires a model that supports probabilities"):
+        models.evaluate_model(svc, val, threshold=0.5)
+    out = score.score(val.select("row_id", "text"), svc, threshold=0.47, keep=("row_id",))
+    own = {r.row_id: r.prediction for r in preds.select("row_id", "prediction").collect()}
+    assert all(r.predicted_label == own[r.row_id] for r in out.collect())
