@@ -22,6 +22,8 @@ _DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files of frames nobody references any more are removed
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
