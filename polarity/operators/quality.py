@@ -64,19 +64,23 @@ def profile(df: DataFrame, cols: Columns = DEFAULT, approx: bool = False) -> Dat
     median is exact and interpolated; ``approx=True`` uses ``percentile_approx``
     over the rows instead (bounded memory for any number of distinct lengths).
     """
-    g = _groups(df, cols)
+    data_cols = [c for c in df.columns if c != cols.row_id]
+    median = None
+    if approx:
+        median = F.lit(df.agg(F.percentile_approx(char_length(cols.text), 0.5).alias("m")).first()["m"])
+    return profile_from_groups(_groups(df, cols), len(data_cols), cols, median)
+
+
+def profile_from_groups(g: DataFrame, n_columns: int, cols: Columns = DEFAULT, median=None) -> DataFrame:
+    """The profile from rows grouped by all data columns with their count ``_n``
+    (exact deduplication produces exactly this table, so it can be reused)."""
     text = F.col(cols.text)
     n = F.col("_n")
     length = char_length(text)
-    data_cols = [c for c in df.columns if c != cols.row_id]
-    if approx:
-        median = df.agg(F.percentile_approx(char_length(cols.text), 0.5).alias("m"))
-        median = F.lit(median.first()["m"])
-    else:
-        median = F.percentile(length, F.lit(0.5), n)
+    median = F.percentile(length, F.lit(0.5), n) if median is None else median
     return g.agg(
         F.sum(n).cast("long").alias("total_rows"),
-        F.lit(len(data_cols)).cast("long").alias("total_columns"),
+        F.lit(n_columns).cast("long").alias("total_columns"),
         F.coalesce(F.sum(F.when(text.isNull(), n)), F.lit(0)).cast("long").alias("missing_text"),
         F.coalesce(F.sum(F.when(F.col(cols.label).isNull(), n)), F.lit(0)).cast("long").alias("missing_label"),
         F.coalesce(F.sum(n - 1), F.lit(0)).cast("long").alias("duplicate_exact_rows"),
@@ -88,11 +92,8 @@ def profile(df: DataFrame, cols: Columns = DEFAULT, approx: bool = False) -> Dat
     )
 
 
-def validate_dataset(df: DataFrame, cols: Columns = DEFAULT, allowed=(0, 1)) -> dict:
-    """C1 -> C2 -> C3 -> C4 (first failure raises), then the E1 profile.
-
-    Two small jobs: the fused check row, then the profile (only when valid).
-    """
+def check_dataset(df: DataFrame, cols: Columns = DEFAULT, allowed=(0, 1)) -> None:
+    """C1 -> C2 -> C3 -> C4: one fused aggregation, first failure raises."""
     require_columns(df, [cols.text, cols.label])
     checks = validation_counts(df, cols, allowed).first().asDict()
     missing = {c: checks[k] for c, k in ((cols.text, "missing_text"), (cols.label, "missing_label")) if checks[k]}
@@ -103,14 +104,24 @@ def validate_dataset(df: DataFrame, cols: Columns = DEFAULT, allowed=(0, 1)) ->
         raise ValueError(f"Invalid label(s) found in {cols.label}: {bad}. Allowed: {sorted(allowed)}")
     if checks["empty_text_rows"]:
         raise ValueError(f"Empty text rows found in {cols.text}: {checks['empty_text_rows']}")
+
+
+def validate_dataset(df: DataFrame, cols: Columns = DEFAULT, allowed=(0, 1)) -> dict:
+    """C1 -> C2 -> C3 -> C4 (first failure raises), then the E1 profile."""
+    check_dataset(df, cols, allowed)
     return profile_dict(df, cols)
 
 
-def profile_dict(df: DataFrame, cols: Columns = DEFAULT) -> dict:
-    """E1 as the reference's JSON-friendly dict (label counts sorted)."""
-    row = profile(df, cols).first().asDict()
-    dist = label_distribution(df, cols).orderBy(F.col(cols.label).asc_nulls_last()).collect()
+def profile_dict(df: DataFrame, cols: Columns = DEFAULT, groups: DataFrame | None = None) -> dict:
+    """E1 as the reference's JSON-friendly dict (label counts sorted).
+
+    ``groups``: rows already grouped by all data columns with ``_n`` (reused
+    from exact deduplication instead of grouping the table again)."""
     data_cols = [c for c in df.columns if c != cols.row_id]
+    g = _groups(df, cols) if groups is None else groups
+    row = profile_from_groups(g, len(data_cols), cols).first().asDict()
+    dist = (g.groupBy(cols.label).agg(F.sum("_n").alias("count"))
+             .orderBy(F.col(cols.label).asc_nulls_last()).collect())
     return {
         "total_rows": row["total_rows"],
         "total_columns": row["total_columns"],

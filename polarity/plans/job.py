@@ -36,8 +36,17 @@ class JobConfig:
 
 def preprocess(df: DataFrame, cfg: JobConfig = JobConfig(), validate: bool = True) -> tuple[DataFrame, dict]:
     """F5 with C12 first: (materialised clean table, nested cleaning report)."""
-    summary = quality.validate_dataset(df, cfg.cols, cfg.allowed_labels) if validate else None
-    keyed = materialize(dedup.key_groups(dedup.exact_groups(df, cfg.cols), cfg.cols))
+    if validate:
+        quality.check_dataset(df, cfg.cols, cfg.allowed_labels)
+    exact = materialize(dedup.exact_groups(df, cfg.cols))
+    summary = None
+    if validate:
+        data_cols = {c for c in df.columns if c != cfg.cols.row_id}
+        # exact groups are the profile's groups when the data is (label, text):
+        # one shuffle of the text serves both
+        reuse = exact if data_cols == {cfg.cols.text, cfg.cols.label} else None
+        summary = quality.profile_dict(df, cfg.cols, reuse)
+    keyed = materialize(dedup.key_groups(exact, cfg.cols))
     grouped = materialize(dedup.clean_groups(dedup.dedup_survivors(keyed), cfg.cols, cfg.flags))
     report = dedup.cleaning_report(keyed, grouped).first().asDict()
     clean = dedup.clean_survivors(grouped)
