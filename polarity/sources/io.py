@@ -76,8 +76,10 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: li
 
 def write_report(spark: SparkSession, report: dict, path: str) -> None:
     """A4: a nested report as one JSON document (one-row DataFrame, one file)."""
-    df = spark.read.json(spark.sparkContext.parallelize([json.dumps(report, default=float)], 1))
-    df.coalesce(1).write.mode("overwrite").json(path)
+    doc = json.dumps(report, default=float)
+    row = spark.createDataFrame([(doc,)], "value string").select(
+        F.from_json("value", F.schema_of_json(F.lit(doc))).alias("r")).select("r.*")
+    row.coalesce(1).write.mode("overwrite").json(path)
 
 
 def read_report(spark: SparkSession, path: str) -> dict:
