@@ -121,3 +121,11 @@ def score_csv(spark, input_path: str, output_path: str, model: PipelineModel,
     out = score(df, model, threshold, text_col)
     io.write_table(out, output_path, fmt="csv")
     return out
+
+
+def score_texts(spark, texts: list[str], model: PipelineModel, threshold: float | None = None) -> list[dict]:
+    """K1 for a handful of strings (the old one-text / many-texts entry points):
+    the same plan as ``score``, returned as dicts in input order."""
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "_i long, text string")
+    rows = score(df, model, threshold, keep=("_i",)).orderBy("_i").collect()
+    return [{k: r[k] for k in PREDICTION_COLUMNS} for r in rows]

@@ -148,3 +148,10 @@ def test_model_without_probabilities(spark, sf_small):
     out = score.score(val.select("row_id", "text"), svc, threshold=0.47, keep=("row_id",))
     own = {r.row_id: r.prediction for r in preds.select("row_id", "prediction").collect()}
     assert all(r.predicted_label == own[r.row_id] for r in out.collect())
+
+
+def test_score_texts_keeps_order(spark, sf_small):
+    model, _ = job.posts_baseline(spark, sf_small)
+    out = score.score_texts(spark, ["I love this product!", "This is terrible", "  @bob  www.x.io "], model, 0.47)
+    assert [o["text"] for o in out] == ["I love this product!", "This is terrible", "  @bob  www.x.io "]
+    assert out[2]["cleaned_text"] == "<USER> <URL>" and out[0]["decision_threshold"] == 0.47
