@@ -43,11 +43,20 @@ def scored_stream(stream: DataFrame, model: PipelineModel, threshold: float | No
 
 def start_scoring(spark: SparkSession, source_dir: str, model: PipelineModel, out_dir: str,
                   checkpoint_root: str, threshold: float | None = None, available_now: bool = True,
-                  max_files_per_trigger: int | None = None) -> list[StreamingQuery]:
-    """L1 + L2: three sinks (scored parquet, rejected parquet, metadata JSON)."""
-    stream = read_stream(spark, source_dir, max_files_per_trigger=max_files_per_trigger)
-    scored, rejected = scored_stream(stream, model, threshold)
-    meta = prediction_log(scored.withColumn("_ts", F.current_timestamp()), event_time="_ts")
+                  max_files_per_trigger: int | None = None, schema: T.StructType = INPUT_SCHEMA,
+                  event_time: str | None = None) -> list[StreamingQuery]:
+    """L1 + L2: three sinks (scored parquet, rejected parquet, metadata JSON).
+
+    The log's timestamp is ``event_time`` when the input carries one (kept
+    through scoring), else the micro-batch's processing time."""
+    stream = read_stream(spark, source_dir, schema, max_files_per_trigger)
+    guarded = guard_inputs(stream)
+    keep = ("row_id",) + ((event_time,) if event_time else ())
+    scored = score(guarded.where(F.col("accepted")), model, threshold, keep=keep)
+    rejected = guarded.where(~F.col("accepted")).select("row_id", "text", "rejection_reason")
+    stamped = scored if event_time else scored.withColumn("_ts", F.current_timestamp())
+    meta = prediction_log(stamped, event_time=event_time or "_ts")
+    scored = scored.drop(event_time) if event_time else scored
 
     def sink(df: DataFrame, fmt: str, name: str) -> StreamingQuery:
         w = (df.writeStream.format(fmt).outputMode("append")

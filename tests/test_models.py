@@ -155,3 +155,19 @@ def test_score_texts_keeps_order(spark, sf_small):
     out = score.score_texts(spark, ["I love this product!", "This is terrible", "  @bob  www.x.io "], model, 0.47)
     assert [o["text"] for o in out] == ["I love this product!", "This is terrible", "  @bob  www.x.io "]
     assert out[2]["cleaned_text"] == "<USER> <URL>" and out[0]["decision_threshold"] == 0.47
+
+
+def test_stream_log_uses_event_time(spark, sf_small, tmp_path):
+    import datetime
+    from pyspark.sql import types as T
+    from polarity.streaming.scoring import run_to_completion, start_scoring
+    model, _ = job.posts_baseline(spark, sf_small)
+    schema = T.StructType([T.StructField("row_id", T.LongType()), T.StructField("text", T.StringType()),
+                           T.StructField("ts", T.TimestampType())])
+    when = datetime.datetime(2024, 1, 2, 3, 4, 5)
+    spark.createDataFrame([(1, "good", when)], schema).write.parquet(str(tmp_path / "in"))
+    run_to_completion(start_scoring(spark, str(tmp_path / "in"), model, str(tmp_path / "out"),
+                                    str(tmp_path / "ck"), 0.47, schema=schema, event_time="ts"))
+    log = spark.read.json(str(tmp_path / "out" / "prediction_log")).first()
+    assert log.timestamp.startswith("2024-01-02T03:04:05")
+    assert "ts" not in spark.read.parquet(str(tmp_path / "out" / "scored")).columns
