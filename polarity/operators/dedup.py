@@ -157,8 +157,13 @@ def label_conflicts(df: DataFrame, cols: Columns = DEFAULT) -> DataFrame:
     """D1 inside the bundle: exact-dedup survivors whose key has two labels."""
     exact = exact_groups(df, cols)
     keyed = key_groups(exact, cols)
-    bad = keyed.where(F.col("_conflict")).select("duplicate_key")
-    return exact.drop("_n").join(bad, on="duplicate_key", how="left_semi")
+    bad = keyed.where(F.col("_conflict")).select(F.col("duplicate_key").alias("_bad"))
+    # keys are unique after grouping, so an inner join keeps the same rows.  A
+    # semi join, or the "key is not null" filter an equi-join infers, would be
+    # pushed below the aggregation and re-run the key (a Python UDF) on raw rows;
+    # the null-safe comparison infers no such filter.
+    left = exact.drop("_n")
+    return left.join(bad, left["duplicate_key"].eqNullSafe(bad["_bad"]), "inner").drop("_bad")
 
 
 def clean_groups(survivors: DataFrame, cols: Columns = DEFAULT,
