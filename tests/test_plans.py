@@ -50,3 +50,20 @@ def test_scoring_is_map_only(spark, sf_small):
     model, _ = job.posts_baseline(spark, sf_small)
     p = plan(score.score(fx.unlabelled(spark, sf_small), model, 0.47, keep=("row_id",)))
     assert "Exchange hashpartitioning" not in p and "SortMergeJoin" not in p
+
+
+def test_spread_only_touches_under_partitioned_inputs(spark):
+    from polarity.session import spread
+    cores = spark.sparkContext.defaultParallelism
+    wide = spark.range(1000).repartition(cores + 3)
+    assert spread(wide) is wide
+    narrow = spark.range(1000).coalesce(1)
+    assert spread(narrow, "id").rdd.getNumPartitions() >= cores
+
+
+def test_training_vectors_sized_by_rows(spark):
+    from polarity.operators.models import ROWS_PER_FIT_TASK, _fit_partitions
+    df = spark.range(100).repartition(16)
+    assert _fit_partitions(df, 100).rdd.getNumPartitions() == 1
+    big = _fit_partitions(df, 5 * ROWS_PER_FIT_TASK).rdd.getNumPartitions()
+    assert big == min(16, 5, spark.sparkContext.defaultParallelism)
