@@ -98,3 +98,19 @@ def test_error_table_types_and_confidence(spark):
     assert [e.error_type for e in errs] == ["false_positive", "false_negative"]
     assert [e.confidence for e in errs] == [0.8, 0.7]
     assert [e.word_count for e in errs] == [1, 1]
+
+
+def test_gates_and_variant_comparison(spark):
+    from polarity.operators import quality
+    good = spark.createDataFrame([(0.8, 0.79)], "accuracy double, macro_f1 double")
+    weak = spark.createDataFrame([(0.9, 0.7)], "accuracy double, macro_f1 double")
+    assert not quality.quality_gate(good).first().below_quality_gate
+    assert quality.quality_gate(weak).first().below_quality_gate
+    g = mx.regression_gate(weak, good).first()
+    assert g.candidate_macro_f1 == 0.7 and g.baseline_macro_f1 == 0.79 and g.below_baseline
+    board = spark.createDataFrame(
+        [("a", "real_word_char_hybrid", 0.80), ("b", "real_word_char_hybrid", 0.78), ("c", "unigram_bigram", 0.79)],
+        "experiment_name string, tfidf_variant string, macro_f1 double")
+    rows = {r.tfidf_variant: r for r in mx.variant_comparison(board).collect()}
+    assert rows["real_word_char_hybrid"].best_macro_f1 == 0.80
+    assert abs(rows["unigram_bigram"].real_word_char_hybrid_minus_unigram_bigram - 0.01) < 1e-12
