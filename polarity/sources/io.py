@@ -49,6 +49,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA,
     try:
         df = (spark.read.schema(schema).option("header", True).option("multiLine", True)
               .option("quote", '"').option("escape", '"').option("mode", "FAILFAST").csv(path))
+        df.limit(1).collect()  # an unreadable file fails here, not in a later job
     except Exception as exc:
         raise ValueError(f"Could not load CSV dataset from {path}: {exc}") from exc
     return df.withColumn("row_id", F.monotonically_increasing_id()) if with_row_id else df

@@ -63,3 +63,10 @@ def test_full_job_writes_every_output(spark, sf_small, tmp_path):
         assert os.path.exists(os.path.join(out, name)), name
     parts = {d for d in os.listdir(os.path.join(out, "splits")) if d.startswith("split=")}
     assert parts == {"split=train", "split=validation", "split=test"}
+
+
+def test_unreadable_csv_is_a_value_error(spark, tmp_path):
+    path = tmp_path / "bad.csv"
+    path.write_text("sentiment,text\nnot-a-number,hello\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="Could not load CSV"):
+        io.read_csv(spark, str(path))
