@@ -122,11 +122,14 @@ def profile_dict(df: DataFrame, cols: Columns = DEFAULT, groups: DataFrame | Non
     row = profile_from_groups(g, len(data_cols), cols).first().asDict()
     dist = (g.groupBy(cols.label).agg(F.sum("_n").alias("count"))
              .orderBy(F.col(cols.label).asc_nulls_last()).collect())
+    grouped = [c for c in data_cols if c in g.columns]
+    nulls = g.agg(*[F.coalesce(F.sum(F.when(F.col(c).isNull(), F.col("_n"))), F.lit(0)).alias(c)
+                    for c in grouped]).first().asDict() if grouped else {}
     return {
         "total_rows": row["total_rows"],
         "total_columns": row["total_columns"],
         "column_names": data_cols,
-        "missing_values": {cols.text: row["missing_text"], cols.label: row["missing_label"]},
+        "missing_values": {c: int(nulls.get(c, 0)) for c in data_cols},
         "label_distribution": {str(r[0]): r[1] for r in dist},
         "duplicate_exact_rows": row["duplicate_exact_rows"],
         "empty_text_rows": row["empty_text_rows"],

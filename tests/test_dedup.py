@@ -86,3 +86,12 @@ def test_remove_conflicts_and_same_label_steps(spark):
     assert sorted(r.row_id for r in conflicting.collect()) == [0, 1]
     once = dedup.remove_duplicate_texts_same_label(kept, "duplicate_key").collect()
     assert sorted((r.row_id, r.text) for r in once) == [(2, "Bad"), (4, "Ok")]
+
+
+def test_profile_missing_values_cover_every_column(spark):
+    from polarity.operators.quality import profile_dict
+    df = spark.createDataFrame([(0, 1, "a", None), (1, 0, "b", "x"), (2, 0, "b", "x")],
+                               "row_id long, sentiment int, text string, source string")
+    p = profile_dict(df)
+    assert p["missing_values"] == {"sentiment": 0, "text": 0, "source": 1}
+    assert p["total_columns"] == 3 and p["duplicate_exact_rows"] == 1
