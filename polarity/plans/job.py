@@ -154,6 +154,16 @@ def write_outputs(spark: SparkSession, result: dict, out_dir: str) -> None:
     io.write_table(result["leaderboard"], f"{out_dir}/model_comparison")
     io.write_table(result["errors"], f"{out_dir}/error_analysis")
     io.write_table(result["top_errors"], f"{out_dir}/top_misclassified_examples")
+    io.write_table(result["error_summary"], f"{out_dir}/error_summary")
+    best = result["best"]
+    io.write_report(spark, {
+        "selected_by": "validation_macro_f1",
+        "best_model_path": f"{out_dir}/models/best_model",
+        "training_data": "train_only",
+        "best_config": {k: best[k] for k in ("experiment_name", "model_name", "tfidf_variant")},
+        "validation_metrics": {k: float(best[k]) for k in ("accuracy", "macro_precision", "macro_recall",
+                                                           "macro_f1", "weighted_f1", "negative_f1", "positive_f1")},
+    }, f"{out_dir}/best_model_metrics")
     io.write_table(result["final_test"], f"{out_dir}/final_best_model_test_metrics")
     models.save_model(result["baseline_model"], f"{out_dir}/models/baseline")
     models.save_model(result["best_model"], f"{out_dir}/models/best_model")
