@@ -129,7 +129,7 @@ def run_job(spark: SparkSession, raw: DataFrame, cfg: JobConfig = JobConfig(),
     if models.has_probability(best_model):
         sweep = mx.threshold_sweep(val_preds, cfg.thresholds)
         threshold = mx.best_row(sweep).first()["threshold"]
-    final_test = models.evaluate_model(best_model, test, threshold)[0]
+    final_test, final_preds = models.evaluate_model(best_model, test, threshold)
     gate = mx.regression_gate(final_test, baseline_test)
     timings["threshold_and_final"] = time.perf_counter() - t
 
@@ -138,7 +138,8 @@ def run_job(spark: SparkSession, raw: DataFrame, cfg: JobConfig = JobConfig(),
         "baseline_model": baseline, "baseline_validation": baseline_val, "baseline_test": baseline_test,
         "leaderboard": board, "best": best, "best_model": best_model, "errors": errors, "top_errors": top,
         "error_summary": summary, "threshold_sweep": sweep, "threshold": threshold,
-        "final_test": final_test, "regression_gate": gate, "timings": timings,
+        "final_test": final_test, "final_test_predictions": score.evaluation_predictions(final_preds),
+        "regression_gate": gate, "timings": timings,
     }
     if out_dir:
         write_outputs(spark, result, out_dir)
@@ -165,6 +166,7 @@ def write_outputs(spark: SparkSession, result: dict, out_dir: str) -> None:
                                                            "macro_f1", "weighted_f1", "negative_f1", "positive_f1")},
     }, f"{out_dir}/best_model_metrics")
     io.write_table(result["final_test"], f"{out_dir}/final_best_model_test_metrics")
+    io.write_table(result["final_test_predictions"], f"{out_dir}/final_best_model_test_predictions")
     models.save_model(result["baseline_model"], f"{out_dir}/models/baseline")
     models.save_model(result["best_model"], f"{out_dir}/models/best_model")
     if result["threshold_sweep"] is not None:
