@@ -156,7 +156,11 @@ def handle_duplicates(df: DataFrame, cols: Columns = DEFAULT) -> tuple[DataFrame
 def label_conflicts(df: DataFrame, cols: Columns = DEFAULT) -> DataFrame:
     """D1 inside the bundle: exact-dedup survivors whose key has two labels."""
     exact = exact_groups(df, cols)
-    keyed = key_groups(exact, cols)
+    return conflicting_rows(exact, key_groups(exact, cols))
+
+
+def conflicting_rows(exact: DataFrame, keyed: DataFrame) -> DataFrame:
+    """Rows of the exact-dedup table whose key is in conflict (D1 output)."""
     bad = keyed.where(F.col("_conflict")).select(F.col("duplicate_key").alias("_bad"))
     # keys are unique after grouping, so an inner join keeps the same rows.  A
     # semi join, or the "key is not null" filter an equi-join infers, would be

@@ -62,6 +62,8 @@ def preprocess(df: DataFrame, cfg: JobConfig = JobConfig(), validate: bool = Tru
         "conflicting_duplicate_rows_removed": report["conflicting_duplicate_rows_removed"],
         "same_label_duplicate_rows_removed": report["same_label_duplicate_rows_removed"],
         "rows_after": report["rows_after_key_dedup"],
+        # a frame, as in the reference's report: written as a table, not JSON
+        "conflicting_duplicate_rows": dedup.conflicting_rows(exact, keyed),
     }
     return clean, nested
 
@@ -149,7 +151,11 @@ def run_job(spark: SparkSession, raw: DataFrame, cfg: JobConfig = JobConfig(),
 def write_outputs(spark: SparkSession, result: dict, out_dir: str) -> None:
     """Tables as Parquet, reports as JSON, models via ML persistence."""
     from polarity.sources import io
-    io.write_report(spark, result["cleaning_report"], f"{out_dir}/cleaning_report")
+    report = dict(result["cleaning_report"])
+    report["duplicate_report"] = dict(report["duplicate_report"])
+    conflicts = report["duplicate_report"].pop("conflicting_duplicate_rows")
+    io.write_report(spark, report, f"{out_dir}/cleaning_report")
+    io.write_table(conflicts, f"{out_dir}/conflicting_duplicates")
     io.write_report(spark, result["split_report"], f"{out_dir}/split_report")
     io.write_table(result["split"], f"{out_dir}/splits", partition_by=["split"])
     io.write_table(result["leaderboard"], f"{out_dir}/model_comparison")

@@ -54,6 +54,7 @@ def test_counters_telescope_and_match_fixture(spark, sf_small):
     assert rep["same_label_clean_text_duplicates_removed"] == 1115 and rep["rows_after"] == 2091
     assert d["rows_after"] - rep["empty_clean_text_rows_removed"] - rep["total_clean_text_duplicates_removed"] \
         == rep["rows_after"] == clean.count()
+    assert d["conflicting_duplicate_rows"].count() == d["conflicting_duplicate_rows_removed"]
 
 
 def test_result_does_not_depend_on_partitioning(spark, sf_small):
