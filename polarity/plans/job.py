@@ -155,6 +155,11 @@ def write_outputs(spark: SparkSession, result: dict, out_dir: str) -> None:
     report["duplicate_report"] = dict(report["duplicate_report"])
     conflicts = report["duplicate_report"].pop("conflicting_duplicate_rows")
     io.write_report(spark, report, f"{out_dir}/cleaning_report")
+    summary = report.get("validation_summary") or {}
+    if summary.get("label_distribution"):
+        dist = [(int(k) if k.lstrip("-").isdigit() else None, int(v))
+                for k, v in summary["label_distribution"].items()]
+        io.write_table(spark.createDataFrame(dist, "sentiment int, count long"), f"{out_dir}/class_distribution")
     io.write_table(conflicts, f"{out_dir}/conflicting_duplicates")
     io.write_report(spark, result["split_report"], f"{out_dir}/split_report")
     io.write_table(result["split"], f"{out_dir}/splits", partition_by=["split"])

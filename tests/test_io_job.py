@@ -60,7 +60,8 @@ def test_full_job_writes_every_output(spark, sf_small, tmp_path):
     for name in ["cleaning_report", "split_report", "splits", "model_comparison", "error_analysis",
                  "top_misclassified_examples", "final_best_model_test_metrics", "threshold_tuning",
                  "models/baseline", "models/best_model", "models/decision_threshold", "error_summary",
-                 "best_model_metrics", "final_best_model_test_predictions", "conflicting_duplicates"]:
+                 "best_model_metrics", "final_best_model_test_predictions", "conflicting_duplicates",
+                 "class_distribution"]:
         assert os.path.exists(os.path.join(out, name)), name
     best = io.read_report(spark, os.path.join(out, "best_model_metrics"))
     assert best["training_data"] == "train_only" and best["best_config"]["experiment_name"] == result["best"]["experiment_name"]
