@@ -74,3 +74,13 @@ def test_unreadable_csv_is_a_value_error(spark, tmp_path):
     path.write_text("sentiment,text\nnot-a-number,hello\n", encoding="utf-8")
     with pytest.raises(ValueError, match="Could not load CSV"):
         io.read_csv(spark, str(path))
+
+
+def test_parquet_scan_and_missing_paths(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(0, 1, "a")], "row_id long, sentiment int, text string").write.parquet(path)
+    assert io.read_table(spark, path).count() == 1
+    with pytest.raises(FileNotFoundError):
+        io.read_table(spark, str(tmp_path / "nope"))
+    with pytest.raises(FileNotFoundError):
+        io.read_report(spark, str(tmp_path / "nope"))
