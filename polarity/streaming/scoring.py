@@ -24,12 +24,17 @@ INPUT_SCHEMA = T.StructType([
 
 
 def read_stream(spark: SparkSession, source_dir: str, schema: T.StructType = INPUT_SCHEMA,
-                max_files_per_trigger: int | None = None) -> DataFrame:
-    """Parquet files as a stream; ``maxFilesPerTrigger`` is the rate control
-    that replaces the online batch-size cap."""
+                max_files_per_trigger: int | None = None, fmt: str = "parquet") -> DataFrame:
+    """Parquet (or header CSV) files as a stream; ``maxFilesPerTrigger`` is
+    the rate control that replaces the online batch-size cap."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    if fmt == "csv":
+        return (reader.option("header", True).option("multiLine", True)
+                      .option("quote", '"').option("escape", '"').csv(source_dir))
+    if fmt != "parquet":
+        raise ValueError(f"Unsupported stream format: {fmt}")
     return reader.parquet(source_dir)
 
 
@@ -44,12 +49,12 @@ def scored_stream(stream: DataFrame, model: PipelineModel, threshold: float | No
 def start_scoring(spark: SparkSession, source_dir: str, model: PipelineModel, out_dir: str,
                   checkpoint_root: str, threshold: float | None = None, available_now: bool = True,
                   max_files_per_trigger: int | None = None, schema: T.StructType = INPUT_SCHEMA,
-                  event_time: str | None = None) -> list[StreamingQuery]:
+                  event_time: str | None = None, fmt: str = "parquet") -> list[StreamingQuery]:
     """L1 + L2: three sinks (scored parquet, rejected parquet, metadata JSON).
 
     The log's timestamp is ``event_time`` when the input carries one (kept
     through scoring), else the micro-batch's processing time."""
-    stream = read_stream(spark, source_dir, schema, max_files_per_trigger)
+    stream = read_stream(spark, source_dir, schema, max_files_per_trigger, fmt)
     guarded = guard_inputs(stream)
     keep = ("row_id",) + ((event_time,) if event_time else ())
     scored = score(guarded.where(F.col("accepted")), model, threshold, keep=keep)

@@ -171,3 +171,15 @@ def test_stream_log_uses_event_time(spark, sf_small, tmp_path):
     log = spark.read.json(str(tmp_path / "out" / "prediction_log")).first()
     assert log.timestamp.startswith("2024-01-02T03:04:05")
     assert "ts" not in spark.read.parquet(str(tmp_path / "out" / "scored")).columns
+
+
+def test_stream_from_csv_files(spark, sf_small, tmp_path):
+    from polarity.streaming.scoring import run_to_completion, start_scoring
+    model, _ = job.posts_baseline(spark, sf_small)
+    src = tmp_path / "csv"
+    src.mkdir()
+    (src / "a.csv").write_text('row_id,text\n1,"great, really"\n2,"  "\n', encoding="utf-8")
+    run_to_completion(start_scoring(spark, str(src), model, str(tmp_path / "out"), str(tmp_path / "ck"),
+                                    0.47, fmt="csv"))
+    assert [r.row_id for r in spark.read.parquet(str(tmp_path / "out" / "scored")).collect()] == [1]
+    assert spark.read.parquet(str(tmp_path / "out" / "rejected")).first().rejection_reason == "empty_text"
