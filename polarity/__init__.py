@@ -3,8 +3,18 @@
 Every stage is a DataFrame -> DataFrame function: native Column expressions,
 partial aggregations and ``pyspark.ml`` stages, with one Arrow UDF for HTML
 entity decoding.  See README.md for the operator map.
+
+Main entry points (imported lazily so ``import polarity`` stays cheap)::
+
+    polarity.get_session()                      session with AQE, UTC, checkpoint folder
+    polarity.plans.job.run_job(spark, raw)      the end-to-end job
+    polarity.plans.job.preprocess(raw)          validate + clean + dedup (+ report)
+    polarity.plans.job.split_dataset(clean)     exact stratified split (+ report)
+    polarity.operators.models.run_experiments   the model x feature grid
+    polarity.operators.score.score              batch scoring with a fitted model
+    polarity.streaming.scoring.start_scoring    the same scoring as a stream
 """
 
-from polarity.session import get_session, materialize
+from polarity.session import get_session, materialize, spread
 
-__all__ = ["get_session", "materialize"]
+__all__ = ["get_session", "materialize", "spread"]
