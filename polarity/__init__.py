@@ -1,10 +1,11 @@
 """Spark-native curation, training and scoring of labelled short texts.
 
 Every stage is a DataFrame -> DataFrame function: native Column expressions,
-partial aggregations and ``pyspark.ml`` stages, with one Arrow UDF for HTML
-entity decoding.  See README.md for the operator map.
+partial aggregations and ``pyspark.ml`` stages; two small Arrow UDFs handle
+HTML entities and the rare 1->n accent characters, only for rows that need
+them.  See README.md for the operator map.
 
-Main entry points (imported lazily so ``import polarity`` stays cheap)::
+Main entry points (submodules; ``import polarity`` loads only the session)::
 
     polarity.get_session()                      session with AQE, UTC, checkpoint folder
     polarity.plans.job.run_job(spark, raw)      the end-to-end job
