@@ -58,7 +58,7 @@ def mix(df: DataFrame, seed: str = "mix", id_col: str = "doc_id", text_col: str
     """
     text = F.coalesce(df[text_col].cast("string"), F.lit(""))
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(df[id_col].cast("string"), F.lit("null"))))
-    rows = packed(df, source=df[source_col].cast("string"), key=key,
+    rows = packed(df, df.columns, source=df[source_col].cast("string"), key=key,
                   size=F.regexp_count(text, F.lit(WORD)).cast("bigint"))
     ranked = prefix_sums(rows, ["key", "size"], ["size"], ["source"])
     totals = ranked.groupBy("source").agg(F.max(F.col("size_before") + F.col("size")).alias("source_size"))

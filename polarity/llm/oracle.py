@@ -64,7 +64,58 @@ SELECT d.doc_id, CAST(coalesce(a, 0) AS BIGINT) AS n_assign, CAST(coalesce(k, 0)
        coalesce(spans, '') AS spans
 FROM docs d LEFT JOIN per_doc USING (doc_id)""")
 
+WARC = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (
+  SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest,
+         max(page_id) OVER (PARTITION BY html) AS last
+  FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN last END AS refers_to
+FROM d
+"""
+
+DECONTAMINATION = r"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+iw AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+ip AS (SELECT item_id, w, least(len(w), 10) AS n, unnest(range(0, len(w) - least(len(w), 10) + 1)) AS i FROM iw WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, n, array_to_string(w[i + 1:i + n], ' ') AS k FROM ip),
+dp AS (SELECT doc_id, w, s.n, unnest(range(0, len(w) - s.n + 1)) AS i
+       FROM dw, (SELECT DISTINCT n FROM windows) s WHERE len(w) >= s.n),
+hits AS (
+  SELECT d.doc_id, d.i, d.n, x.item_id
+  FROM (SELECT doc_id, i, n, array_to_string(w[i + 1:i + n], ' ') AS k FROM dp) d JOIN windows x ON x.n = d.n AND x.k = d.k),
+hit_words AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+hit_items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+"""
+
+EXACT = r"""
+WITH d AS (
+  SELECT doc_id, length(coalesce(text, '')) AS points,
+         sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g')) AS text_sha256 FROM documents),
+g AS (
+  SELECT *, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY points DESC, doc_id) AS keep_id,
+         count(*) OVER (PARTITION BY text_sha256) AS group_size FROM d)
+SELECT doc_id, keep_id, CAST(group_size AS BIGINT) AS group_size, doc_id = keep_id AS kept, text_sha256 FROM g
+"""
+
 ORACLE: dict[str, str] = {
     "op3_mix": MIX,
     "op4_secret_ledger": SECRETS,
+    "op7_warc_salvage": WARC,
+    "op8_decontaminate": DECONTAMINATION,
+    "op10_exact_dedup": EXACT,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from polarity.llm import mixing, secret_ledger, sharding
+from polarity.llm import decontamination, exact_dedup, mixing, secret_ledger, sharding, toxicity, warc
 from polarity.llm.tables import load, new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +39,32 @@ def op4_secret_ledger(spark, sf):
     return ledger.findings(docs).select(
         "doc_id", *[F.size(f"{r.kind}_spans").cast("bigint").alias(f"n_{r.kind}") for r in secret_ledger.RULES],
         F.sha2(spans, 256).alias("base_sha256"), spans.alias("spans"))
+
+
+@query
+def op7_warc_salvage(spark, sf):
+    manifest = warc.write_archives(load(spark, sf, "pages"), new_folder(spark, "warc"))
+    # one short string per archive, as Spark's own file listing holds them
+    paths = [r.path for r in manifest.select("path").collect()]
+    return warc.read_archives(spark, paths).filter("kind = 'record'").select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op8_decontaminate(spark, sf):
+    docs = load(spark, sf, "documents").select("doc_id", "text")
+    return decontamination.contamination(docs, load(spark, sf, "benchmark"), carry=["doc_id"])
+
+
+@query
+def op10_exact_dedup(spark, sf):
+    """Half of the documents make the first snapshot, the rest come as a batch."""
+    docs = load(spark, sf, "documents").select("doc_id", "text")
+    return exact_dedup.deduplicate(docs, F.pmod(F.xxhash64("doc_id"), F.lit(2)), 2, carry=["doc_id"])
+
+
+@query
+def op1_toxicity(spark, sf):
+    docs = load(spark, sf, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, load(spark, sf, "labels"))
+    return toxicity.score(docs, model, carry=["doc_id"])

@@ -116,7 +116,7 @@ class BlobLedger:
         it can't be taken for clean.  Span columns replace same-named ones.
         """
         text = F.coalesce(versions[text_col].cast("string"), F.lit(""))
-        rows = packed(versions, blob=F.sha2(text, 256))
+        rows = packed(versions, versions.columns, blob=F.sha2(text, 256))
         per_blob = self.table().groupBy(F.col("blob").alias("of")).agg(*[
             F.first(F.when(F.col("rule") == r.name, F.col("spans")), ignorenulls=True).alias(f"_{r.kind}")
             for r in rules])

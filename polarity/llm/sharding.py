@@ -28,7 +28,7 @@ def shard_by_bytes(df: DataFrame, n_shards: int = 16, id_col: str = "doc_id", te
     if n_shards < 1:
         raise ValueError("n_shards must be at least 1")
     text = F.coalesce(df[text_col].cast("string"), F.lit(""))
-    rows = packed(df, id=df[id_col], size=(F.octet_length(text) + 1).cast("bigint"),
+    rows = packed(df, df.columns, id=df[id_col], size=(F.octet_length(text) + 1).cast("bigint"),
                   crc=F.crc32(text.cast("binary")))
     return _cut(prefix_sums(rows, ["id", "crc", "size"], ["size"]), df.columns, n_shards)
 

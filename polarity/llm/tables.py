@@ -35,12 +35,13 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def packed(df: DataFrame, **own: Column) -> DataFrame:
-    """All columns of ``df`` in one struct ``row`` beside the operator's ``own``.
+def packed(df: DataFrame, carry: list[str], **own: Column) -> DataFrame:
+    """The columns ``carry`` of ``df`` in one struct ``row`` beside the
+    operator's ``own``.
 
     Helper names can then never clash with the user's columns.
     """
-    return df.select(F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("row"),
+    return df.select(F.struct(*[df[f"`{c}`"] for c in carry]).alias("row"),
                      *[c.alias(name) for name, c in own.items()])
 
 
