@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from polarity.llm import decontamination, exact_dedup, mixing, secret_ledger, sharding, toxicity, warc
+from polarity.llm import decontamination, exact_dedup, mixing, near_dedup, secret_ledger, sharding, toxicity, warc
 from polarity.llm.tables import load, new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,9 @@ def op1_toxicity(spark, sf):
     docs = load(spark, sf, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, load(spark, sf, "labels"))
     return toxicity.score(docs, model, carry=["doc_id"])
+
+
+@query
+def op5_near_dedup(spark, sf):
+    docs = load(spark, sf, "documents").select("doc_id", "text")
+    return near_dedup.classes(docs, carry=["doc_id"])

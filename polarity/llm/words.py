@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 BLOCK_BYTES = 1 << 20
+BLOCK_TEXTS = 1 << 15
 
 
 def _tables():
@@ -90,6 +91,7 @@ def blocks(texts: pa.Array, block_bytes: int = BLOCK_BYTES) -> Iterator[Block]:
     at, n = 0, len(texts)
     while at < n:
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + block_bytes, side="right")) - 1)
+        to = min(to, at + BLOCK_TEXTS)
         yield _block(at, data[offsets[at]:offsets[to]], offsets[at:to + 1] - offsets[at])
         at = to
 
