@@ -1,4 +1,4 @@
-"""Corpus pipeline: documents in, sharded training mix out.
+"""Corpus pipeline: documents in, a sharded training mix out.
 
 Each stage is ``(name, function(spark, docs, sf_dir) -> DataFrame)``.  Its
 result is written as Parquet and read again as the next stage's documents.
@@ -7,27 +7,62 @@ result is written as Parquet and read again as the next stage's documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from polarity.llm import mixing, sharding
+from polarity.llm import decontamination, mixing, near_dedup, sharding, toxicity
 from polarity.llm.tables import load, written
 
+SHARDS = 16
+CARRY = ["rest", "text"]
+
+
+def _boxed(docs: DataFrame) -> DataFrame:
+    """The text, and all other columns in one struct: whatever they are
+    called, no column that an operator adds can replace them."""
+    return docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns if c != "text"]).alias("rest"),
+                       "text", docs["doc_id"], docs["source"])
+
+
+def _docs(boxed: DataFrame, docs: DataFrame) -> DataFrame:
+    return boxed.select(*[F.col("text") if c == "text" else F.col("rest").getField(c).alias(c) for c in docs.columns])
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the string-kernel classifier doesn't reject."""
+    model = toxicity.fit(docs, load(spark, sf_dir, "labels"))
+    return _docs(toxicity.score(_boxed(docs), model, [*CARRY]).filter("predicted = 0"), docs)
+
+
+def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates: that of least id."""
+    return _docs(near_dedup.classes(_boxed(docs), [*CARRY]).filter("kept"), docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that share no window of words with a benchmark item."""
+    marked = decontamination.contamination(_boxed(docs), load(spark, sf_dir, "benchmark"), [*CARRY])
+    return _docs(marked.filter("not contaminated"), docs)
+
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them (possibly not at all)."""
-    return mixing.repeated(mixing.mix(docs), docs.columns)
+    return _docs(mixing.repeated(mixing.mix(_boxed(docs), carry=[*CARRY]), [*CARRY]), docs)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows with their shard and place."""
-    return sharding.shard_by_bytes(docs, 16)
+    return sharding.shard_by_bytes(docs, SHARDS)
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_dedup", one_of_each_class),
+    ("decontamination", drop_contaminated),
     ("mixing", mix_sources),
     ("sharding", shard),
 ]
 
-# Learned scores and similarity classes have no SQL form; tests/llm holds the
+# A learned score and similarity classes have no SQL form; tests/llm holds the
 # stages against brute force.
 ORACLE_SQL = None
 

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from polarity.llm import decontamination, exact_dedup, mixing, near_dedup, secret_ledger, sharding, toxicity, warc
+from polarity.llm import (decontamination, exact_dedup, licences, mixing, near_dedup, quality_cotraining, secret_ledger,
+                          sharding, toxicity, warc)
 from polarity.llm.tables import load, new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +75,23 @@ def op1_toxicity(spark, sf):
 def op5_near_dedup(spark, sf):
     docs = load(spark, sf, "documents").select("doc_id", "text")
     return near_dedup.classes(docs, carry=["doc_id"])
+
+
+@query
+def op6_quality_cotraining(spark, sf):
+    docs = load(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    model = quality_cotraining.fit(docs, load(spark, sf, "labels"))
+    return quality_cotraining.score(docs, model, carry=["doc_id"])
+
+
+@query
+def op9_licences(spark, sf):
+    """Documents as the files of a tree.  They have no paths, so the id gives
+    one: 64 documents a folder, 16 folders a parent, by language; the first
+    document of a folder, or of a parent, plays its LICENSE file."""
+    docs = load(spark, sf, "documents").select("doc_id", "text", "lang")
+    parent, folder = F.expr("doc_id div 1024").cast("string"), F.expr("doc_id div 64").cast("string")
+    path = F.when(F.col("doc_id") % 1024 == 0, F.concat_ws("/", F.col("lang"), parent, F.lit("LICENSE"))).when(
+        F.col("doc_id") % 64 == 0, F.concat_ws("/", F.col("lang"), parent, folder, F.lit("LICENSE"))).otherwise(
+        F.concat_ws("/", F.col("lang"), parent, folder, F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))))
+    return licences.scan(docs.withColumn("path", path), carry=["doc_id", "path"])

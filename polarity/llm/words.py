@@ -49,6 +49,8 @@ class Block:
     stop: np.ndarray
     hashes: np.ndarray     # uint64, one for each word
     bounds: np.ndarray     # words bounds[i]:bounds[i + 1] belong to text i
+    raw: np.ndarray        # bytes as they came
+    cuts: np.ndarray       # bytes cuts[i]:cuts[i + 1] belong to text i
 
     def counts(self) -> np.ndarray:
         return np.diff(self.bounds)
@@ -107,9 +109,9 @@ def _block(first: int, data: np.ndarray, offsets: np.ndarray) -> Block:
     stop = np.flatnonzero(inside & (~after | edge[1:])) + 1
     bounds = np.searchsorted(start, offsets)
     if len(start) == 0:
-        return Block(first, low, start, stop, np.zeros(0, np.uint64), bounds)
+        return Block(first, low, start, stop, np.zeros(0, np.uint64), bounds, data, offsets)
     size = stop - start
     head = np.cumsum(size) - size
     place = np.arange(int(size.sum()), dtype=np.int64) - np.repeat(head, size)
     part = BYTE_KEY[low[inside]] * PLACE_KEY[place & 4095]
-    return Block(first, low, start, stop, mixed(np.add.reduceat(part, head)), bounds)
+    return Block(first, low, start, stop, mixed(np.add.reduceat(part, head)), bounds, data, offsets)
