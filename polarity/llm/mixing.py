@@ -43,9 +43,9 @@ def source_targets(sizes: DataFrame, max_epochs: int = 3, weights: int = 3) -> D
                     F.least(F.col("cap").cast("double"), F.col("level") * F.col("weight")).alias("target")))
 
 
-def mix(df: DataFrame, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text",
-        source_col: str = "source", max_epochs: int = 3) -> DataFrame:
-    """``df`` plus size, source_size, target, copies and taken.
+def mix(df: DataFrame, seed: str = "mix", carry: list[str] | None = None, id_col: str = "doc_id",
+        text_col: str = "text", source_col: str = "source", max_epochs: int = 3) -> DataFrame:
+    """``carry`` columns (default: all) plus size, source_size, target, copies and taken.
 
     size counts the words of the text (null: 0).  copies says how often the
     mix takes the document, taken = copies * size.  The document that holds
@@ -54,11 +54,12 @@ def mix(df: DataFrame, seed: str = "mix", id_col: str = "doc_id", text_col: str
     and id: reruns and other partitionings agree; repeated ids are told apart
     by size and then by position.  Null ids share the key of the word "null".
     Documents without words have taken 0.  An empty table stays empty.
-    Columns of ``df`` named like an added one are replaced.
+    Carried columns named like an added one are replaced.
     """
+    carry = list(carry or df.columns)
     text = F.coalesce(df[text_col].cast("string"), F.lit(""))
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(df[id_col].cast("string"), F.lit("null"))))
-    rows = packed(df, df.columns, source=df[source_col].cast("string"), key=key,
+    rows = packed(df, carry, source=df[source_col].cast("string"), key=key,
                   size=F.regexp_count(text, F.lit(WORD)).cast("bigint"))
     ranked = prefix_sums(rows, ["key", "size"], ["size"], ["source"])
     totals = ranked.groupBy("source").agg(F.max(F.col("size_before") + F.col("size")).alias("source_size"))
@@ -68,7 +69,7 @@ def mix(df: DataFrame, seed: str = "mix", id_col: str = "doc_id", text_col: str
     again = (F.col("size_before") * 2 + F.col("size") <= rest * 2) & (rest > 0)
     copies = (epochs + again.cast("bigint")).cast("bigint")
     return unpacked(
-        ranked.join(targets, F.col("source").eqNullSafe(F.col("of"))), df.columns,
+        ranked.join(targets, F.col("source").eqNullSafe(F.col("of"))), carry,
         size=F.col("size"), source_size=F.col("source_size"), target=F.col("target"),
         copies=copies, taken=copies * F.col("size"))
 

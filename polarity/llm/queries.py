@@ -22,13 +22,13 @@ def query(fn):
 @query
 def op2_byte_shards(spark, sf):
     docs = load(spark, sf, "documents").select("doc_id", "text")
-    return sharding.shard_by_bytes(docs, 16).drop("text")
+    return sharding.shard_by_bytes(docs, 16, carry=["doc_id"])
 
 
 @query
 def op3_mix(spark, sf):
     docs = load(spark, sf, "documents").select("doc_id", "text", "source")
-    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(docs, carry=["doc_id"]).select("doc_id", "size", "source_size", "target", "taken")
 
 
 @query

@@ -14,8 +14,9 @@ from polarity.llm.prefix import prefix_sums
 from polarity.llm.tables import packed, unpacked
 
 
-def shard_by_bytes(df: DataFrame, n_shards: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``df`` plus size, text_crc32, law (``bytes``), shard, slot, grown_shard.
+def shard_by_bytes(df: DataFrame, n_shards: int = 16, carry: list[str] | None = None, id_col: str = "doc_id",
+                   text_col: str = "text") -> DataFrame:
+    """``carry`` columns (default: all) plus size, text_crc32, law (``bytes``), shard, slot, grown_shard.
 
     size is the UTF-8 length of the text (null: 0) plus 1, so empty texts
     count too; text_crc32 of a null text is that of the empty one.  Null ids
@@ -23,14 +24,15 @@ def shard_by_bytes(df: DataFrame, n_shards: int = 16, id_col: str = "doc_id", te
     from 0 in each shard without gaps.  grown_shard is null: this law says
     nothing of one more shard.  A text longer than a stretch leaves the
     shards that it covers empty; an empty table gives an empty result.
-    Columns of ``df`` named like an added one are replaced.
+    Carried columns named like an added one are replaced.
     """
     if n_shards < 1:
         raise ValueError("n_shards must be at least 1")
     text = F.coalesce(df[text_col].cast("string"), F.lit(""))
-    rows = packed(df, df.columns, id=df[id_col], size=(F.octet_length(text) + 1).cast("bigint"),
+    carry = list(carry or df.columns)
+    rows = packed(df, carry, id=df[id_col], size=(F.octet_length(text) + 1).cast("bigint"),
                   crc=F.crc32(text.cast("binary")))
-    return _cut(prefix_sums(rows, ["id", "crc", "size"], ["size"]), df.columns, n_shards)
+    return _cut(prefix_sums(rows, ["id", "crc", "size"], ["size"]), carry, n_shards)
 
 
 def _cut(ranked: DataFrame, columns: list[str], n_shards: int) -> DataFrame:
