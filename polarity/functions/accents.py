@@ -12,13 +12,18 @@ Arrow UDF running the same rule.  Both tables are generated from
 from __future__ import annotations
 
 import functools
+import sys
 import unicodedata
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The UDF travels with its helper: executors need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def strip_accents_py(text: str) -> str:
     """Reference rule on one string (also the UDF body)."""
@@ -28,12 +33,15 @@ def strip_accents_py(text: str) -> str:
     return "".join(ch for ch in decomposed if not unicodedata.combining(ch))
 
 
-COARSE_FROM = 0x900
+# Characters from here on are looked at by a second, longer class, and only in
+# texts that hold one: a Java class is tested range by range per character.
+HIGH_FROM = 0x900
 
 
 @functools.lru_cache(maxsize=1)
-def _tables() -> tuple[str, str, str, str]:
-    """(matching, replacement, deletions, java class covering all 1->n characters)."""
+def _tables() -> tuple[str, str, str, str, str]:
+    """(matching, replacement, deletions, and the java classes of the 1->n
+    characters below and from HIGH_FROM)."""
     single_src, single_dst, deleted, multi = [], [], [], []
     for cp in range(0x80, 0x110000):
         if 0xD800 <= cp <= 0xDFFF:
@@ -49,12 +57,9 @@ def _tables() -> tuple[str, str, str, str]:
             deleted.append(ch)
         else:
             multi.append(cp)
-    # Routing class: exact below U+0900, one coarse range above.  A Java class
-    # is tested range by range per character, so hundreds of ranges would cost
-    # more than the UDF; a superset only sends a few extra rows to the exact UDF.
-    low = [cp for cp in multi if cp < COARSE_FROM]
-    route = _java_class(low)[:-1] + f"\\x{{{COARSE_FROM:X}}}-\\x{{10FFFF}}]"
-    return "".join(single_src), "".join(single_dst), "".join(deleted), route
+    low = _java_class([cp for cp in multi if cp < HIGH_FROM])
+    high = _java_class([cp for cp in multi if cp >= HIGH_FROM])
+    return "".join(single_src), "".join(single_dst), "".join(deleted), low, high
 
 
 def _java_class(code_points: list[int]) -> str:
@@ -79,7 +84,8 @@ def strip_accents(col: Column) -> Column:
     Rows without a 1->n character never reach Python: the UDF receives a null
     for them (cheap in Arrow) and ``coalesce`` falls back to ``translate``.
     """
-    matching, replacement, deleted, multi_class = _tables()
+    matching, replacement, deleted, low, high = _tables()
     native = F.translate(col, matching + deleted, replacement)
-    needs_python = F.when(col.rlike(multi_class), col)
+    any_high = col.rlike(f"[\\x{{{HIGH_FROM:X}}}-\\x{{10FFFF}}]")
+    needs_python = F.when(col.rlike(low) | (any_high & col.rlike(high)), col)
     return F.coalesce(_strip_accents_udf(needs_python), native)

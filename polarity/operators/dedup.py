@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from polarity.functions.text import CleaningFlags, clean_text, duplicate_key
+from polarity.session import materialize
 
 
 @dataclass(frozen=True)
@@ -49,16 +50,26 @@ def _conflict(lo: str = "_lo", hi: str = "_hi", nulls: str = "_nulls", rows: str
     return differ | mixed_null
 
 
+# Names of the columns that the groupings add.
+HELPERS = frozenset({"_lo", "_hi", "_nulls", "_rows", "_n", "_raw", "_f", "_first", "_blank", "_conflict", "_bad"})
+
+
+def _refuse_clash(df: DataFrame) -> None:
+    clash = sorted(HELPERS.intersection(df.columns))
+    if clash:
+        raise ValueError(f"rename column(s) {clash}: deduplication uses these names itself")
+
+
 def _carry(df: DataFrame, cols: Columns, drop: tuple[str, ...] = ()) -> list[str]:
     first = [cols.row_id, cols.label, cols.text]
-    rest = [c for c in df.columns if c not in first and c not in drop and not c.startswith("_")]
-    return first + rest
+    return first + [c for c in df.columns if c not in first and c not in drop]
 
 
 # --- single steps (reference API surface) ------------------------------------
 
 def remove_exact_duplicates(df: DataFrame, cols: Columns = DEFAULT) -> DataFrame:
     """one row per (text, label), the first by ``row_id``."""
+    _refuse_clash(df)
     carry = _carry(df, cols)
     return (df.groupBy(cols.text, cols.label)
               .agg(F.min_by(F.struct(*carry), F.col(cols.row_id)).alias("_first"))
@@ -71,6 +82,7 @@ def find_conflicting_duplicate_texts(df: DataFrame, key: str, cols: Columns = DE
     The key side is grouped (partial aggregation); the row side is matched with
     a left-semi join, which AQE splits when one key is hot.
     """
+    _refuse_clash(df)
     label = F.col(cols.label)
     bad = (df.groupBy(key)
              .agg(F.min(label).alias("_lo"), F.max(label).alias("_hi"),
@@ -89,6 +101,7 @@ def remove_conflicting_duplicate_texts(df: DataFrame, key: str, cols: Columns =
 
 def remove_duplicate_texts_same_label(df: DataFrame, key: str, cols: Columns = DEFAULT) -> DataFrame:
     """one row per (key, label), the first by ``row_id``."""
+    _refuse_clash(df)
     carry = _carry(df, cols, drop=(key,))
     return (df.groupBy(key, cols.label)
               .agg(F.min_by(F.struct(*carry), F.col(cols.row_id)).alias("_first"))
@@ -99,6 +112,7 @@ def remove_duplicate_texts_same_label(df: DataFrame, key: str, cols: Columns = D
 
 def exact_groups(df: DataFrame, cols: Columns = DEFAULT) -> DataFrame:
     """Aggregation 1: distinct (text, label) with first id, row count and key."""
+    _refuse_clash(df)
     carry = [c for c in _carry(df, cols) if c not in (cols.text, cols.label)]
     # only the id to carry: a plain min keeps the aggregation hash-based
     first = (F.struct(F.min(cols.row_id).alias(cols.row_id)) if carry == [cols.row_id]
@@ -155,7 +169,7 @@ def handle_duplicates(df: DataFrame, cols: Columns = DEFAULT) -> tuple[DataFrame
 
 def label_conflicts(df: DataFrame, cols: Columns = DEFAULT) -> DataFrame:
     """D1 inside the bundle: exact-dedup survivors whose key has two labels."""
-    exact = exact_groups(df, cols)
+    exact = materialize(exact_groups(df, cols))  # read twice, computed once
     return conflicting_rows(exact, key_groups(exact, cols))
 
 

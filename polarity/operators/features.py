@@ -51,7 +51,7 @@ class TfidfConfig:
     def __post_init__(self):
         rng = self.ngram_range
         if not isinstance(rng, (list, tuple)) or len(rng) != 2:
-            raise ValueError("TF-IDF ngram_range must be a two-item list or tuple")
+            raise ValueError("ngram_range takes two numbers")
         object.__setattr__(self, "ngram_range", (int(rng[0]), int(rng[1])))
         if self.analyzer not in ("word", "char_wb"):
             raise ValueError(f"Unknown analyzer: {self.analyzer}")
@@ -76,11 +76,11 @@ class FeatureSpec:
             return cls("word", (TfidfConfig.from_dict(cfg),))
         if kind == "word_char_hybrid":
             if "word" not in cfg or "char" not in cfg:
-                raise ValueError("word_char_hybrid requires word and char configurations")
+                raise ValueError("a word_char_hybrid needs a word part and a char part")
             char = dict(cfg["char"])
             char.setdefault("analyzer", "char_wb")
             return cls(kind, (TfidfConfig.from_dict(cfg["word"]), TfidfConfig.from_dict(char)))
-        raise ValueError(f"Unknown TF-IDF feature_type: {kind}")
+        raise ValueError(f"no such feature_type: {kind}")
 
 
 # The three feature variants and the baseline vectoriser of the
@@ -141,30 +141,42 @@ def vocabulary(dfreq: DataFrame, n_docs: int, cfg: TfidfConfig) -> DataFrame:
     hi = cfg.max_df if isinstance(cfg.max_df, int) else float(cfg.max_df) * n_docs
     kept = dfreq.where((F.col("df") >= F.lit(lo)) & (F.col("df") <= F.lit(hi)))
     if cfg.max_features is not None:
-        # top-k per partition, then one merge of k rows: never a full sort
-        kept = kept.orderBy(F.col("tf_total").desc(), F.col("term").asc()).limit(int(cfg.max_features))
+        kept = _most_frequent(kept, int(cfg.max_features))
     n = F.lit(float(n_docs))
     idf = F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
     return kept.select("term", "df", "tf_total", idf.alias("idf"))
 
 
+def _most_frequent(terms: DataFrame, k: int) -> DataFrame:
+    """The ``k`` rows of largest ``tf_total`` (ties: first term).
+
+    Terms are counted per ``tf_total`` first; that small table gives the value
+    at the cut.  Terms above it stay without any sort, and only those that tie
+    at the cut are put in order."""
+    above = Window.orderBy(F.col("tf_total").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    steps = (terms.groupBy("tf_total").agg(F.count(F.lit(1)).alias("n"))
+             .withColumn("before", F.coalesce(F.sum("n").over(above), F.lit(0))))
+    at_cut = steps.filter((F.col("before") < k) & (F.col("before") + F.col("n") > k)).select("tf_total", "before").first()
+    if at_cut is None:      # all fit, or the cut falls between two values
+        last = steps.filter(F.col("before") < k).agg(F.min("tf_total")).first()[0]
+        return terms if last is None else terms.filter(F.col("tf_total") >= F.lit(last))
+    ties = terms.filter(F.col("tf_total") == F.lit(at_cut.tf_total)).orderBy("term").limit(k - at_cut.before)
+    return terms.filter(F.col("tf_total") > F.lit(at_cut.tf_total)).unionByName(ties)
+
+
 def tfidf_long(df: DataFrame, cfg: TfidfConfig, text_col: str = "clean_text", id_col: str = "row_id",
                fit_df: DataFrame | None = None) -> DataFrame:
     """J5 long form: (row_id, term, tfidf), vocabulary fitted on ``fit_df``.
 
-    The (row_id, term, tf) table feeds two passes (vocabulary, weighting), so
-    it is written once to the checkpoint folder instead of being recomputed.
-    A vocabulary capped by ``max_features`` is broadcast (its size is that
-    cap); an uncapped one is joined with a shuffle.  The L2 norm is a window
-    over one document's terms, bounded by the document's length.
+    The texts are read twice: once for the vocabulary, which keeps one row per
+    term, and once for the weights.  Terms are counted inside each row both
+    times; the exploded table is never written.  The vocabulary (one row per
+    term that passes the limits) is joined in whatever way its size allows.
+    The L2 norm is a window over one document's terms.
     """
-    terms = materialize(doc_terms(df, cfg, text_col, id_col))
-    if fit_df is None or fit_df is df:
-        vocab, _ = fit_vocabulary(df, cfg, text_col, id_col, terms=terms)
-    else:
-        vocab, _ = fit_vocabulary(fit_df, cfg, text_col, id_col)
-    v = vocab.select("term", "idf")
-    v = F.broadcast(v) if cfg.max_features is not None else v
+    vocab, _ = fit_vocabulary(df if fit_df is None else fit_df, cfg, text_col, id_col)
+    v = materialize(vocab.select("term", "idf"))
+    terms = doc_terms(df, cfg, text_col, id_col)
     weighted = terms.join(v, on="term").select(id_col, "term", (F.col("tf") * F.col("idf")).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
     return weighted.select(id_col, "term", F.coalesce(F.try_divide(F.col("w"), norm), F.lit(0.0)).alias("tfidf"))
@@ -172,11 +184,6 @@ def tfidf_long(df: DataFrame, cfg: TfidfConfig, text_col: str = "clean_text", id
 
 # --- vector form (Spark ML stages) -------------------------------------------------
 
-# The vector form keeps its vocabulary in the fitted model (driver and every
-# executor); beyond this size only the relational long form is offered.
-MAX_VECTOR_TERMS = 1 << 22
-
-
 class TextTerms(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
     """Analyzer stage: text -> array<string> of terms (word or char_wb n-grams)."""
 
@@ -203,13 +210,11 @@ class TextTerms(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, D
 def fit_vocabulary_lists(train: DataFrame, cfg: TfidfConfig, text_col: str = "clean_text",
                          id_col: str = "row_id") -> tuple[list[str], list[float]]:
     """The fitted vocabulary as (terms, idf) lists in index order (driver side,
-    as Spark ML keeps it; bounded by ``max_features`` / ``MAX_VECTOR_TERMS``)."""
+    as Spark ML keeps it).  The length of the vectors is part of the model, so
+    ``max_features`` must say it; ``tfidf_long`` takes any vocabulary."""
+    if cfg.max_features is None:
+        raise ValueError("vectors need max_features, the length of the model's vocabulary")
     vocab, _ = fit_vocabulary(train, cfg, text_col, id_col)
-    if cfg.max_features is None or cfg.max_features > MAX_VECTOR_TERMS:
-        size = vocab.count()
-        if size > MAX_VECTOR_TERMS:
-            raise ValueError(f"vocabulary of {size} terms is too large for vectors held by the model; "
-                             f"set max_features <= {MAX_VECTOR_TERMS} or use the long form (tfidf_long)")
     rows = vocab.orderBy(F.col("tf_total").desc(), F.col("term").asc()).select("term", "idf").collect()
     if not rows:
         raise ValueError("empty vocabulary: no term passes min_df/max_df")
@@ -248,7 +253,7 @@ def fit_features(train: DataFrame, spec: FeatureSpec, text_col: str = "clean_tex
                   + fit_tfidf_stages(train, spec.parts[1], text_col, "char_tfidf", id_col, vocabs.get(spec.parts[1]))
                   + [VectorAssembler(inputCols=["word_tfidf", "char_tfidf"], outputCol=out_col)])
     else:
-        raise ValueError(f"Unknown TF-IDF feature_type: {spec.feature_type}")
+        raise ValueError(f"no such feature_type: {spec.feature_type}")
     return PipelineModel(stages=stages)
 
 

@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from polarity.operators.quality import require_columns
+
 NEG, POS = "negative", "positive"
 
 
@@ -138,15 +140,21 @@ def classification_report(metrics_row: DataFrame) -> DataFrame:
 
 def threshold_sweep(df: DataFrame, thresholds: list[float] | None = None, actual: str = "sentiment",
                     proba: str = "positive_probability") -> DataFrame:
-    """Metrics for every candidate threshold in one pass over ``df``."""
-    grid = sorted(float(t) for t in (thresholds or default_grid()))
+    """Metrics for every candidate threshold in one pass over ``df``.
+
+    ``thresholds=None`` is the default grid; an empty list raises, and so does
+    a row without a probability (when the result is computed)."""
+    require_columns(df, [actual, proba], "The sweep's input")
+    grid = sorted(float(t) for t in (default_grid() if thresholds is None else thresholds))
     if not grid:
         raise ValueError("at least one threshold is required")
     p = F.col(proba)
     lits = F.array(*[F.lit(t) for t in grid])
     # number of thresholds <= p as a flat sum of comparisons (codegen, no lambda)
     at_or_below = sum((p >= F.lit(t)).cast("int") for t in grid)
-    bucket = F.when(p.isNull() | F.isnan(p), 0).otherwise(at_or_below)
+    # a model without probabilities leaves nulls: no threshold applies to them
+    refused = F.raise_error(F.lit(f"{proba} is null: a sweep needs a model with probabilities")).cast("int")
+    bucket = F.when(p.isNull(), refused).when(F.isnan(p), 0).otherwise(at_or_below)
     y = F.col(actual)
     counts = df.groupBy(bucket.alias("j")).agg(
         F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"))
@@ -178,7 +186,7 @@ def threshold_sweep(df: DataFrame, thresholds: list[float] | None = None, actual
 def best_row(results: DataFrame, metric: str = "macro_f1", tie_break: str = "threshold") -> DataFrame:
     """The row with the highest ``metric`` (ties: smallest tie_break)."""
     if metric not in results.columns:
-        raise ValueError(f"Metric column not found in results: {metric}")
+        raise ValueError(f"the results have no column {metric}")
     return results.orderBy(F.col(metric).desc(), F.col(tie_break).asc()).limit(1)
 
 

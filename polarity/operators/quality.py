@@ -22,8 +22,7 @@ def require_columns(df: DataFrame, columns: list[str], what: str | None = None)
     """Driver-side schema check."""
     missing = [c for c in columns if c not in df.columns]
     if missing:
-        where = f"{what} is missing required" if what else "Missing required"
-        raise ValueError(f"{where} column(s): {missing}")
+        raise ValueError(f"{what or 'The table'} lacks column(s) {missing}")
 
 
 def validation_counts(df: DataFrame, cols: Columns = DEFAULT, allowed=(0, 1)) -> DataFrame:
@@ -98,12 +97,13 @@ def check_dataset(df: DataFrame, cols: Columns = DEFAULT, allowed=(0, 1)) -> Non
     checks = validation_counts(df, cols, allowed).first().asDict()
     missing = {c: checks[k] for c, k in ((cols.text, "missing_text"), (cols.label, "missing_label")) if checks[k]}
     if missing:
-        raise ValueError(f"Missing values found in required columns: {missing}")
+        raise ValueError(f"Required columns hold nulls: {missing}")
     if checks["invalid_label_rows"]:
-        bad = [r[0] for r in invalid_labels(df, cols, allowed).limit(50).collect()]
-        raise ValueError(f"Invalid label(s) found in {cols.label}: {bad}. Allowed: {sorted(allowed)}")
+        kinds = invalid_labels(df, cols, allowed).count()
+        raise ValueError(f"{checks['invalid_label_rows']} row(s) of {cols.label} hold {kinds} label(s) outside "
+                         f"{sorted(allowed)}; quality.invalid_labels lists all of them")
     if checks["empty_text_rows"]:
-        raise ValueError(f"Empty text rows found in {cols.text}: {checks['empty_text_rows']}")
+        raise ValueError(f"{checks['empty_text_rows']} row(s) of {cols.text} are blank")
 
 
 def validate_dataset(df: DataFrame, cols: Columns = DEFAULT, allowed=(0, 1)) -> dict:

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from polarity.functions.text import CleaningFlags, char_length, clean_text, is_blank
 from polarity.operators import metrics as mx
@@ -36,7 +37,7 @@ def score(df: DataFrame, model: PipelineModel, threshold: float | None = None, t
     ``p_positive >= threshold``; otherwise the model's own decision.
     """
     if text_col not in df.columns:
-        raise ValueError(f"Input data is missing required text column: {text_col}")
+        raise ValueError(f"the rows to score have no column {text_col}")
     if threshold is not None:
         check_threshold(threshold)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -81,10 +82,19 @@ def guard_inputs(df: DataFrame, text_col: str = "text", max_length: int = MAX_TE
     return df.withColumn("rejection_reason", reason).withColumn("accepted", reason.isNull())
 
 
+def request_of(row_id: str) -> F.Column:
+    """The request id of a row: a digest of its id."""
+    return F.md5(F.concat(F.lit("request:"), F.col(row_id).cast("string")))
+
+
 def prediction_log(scored: DataFrame, event_time: str | None = None, request_id: str | None = None) -> DataFrame:
-    """Metadata only - never the text; length of the cleaned text."""
+    """Metadata only - never the text; length of the cleaned text.
+
+    Without a ``request_id`` column it is derived from ``row_id`` when there
+    is one, so that the log and the predictions match and reruns agree."""
     ts = F.col(event_time) if event_time else F.current_timestamp()
-    rid = F.col(request_id) if request_id else F.expr("uuid()")
+    own = request_of("row_id") if "row_id" in scored.columns else F.expr("uuid()")
+    rid = F.col(request_id) if request_id else own
     return scored.select(
         ts.alias("timestamp"),
         rid.alias("request_id"),
@@ -114,10 +124,13 @@ def score_guarded(df: DataFrame, model: PipelineModel, threshold: float | None =
 
 
 def score_csv(spark, input_path: str, output_path: str, model: PipelineModel,
-              threshold: float | None = None, text_col: str = "text") -> DataFrame:
-    """K3: CSV in -> the seven prediction columns -> CSV out (header, quoted)."""
+              threshold: float | None = None, text_col: str = "text", multi_line: bool = False) -> DataFrame:
+    """K3: CSV in -> the seven prediction columns -> CSV out (header, quoted).
+
+    ``text_col`` is looked up in the header; other columns are left out."""
     from polarity.sources import io
-    df = io.read_csv(spark, input_path, schema=io.SCORING_SCHEMA, with_row_id=False)
+    wanted = T.StructType([T.StructField(text_col, T.StringType())])
+    df = io.read_csv(spark, input_path, schema=wanted, with_row_id=False, multi_line=multi_line)
     out = score(df, model, threshold, text_col)
     io.write_table(out, output_path, fmt="csv")
     return out

@@ -4,18 +4,16 @@ Quotas follow the reference's two-stage rule: ``floor(train * n)`` rows for
 train, then ``floor(val / (val + test) * rest)`` for validation; per class the
 counts are proportional with largest-remainder rounding (ties: lower label).
 
-Rows are ordered inside their class by ``md5("<seed>:<row_id>")``.  A global
-``row_number() OVER (PARTITION BY label)`` would put each class in one task,
-so the cut is found in two steps instead:
-
-1. count rows per (class, 16-bit hash bucket) - at most 65,536 rows per class,
-   whatever the table size - and turn them into cumulative offsets;
-2. rows of a bucket entirely below/above a cut take their split from the
-   bucket (broadcast join with the bounded bucket table); only rows of the
-   at most two buckets per class that straddle a cut are ranked, with a window
-   over that bucket alone.  If such a bucket is still large, its rows alone
-   are re-bucketed by a longer hash prefix until the straddling bucket is
-   small (bounded window task at any scale).
+Rows are ordered inside their class by ``md5("<seed>:<row_id>")``, ``row_id``.
+A global ``row_number() OVER (PARTITION BY label)`` would put each class in
+one task, so only the rows at the cuts are looked up:
+
+1. count rows per (class, 16-bit hash prefix) - at most 65,536 rows per class,
+   whatever the table size - and find the prefix that holds each cut;
+2. count the rows of those prefixes alone by longer ones until few rows share
+   one, and read the exact (hash, row_id) of the cut from them.
+
+The assignment is then one ``when`` over one scan of the table.
 """
 
 from __future__ import annotations
@@ -23,14 +21,14 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from polarity.operators.dedup import DEFAULT, Columns
 from polarity.session import materialize
 
 BUCKET_HEX = 4          # 16-bit buckets: <= 65,536 rows per class in the bucket table
-MAX_RANK_ROWS = 1_000_000   # largest straddling bucket ranked in one window task
+CUT_ROWS = 1000         # a cut is read from at most so many rows of one prefix
 SPLITS = ("train", "validation", "test")
 
 
@@ -45,19 +43,19 @@ class SplitConfig:
     def check(self) -> None:
         """The three fractions must sum to one."""
         if abs((self.train_size + self.validation_size + self.test_size) - 1.0) > 1e-8:
-            raise ValueError("Split sizes must sum to 1.0")
+            raise ValueError("train, validation and test fractions do not sum to 1")
 
 
-def approximate_mode(class_counts: list[int], n_draws: int) -> list[int]:
-    """Proportional allocation with largest remainders (ties: first class)."""
-    total = sum(class_counts)
-    continuous = [c / total * n_draws for c in class_counts]
-    floored = [math.floor(x) for x in continuous]
-    need = int(n_draws - sum(floored))
-    order = sorted(range(len(class_counts)), key=lambda i: (-(continuous[i] - floored[i]), i))
-    for i in order[:max(need, 0)]:
-        floored[i] += 1
-    return [int(x) for x in floored]
+def shares(sizes: list[int], wanted: int) -> list[int]:
+    """``wanted`` rows dealt to classes in proportion to their sizes: whole
+    parts first, the rest one by one to the largest fractions (ties: first)."""
+    whole = sum(sizes)
+    exact = [wanted * size / whole for size in sizes]
+    given = [math.floor(x) for x in exact]
+    by_fraction = sorted(range(len(sizes)), key=lambda c: given[c] - exact[c])
+    for c in by_fraction[:max(0, wanted - sum(given))]:
+        given[c] += 1
+    return given
 
 
 def quotas(class_counts: dict, cfg: SplitConfig) -> dict:
@@ -68,16 +66,13 @@ def quotas(class_counts: dict, cfg: SplitConfig) -> dict:
     n = sum(counts)
     n_train = math.floor(cfg.train_size * n)
     if n_train == 0 or n_train == n:
-        raise ValueError(f"Unable to split dataset with the configured settings: "
-                         f"n_samples={n} gives an empty split")
+        raise ValueError(f"Cannot split: {n} rows leave a part empty")
     if cfg.stratify:
         if min(counts) < 2:
-            raise ValueError("Unable to split dataset with the configured settings: the least "
-                             "populated class in y has only 1 member, which is too few")
+            raise ValueError("Cannot split: a class has a single row")
         if n_train < len(counts) or n - n_train < len(counts):
-            raise ValueError("Unable to split dataset with the configured settings: "
-                             "a split is smaller than the number of classes")
-        train = approximate_mode(counts, n_train)
+            raise ValueError("Cannot split: a part has fewer rows than there are classes")
+        train = shares(counts, n_train)
     else:
         train = [n_train]
     rest = [c - t for c, t in zip(counts, train)] if cfg.stratify else [n - n_train]
@@ -85,24 +80,27 @@ def quotas(class_counts: dict, cfg: SplitConfig) -> dict:
     frac = cfg.validation_size / (cfg.validation_size + cfg.test_size)
     n_val = math.floor(frac * m)
     if n_val == 0 or n_val == m:
-        raise ValueError("Unable to split dataset with the configured settings: "
-                         "validation or test would be empty")
+        raise ValueError("Cannot split: the validation or test part is empty")
     if cfg.stratify:
         if min(rest) < 2 or n_val < len(rest) or m - n_val < len(rest):
-            raise ValueError("Unable to split dataset with the configured settings: "
-                             "a class is too small for the validation/test split")
-        val = approximate_mode(rest, n_val)
+            raise ValueError("Cannot split: a class is too small for validation and test")
+        val = shares(rest, n_val)
     else:
         val = [n_val]
     keys = labels if cfg.stratify else ["__all__"]
     return {k: (t, v, r - v) for k, t, v, r in zip(keys, train, val, rest)}
 
 
-def _hashed(df: DataFrame, cols: Columns, cfg: SplitConfig) -> DataFrame:
-    h = F.md5(F.concat(F.lit(f"{cfg.seed}:"), F.col(cols.row_id).cast("string")))
-    klass = F.col(cols.label) if cfg.stratify else F.lit("__all__")
-    return df.select("*", klass.alias("_class"), h.alias("_h"),
-                     F.substring(h, 1, BUCKET_HEX).alias("_p"))
+def _hash(cols: Columns, cfg: SplitConfig) -> Column:
+    """Place of a row in its class; a null ``row_id`` has none and raises."""
+    row_id = F.col(cols.row_id)
+    missing = F.raise_error(F.lit(f"{cols.row_id} is null: every row of a split needs an id"))
+    return F.when(row_id.isNull(), missing.cast("string")).otherwise(
+        F.md5(F.concat(F.lit(f"{cfg.seed}:"), row_id.cast("string"))))
+
+
+def _class(cols: Columns, cfg: SplitConfig) -> Column:
+    return F.col(cols.label) if cfg.stratify else F.lit("__all__")
 
 
 def class_counts(df: DataFrame, cols: Columns = DEFAULT, stratify: bool = True) -> dict:
@@ -112,94 +110,99 @@ def class_counts(df: DataFrame, cols: Columns = DEFAULT, stratify: bool = True)
     return {r[0]: r[1] for r in df.groupBy(cols.label).count().collect()}
 
 
-def bucket_counts(df: DataFrame, cols: Columns = DEFAULT, cfg: SplitConfig = SplitConfig()) -> DataFrame:
-    """Rows per (class, hash prefix): at most 65,536 rows per class, whatever
-    the table size.  Written once: it yields the class totals and the cut
-    positions, and both branches of the assignment read it."""
-    hashed = _hashed(df.select(cols.row_id, cols.label), cols, cfg)
-    return materialize(hashed.groupBy("_class", "_p").agg(F.count(F.lit(1)).alias("_cnt")))
+def _hashed(df: DataFrame, cols: Columns, cfg: SplitConfig) -> DataFrame:
+    """(class, hash, id) of every row, written once: the narrow table that the
+    counts and the cuts are read from."""
+    return materialize(df.select(_class(cols, cfg).alias("class"), _hash(cols, cfg).alias("hash"),
+                                 F.col(cols.row_id).alias("id")))
+
+
+def _prefix_totals(rows: DataFrame, start: int, width: int) -> DataFrame:
+    """Rows before and in each prefix of ``width`` hash digits, within the
+    class and the first ``start`` digits: at most 65,536 prefixes of each."""
+    counted = rows.groupBy("class", F.substring("hash", 1, start).alias("within"),
+                           F.substring("hash", 1, width).alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("class", "within").orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
+    return counted.withColumn("lo", F.coalesce(F.sum("n").over(before), F.lit(0)))
+
 
+def cut_rows(rows: DataFrame, places: dict) -> dict:
+    """{(class, place): (hash, id) of that row of the class}; places count from 1.
 
-def _classify(table: DataFrame, limits: DataFrame) -> DataFrame:
-    """Attach quotas and mark buckets lying wholly inside one split."""
-    t = table.join(F.broadcast(limits), on="_class")
-    lo, hi, tq, vq = F.col("_lo"), F.col("_lo") + F.col("_cnt"), F.col("_t"), F.col("_v")
-    return t.select("_class", "_p", "_lo", "_cnt", "_t", "_v",
-                    F.when(hi <= tq, "train").when((lo >= tq) & (hi <= vq), "validation")
-                     .when(lo >= vq, "test").alias("_fixed"))
+    The prefix of each place is narrowed four digits at a time until it holds
+    few rows, which are then read: at most CUT_ROWS for each place, or the
+    copies of one id, which is an error.
+    """
+    spark = rows.sparkSession
+    kind = rows.schema["class"].dataType.simpleString()
+    asked = [(k, int(at), int(at), "") for k, ats in places.items() for at in ats]
+    width, found = 0, {}
+    while asked:
+        wanted = spark.createDataFrame(asked, f"of {kind}, at long, rest long, start string")
+        here = rows.join(F.broadcast(wanted.select("of", "start").distinct()),
+                         F.col("class").eqNullSafe(F.col("of")) & (F.substring("hash", 1, width) == F.col("start"))).drop("of")
+        totals = _prefix_totals(here, width, width + BUCKET_HEX)
+        width += BUCKET_HEX
+        hit = (totals.join(F.broadcast(wanted), F.col("class").eqNullSafe(F.col("of")) & (F.col("within") == F.col("start")))
+               .filter((F.col("lo") < F.col("rest")) & (F.col("rest") <= F.col("lo") + F.col("n")))
+               .select("of", "at", (F.col("rest") - F.col("lo")).alias("rest"), "prefix", "n").collect())
+        small = [r for r in hit if r.n <= CUT_ROWS]
+        asked = [(r["of"], r.at, r.rest, r.prefix) for r in hit if r.n > CUT_ROWS]
+        if asked and width >= 32:
+            raise ValueError("an id is shared by too many rows: ids of a split must be unique")
+        if small:
+            keys = spark.createDataFrame([(r["of"], r.prefix) for r in small], f"of {kind}, prefix string").distinct()
+            own = here.join(F.broadcast(keys), F.col("class").eqNullSafe(F.col("of"))
+                            & (F.substring("hash", 1, width) == F.col("prefix"))).select("class", "prefix", "hash", "id")
+            by_prefix: dict = {}
+            for r in own.collect():
+                by_prefix.setdefault((r["class"], r.prefix), []).append((r.hash, r.id))
+            for r in small:
+                ordered = sorted(by_prefix[r["of"], r.prefix])
+                found[r["of"], r.at] = ordered[r.rest - 1]
+                if ordered.count(ordered[r.rest - 1]) > 1:
+                    raise ValueError(f"id {ordered[r.rest - 1][1]!r} occurs more than once: ids of a split must be unique")
+    return found
 
 
 def assign_splits(df: DataFrame, q: dict, cols: Columns = DEFAULT, cfg: SplitConfig = SplitConfig(),
-                  buckets: DataFrame | None = None, max_rank_rows: int = MAX_RANK_ROWS) -> DataFrame:
+                  hashed: DataFrame | None = None) -> DataFrame:
     """Add ``split`` to every row for the given per-class quotas.
 
-    Level 1 uses 4 hex digits of the hash.  While a bucket that straddles a
-    cut holds more than ``max_rank_rows`` rows, only the rows of those buckets
-    are counted again by a prefix 4 digits longer (another table of at most
-    65,536 rows per cut bucket), so the final ranking window is bounded.
+    One expression over one scan: each class compares its rows with the two
+    cut rows.  A null label is a class like any other.
     """
-    spark = df.sparkSession
-    base = _hashed(df, cols, cfg)
-    counts = bucket_counts(df, cols, cfg) if buckets is None else buckets
-    limits = spark.createDataFrame(
-        [(k, int(t), int(t + v)) for k, (t, v, _) in q.items()],
-        f"_class {counts.schema['_class'].dataType.simpleString()}, _t long, _v long")
-    by_class = Window.partitionBy("_class").orderBy("_p")
-    level1 = counts.withColumn("_lo", F.coalesce(F.sum("_cnt").over(
-        by_class.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    # bounded: <= 65,536 prefixes per class, whatever the table size
-    table = materialize(_classify(level1, limits))
-    out_cols = list(df.columns)
-    tagged = base.join(F.broadcast(table.select("_class", "_p", "_fixed")), on=["_class", "_p"])
-    parts = [tagged.where(F.col("_fixed").isNotNull()).select(*out_cols, F.col("_fixed").alias("split"))]
-
-    cut = table.where(F.col("_fixed").isNull()).select("_class", "_p", "_lo", "_cnt")
-    rows = base.join(F.broadcast(cut.select("_class", "_p")), on=["_class", "_p"])
-    width = BUCKET_HEX
-    while width < 32 and (cut.agg(F.max("_cnt")).first()[0] or 0) > max_rank_rows:
-        width += BUCKET_HEX
-        rows = rows.withColumn("_parent", F.col("_p")).withColumn("_p", F.substring("_h", 1, width))
-        sub = rows.groupBy("_class", "_parent", "_p").agg(F.count(F.lit(1)).alias("_cnt"))
-        parent = cut.select("_class", F.col("_p").alias("_parent"), F.col("_lo").alias("_plo"))
-        within = Window.partitionBy("_class", "_parent").orderBy("_p")
-        sub = (sub.join(F.broadcast(parent), on=["_class", "_parent"])
-                  .withColumn("_lo", F.col("_plo") + F.coalesce(F.sum("_cnt").over(
-                      within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-                  .drop("_parent", "_plo"))
-        # bounded: <= 65,536 sub-prefixes per straddling bucket (<= 2 per class)
-        table = materialize(_classify(sub, limits))
-        rows = rows.drop("_parent").join(F.broadcast(table.select("_class", "_p", "_fixed")), on=["_class", "_p"])
-        parts.append(rows.where(F.col("_fixed").isNotNull()).select(*out_cols, F.col("_fixed").alias("split")))
-        cut = table.where(F.col("_fixed").isNull()).select("_class", "_p", "_lo", "_cnt")
-        rows = rows.where(F.col("_fixed").isNull()).drop("_fixed")
-
-    rows = rows.select(*out_cols, "_class", "_p", "_h").join(
-        F.broadcast(cut.select("_class", "_p", "_lo")), on=["_class", "_p"])
-    rows = rows.join(F.broadcast(limits), on="_class")
-    in_bucket = Window.partitionBy("_class", "_p").orderBy("_h", cols.row_id)
-    pos = F.col("_lo") + F.row_number().over(in_bucket)
-    parts.append(rows.select(*out_cols, "_t", "_v", pos.alias("_pos")).select(
-        *out_cols,
-        F.when(F.col("_pos") <= F.col("_t"), "train")
-         .when(F.col("_pos") <= F.col("_v"), "validation")
-         .otherwise("test").alias("split")))
-    out = parts[0]
-    for extra in parts[1:]:
-        out = out.unionByName(extra)
-    return out
-
-
-def stratified_split(df: DataFrame, cols: Columns = DEFAULT, cfg: SplitConfig = SplitConfig(),
-                     max_rank_rows: int = MAX_RANK_ROWS) -> DataFrame:
-    """I1 as a DataFrame with a ``split`` column.
-
-    One light job (row_id and label only) writes the bucket table; the class
-    totals for the quotas are summed from it (k rows to the driver).
+    hashed = _hashed(df, cols, cfg) if hashed is None else hashed
+    places = {k: sorted({p for p in (t, t + v) if p > 0}) for k, (t, v, _) in q.items()}
+    cuts = cut_rows(hashed, places)
+    place, klass = F.struct(_hash(cols, cfg).alias("hash"), F.col(cols.row_id).alias("id")), _class(cols, cfg)
+
+    def upto(k, at: int) -> Column:
+        if at == 0:
+            return F.lit(False)
+        digest, row_id = cuts[k, at]
+        kind = df.schema[cols.row_id].dataType
+        return place <= F.struct(F.lit(digest).alias("hash"), F.lit(row_id).cast(kind).alias("id"))
+
+    split = None
+    for k, (t, v, _) in q.items():
+        part = F.when(upto(k, t), "train").when(upto(k, t + v), "validation").otherwise("test")
+        own = klass.eqNullSafe(F.lit(k))
+        split = F.when(own, part) if split is None else split.when(own, part)
+    return df.withColumn("split", split)
+
+
+def stratified_split(df: DataFrame, cols: Columns = DEFAULT, cfg: SplitConfig = SplitConfig()) -> DataFrame:
+    """I1 as a DataFrame with a ``split`` column; every row gets one.
+
+    One pass over ``df`` writes (class, hash, id); the class totals (k rows to
+    the driver) and the cuts come from it.  A null label is a class of its
+    own; a null ``row_id`` raises, and so does one that is repeated at a cut.
     """
     cfg.check()
-    buckets = bucket_counts(df, cols, cfg)
-    totals = {r[0]: r[1] for r in buckets.groupBy("_class").agg(F.sum("_cnt")).collect()}
-    return assign_splits(df, quotas(totals, cfg), cols, cfg, buckets, max_rank_rows)
+    hashed = _hashed(df, cols, cfg)
+    totals = {r[0]: r[1] for r in hashed.groupBy("class").count().collect()}
+    return assign_splits(df, quotas(totals, cfg), cols, cfg, hashed)
 
 
 def split_report(split_df: DataFrame, cols: Columns = DEFAULT) -> DataFrame:
@@ -218,7 +221,7 @@ def split_leakage(split_df: DataFrame, text_col: str = "clean_text") -> DataFram
 
 def assert_no_leakage(split_df: DataFrame, text_col: str = "clean_text") -> None:
     if split_leakage(split_df, text_col).first()[0]:
-        raise ValueError("clean_text overlap detected between train, validation, and test splits")
+        raise ValueError(f"{text_col}: some texts lie in more than one part of the split")
 
 
 def class_weights(df: DataFrame, cols: Columns = DEFAULT) -> DataFrame:

@@ -10,7 +10,7 @@ validation only; test is touched by the baseline test and the final test.
 from __future__ import annotations
 
 import time
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,14 +71,15 @@ def preprocess(df: DataFrame, cfg: JobConfig = JobConfig(), validate: bool = Tru
 def split_dataset(clean: DataFrame, cfg: JobConfig = JobConfig()) -> tuple[DataFrame, dict]:
     """I1 + H1 + E7: (materialised table with ``split``, split report)."""
     if "clean_text" not in clean.columns:
-        raise ValueError("Expected a clean_text column before splitting")
+        raise ValueError("split_dataset takes a cleaned table: there is no clean_text")
     table = materialize(split.stratified_split(clean, cfg.cols, cfg.split))
     split.assert_no_leakage(table)
     rows = split.split_report(table, cfg.cols).collect()
     report = {f"{s}_rows": sum(r["rows"] for r in rows if r["split"] == s) for s in split.SPLITS}
     for s in split.SPLITS:
         report[f"{s}_label_distribution"] = {
-            str(r[cfg.cols.label]): r["rows"] for r in sorted(rows, key=lambda r: r[cfg.cols.label]) if r["split"] == s}
+            str(r[cfg.cols.label]): r["rows"]
+            for r in sorted(rows, key=lambda r: (r[cfg.cols.label] is None, r[cfg.cols.label])) if r["split"] == s}
     return table, report
 
 
@@ -88,7 +89,13 @@ def part(table: DataFrame, name: str) -> DataFrame:
 
 def run_job(spark: SparkSession, raw: DataFrame, cfg: JobConfig = JobConfig(),
                  out_dir: str | None = None) -> dict:
-    """Every stage in the reference's order; returns reports and frames."""
+    """Every stage in the reference's order; returns reports and frames.
+
+    ``cfg.cols`` names the input's columns; from cleaning on they are called
+    ``row_id``, ``sentiment`` and ``text``, as in every output."""
+    named = {cfg.cols.row_id: DEFAULT.row_id, cfg.cols.label: DEFAULT.label, cfg.cols.text: DEFAULT.text}
+    quality.require_columns(raw, list(named), "The job's input")
+    raw, cfg = raw.withColumnsRenamed({k: v for k, v in named.items() if k != v}), replace(cfg, cols=DEFAULT)
     timings = {}
     t = time.perf_counter()
     clean, cleaning = preprocess(raw, cfg)
@@ -114,6 +121,7 @@ def run_job(spark: SparkSession, raw: DataFrame, cfg: JobConfig = JobConfig(),
         baseline = models.train_baseline(train, val)[0]
     baseline_val = models.evaluate_model(baseline, val)[0]
     baseline_test = models.evaluate_model(baseline, test)[0]
+    baseline_gate = quality.quality_gate(baseline_val)
     timings["baseline"] = time.perf_counter() - t
 
     t = time.perf_counter()
@@ -141,7 +149,11 @@ def run_job(spark: SparkSession, raw: DataFrame, cfg: JobConfig = JobConfig(),
         "leaderboard": board, "best": best, "best_model": best_model, "errors": errors, "top_errors": top,
         "error_summary": summary, "threshold_sweep": sweep, "threshold": threshold,
         "final_test": final_test, "final_test_predictions": score.evaluation_predictions(final_preds),
-        "regression_gate": gate, "timings": timings,
+        "regression_gate": gate, "quality_gate": baseline_gate, "timings": timings,
+        "confusion_matrix": mx.confusion_matrix(final_test),
+        "classification_report": mx.classification_report(final_test),
+        "length_histogram": quality.length_histogram(raw),
+        "variant_comparison": mx.variant_comparison(board) if len(cfg.variants) > 1 else None,
     }
     if out_dir:
         write_outputs(spark, result, out_dir)
@@ -176,6 +188,12 @@ def write_outputs(spark: SparkSession, result: dict, out_dir: str) -> None:
         "validation_metrics": {k: float(best[k]) for k in ("accuracy", "macro_precision", "macro_recall",
                                                            "macro_f1", "weighted_f1", "negative_f1", "positive_f1")},
     }, f"{out_dir}/best_model_metrics")
+    for name, table in (("baseline_validation_metrics", "baseline_validation"), ("baseline_test_metrics", "baseline_test"),
+                        ("baseline_quality_gate", "quality_gate"), ("regression_gate", "regression_gate"),
+                        ("confusion_matrix", "confusion_matrix"), ("classification_report", "classification_report"),
+                        ("text_length_histogram", "length_histogram"), ("variant_comparison", "variant_comparison")):
+        if result[table] is not None:
+            io.write_table(result[table], f"{out_dir}/{name}")
     io.write_table(result["final_test"], f"{out_dir}/final_best_model_test_metrics")
     io.write_table(result["final_test_predictions"], f"{out_dir}/final_best_model_test_predictions")
     models.save_model(result["baseline_model"], f"{out_dir}/models/baseline")
@@ -186,49 +204,34 @@ def write_outputs(spark: SparkSession, result: dict, out_dir: str) -> None:
         io.save_threshold_config(spark, best, f"{out_dir}/models/decision_threshold")
 
 
-# --- cached model fits for the registered rows-only queries ------------------------
-
-_CACHE: dict = {}
-
-
-def _key(spark: SparkSession, what: str, sf_dir: str) -> tuple:
-    # frames and models belong to one application: never reuse across sessions
-    return (spark.sparkContext.applicationId, what, sf_dir)
-
+# --- inputs of the registered queries: posts, split and fitted ----------------------
 
 def posts_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = _key(spark, "posts_split", sf_dir)
-    if key not in _CACHE:
-        clean, _ = preprocess(fx.posts(spark, sf_dir))
-        _CACHE[key] = split_dataset(clean)[0]
-    return _CACHE[key]
+    clean, _ = preprocess(fx.posts(spark, sf_dir))
+    return split_dataset(clean)[0]
 
 
-def posts_baseline(spark: SparkSession, sf_dir: str):
-    key = _key(spark, "posts_baseline", sf_dir)
-    if key not in _CACHE:
-        table = posts_splits(spark, sf_dir)
-        _CACHE[key] = models.train_baseline(part(table, "train"), part(table, "validation"))
-    return _CACHE[key]
+def posts_baseline(spark: SparkSession, sf_dir: str, table: DataFrame | None = None):
+    """(fitted baseline, its validation metrics); ``table``: posts already split."""
+    table = posts_splits(spark, sf_dir) if table is None else table
+    return models.train_baseline(part(table, "train"), part(table, "validation"))
 
 
-def posts_grid(spark: SparkSession, sf_dir: str):
-    key = _key(spark, "posts_grid", sf_dir)
-    if key not in _CACHE:
-        table = posts_splits(spark, sf_dir)
-        board, fitted = models.run_experiments(part(table, "train"), part(table, "validation"))
-        _CACHE[key] = (materialize(board), fitted)
-    return _CACHE[key]
+def posts_grid(spark: SparkSession, sf_dir: str, table: DataFrame | None = None):
+    """(leaderboard, fitted pipelines); ``table``: posts already split."""
+    table = posts_splits(spark, sf_dir) if table is None else table
+    board, fitted = models.run_experiments(part(table, "train"), part(table, "validation"))
+    return materialize(board), fitted
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """entry(): clean/dedup -> exact split -> TF-IDF + LR -> test metrics."""
     table = posts_splits(spark, sf_dir)
-    model, _ = posts_baseline(spark, sf_dir)
+    model, _ = posts_baseline(spark, sf_dir, table)
     metrics_row = models.evaluate_model(model, part(table, "test"))[0]
     return metrics_row.select(F.lit("test").alias("split"), "*")
 
 
-def score_unlabelled(spark: SparkSession, sf_dir: str, threshold: float | None = 0.47) -> DataFrame:
-    model, _ = posts_baseline(spark, sf_dir)
+def score_unlabelled(spark: SparkSession, sf_dir: str, threshold: float | None = 0.47, model=None) -> DataFrame:
+    model = posts_baseline(spark, sf_dir)[0] if model is None else model
     return score.score(fx.unlabelled(spark, sf_dir), model, threshold, keep=("row_id",))

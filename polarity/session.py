@@ -1,9 +1,8 @@
 """Session construction and lineage cutting.
 
 Stages are joined lazily; where a result is read more than once (survivors and
-their report, the split and its report, cached feature vectors) it is written
-once with ``DataFrame.checkpoint()`` into the shared folder named by
-``spark.checkpoint.dir``.  That folder is read from the session; a temporary
+their report, the split and its report, feature vectors) it is written once as
+Parquet into the shared folder named by ``spark.checkpoint.dir``.  That folder is read from the session; a temporary
 one is created only for local sessions that have none (tests, laptops).
 """
 
@@ -11,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -80,24 +80,43 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the reliable checkpoint folder and cut its lineage.
+    """Write ``df`` once as Parquet into the checkpoint folder and cut its lineage.
 
-    Reliable checkpoints survive executor loss (unlike ``localCheckpoint``)
-    and let a result feed several downstream jobs without recomputation.
+    The files lie on shared storage, so they survive executor loss, and later
+    jobs read only the columns they need.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+TASK_BYTES = 8 << 20
+
+
+def _source_bytes(df: DataFrame) -> int:
+    """Bytes of the files (or rows held by the driver) that ``df`` starts from.
+
+    Read from the plan's leaves: no job runs."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+def merged(df: DataFrame) -> DataFrame:
+    """A written table (``materialize``) in tasks of at least TASK_BYTES: small
+    files are read together, a large table keeps its splits."""
+    tasks = max(1, -(-_source_bytes(df) // TASK_BYTES))
+    return df.coalesce(tasks) if df.rdd.getNumPartitions() > tasks else df
 
 
 def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     """Give CPU-heavy per-row text work at least one task per core.
 
-    Text stages cost CPU per byte far above a scan, and a small or unsplittable
-    input (one Parquet row group, a coalesced join) can land in a single task.
-    Only then is the input hash-repartitioned (by ``key`` when given); a large
-    input already has more splits than cores and is left untouched.
+    A small source (one Parquet row group, say) lands in fewer tasks than
+    there are cores; it is dealt out anew (by ``key`` when given).  A source
+    of more than TASK_BYTES per core has splits enough and is left as it is.
+    Only the plan is looked at: its input is not run.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if _source_bytes(df) >= cores * TASK_BYTES:
         return df
-    return df.repartition(target * 2, key) if key else df.repartition(target * 2)
+    return df.repartition(cores * 2, key) if key else df.repartition(cores * 2)

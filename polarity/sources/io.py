@@ -1,15 +1,15 @@
 """Sources and sinks.
 
 Explicit schemas, never inference.  Stages exchange Parquet; CSV is the
-interchange format of the reference and is read with RFC-4180 quoting
-(quoted commas, doubled quotes, embedded newlines).
+interchange format of the reference and is read by column name with RFC-4180
+quoting (quoted commas, doubled quotes; embedded newlines when asked for).
 """
 
 from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +18,7 @@ RAW_SCHEMA = T.StructType([
     T.StructField("text", T.StringType()),
 ])
 SCORING_SCHEMA = T.StructType([T.StructField("text", T.StringType())])
+# The keys of the threshold file.
 THRESHOLD_SCHEMA = T.StructType([
     T.StructField("threshold", T.DoubleType()),
     T.StructField("selected_metric", T.StringType()),
@@ -36,29 +37,89 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def csv_columns(spark: SparkSession, path: str) -> list[str]:
+    """The header of a CSV file (of the first of several, by path)."""
+    files = sorted(r[0] for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                   .load(path).select("path").collect())
+    if not files:
+        raise ValueError(f"{path} holds no file")
+    head = spark.read.option("quote", '"').option("escape", '"').option("header", False).csv(files[0]).first()
+    return [] if head is None else [(v or "").lstrip("\ufeff") for v in head]
+
+
+def by_name(header: list[str], schema: T.StructType, path: str) -> T.StructType:
+    """An all-string schema in file order; raises for a missing or doubled column."""
+    missing = [f.name for f in schema if f.name not in header]
+    if missing:
+        raise ValueError(f"{path} has no column(s) {missing}; its header is {header}")
+    doubled = sorted({f.name for f in schema if header.count(f.name) > 1})
+    if doubled:
+        raise ValueError(f"{path} names column(s) {doubled} twice")
+    plain = len({h.lower() for h in header}) == len(header) and all(header)
+    known = {f.name for f in schema}
+    return T.StructType([T.StructField(name if plain or name in known else f"_extra{i}", T.StringType())
+                         for i, name in enumerate(header)])
+
+
+def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The schema's columns of an all-string table, cast (a bad value raises)."""
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA,
-             with_row_id: bool = True) -> DataFrame:
-    """A1/A2: header CSV with an explicit schema.
+             with_row_id: bool = True, multi_line: bool = False) -> DataFrame:
+    """A1/A2: header CSV, columns found by their names.
+
+    The header may hold the schema's columns in any order and others besides,
+    which are left out; every file must have the header of the first (by
+    path).  ``multi_line`` allows line breaks inside quotes; it makes one task
+    per file, so it is off unless asked for: without it such a file raises.
 
-    ``row_id`` (file order, via ``monotonically_increasing_id``) is the keep-first
-    order of every dedup step; give it explicitly when the order must be
-    stable across re-reads with different split sizes.
+    ``row_id`` follows path and place in the file, whatever the sizes of the
+    files: it is the keep-first order of every dedup step.  It is the rank of
+    (file, block start) in the high bits and the place in the block below.
     """
     if not _exists(spark, path):
-        raise FileNotFoundError(f"Dataset file not found: {path}")
+        raise FileNotFoundError(f"no such dataset: {path}")
     try:
-        df = (spark.read.schema(schema).option("header", True).option("multiLine", True)
-              .option("quote", '"').option("escape", '"').option("mode", "FAILFAST").csv(path))
+        header = csv_columns(spark, path)
+        as_read = by_name(header, schema, path)
+        raw = (spark.read.schema(as_read).option("header", True)
+               # checks every file's header, unless a blank or doubled name had to be replaced
+               .option("enforceSchema", as_read.names != header)
+               .option("multiLine", multi_line).option("quote", '"').option("escape", '"')
+               .option("mode", "FAILFAST").csv(path))
+        df = typed(raw, schema)
+        if with_row_id:
+            df = _in_file_order(raw, schema)
         df.limit(1).collect()  # an unreadable file fails here, not in a later job
+    except FileNotFoundError:
+        raise
     except Exception as exc:
-        raise ValueError(f"Could not load CSV dataset from {path}: {exc}") from exc
-    return df.withColumn("row_id", F.monotonically_increasing_id()) if with_row_id else df
+        raise ValueError(f"{path} is no readable CSV dataset: {exc}") from exc
+    return df
+
+
+def _in_file_order(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """Rows with an id that grows with (path, block start, place in the block).
+
+    One Spark partition may hold blocks of several files, so the id is built
+    from the block itself: blocks are listed (one row each) and numbered."""
+    spot = raw.select("*", F.col("_metadata.file_path").alias("_path"),
+                      F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"))
+    blocks = spot.groupBy("_path", "_block").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    ahead = Window.orderBy("_path", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = blocks.select(F.col("_path").alias("_p"), F.col("_block").alias("_b"), "_first",
+                             F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_before"))
+    joined = spot.join(numbered, (F.col("_path") == F.col("_p")) & (F.col("_block") == F.col("_b")))
+    return joined.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema],
+                         (F.col("_before") + F.col("_at") - F.col("_first")).alias("row_id"))
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """A1 Parquet twin."""
     if not _exists(spark, path):
-        raise FileNotFoundError(f"Dataset file not found: {path}")
+        raise FileNotFoundError(f"no such dataset: {path}")
     return spark.read.parquet(path)
 
 
@@ -86,7 +147,7 @@ def write_report(spark: SparkSession, report: dict, path: str) -> None:
 def read_report(spark: SparkSession, path: str) -> dict:
     """A5: read a JSON report back (first row)."""
     if not _exists(spark, path):
-        raise FileNotFoundError(f"Report not found: {path}")
+        raise FileNotFoundError(f"no such report: {path}")
     row = spark.read.json(path).first()
     return row.asDict(recursive=True) if row else {}
 
@@ -110,10 +171,10 @@ def save_threshold_config(spark: SparkSession, best: dict, path: str, metric: st
 def load_threshold_config(spark: SparkSession, path: str) -> dict:
     """A5 + C9: read the threshold file; the threshold must lie in [0, 1]."""
     if not _exists(spark, path):
-        raise FileNotFoundError(f"Threshold configuration not found: {path}")
+        raise FileNotFoundError(f"no threshold file at {path}")
     row = spark.read.schema(THRESHOLD_SCHEMA).json(path).first()
     if row is None or row["threshold"] is None:
-        raise ValueError(f"Threshold configuration has no threshold: {path}")
+        raise ValueError(f"{path} holds no threshold")
     if not 0.0 <= row["threshold"] <= 1.0:
-        raise ValueError(f"Threshold must be between 0 and 1, got {row['threshold']}")
+        raise ValueError(f"a threshold is a probability, not {row['threshold']}")
     return row.asDict()

@@ -29,4 +29,4 @@ def replay_unlabelled(spark: SparkSession, sf_dir: str, threshold: float | None
 
 
 def stream_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replay_unlabelled(spark, sf_dir)[0]
+    return replay_unlabelled(spark, sf_dir)[0].drop("scored_at", "request_id")

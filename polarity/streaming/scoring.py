@@ -1,9 +1,9 @@
 """Structured Streaming scoring (L1) and prediction metadata log (L2).
 
 The reference scored requests one at a time behind an HTTP endpoint; here
-rows arrive as files, are guarded (C7), scored with the same fitted pipeline
-as the batch job (K1) and written by file sinks, each query with its own
-checkpoint, so every row lands exactly once even if executors are lost.
+rows arrive as files, are guarded (C7), scored once with the same fitted
+pipeline as the batch job (K1) and written by file sinks, each query with its
+own checkpoint, so every row lands exactly once even if executors are lost.
 Stateless: no watermark or state store is needed.
 """
 
@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from polarity.operators.score import guard_inputs, prediction_log, score
+from polarity.operators.score import guard_inputs, prediction_log, request_of, score
+from polarity.sources import io
 
 INPUT_SCHEMA = T.StructType([
     T.StructField("row_id", T.LongType()),
@@ -24,26 +25,34 @@ INPUT_SCHEMA = T.StructType([
 
 
 def read_stream(spark: SparkSession, source_dir: str, schema: T.StructType = INPUT_SCHEMA,
-                max_files_per_trigger: int | None = None, fmt: str = "parquet") -> DataFrame:
+                max_files_per_trigger: int | None = None, fmt: str = "parquet", multi_line: bool = False) -> DataFrame:
     """Parquet (or header CSV) files as a stream; ``maxFilesPerTrigger`` is
-    the rate control that replaces the online batch-size cap."""
-    reader = spark.readStream.schema(schema)
+    the rate control that replaces the online batch-size cap.
+
+    CSV columns are found by name in the header of the files that are there
+    at the start; a later file with another header fails the query."""
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     if fmt == "csv":
-        return (reader.option("header", True).option("multiLine", True)
-                      .option("quote", '"').option("escape", '"').csv(source_dir))
+        header = io.csv_columns(spark, source_dir)
+        as_read = io.by_name(header, schema, source_dir)
+        raw = (reader.schema(as_read).option("header", True).option("enforceSchema", as_read.names != header)
+                     .option("multiLine", multi_line).option("mode", "FAILFAST")
+                     .option("quote", '"').option("escape", '"').csv(source_dir))
+        return io.typed(raw, schema)
     if fmt != "parquet":
-        raise ValueError(f"Unsupported stream format: {fmt}")
-    return reader.parquet(source_dir)
+        raise ValueError(f"no such stream format: {fmt}")
+    return reader.schema(schema).parquet(source_dir)
 
 
-def scored_stream(stream: DataFrame, model: PipelineModel, threshold: float | None = None) -> tuple[DataFrame, DataFrame]:
+def scored_stream(stream: DataFrame, model: PipelineModel, threshold: float | None = None,
+                  keep: tuple[str, ...] = ("row_id",)) -> tuple[DataFrame, DataFrame]:
     """(scored accepted rows, rejected rows with reason) - both still streams."""
     guarded = guard_inputs(stream)
     accepted = guarded.where(F.col("accepted"))
     rejected = guarded.where(~F.col("accepted")).select("row_id", "text", "rejection_reason")
-    return score(accepted, model, threshold, keep=("row_id",)), rejected
+    return score(accepted, model, threshold, keep=keep), rejected
 
 
 def start_scoring(spark: SparkSession, source_dir: str, model: PipelineModel, out_dir: str,
@@ -52,16 +61,17 @@ def start_scoring(spark: SparkSession, source_dir: str, model: PipelineModel, ou
                   event_time: str | None = None, fmt: str = "parquet") -> list[StreamingQuery]:
     """L1 + L2: three sinks (scored parquet, rejected parquet, metadata JSON).
 
-    The log's timestamp is ``event_time`` when the input carries one (kept
-    through scoring), else the micro-batch's processing time."""
+    The model runs once per row: the log is a stream over the scored sink, a
+    projection of what was written, and carries the same ``request_id``.  Its
+    timestamp is ``event_time`` when the input has one, else the time at which
+    the row was scored.  With ``available_now`` the log starts when scoring
+    has ended, so this call then waits for it."""
     stream = read_stream(spark, source_dir, schema, max_files_per_trigger, fmt)
-    guarded = guard_inputs(stream)
-    keep = ("row_id",) + ((event_time,) if event_time else ())
-    scored = score(guarded.where(F.col("accepted")), model, threshold, keep=keep)
-    rejected = guarded.where(~F.col("accepted")).select("row_id", "text", "rejection_reason")
-    stamped = scored if event_time else scored.withColumn("_ts", F.current_timestamp())
-    meta = prediction_log(stamped, event_time=event_time or "_ts")
-    scored = scored.drop(event_time) if event_time else scored
+    keep = ("row_id", event_time) if event_time else ("row_id",)
+    scored, rejected = scored_stream(stream, model, threshold, keep)
+    scored = scored.withColumn("request_id", request_of("row_id"))
+    if not event_time:
+        scored = scored.withColumn("scored_at", F.current_timestamp())
 
     def sink(df: DataFrame, fmt: str, name: str) -> StreamingQuery:
         w = (df.writeStream.format(fmt).outputMode("append")
@@ -69,8 +79,14 @@ def start_scoring(spark: SparkSession, source_dir: str, model: PipelineModel, ou
         w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
         return w.start(f"{out_dir}/{name}")
 
-    return [sink(scored, "parquet", "scored"), sink(rejected, "parquet", "rejected"),
-            sink(meta, "json", "prediction_log")]
+    # the log's source folder must exist before its first file does
+    spark.createDataFrame([], scored.schema).write.mode("ignore").parquet(f"{out_dir}/scored")
+    queries = [sink(scored, "parquet", "scored"), sink(rejected, "parquet", "rejected")]
+    if available_now:
+        run_to_completion(queries[:1])
+    sent = spark.readStream.schema(scored.schema).parquet(f"{out_dir}/scored")
+    log = prediction_log(sent, event_time=event_time or "scored_at", request_id="request_id")
+    return [*queries, sink(log, "json", "prediction_log")]
 
 
 def run_to_completion(queries: list[StreamingQuery]) -> None:

@@ -55,10 +55,21 @@ def test_single_class_and_zero_division(spark):
     assert only.macro_f1 == 1.0 and only.negative_f1 == 0.0
 
 
-def test_custom_threshold_changes_predictions(spark):
-    df = frame(spark, [0, 0, 1, 1], [0.20, 0.45, 0.60, 0.70])
-    preds = df.withColumn("prediction", mx.decide(F.col("positive_probability"), 0.65)).orderBy("row_id")
-    assert [r.prediction for r in preds.collect()] == [0, 0, 0, 1]
+def test_decision_moves_with_the_threshold(spark):
+    df = frame(spark, [1, 0, 1], [0.31, 0.52, 0.88])
+    for t, want in ((0.3, [1, 1, 1]), (0.5, [0, 1, 1]), (0.88, [0, 0, 1]), (0.9, [0, 0, 0])):
+        got = df.withColumn("d", mx.decide(F.col("positive_probability"), t)).orderBy("row_id").collect()
+        assert [r.d for r in got] == want
+
+
+def test_sweep_refuses_an_empty_grid_and_missing_probabilities(spark):
+    df = frame(spark, [0, 1], [0.2, 0.8])
+    with pytest.raises(ValueError, match="at least one threshold"):
+        mx.threshold_sweep(df, [])
+    with pytest.raises(ValueError, match="lacks column"):
+        mx.threshold_sweep(df.drop("positive_probability"))
+    with pytest.raises(Exception, match="model with probabilities"):
+        mx.threshold_sweep(df.withColumn("positive_probability", F.lit(None).cast("double"))).collect()
 
 
 def test_threshold_is_inclusive_and_nan_safe(spark):
@@ -83,21 +94,23 @@ def test_sweep_equals_per_threshold_evaluation(spark):
 
 
 def test_best_threshold_selection(spark):
-    results = spark.createDataFrame([(0.4, 0.6), (0.5, 0.9), (0.6, 0.8), (0.7, 0.9)], "threshold double, macro_f1 double")
-    assert mx.best_row(results).first().threshold == 0.5
-    with pytest.raises(ValueError, match="Metric column not found"):
+    rows = [(round(0.3 + i / 100, 2), f) for i, f in enumerate((0.71, 0.84, 0.84, 0.2, 0.8399))]
+    results = spark.createDataFrame(rows, "threshold double, macro_f1 double")
+    assert mx.best_row(results).first().threshold == 0.31
+    with pytest.raises(ValueError, match="have no column"):
         mx.best_row(results, "nope")
 
 
 def test_error_table_types_and_confidence(spark):
     df = spark.createDataFrame(
-        [(0, "bad", "bad", 0, 1, 0.2, 0.8), (1, "good", "good", 1, 0, 0.7, 0.3), (2, "great", "great", 1, 1, 0.4, 0.6)],
+        [(4, "so so", "so so", 1, 0, 0.55, 0.45), (6, "it  rained", "it rained", 0, 0, 0.9, 0.1),
+         (9, "what a day", "what a day", 0, 1, 0.02, 0.98), (11, "", "", 1, 0, 0.5, 0.5)],
         "row_id long, text string, clean_text string, sentiment int, prediction int, "
         "negative_probability double, positive_probability double")
     errs = mx.error_table(df).orderBy("row_id").collect()
-    assert [e.error_type for e in errs] == ["false_positive", "false_negative"]
-    assert [e.confidence for e in errs] == [0.8, 0.7]
-    assert [e.word_count for e in errs] == [1, 1]
+    assert [(e.row_id, e.error_type) for e in errs] == [(4, "false_negative"), (9, "false_positive"), (11, "false_negative")]
+    assert [e.confidence for e in errs] == [0.55, 0.98, 0.5]
+    assert [e.word_count for e in errs] == [2, 3, 0]
 
 
 def test_gates_and_variant_comparison(spark):

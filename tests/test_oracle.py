@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from polarity.plans.catalog import QUERIES
+from polarity.plans.oracle_sql import ORACLE
 from tests.oracle_check import compare, duck_connection
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(entry.oracle_sql())
+NAMES = sorted(ORACLE)
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +25,7 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_is_registered_with_a_check():
-    rows_only = set(entry.queries()) - set(entry.oracle_sql())
+    rows_only = set(QUERIES) - set(ORACLE)
     assert rows_only == {"train_baseline", "experiment_grid", "variant_comparison", "tuned_test_metrics",
                          "evaluation_predictions", "score_batch", "prediction_log", "score_stream",
                          "best_experiment", "score_guarded"}

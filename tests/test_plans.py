@@ -21,13 +21,12 @@ def test_scan_prunes_columns(spark, sf_small):
     assert "ReadSchema: struct<event_id:bigint,user_id:bigint,event_type:string,value:double>" in p
 
 
-def test_split_ranks_only_inside_buckets(spark, sf_small):
+def test_split_is_one_expression_over_one_scan(spark, sf_small):
     clean = materialize(dedup.preprocess_plan(fx.posts(spark, sf_small)).clean)
-    p = plan(split.stratified_split(clean))
-    for line in p.splitlines():
-        if "row_number()" in line:
-            assert "_p#" in line.split("windowspecdefinition(")[1].split(",")[1]
-    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+    table = split.stratified_split(clean)
+    p = plan(table)
+    assert p.count("FileScan") == 1 and "Join" not in p and "Exchange" not in p and "Window" not in p
+    assert plan(split.split_report(table)).count("FileScan") == 1
 
 
 def test_sweep_is_one_aggregation_over_the_data(spark, sf_small):
@@ -39,9 +38,8 @@ def test_sweep_is_one_aggregation_over_the_data(spark, sf_small):
 
 def test_tfidf_counts_terms_in_row(spark, sf_small):
     p = plan(feat.tfidf_long(fx.reviews(spark, sf_small), feat.BASELINE_TFIDF, text_col="text"))
-    assert "BroadcastHashJoin" in p                  # vocabulary bounded by max_features
-    assert p.count("Exchange hashpartitioning(row_id") == 1   # only the per-document norm
-    assert p.count("Exchange hashpartitioning(term") == 1     # document frequency (partial aggregation)
+    assert p.count("Exchange hashpartitioning(row_id") <= 2   # the per-document norm, and spreading a small source
+    assert "BroadcastNestedLoopJoin" not in p and p.count("documents.parquet") == 1
 
 
 def test_scoring_is_map_only(spark, sf_small):
@@ -52,18 +50,32 @@ def test_scoring_is_map_only(spark, sf_small):
     assert "Exchange hashpartitioning" not in p and "SortMergeJoin" not in p
 
 
-def test_spread_only_touches_under_partitioned_inputs(spark):
-    from polarity.session import spread
+def jobs_of(spark, build):
+    spark.sparkContext.setJobGroup("planned", "planning")
+    try:
+        build()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup("planned"))
+    finally:
+        spark.sparkContext.setJobGroup("other", "")
+
+
+def test_building_a_term_plan_runs_no_job(spark, sf_small):
+    reviews = fx.reviews(spark, sf_small)
+    assert jobs_of(spark, lambda: feat.doc_terms(reviews, feat.BASELINE_TFIDF, text_col="text")) == 0
+
+
+def test_spread_deals_out_small_sources_only(spark, monkeypatch):
+    from polarity import session
     cores = spark.sparkContext.defaultParallelism
-    wide = spark.range(1000).repartition(cores + 3)
-    assert spread(wide) is wide
-    narrow = spark.range(1000).coalesce(1)
-    assert spread(narrow, "id").rdd.getNumPartitions() >= cores
-
-
-def test_training_vectors_sized_by_rows(spark):
-    from polarity.operators.models import ROWS_PER_FIT_TASK, _fit_partitions
-    df = spark.range(100).repartition(16)
-    assert _fit_partitions(df, 100).rdd.getNumPartitions() == 1
-    big = _fit_partitions(df, 5 * ROWS_PER_FIT_TASK).rdd.getNumPartitions()
-    assert big == min(16, 5, spark.sparkContext.defaultParallelism)
+    small = materialize(spark.range(1000).coalesce(1))
+    assert session.spread(small, "id").rdd.getNumPartitions() >= cores
+    monkeypatch.setattr(session, "TASK_BYTES", 1)
+    assert session.spread(small) is small
+
+
+def test_written_vectors_follow_their_bytes(spark, monkeypatch):
+    from polarity import session
+    table = materialize(spark.range(100000).repartition(16))
+    assert session.merged(table).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(session, "TASK_BYTES", 1 << 10)
+    assert session.merged(table).rdd.getNumPartitions() == table.rdd.getNumPartitions()

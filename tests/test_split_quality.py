@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from polarity.operators import quality, split
 from polarity.plans.job import preprocess, split_dataset
@@ -14,12 +15,12 @@ def test_quotas_reproduce_recorded_split():
 
 
 def test_split_sizes_must_sum_to_one():
-    with pytest.raises(ValueError, match="sum to 1.0"):
+    with pytest.raises(ValueError, match="do not sum to 1"):
         split.quotas({0: 10, 1: 10}, split.SplitConfig(train_size=0.7))
 
 
 def test_class_with_one_row_cannot_be_split():
-    with pytest.raises(ValueError, match="Unable to split"):
+    with pytest.raises(ValueError, match="Cannot split"):
         split.quotas({0: 1, 1: 50}, split.SplitConfig())
 
 
@@ -71,7 +72,11 @@ def test_class_weights_balanced(spark):
 def test_refined_buckets_give_the_same_split(spark):
     clean, _ = preprocess(fx.posts(spark, "/root/testdata/sf0.01"))
     plain = split.stratified_split(clean).select("row_id", "split").collect()
-    refined = split.stratified_split(clean, max_rank_rows=2).select("row_id", "split").collect()
+    few, split.CUT_ROWS = split.CUT_ROWS, 2
+    try:
+        refined = split.stratified_split(clean).select("row_id", "split").collect()
+    finally:
+        split.CUT_ROWS = few
     assert sorted(plain) == sorted(refined)
 
 
@@ -89,3 +94,27 @@ def test_unstratified_split_sizes(spark):
     (t, v, s), = split.quotas({"__all__": n}, cfg).values()
     got = {r.split: r["count"] for r in table.groupBy("split").count().collect()}
     assert got == {"train": t, "validation": v, "test": s}
+
+
+def test_split_loses_no_row(spark):
+    rows = [(i, None if i % 5 == 0 else i % 2, f"t{i}") for i in range(200)]
+    df = spark.createDataFrame(rows, "row_id long, sentiment int, text string").selectExpr("*", "row_id AS _p")
+    table = split.stratified_split(df)
+    assert table.count() == 200 and table.where("split IS NULL").count() == 0
+    counts = {None: 40, 0: 80, 1: 80}
+    q = split.quotas(counts, split.SplitConfig())
+    got = {(r.sentiment, r.split): r["count"] for r in table.groupBy("sentiment", "split").count().collect()}
+    assert got == {(k, s): n for k, v in q.items() for s, n in zip(split.SPLITS, v)}
+    with pytest.raises(Exception, match="row_id is null"):
+        split.stratified_split(df.withColumn("row_id", F.when(F.col("row_id") > 3, F.col("row_id")))).count()
+
+
+def test_repeated_id_at_a_cut_is_refused(spark):
+    df = spark.createDataFrame([(7, i % 2, f"t{i}") for i in range(40)], "row_id long, sentiment int, text string")
+    with pytest.raises(ValueError, match="unique"):
+        split.stratified_split(df)
+
+
+def test_shares_follow_the_rule():
+    assert split.shares([5, 3, 2], 5) == [3, 1, 1]      # 2.5, 1.5, 1.0: the tie goes to the first
+    assert split.shares([1, 1, 1], 2) == [1, 1, 0]

@@ -1,7 +1,6 @@
 """Cleaning functions against the reference rules, incl. Unicode edge cases."""
 
 import html
-import re
 import unicodedata
 
 import pytest
@@ -9,26 +8,7 @@ from pyspark.sql import functions as F
 
 from polarity.functions import text as tx
 from polarity.functions.accents import strip_accents, strip_accents_py
-
-# The reference's cleaning patterns (Python re), used here as the
-# brute-force oracle.
-PY_URL = re.compile(r"(https?://\S+|www\.\S+)", flags=re.IGNORECASE)
-PY_MENTION = re.compile(r"(?<!\w)@[A-Za-z0-9_]+")
-PY_HASHTAG = re.compile(r"#(\w+)")
-PY_WS = re.compile(r"\s+")
-
-
-def py_clean(t):
-    t = html.unescape(t)
-    t = PY_URL.sub("<URL>", t)
-    t = PY_MENTION.sub("<USER>", t)
-    t = PY_HASHTAG.sub(r"\1", t)
-    return PY_WS.sub(" ", t).strip()
-
-
-def py_key(t):
-    return PY_WS.sub(" ", html.unescape(t).lower()).strip()
-
+from tests import patterns as py
 
 def one(spark, value, expr):
     return spark.createDataFrame([(value,)], "t string").select(expr(F.col("t")).alias("o")).first()[0]
@@ -40,51 +20,45 @@ def many(spark, values, expr):
     return [r.o for r in sorted(rows, key=lambda r: r.i)]
 
 
-def test_decode_html_entities(spark):
+def test_entities_decode_as_python_does(spark):
     from polarity.functions.html import decode_html_entities
-    cases = ["Tom &amp; Jerry", "&lt;3 &#39;x&#39;", "caf&eacute;", "&amp no semicolon", "plain", "&notit;", "&#0;",
-             "a & b", "&&amp;", "&#", "&#x41;", "&#X4a", "& #38;", "x&\ty", "&\rz", "&;", "end &"]
+    cases = ["fish &amp; chips", "&lt;-- &#39;q&#39;", "na&iuml;ve &copy;&middot;", "&amp without end", "nothing", "&notit;",
+             "&#0;", "p & q", "&&amp;", "&#", "&#x41;", "&#X4a", "& #38;", "x&\ty", "&\rz", "&;", "tail &"]
     assert many(spark, cases, decode_html_entities) == [html.unescape(c) for c in cases]
 
 
-def test_replace_urls(spark):
-    assert one(spark, "Read https://example.com and www.example.org", tx.replace_urls) == "Read <URL> and <URL>"
-    assert one(spark, "HTTP://X.Y/z?q=1 WWW.a.b", tx.replace_urls) == "<URL> <URL>"
-
+def test_links_mentions_and_tags_follow_their_patterns(spark):
+    links = ["see http://a.b/c?d=e#f, then WWW.Q.R", "httpx://no www", "ftp://h www.", "HTTPS://Z"]
+    assert many(spark, links, tx.replace_urls) == [py.URL.sub("<URL>", c) for c in links]
+    names = ["by @kim_9 & @lee", "a@b", "@a@b", "@@x", "é@x", "@xé", "x @y_1!", "@ alone", "é@y"]
+    assert many(spark, names, tx.replace_mentions) == [py.MENTION.sub("<USER>", c) for c in names]
+    tags = ["#rain#sun", "# not", "#café #x²", "a#b_1-c"]
+    assert many(spark, tags, tx.clean_hashtags) == [py.HASHTAG.sub(r"\1", c) for c in tags]
 
-def test_replace_mentions(spark):
-    assert one(spark, "Thanks @alice and @bob_123", tx.replace_mentions) == "Thanks <USER> and <USER>"
-    cases = ["a@b", "@a@b", "@@x", "é@x", "@xé", "x @y_1!", "@ alone", "é@y"]
-    assert many(spark, cases, tx.replace_mentions) == [PY_MENTION.sub("<USER>", c) for c in cases]
 
-
-def test_clean_hashtags(spark):
-    assert one(spark, "Love #Happy #AI", tx.clean_hashtags) == "Love Happy AI"
-    assert one(spark, "#café #x²", tx.clean_hashtags) == "café x²"
-
-
-def test_normalize_whitespace(spark):
-    assert one(spark, "  hello\t\tworld\nagain  ", tx.normalize_whitespace) == "hello world again"
+def test_runs_of_space_become_one(spark):
+    cases = ["\n one \t\r two  ", "three", " \u00a0 \u3000", "a\x1cb"]
+    assert many(spark, cases, tx.normalize_whitespace) == [py.SPACES.sub(" ", c).strip() for c in cases]
 
 
 def test_whitespace_class_matches_python(spark):
     chars = [chr(c) for c in range(0x3001) if not 0xD800 <= c <= 0xDFFF]
     values = [f"a{c}{c}b{c}" for c in chars]
     got = many(spark, values, tx.normalize_whitespace)
-    want = [PY_WS.sub(" ", v).strip() for v in values]
+    want = [py.SPACES.sub(" ", v).strip() for v in values]
     assert [v for v, g, w in zip(values, got, want) if g != w] == []
 
 
-def test_clean_keeps_punctuation_and_emoji(spark):
-    text = "Hi @user!!! #Happy \U0001f60a https://example.com"
-    assert one(spark, text, tx.clean_text) == "Hi <USER>!!! Happy \U0001f60a <URL>"
+def test_signs_and_emoji_survive_cleaning(spark):
+    cases = ["wow... @me?! #yes \U0001f680 www.go.to/x", "(\u2764) @a; #b, http://c"]
+    assert many(spark, cases, tx.clean_text) == [py.cleaned(c) for c in cases]
 
 
 def test_clean_and_key_unicode_cases(spark):
     cases = ["x² ý z", "\U0001f469‍\U0001f4bb @dev", "a  b", "a\x1cb", "\t\t",
-             "Tom &amp; Jerry   &AMP; #tag", "ÉCOLE  &eacute;t&eacute;", "ΑΣ ΣΑΣ", "İstanbul"]
-    assert many(spark, cases, tx.clean_text) == [py_clean(c) for c in cases]
-    assert many(spark, cases, tx.duplicate_key) == [py_key(c) for c in cases]
+             "salt &amp; pepper   &AMP; #tag", "ÉCOLE  &eacute;t&eacute;", "ΑΣ ΣΑΣ", "İstanbul"]
+    assert many(spark, cases, tx.clean_text) == [py.cleaned(c) for c in cases]
+    assert many(spark, cases, tx.duplicate_key) == [py.key(c) for c in cases]
 
 
 def test_clean_flags(spark):
@@ -97,33 +71,31 @@ def test_word_count_and_blank(spark):
     assert many(spark, ["", " \t　", "a", None], tx.is_blank) == [True, True, False, None]
 
 
+def test_accent_routing_covers_every_expanding_character():
+    import re
+    from polarity.functions.accents import _tables
+    _, _, _, low, high = _tables()
+    ranges = [tuple(int(x, 16) for x in (r.split("-") if "-" in r else (r, r)))
+              for c in (low, high) for r in re.findall(r"\\x\{([0-9A-F]+)\}(?:-\\x\{([0-9A-F]+)\})?", c)
+              for r in [r[0] + ("-" + r[1] if r[1] else "")]]
+    covered = {cp for a, b in ranges for cp in range(a, b + 1)}
+    for cp in [0xBD, 0xFB01, 0xAC00, 0x1D400, 0x3300]:
+        assert cp in covered
+    for cp in [0x2019, 0x2014, 0x4E2D, 0x1F600, 0x41]:      # quotes, dashes, ideographs, emoji stay native
+        assert cp not in covered
+
+
 def test_strip_accents_matches_rule(spark):
     cases = ["café", "naïve ﬁancé", "한국어", "½ x²", "ǅ", "plain", "ÀÉÎÕÜ", "𝐀𝐁", "á"]
     assert many(spark, cases, strip_accents) == [strip_accents_py(c) for c in cases]
     assert strip_accents_py("é") == "e" and unicodedata.combining("́")
 
 
-def py_char_wb(text, lo, hi):
-    text = re.sub(r"\s\s+", " ", text)
-    out = []
-    for w in text.split():
-        w = " " + w + " "
-        for n in range(lo, hi + 1):
-            offset = 0
-            out.append(w[offset:offset + n])
-            while offset + n < len(w):
-                offset += 1
-                out.append(w[offset:offset + n])
-            if offset == 0:
-                break
-    return out
-
-
 def test_char_wb_ngrams_rule(spark):
     cases = ["a bb ccc dddd eeeee", "x", "", "héllo  wörld\tok", "ab", "\U0001f600x ab\u00a0cd"]
     for rng in [(3, 5), (1, 2), (2, 4), (4, 4)]:
         got = many(spark, cases, lambda c: tx.char_wb_ngrams(c, rng))
-        assert [sorted(g) for g in got] == [sorted(py_char_wb(c, *rng)) for c in cases], rng
+        assert [sorted(g) for g in got] == [sorted(py.boundary_grams(c, *rng)) for c in cases], rng
 
 
 def test_word_ngrams_and_term_counts(spark):
