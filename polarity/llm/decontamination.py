@@ -16,11 +16,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from polarity.llm import words as wd
+from polarity.llm.screen import bit_table, marked
 from polarity.llm.tables import packed, unpacked, written
 
 WINDOW = 10          # words of a window
 GRAM = 5             # words of a fingerprinted gram
-SCREEN_BITS = 1 << 23  # a power of two
 
 FOUND = "array<struct<at:int,len:int,key:binary>>"
 
@@ -73,14 +73,10 @@ def _items(batches, window: int, gram: int):
             names=["item", "size", "keys", "prints"])
 
 
-def _candidates(batches, screen: bytes, bits: int, short: list[int], window: int, gram: int):
+def _candidates(batches, screen: bytes, short: list[int], window: int, gram: int):
     """Document rows -> word count and the windows that may be an item's."""
     table = np.frombuffer(screen, dtype=np.uint8)
 
-    def known(hashes: np.ndarray) -> np.ndarray:
-        bit = hashes & np.uint64(bits - 1)
-        return (table[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
-
     for batch in batches:
         counts = np.zeros(batch.num_rows, np.int64)
         found = [[] for _ in range(batch.num_rows)]
@@ -88,7 +84,7 @@ def _candidates(batches, screen: bytes, bits: int, short: list[int], window: int
             counts[b.first:b.first + len(b.counts())] = b.counts()
             grams, inside = b.grams(gram)
             kept = _kept(grams, inside, window - gram + 1)
-            kept = kept[known(grams[kept])]
+            kept = kept[marked(table, grams[kept])]
             # every window that holds the gram, within the text
             starts = (kept[:, None] - np.arange(window - gram + 1)[None, :])
             owner = b.text_of(kept)[:, None]
@@ -96,7 +92,7 @@ def _candidates(batches, screen: bytes, bits: int, short: list[int], window: int
             spans = [(window, np.unique(starts[fits]))]
             for size in short:
                 grams, inside = b.grams(size)
-                spans.append((size, np.flatnonzero(inside & known(grams))))
+                spans.append((size, np.flatnonzero(inside & marked(table, grams))))
             for size, places in spans:
                 texts = b.text_of(places)
                 for at, i in zip(places.tolist(), texts.tolist()):
@@ -130,13 +126,13 @@ def contamination(df: DataFrame, benchmark: DataFrame, carry: list[str] | None =
         .mapInArrow(lambda it: _items(it, window, gram),
                     "item string, size int, keys array<binary>, prints array<bigint>"))
     windows = items.select("item", F.explode("keys").alias("item_key")).distinct()
-    screen = _screen(items, SCREEN_BITS)
+    screen = bit_table(items.select(F.explode("prints")))
     short = sorted(r[0] for r in items.filter(F.col("size") < window).select("size").distinct().collect())
 
     rows = packed(df, carry, rid=F.monotonically_increasing_id(), text=df[text_col].cast("string"))
     kind = rows.schema["row"].dataType.simpleString()
     scanned = written(rows.mapInArrow(
-        lambda it: _candidates(it, screen, SCREEN_BITS, short, window, gram),
+        lambda it: _candidates(it, screen, short, window, gram),
         f"row {kind}, rid bigint, n_words bigint, found {FOUND}"))
     spans = scanned.filter(F.size("found") > 0).select("rid", F.explode("found").alias("f")).select("rid", "f.*")
     hits = spans.join(windows, F.col("key") == F.col("item_key"))
@@ -144,11 +140,11 @@ def contamination(df: DataFrame, benchmark: DataFrame, carry: list[str] | None =
                 .agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list("item")).alias("items")))
     of_words = (hits.select("rid", "at", "len").distinct().groupBy(F.col("rid").alias("in"))
                 .agg(F.array_sort(F.collect_list(F.struct("at", "len"))).alias("hit")))
-    marked = (scanned.drop("found").join(of_items, F.col("rid") == F.col("of"), "left")
+    counted = (scanned.drop("found").join(of_items, F.col("rid") == F.col("of"), "left")
               .join(of_words, F.col("rid") == F.col("in"), "left"))
     n_hit = F.coalesce(_covered(F.col("hit")), F.lit(0)).cast("bigint")
     return unpacked(
-        marked, carry, n_words=F.col("n_words"), n_hit=n_hit,
+        counted, carry, n_words=F.col("n_words"), n_hit=n_hit,
         n_items=F.coalesce(F.col("n"), F.lit(0)).cast("bigint"),
         items_sha256=F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256),
         contaminated=n_hit > 0)
@@ -164,15 +160,3 @@ def _covered(spans):
                         F.greatest(acc["reach"], end).alias("reach"))
 
     return F.aggregate(spans, start, add)["covered"]
-
-
-def _screen(items: DataFrame, bits: int) -> bytes:
-    """Bit table of the benchmark's fingerprints: ``bits`` bits whatever its
-    size, so at most ``bits`` distinct numbers reach the driver.  A fuller
-    table only lets more windows through to the exact join."""
-    # the low bits of a hash give its place
-    numbers = (items.select(F.explode("prints").alias("p"))
-               .select(F.col("p").bitwiseAND(F.lit(bits - 1)).cast("int").alias("bit")).distinct().toArrow())
-    table = np.zeros(bits, dtype=bool)
-    table[numbers.column("bit").to_numpy()] = True
-    return np.packbits(table, bitorder="little").tobytes()

@@ -17,12 +17,14 @@ from pyspark.sql import functions as F
 
 from polarity.llm import words as wd
 from polarity.llm.components import components
+from polarity.llm.screen import bit_table, may_match
 from polarity.llm.tables import packed, unpacked, written
 
 SHINGLE = 5
 SIMILAR = 0.8
 BANDS, ROWS = 26, 6         # misses 4 in 10,000 pairs of similarity 0.8
 BINS = BANDS * ROWS
+FINE = 1024                 # draws that decide which pairs of a sweep are read
 FEATURES = 1 << 18          # hashed words that document frequencies are kept for
 PART = 256                  # of them in a row of the count table
 PROBES = 512
@@ -91,8 +93,8 @@ def _uniform(h: np.ndarray, salt: int) -> tuple[np.ndarray, np.ndarray]:
             ((z & np.uint64(0xFFFFFFFF)).astype(np.float64) + 0.5) / (1 << 32))
 
 
-def draws(text: np.ndarray, shingle: np.ndarray, weight: np.ndarray, texts: int) -> np.ndarray:
-    """(texts, BINS) codes of the consistent weighted draws; 0: no shingle.
+def draws(text: np.ndarray, shingle: np.ndarray, weight: np.ndarray, texts: int, bins: int = BINS) -> np.ndarray:
+    """(texts, bins) codes of the consistent weighted draws; 0: no shingle.
 
     For shingle s with weight w: r, c ~ Gamma(2, 1) and b ~ U(0, 1) come from
     the hash of s; t = floor(ln w / r + b), y = exp(r (t - b)), and the least
@@ -104,22 +106,22 @@ def draws(text: np.ndarray, shingle: np.ndarray, weight: np.ndarray, texts: int)
     r = -np.log(u1 * u2)
     t = np.floor(np.log(weight) / r + b)
     rank = np.log(-np.log(u3 * u4)) - r * (t - b) - r
-    slot = text * BINS + (place * BINS).astype(np.int64)
-    least = np.full(texts * BINS, np.inf)
+    slot = text * bins + (place * bins).astype(np.int64)
+    least = np.full(texts * bins, np.inf)
     np.minimum.at(least, slot, rank)
     won = rank == least[slot]
-    codes = np.zeros(texts * BINS, np.uint64)
+    codes = np.zeros(texts * bins, np.uint64)
     codes[slot[won]] = wd.mixed(shingle[won] + wd.mixed(t[won].astype(np.int64).view(np.uint64))) | np.uint64(1)
-    return _filled(codes.reshape(texts, BINS))
+    return _filled(codes.reshape(texts, bins))
 
 
 def _filled(codes: np.ndarray) -> np.ndarray:
-    out = codes.copy()
+    out, bins = codes.copy(), codes.shape[1]
     row, hole = np.nonzero((codes == 0) & (codes != 0).any(axis=1)[:, None])
     for probe in range(PROBES):
         if len(row) == 0:
             return out
-        to = (wd.mixed(hole.astype(np.uint64) * np.uint64(PROBES) + np.uint64(probe)) % np.uint64(BINS)).astype(np.int64)
+        to = (wd.mixed(hole.astype(np.uint64) * np.uint64(PROBES) + np.uint64(probe)) % np.uint64(bins)).astype(np.int64)
         got = codes[row, to]
         out[row, hole] = got
         row, hole = row[got == 0], hole[got == 0]
@@ -148,22 +150,26 @@ def sketches(df: DataFrame, idf: np.ndarray, carry: list[str], id_col: str, text
                 heads = np.minimum(b.bounds[:-1], max(0, len(b.hashes) - 1))
                 words = [np.add.reduceat(wd.mixed(b.hashes + np.uint64(salt)) * (place | np.uint64(1)), heads)
                          if len(b.hashes) else np.zeros(len(counts), np.uint64) for salt in (1, 2)]
-                size = np.bincount(text, minlength=len(counts))
-                parts.append((counts, size, words[0], words[1], keys, (codes & np.uint64(0xFFFF)).astype(np.uint16)))
+                parts.append((counts, words[0], words[1], keys, _short(codes)))
             if n == 0:
                 continue
-            counts, size, d1, d2, keys, codes = (np.concatenate(x) for x in zip(*parts))
+            counts, d1, d2, keys, codes = (np.concatenate(x) for x in zip(*parts))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), batch.column("id"), batch.column("rid"), batch.column("text"),
-                 pa.array(counts.astype(np.int64)), pa.array(size.astype(np.int32)),
+                 pa.array(counts.astype(np.int64)),
                  pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)),
-                 _lists(keys.view(np.int64)), _lists(codes.view(np.int16))],
-                names=["row", "id", "rid", "text", "n_words", "n_shingles", "d1", "d2", "keys", "codes"])
+                 _lists(keys.view(np.int64)), _lists(codes)],
+                names=["row", "id", "rid", "text", "n_words", "d1", "d2", "keys", "codes"])
 
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
     return rows.mapInArrow(run, (
-        f"row {kinds['row']}, id {kinds['id']}, rid bigint, text string, n_words bigint, n_shingles int, "
-        "d1 bigint, d2 bigint, keys array<bigint>, codes array<smallint>"))
+        f"row {kinds['row']}, id {kinds['id']}, rid bigint, text string, n_words bigint, "
+        "d1 bigint, d2 bigint, keys array<bigint>, codes array<tinyint>"))
+
+
+def _short(codes: np.ndarray) -> np.ndarray:
+    """One byte of each code: enough to count equal draws."""
+    return ((codes >> np.uint64(8)) & np.uint64(0xFF)).astype(np.uint8).view(np.int8)
 
 
 def _lists(table: np.ndarray) -> pa.Array:
@@ -196,11 +202,18 @@ def similarities(pairs: DataFrame, idf: np.ndarray) -> DataFrame:
     return pairs.select("u", "v", "text_u", "text_v").mapInArrow(run, "u bigint, v bigint, similarity double")
 
 
+def _texts_of(rids: DataFrame, texts: DataFrame) -> DataFrame:
+    """(rid, text) of the given rows (one column); a bit table keeps the other
+    texts out of the shuffle."""
+    rids = written(rids.distinct())
+    near = texts.select("rid", "text").filter(may_match(F.col("rid"), bit_table(rids)))
+    return written(near.join(rids, near["rid"] == rids[rids.columns[0]], "left_semi"))
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
     """The pairs (u, v) with their similarity, read from whole texts."""
     pairs = written(pairs)
-    wanted = pairs.select(F.col("u").alias("w")).union(pairs.select(F.col("v").alias("w"))).distinct()
-    own = written(texts.join(wanted, F.col("rid") == F.col("w"), "left_semi").select("rid", "text"))
+    own = _texts_of(pairs.select(F.col("u").alias("w")).union(pairs.select(F.col("v").alias("w"))), texts)
     left = own.select(F.col("rid").alias("ru"), F.col("text").alias("text_u"))
     right = own.select(F.col("rid").alias("rv"), F.col("text").alias("text_v"))
     both = pairs.join(left, F.col("u") == F.col("ru")).join(right, F.col("v") == F.col("rv"))
@@ -210,47 +223,67 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
 def _links(reps: DataFrame, texts: DataFrame, idf: np.ndarray, similar: float) -> DataFrame:
     """Roots (node, root) of the classes of representatives.
 
-    1. Each bucket links its members to its most popular one: the member that
-       shares most buckets with others, hence lies where the copies are dense.
-    2. Buckets that then still hold several classes are swept: all their pairs
-       between classes whose draws leave 0.8 possible are verified too.  So a
-       pair of a bucket is either in one class already or compared.
+    1. The hub of a bucket is its most popular member: the one that shares
+       most buckets with others, hence lies where copies are dense.  Every
+       member is compared with the hub that it shares most buckets with.
+    2. Buckets that then still hold several classes are swept: of their pairs
+       between classes, each at its first common bucket, those that FINE draws
+       leave possible are compared too.  So a pair of a bucket is in one class
+       already, compared, or ruled out by its draws.
     """
     member = reps.select("rid", F.explode(F.array_distinct("keys")).alias("key"))
     shared = member.groupBy(F.col("key").alias("k")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     inside = written(member.join(shared, F.col("key") == F.col("k")).select("rid", "key", "n"))
     popular = inside.groupBy(F.col("rid").alias("r")).agg(F.sum("n").alias("popular"))
-    ranked = written(inside.join(popular, F.col("rid") == F.col("r")).select("rid", "key", "n", "popular"))
+    ranked = inside.join(popular, F.col("rid") == F.col("r"))
     hubs = ranked.groupBy(F.col("key").alias("k")).agg(
         F.max(F.struct("popular", (-F.col("rid")).alias("least"))).alias("hub"))
-    stars = (ranked.join(hubs, F.col("key") == F.col("k"))
-             .select(F.col("rid").alias("x"), (-F.col("hub.least")).alias("h")).filter("x <> h")
-             .select(F.greatest("x", "h").alias("u"), F.least("x", "h").alias("v")).distinct())
+    nearest = (inside.join(hubs, F.col("key") == F.col("k"))
+               .select(F.col("rid").alias("x"), (-F.col("hub.least")).alias("h")).filter("x <> h")
+               .groupBy("x", "h").agg(F.count(F.lit(1)).alias("together"))
+               .groupBy("x").agg(F.max(F.struct("together", (-F.col("h")).alias("least"))).alias("best")))
+    stars = nearest.select("x", (-F.col("best.least")).alias("h")).select(
+        F.greatest("x", "h").alias("u"), F.least("x", "h").alias("v")).distinct()
     checked = _verified(stars, texts, idf)
     found = checked.filter(F.col("similarity") >= similar).select("u", "v")
     roots = written(components(found))
 
     placed = inside.filter("n > 2").join(roots, F.col("rid") == F.col("node"), "left").select(
         "rid", "key", F.coalesce("root", "rid").alias("root"))
-    open_keys = placed.groupBy(F.col("key").alias("k")).agg(
+    several = placed.groupBy(F.col("key").alias("k")).agg(
         F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("k")
-    sketch = reps.select(F.col("rid").alias("r"), "codes", "n_shingles")
-    left = written(placed.join(open_keys, F.col("key") == F.col("k")).join(sketch, F.col("rid") == F.col("r"))
-                   .select("rid", "key", "root", "codes", "n_shingles"))
-    a, b = left.alias("a"), left.alias("b")
+    unsettled = written(placed.join(several, F.col("key") == F.col("k")).select("rid", "key", "root"))
+    fine = written(_fine_draws(_texts_of(unsettled.select("rid"), texts), idf)
+                   .join(reps.select(F.col("rid").alias("r"), "keys", "codes"), F.col("rid") == F.col("r")).drop("rid"))
+    open_ = written(unsettled.join(fine, F.col("rid") == F.col("r")).drop("r"))
+    a, b = open_.alias("a"), open_.alias("b")
+    first = F.array_min(F.array_intersect("a.keys", "b.keys")) == F.col("a.key")
     sweep = (a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.rid") > F.col("b.rid"))
-                    & (F.col("a.root") != F.col("b.root")) & _possible(F.col("a"), F.col("b"), similar))
-             .select(F.col("a.rid").alias("u"), F.col("b.rid").alias("v")).distinct()
+                    & (F.col("a.root") != F.col("b.root")) & first
+                    & _possible("codes", BINS, similar) & _possible("fine", FINE, similar))
+             .select(F.col("a.rid").alias("u"), F.col("b.rid").alias("v"))
              .join(checked.select("u", "v"), ["u", "v"], "left_anti"))
     more = _verified(sweep, texts, idf).filter(F.col("similarity") >= similar).select("u", "v")
     return components(found.unionByName(more))
 
 
-def _possible(a: Column, b: Column, similar: float) -> Column:
-    """The share of equal draws is within five deviations of ``similar``."""
-    equal = F.aggregate(F.zip_with("a.codes", "b.codes", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    draws_ = F.least(F.col("a.n_shingles"), F.col("b.n_shingles"), F.lit(BINS))
-    return equal / F.lit(BINS) >= F.lit(similar) - 5 * F.sqrt(F.lit(similar * (1 - similar)) / draws_)
+def _fine_draws(own: DataFrame, idf: np.ndarray) -> DataFrame:
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                codes = [draws(*shingles(b, idf), len(b.counts()), FINE) for b in wd.blocks(part.column("text"))]
+                yield pa.RecordBatch.from_arrays([part.column("rid"), _lists(_short(np.concatenate(codes)))],
+                                                 names=["rid", "fine"])
+
+    return own.select("rid", "text").mapInArrow(run, "rid bigint, fine array<tinyint>")
+
+
+def _possible(codes: str, bins: int, similar: float) -> Column:
+    """The share of equal draws is no more than five deviations below ``similar``."""
+    equal = F.aggregate(F.zip_with(f"a.{codes}", f"b.{codes}", lambda x, y: (x == y).cast("int")),
+                        F.lit(0), lambda s, x: s + x)
+    return equal >= bins * (similar - 5 * (similar * (1 - similar) / bins) ** 0.5)
 
 
 def classes(df: DataFrame, carry: list[str] | None = None, id_col: str = "doc_id", text_col: str = "text",
@@ -269,8 +302,7 @@ def classes(df: DataFrame, carry: list[str] | None = None, id_col: str = "doc_id
     table = written(sketches(df, idf, carry, id_col, text_col))
     least = F.min(F.struct(F.col("id").isNull().alias("void"), F.col("id"), F.col("rid").alias("first"))).alias("least")
     reps = written(table.filter("n_words > 0").groupBy("d1", "d2", "n_words").agg(
-        least, F.count(F.lit(1)).alias("copies"), F.first("keys").alias("keys"), F.first("codes").alias("codes"),
-        F.first("n_shingles").alias("n_shingles")).withColumn("rid", F.col("least.first")))
+        least, F.count(F.lit(1)).alias("copies"), F.first("keys").alias("keys"), F.first("codes").alias("codes")).withColumn("rid", F.col("least.first")))
     roots = _links(reps, table, idf, similar)
     rooted = reps.join(roots, F.col("rid") == F.col("node"), "left").select(
         "d1", "d2", "n_words", "least", "copies", F.coalesce("root", "rid").alias("root"))
@@ -278,7 +310,7 @@ def classes(df: DataFrame, carry: list[str] | None = None, id_col: str = "doc_id
         F.min("least").alias("first"), F.sum("copies").alias("size"))
     by_words = rooted.join(groups, F.col("root") == F.col("g")).select(
         F.col("d1").alias("e1"), F.col("d2").alias("e2"), F.col("n_words").alias("e3"), "first", "size")
-    narrow = [c for c in table.columns if c not in ("keys", "codes", "n_shingles", *([] if text_col in carry else ["text"]))]
+    narrow = [c for c in table.columns if c not in ("keys", "codes", *([] if text_col in carry else ["text"]))]
     joined = table.select(*narrow).join(
         by_words, (F.col("d1") == F.col("e1")) & (F.col("d2") == F.col("e2")) & (F.col("n_words") == F.col("e3")), "left")
     added = {"n_words": F.col("n_words"), "class_id": F.when(F.col("first").isNull(), F.col("id")).otherwise(F.col("first.id")),
