@@ -11,26 +11,26 @@ labelled rows; scoring is a map over all rows.
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import LinearSVC
-from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from polarity.llm.tables import packed, unpacked
+from polarity.llm.tables import packed, unpacked, written
 
 SAMPLE_ROWS = 2000          # labelled training rows of each class at most
+SAMPLE_TASKS = 12           # that read the sample
 SAMPLE_BYTES = 1 << 15      # no longer text is in the sample (scoring reads all)
 LANDMARKS = 48              # of toxic strings at most
+STEMS = range(4, 9)         # letters of the beginnings that are counted
 COUNTER_LANDMARKS = 16      # of clean look-alikes at most
 DECAY = 0.5                 # a skipped letter, on either side
 ORDERS = (3, 4)             # subsequence lengths
 LEAST_G2 = 20.0             # log-likelihood ratio that makes a string a landmark
+RIDGE = 1e-3                # of the SVM, per row
 CHUNK = 64                  # letters of a unit that the kernel sees at once
 BLOCK_BYTES = 1 << 20
 CACHE = 1 << 18             # unit margins that a task remembers
@@ -221,7 +221,7 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, label_col: str, rows: int = SAMPLE_ROWS) -> list[tuple[bytes, int]]:
+def training_sample(docs: DataFrame, labels: DataFrame, label_col: str, rows: int = SAMPLE_ROWS) -> DataFrame:
     """(text, label) of at most ``rows`` rows of each class, by hash of the id.
 
     Only rows that aren't held out; an id labelled both ways counts as 1.
@@ -236,88 +236,170 @@ def training_sample(docs: DataFrame, labels: DataFrame, label_col: str, rows: in
         ids.filter("label = 1").orderBy(key, "id").limit(rows))
     picked = chosen.select(F.col("id").alias("chosen"), "label")
     # at most 2 * rows ids
-    found = short.join(F.broadcast(picked), F.col("id") == F.col("chosen")).select("id", "text", "label").toArrow()
-    table = sorted(zip(*(found.column(c).to_pylist() for c in ("id", "text", "label"))))
-    return [(t.encode(), y) for _, t, y in table]
-
-
-def landmarks_of(sample: list[tuple[bytes, int]]) -> list[bytes]:
-    """Strings (units and their beginnings of 4 letters up) that tell toxic
-    training texts from clean ones, best first, none a part of another."""
-    seen = (Counter(), Counter())
-    for text, label in sample:
-        strings = set()
-        for unit in _distinct(text):
-            strings.add(unit[:CHUNK // 4])
-            strings.update(unit[:n] for n in range(4, min(len(unit), 9)))
-        seen[label].update(s for s in strings if len(s) >= 4)
-    n = [sum(1 for _, y in sample if y == k) for k in (0, 1)]
-    scored = []
-    for s, p in seen[1].items():
-        q = seen[0][s]
-        if p / n[1] > 10 * (q + 0.5) / n[0] or q == 0:
-            g2 = 2 * (p * math.log(p / n[1] * (n[0] + n[1]) / (p + q))
-                      + (q * math.log(q / n[0] * (n[0] + n[1]) / (p + q)) if q else 0))
-            if g2 >= LEAST_G2:
-                scored.append((-p, -len(s), s))
+    found = short.join(F.broadcast(picked), F.col("id") == F.col("chosen")).select("text", "label")
+    return written(found.repartition(SAMPLE_TASKS))
+
+
+def _stems(units: Units, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first n letters packed in a number, unit) of units of n letters up."""
+    which = np.flatnonzero(units.size >= n)
+    letters = units.letters[units.head[which][:, None] + np.arange(n)].astype(np.uint64)
+    return (letters << (np.uint64(8) * np.arange(n, dtype=np.uint64))).sum(axis=1, dtype=np.uint64), which
+
+
+def _stem_counts(batches):
+    """Texts of each class that hold a stem: (stem, n, toxic, clean)."""
+    for batch in batches:
+        label = np.array(batch.column("label").to_pylist(), dtype=np.int64)
+        for first, texts in text_blocks(batch.column("text").to_pylist()):
+            units = units_of(texts)
+            for n in STEMS:
+                stem, which = _stems(units, n)
+                text = units.text[which]
+                order = np.lexsort((text, stem))
+                stem, text = stem[order], text[order]
+                new = np.ones(len(stem), dtype=bool)
+                new[1:] = (stem[1:] != stem[:-1]) | (text[1:] != text[:-1])
+                keys, place = np.unique(stem[new], return_inverse=True)
+                y = label[first + text[new]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys.view(np.int64)), pa.array(np.full(len(keys), n, np.int32)),
+                     pa.array(np.bincount(place, weights=y, minlength=len(keys)).astype(np.int64)),
+                     pa.array(np.bincount(place, weights=1 - y, minlength=len(keys)).astype(np.int64))],
+                    names=["stem", "n", "toxic", "clean"])
+
+
+def landmarks_of(sample: DataFrame, totals: dict[int, int]) -> list[bytes]:
+    """Strings that tell toxic training texts from clean ones, best first.
+
+    Beginnings of units (4 to 8 letters) are counted once per text; those with
+    a high log-likelihood ratio stay, the longest of equals, none part of
+    another.  A stem that mostly comes as one word becomes that word."""
+    n0, n1 = float(totals[0]), float(totals[1])
+    counts = (sample.mapInArrow(_stem_counts, "stem bigint, n int, toxic bigint, clean bigint")
+              .groupBy("stem", "n").agg(F.sum("toxic").alias("p"), F.sum("clean").alias("q")))
+    share = (F.col("p") + F.col("q")) / (n0 + n1)
+    g2 = 2 * (F.col("p") * F.log(F.col("p") / n1 / share)
+              + F.when(F.col("q") > 0, F.col("q") * F.log(F.col("q") / n0 / share)).otherwise(0.0))
+    telling = (counts.filter(F.col("p") / n1 > 10 * F.col("q") / n0).withColumn("g2", g2).filter(F.col("g2") >= LEAST_G2)
+               .orderBy(F.desc("p"), F.desc("n"), "stem").limit(64 * LANDMARKS).collect())
     chosen: list[bytes] = []
-    for _, _, s in sorted(scored):
-        if len(chosen) < LANDMARKS and not any(s in c or c in s for c in chosen):
-            chosen.append(s)
-    return chosen
+    for r in telling:
+        stem = int(r.stem).to_bytes(8, "little", signed=True)[:r.n]
+        if len(chosen) < LANDMARKS and not any(stem in c or c in stem for c in chosen):
+            chosen.append(stem)
+    return _whole_words(sample, chosen)
 
 
-def _distinct(text: bytes) -> set[bytes]:
-    units = units_of([text])
-    return {units.get(i) for i in range(len(units.head))}
+def _whole_words(sample: DataFrame, stems: list[bytes]) -> list[bytes]:
+    def words(batches):
+        for batch in batches:
+            seen: Counter = Counter()
+            toxic = [t for t, y in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()) if y]
+            for _, texts in text_blocks(toxic):
+                units = units_of(texts)
+                for n in {len(s) for s in stems}:
+                    keys, which = _stems(units, n)
+                    wanted = np.array([int.from_bytes(s, "little") for s in stems if len(s) == n], np.uint64)
+                    seen.update(units.get(i)[:CHUNK] for i in which[np.isin(keys, wanted)])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
+
+    rows = (sample.mapInArrow(words, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+            .orderBy(F.desc("n"), "word").limit(100 * LANDMARKS).collect())
+    whole = []
+    for stem in stems:
+        own = [(r.n, bytes(r.word)) for r in rows if bytes(r.word).startswith(stem)]
+        total = sum(n for n, _ in own)
+        whole.append(own[0][1] if own and own[0][0] * 2 > total else stem)
+    return whole
+
+
+def _suspects(sample: DataFrame, model: Model, clean: int) -> list:
+    """(label, unit, features) of the most suspicious unit of toxic texts and
+    of the ``clean`` most suspicious ones of clean texts."""
+    def run(batches):
+        fixed = Scorer(model).model
+        for batch in batches:
+            found = []
+            labels = batch.column("label").to_pylist()
+            for first, texts in text_blocks(batch.column("text").to_pylist()):
+                units = units_of(texts)
+                passed = np.flatnonzero(fixed.gate(units.masks()))
+                names = [units.get(i) for i in passed]
+                own = list(dict.fromkeys(names))
+                values = fixed.features(own)
+                place = {n: i for i, n in enumerate(own)}
+                by_text: dict[int, set] = {}
+                for t, n in zip(units.text[passed].tolist(), names):
+                    by_text.setdefault(t, set()).add(n)
+                for t, units_ in by_text.items():
+                    order = sorted(units_, key=lambda n: (-values[place[n]].max(), n))
+                    found += [(labels[first + t], n[:CHUNK], values[place[n]].tolist())
+                              for n in order[:1 if labels[first + t] else clean]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([f[0] for f in found], pa.int32()), pa.array([f[1] for f in found], pa.binary()),
+                 pa.array([f[2] for f in found], pa.list_(pa.float64()))], names=["label", "unit", "features"])
+
+    rows = sample.mapInArrow(run, "label int, unit binary, features array<double>").collect()
+    return sorted((r.label, bytes(r.unit), r.features) for r in rows)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> Model:
-    """Learn from a bounded labelled sample.
+    """Learn from a bounded labelled sample, whose texts stay in the tasks.
 
     With one class only, or no telling string, the model is the constant
     share of label 1 (0.0 without any labels)."""
     sample = training_sample(docs, labels, label_col)
-    share = sum(y for _, y in sample) / len(sample) if sample else 0.0
-    toxic = landmarks_of(sample) if 0 < share < 1 else []
+    totals = {0: 0, 1: 0} | {r.label: r.n for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = sum(totals.values())
+    toxic = landmarks_of(sample, totals) if all(totals.values()) else []
     if not toxic:
-        return Model([], [], np.zeros(0), 0.0, 1.0, 0.0, constant=share)
+        return Model([], [], np.zeros(0), 0.0, 1.0, 0.0, constant=totals[1] / rows if rows else 0.0)
     model = Model(toxic, [], np.zeros(len(toxic)), 0.0, 1.0, 0.0)
-    # the most suspicious unit speaks for its text (labels are of whole texts)
-    spoke = []
-    for text, label in sample:
-        units = units_of([text])
-        names = list({units.get(i) for i in np.flatnonzero(model.gate(units.masks()))})
-        if names:
-            values = model.features(names).max(axis=1)
-            order = np.argsort(-values, kind="stable")[:1 if label else 3]
-            spoke += [(names[i], label, values[i]) for i in sorted(order, key=lambda i: (-values[i], names[i]))]
-    alike = Counter()
-    for unit, label, value in spoke:
+    alike = {}
+    for label, unit, values in _suspects(sample, model, 3):
         if label == 0:
-            alike[unit[:CHUNK]] = max(alike[unit[:CHUNK]], value)
-    model.clean = [u for u, _ in sorted(alike.items(), key=lambda x: (-x[1], x[0]))
-                   if u not in toxic][:COUNTER_LANDMARKS]
-    _fit_margin(docs.sparkSession, model, [(u, y) for u, y, _ in spoke])
-    margins = np.concatenate([Scorer(model).margins([t]) for t, _ in sample])
-    model.slope, model.offset = _curve(margins, np.array([y for _, y in sample]))
+            alike[unit] = max(values)
+    model.clean = [u for u, _ in sorted(alike.items(), key=lambda x: (-x[1], x[0])) if u not in toxic][:COUNTER_LANDMARKS]
+    model.weights = np.zeros(len(model.toxic + model.clean))
+    _fit_margin(model, _suspects(sample, model, 3))
+    flat = Model(model.toxic, model.clean, model.weights, model.bias, 1.0, 0.0)
+
+    def margins(batches):
+        scorer = Scorer(flat)
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            values = np.concatenate([scorer.margins(block) for _, block in text_blocks(texts)] or [np.zeros(0)])
+            yield pa.RecordBatch.from_arrays([pa.array(values), batch.column("label")], names=["margin", "label"])
+
+    known = sample.mapInArrow(margins, "margin double, label int").collect()
+    model.slope, model.offset = _curve(np.array([r.margin for r in known]), np.array([r.label for r in known]))
     return model
 
 
-def _fit_margin(spark, model: Model, spoke: list[tuple[bytes, int]]) -> None:
-    """Linear SVM on Nystroem features K_mm^(-1/2) k(unit)."""
+def _fit_margin(model: Model, suspects: list) -> None:
+    """Linear SVM (squared hinge, Newton steps) on Nystroem features K_mm^(-1/2) k(unit)."""
     marks, norms = model.toxic + model.clean, model.norms()
     between = kernel(marks, marks) / np.outer(norms, norms)
     value, vector = np.linalg.eigh((between + between.T) / 2)
     root = vector @ np.diag(1 / np.sqrt(np.maximum(value, 1e-3))) @ vector.T
-    model.weights = np.zeros(len(marks))
-    space = model.features([u for u, _ in spoke]) @ root
-    rows = [(float(y), Vectors.dense(x)) for (_, y), x in zip(spoke, space)]
-    rows += [(0.0, Vectors.dense(np.zeros(len(marks))))] * max(1, len(spoke) // 4)   # no suspicious unit
-    frame = spark.createDataFrame(rows, ["label", "features"]).coalesce(2)
-    svm = LinearSVC(maxIter=60, regParam=1e-3, standardization=False).fit(frame)
-    model.weights = root @ svm.coefficients.toArray()
-    model.bias = float(svm.intercept)
+    space = np.array([f for _, _, f in suspects]).reshape(len(suspects), len(marks)) @ root
+    # a quarter as many texts without any suspicious unit
+    space = np.concatenate([space, np.zeros((max(1, len(suspects) // 4), len(marks)))])
+    x = np.column_stack([space, np.ones(len(space))])
+    y = np.full(len(x), -1.0)
+    y[[i for i, (label, _, _) in enumerate(suspects) if label]] = 1.0
+    penalty = np.diag(np.append(np.full(len(marks), RIDGE), 1e-9)) * len(x)
+    w, active = np.zeros(x.shape[1]), np.ones(len(x), dtype=bool)
+    for _ in range(50):
+        inside = x[active]
+        w = np.linalg.solve(inside.T @ inside + penalty, inside.T @ y[active])
+        now = y * (x @ w) < 1
+        if (now == active).all():
+            break
+        active = now
+    model.weights, model.bias = root @ w[:-1], float(w[-1])
 
 
 def _curve(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
