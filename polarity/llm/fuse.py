@@ -46,7 +46,7 @@ def build(keys: np.ndarray) -> Fuse:
         return Fuse(0, 4, 4, np.zeros(0, np.uint8))
     segment = 1 << max(2, min(18, int(math.log(n + 1) / math.log(3.33) + 2.25)))
     room = n * max(1.125, 0.875 + 0.25 * math.log(1e6) / math.log(max(n, 2))) + 32
-    starts = max(1, math.ceil(room / segment)) * segment
+    starts = max(1, math.ceil(room / segment) - 2) * segment
     seed = 0
     while True:
         fuse = Fuse(seed, segment, starts, np.zeros(starts + 2 * segment, np.uint8))
