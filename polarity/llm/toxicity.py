@@ -27,7 +27,8 @@ SAMPLE_BYTES = 1 << 15      # no longer text is in the sample (scoring reads all
 LANDMARKS = 48              # of toxic strings at most
 STEMS = range(4, 9)         # letters of the beginnings that are counted
 COUNTER_LANDMARKS = 16      # of clean look-alikes at most
-DECAY = 0.5                 # a skipped letter, on either side
+DECAY = 0.6                 # a skipped letter, on either side
+INSERTED = b"aeox"          # letters put into landmarks to make training examples
 ORDERS = (3, 4)             # subsequence lengths
 LEAST_G2 = 20.0             # log-likelihood ratio that makes a string a landmark
 RIDGE = 1e-3                # of the SVM, per row
@@ -108,36 +109,42 @@ def kernel(units: list[bytes], marks: list[bytes], decay: float = DECAY, orders:
     One row per unit, one column per mark, float64.
     """
     out = np.zeros((len(units), len(marks)))
-    if not units or not marks:
-        return out
-    width = max(map(len, marks))
-    t = np.full((len(marks), width), -2, np.int16)
-    for j, m in enumerate(marks):
-        t[j, :len(m)] = np.frombuffer(m, np.uint8)
-    gaps = np.triu(decay ** np.abs(np.subtract.outer(np.arange(width), np.arange(width)))).astype(np.float32)
     order = np.argsort([len(u) for u in units], kind="stable")
-    for at in range(0, len(order), 256):
-        part = order[at:at + 256]
-        longest = max(1, max(len(units[i]) for i in part))
-        u = np.full((len(part), longest), -1, np.int16)
-        for row, i in enumerate(part):
-            u[row, :len(units[i])] = np.frombuffer(units[i], np.uint8)
-        # ways[i][..., j]: subsequences of length i open at the end of both,
-        # within the first j letters of the mark
-        ways = [np.ones((len(part), len(marks), width + 1), np.float32)]
-        ways += [np.zeros_like(ways[0]) for _ in range(max(orders) - 1)]
-        total = np.zeros((len(part), len(marks)))
-        for a in range(longest):
-            same = (u[:, a][:, None, None] == t[None]).astype(np.float32)
-            for p in orders:
-                total += (same * ways[p - 1][..., :-1]).sum(axis=2)
-            for i in range(len(ways) - 1, 0, -1):
-                ways[i][..., 1:] *= decay
-                ways[i][..., 1:] += (same * ways[i - 1][..., :-1]) @ gaps
-        out[part] = total
+    widths = np.array([-(-len(m) // 4) * 4 for m in marks])
+    for width in np.unique(widths):       # marks of like length together
+        own = np.flatnonzero(widths == width)
+        t = np.full((len(own), width), -2, np.int16)
+        for row, j in enumerate(own):
+            t[row, :len(marks[j])] = np.frombuffer(marks[j], np.uint8)
+        for at in range(0, len(order), 256):
+            part = order[at:at + 256]
+            out[np.ix_(part, own)] = _kernel([units[i] for i in part], t, decay, orders)
     return out
 
 
+def _kernel(units: list[bytes], t: np.ndarray, decay: float, orders: tuple[int, ...]) -> np.ndarray:
+    """The kernel of a few units and marks ``t`` of one width, all at once."""
+    marks, width = t.shape
+    gaps = np.triu(decay ** np.abs(np.subtract.outer(np.arange(width), np.arange(width)))).astype(np.float32)
+    longest = max(1, max(map(len, units)))
+    u = np.full((len(units), longest), -1, np.int16)
+    for row, unit in enumerate(units):
+        u[row, :len(unit)] = np.frombuffer(unit, np.uint8)
+    # ways[i][..., j]: subsequences of length i open at the end of both, within
+    # the first j letters of the mark
+    ways = [np.ones((len(units), marks, width + 1), np.float32)]
+    ways += [np.zeros_like(ways[0]) for _ in range(max(orders) - 1)]
+    total = np.zeros((len(units), marks))
+    for a in range(longest):
+        same = (u[:, a][:, None, None] == t[None]).astype(np.float32)
+        for p in orders:
+            total += (same * ways[p - 1][..., :-1]).sum(axis=2)
+        for i in range(len(ways) - 1, 0, -1):
+            ways[i][..., 1:] *= decay
+            ways[i][..., 1:] += (same * ways[i - 1][..., :-1]) @ gaps
+    return total
+
+
 @dataclass
 class Model:
     """Landmarks, weights and the logistic curve; small enough for a closure."""
@@ -361,9 +368,9 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> Model:
     for label, unit, values in _suspects(sample, model, 3):
         if label == 0:
             alike[unit] = max(values)
-    model.clean = [u for u, _ in sorted(alike.items(), key=lambda x: (-x[1], x[0])) if u not in toxic][:COUNTER_LANDMARKS]
+    model.clean = [u for u, _ in sorted(alike.items(), key=lambda x: (-x[1], x[0])) if u not in toxic and len(u) <= 12][:COUNTER_LANDMARKS]
     model.weights = np.zeros(len(model.toxic + model.clean))
-    _fit_margin(model, _suspects(sample, model, 3))
+    _fit_margin(model, _suspects(sample, model, 3) + _spelled_around(model))
     flat = Model(model.toxic, model.clean, model.weights, model.bias, 1.0, 0.0)
 
     def margins(batches):
@@ -378,6 +385,12 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> Model:
     return model
 
 
+def _spelled_around(model: Model) -> list:
+    """Toxic training examples with a letter put into each landmark."""
+    units = [m[:i] + bytes([c]) + m[i:] for m in model.toxic for i in range(1, len(m)) for c in INSERTED]
+    return [(1, u, f) for u, f in zip(units, model.features(units).tolist())]
+
+
 def _fit_margin(model: Model, suspects: list) -> None:
     """Linear SVM (squared hinge, Newton steps) on Nystroem features K_mm^(-1/2) k(unit)."""
     marks, norms = model.toxic + model.clean, model.norms()

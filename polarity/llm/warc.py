@@ -26,6 +26,7 @@ LEAST_REVISIT = 1000
 LEVEL = 4
 
 # Fixed values of the format.
+TYPES = ("warcinfo", "response", "resource", "request", "metadata", "revisit", "conversion", "continuation")
 VERSION = b"WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 STAMP = "2024-01-01T00:00:00Z"
@@ -239,8 +240,8 @@ def _parsed(data: memoryview, at: int) -> tuple[dict, memoryview, int]:
             raise Broken("header line without colon")
         head[name.strip().lower()] = value.strip()
     size = head.get("content-length", "")
-    if not size.isdigit() or "warc-type" not in head:
-        raise Broken("header lacks a field")
+    if not size.isdigit() or head.get("warc-type") not in TYPES:
+        raise Broken("header lacks a length or a known type")
     begin = at + stop + 4
     block = data[begin:begin + int(size)]
     end = begin + int(size) + 4

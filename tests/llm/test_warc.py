@@ -35,7 +35,7 @@ def brute(rows):
 
 def test_round_trip(spark):
     rows = sample()
-    manifest = warc.write_archives(pages(spark, rows).repartition(4), new_folder(spark, "warc"), archive_bytes=20_000)
+    manifest = warc.write_archives(pages(spark, rows).repartition(4), new_folder(spark, "warc"), archive_bytes=4_000)
     paths = [r.path for r in manifest.collect()]
     assert len(paths) > 4 and manifest.agg({"records": "sum"}).first()[0] == len(rows)
     read = warc.read_archives(spark, paths, with_payload=True).collect()
@@ -67,7 +67,9 @@ def test_damage_costs_only_the_records_it_touches():
         for _ in range(30):
             data = bytearray(b"".join(parts))
             hurt = rng.randrange(20)
-            at = rng.randrange(starts[hurt], starts[hurt + 1] - 1)
+            # a plain header has no digest: there the block is hurt
+            head = parts[hurt].find(b"\r\n\r\n") + 4 if plain else 0
+            at = rng.randrange(starts[hurt] + head, starts[hurt + 1] - 1)
             data[at] ^= 0x55
             found = list(warc.salvage(bytes(data)))
             good = [r["page_id"] for r in found if r["kind"] == "record"]
