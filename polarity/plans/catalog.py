@@ -318,3 +318,122 @@ def q_invalid_labels(spark, sf):
 @query("review_length_histogram")
 def q_review_length_histogram(spark, sf):
     return quality.length_histogram(fx.reviews(spark, sf))
+
+
+# --- rows that the checks must find, and real texts ---------------------------------
+
+@query("flawed_validation")
+def q_flawed_validation(spark, sf):
+    return quality.validation_counts(fx.flawed(spark, sf))
+
+
+@query("flawed_profile")
+def q_flawed_profile(spark, sf):
+    return quality.profile(fx.flawed(spark, sf))
+
+
+@query("flawed_labels")
+def q_flawed_labels(spark, sf):
+    return quality.invalid_labels(fx.flawed(spark, sf))
+
+
+@query("document_survivors")
+def q_document_survivors(spark, sf):
+    return dedup.handle_duplicates(fx.document_posts(spark, sf))[0]
+
+
+@query("document_conflicts")
+def q_document_conflicts(spark, sf):
+    return dedup.label_conflicts(fx.document_posts(spark, sf))
+
+
+@query("document_cleaning_report")
+def q_document_cleaning_report(spark, sf):
+    return dedup.preprocess_plan(fx.document_posts(spark, sf)).report
+
+
+@query("document_profile")
+def q_document_profile(spark, sf):
+    return quality.profile(fx.document_posts(spark, sf))
+
+
+@query("turn_dedup")
+def q_turn_dedup(spark, sf):
+    return dedup.preprocess_plan(fx.turns(spark, sf)).clean
+
+
+@query("page_entities")
+def q_page_entities(spark, sf):
+    from polarity.functions.html import decode_html_entities
+    decoded = decode_html_entities(F.col("html"))
+    return fx.load_table(spark, sf, "pages").select(
+        "page_id", F.md5(decoded).alias("decoded_md5"), (decoded != F.col("html")).alias("changed"))
+
+
+# --- leaderboard steps on a table whose scores SQL knows (G1, G2, E13) ---------------
+
+@query("leaderboard")
+def q_leaderboard(spark, sf):
+    return fx.leaderboard(spark, sf).orderBy(F.col("macro_f1").desc(), "experiment_name")
+
+
+@query("leaderboard_best")
+def q_leaderboard_best(spark, sf):
+    return metrics.best_row(fx.leaderboard(spark, sf), "macro_f1", "experiment_name")
+
+
+@query("leaderboard_variants")
+def q_leaderboard_variants(spark, sf):
+    return metrics.variant_comparison(fx.leaderboard(spark, sf))
+
+
+# --- complement naive Bayes: its fit has a closed form, so SQL can follow it
+
+def _bayes(spark, sf):
+    """(posts split, fitted unigram complement naive Bayes)."""
+    table = job.posts_splits(spark, sf)
+    fv = models.prepare_variant("basic", features.VARIANTS["basic_unigram"], job.part(table, "train"),
+                                job.part(table, "validation"))
+    return table, models.fit_classifier(fv, "complement_nb", models.MODEL_CONFIGS["complement_nb"])[0]
+
+
+def _rounded(df):
+    return df.withColumns({c: F.round(c, 6) for c in ("negative_probability", "positive_probability")})
+
+
+@query("bayes_fit")
+def q_bayes_fit(spark, sf):
+    """(term, theta_0, theta_1): as many rows as the model holds terms."""
+    _, model = _bayes(spark, sf)
+    terms = next(s for s in model.stages if hasattr(s, "vocabulary")).vocabulary
+    theta = model.stages[-1].theta.toArray().round(6)
+    return spark.createDataFrame([(t, float(a), float(b)) for t, a, b in zip(terms, theta[0], theta[1])],
+                                 "term string, theta_0 double, theta_1 double")
+
+
+@query("bayes_score_batch")
+def q_bayes_score_batch(spark, sf):
+    return _rounded(score.score(fx.unlabelled(spark, sf), _bayes(spark, sf)[1], 0.47, keep=("row_id",)))
+
+
+@query("bayes_evaluation")
+def q_bayes_evaluation(spark, sf):
+    table, model = _bayes(spark, sf)
+    return _rounded(score.evaluation_predictions(models.predict(model, job.part(table, "test"))))
+
+
+@query("bayes_log")
+def q_bayes_log(spark, sf):
+    scored = score.score(fx.unlabelled(spark, sf), _bayes(spark, sf)[1], 0.47, keep=("row_id",))
+    return _rounded(score.prediction_log(scored).drop("timestamp"))
+
+
+@query("bayes_score_guarded")
+def q_bayes_score_guarded(spark, sf):
+    return _rounded(score.score_guarded(fx.reviews(spark, sf), _bayes(spark, sf)[1], 0.47))
+
+
+@query("bayes_score_stream")
+def q_bayes_score_stream(spark, sf):
+    streamed = streams.replay_unlabelled(spark, sf, 0.47, model=_bayes(spark, sf)[1])[0]
+    return _rounded(streamed.drop("scored_at"))

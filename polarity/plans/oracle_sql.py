@@ -8,7 +8,7 @@ consumed preceding character; ``&amp;`` is the only entity in the fixture.
 
 from __future__ import annotations
 
-from polarity.sources.fixtures import duck_cte
+from polarity.sources.fixtures import DOCUMENT_POSTS_SQL, FLAWED_SQL, REVIEWS_SQL, TURNS_SQL, duck, duck_cte
 
 WS = r"[\s\x{0B}\x{1c}-\x{1f}\x{85}\p{Z}]"
 
@@ -342,3 +342,108 @@ FROM cand c, base b""",
     "invalid_labels": duck_cte("posts") + "SELECT DISTINCT sentiment FROM posts WHERE sentiment IS NOT NULL AND sentiment NOT IN (0, 1)",
     "review_length_histogram": _R.rstrip() + "," + _histogram("SELECT length(text) AS len FROM reviews WHERE text IS NOT NULL"),
 })
+
+
+# --- rows that the checks must find, and real texts ---------------------------------
+
+def _over(sql: str, fixture: str) -> str:
+    """An oracle written for ``posts``, over another fixture of that shape."""
+    own = duck_cte("posts").rstrip()
+    assert sql.startswith(own)
+    return f"WITH posts AS ({duck(fixture).strip()})" + sql[len(own):]
+
+
+ORACLE.update({
+    "flawed_validation": _over(ORACLE["validation_checks"], FLAWED_SQL),
+    "flawed_profile": _over(ORACLE["profile"], FLAWED_SQL),
+    "flawed_labels": _over(ORACLE["invalid_labels"], FLAWED_SQL),
+    "document_survivors": _over(ORACLE["dedup_survivors"], DOCUMENT_POSTS_SQL),
+    "document_conflicts": _over(ORACLE["label_conflicts"], DOCUMENT_POSTS_SQL),
+    "document_cleaning_report": _over(ORACLE["cleaning_report"], DOCUMENT_POSTS_SQL),
+    "document_profile": _over(ORACLE["profile"], DOCUMENT_POSTS_SQL),
+    "turn_dedup": _over(ORACLE["preprocess"], TURNS_SQL),
+    # the entities of the pages, with and without the closing semicolon
+    "page_entities": """
+WITH p AS (SELECT page_id, html, replace(replace(replace(replace(replace(replace(html, '&copy;', chr(169)), '&middot;', chr(183)),
+  '&quot;', '"'), '&amp;', chr(1)), '&amp', '&'), chr(1), '&') AS d FROM pages)
+SELECT page_id, md5(d) AS decoded_md5, d <> html AS changed FROM p""",
+    "leaderboard": duck_cte("leaderboard") + "SELECT * FROM leaderboard",
+    "leaderboard_best": duck_cte("leaderboard") + "SELECT * FROM leaderboard ORDER BY macro_f1 DESC, experiment_name LIMIT 1",
+    "leaderboard_variants": duck_cte("leaderboard").rstrip() + """,
+best AS (SELECT tfidf_variant, max(macro_f1) AS best_macro_f1 FROM leaderboard GROUP BY tfidf_variant)
+SELECT *, (SELECT best_macro_f1 FROM best WHERE tfidf_variant = 'real_word_char_hybrid')
+        - (SELECT best_macro_f1 FROM best WHERE tfidf_variant = 'unigram_bigram') AS real_word_char_hybrid_minus_unigram_bigram
+FROM best""",
+})
+
+
+# --- complement naive Bayes ----------------------------------------------------------
+
+def _unigrams(name: str, source: str) -> str:
+    return f"""{name}_t AS (SELECT row_id, term, count(*) AS tf FROM (SELECT row_id, unnest({_TOKENS}) AS term FROM {source})
+  GROUP BY row_id, term)"""
+
+
+def _weights(name: str) -> str:
+    """L2-normed tf * idf of the terms that the vocabulary holds."""
+    return f"""{name}_w AS (SELECT t.row_id, t.term, t.tf * v.idf AS w FROM {name}_t t JOIN vocab v USING (term)),
+{name}_x AS (SELECT row_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY row_id)) AS x FROM {name}_w)"""
+
+
+_BAYES = _with_split().rstrip() + f""",
+train AS (SELECT f.row_id, f.sentiment, f.clean_text AS text FROM final f JOIN split s USING (row_id) WHERE s.split = 'train'),
+{_unigrams('train', 'train')},
+vocab AS (SELECT term, ln((1 + n) / (1 + CAST(df AS DOUBLE))) + 1 AS idf FROM (
+    SELECT term, count(*) AS df, sum(tf) AS tf_total FROM train_t GROUP BY term),
+    (SELECT CAST(count(*) AS DOUBLE) AS n FROM train)
+  WHERE df >= 2 AND df <= CAST(0.95 AS DOUBLE) * n ORDER BY tf_total DESC, term LIMIT 30000),
+{_weights('train')},
+sums AS (SELECT v.term, coalesce(sum(x) FILTER (sentiment = 1), 0.0) AS s1, coalesce(sum(x) FILTER (sentiment = 0), 0.0) AS s0
+  FROM vocab v LEFT JOIN train_x USING (term) LEFT JOIN train USING (row_id) GROUP BY v.term),
+-- the parameters of a class come from the rows of the other one
+theta AS (SELECT term, ln(s1 + 1) - ln(sum(s1) OVER () + count(*) OVER ()) AS theta_0,
+                 ln(s0 + 1) - ln(sum(s0) OVER () + count(*) OVER ()) AS theta_1 FROM sums)"""
+
+
+def _bayes_scores(source: str) -> str:
+    """p: positive probability of each row of ``source`` (row_id, text = clean text)."""
+    return _BAYES + f""",
+{_unigrams('own', source)},
+{_weights('own')},
+z AS (SELECT row_id, sum(x * theta_1) - sum(x * theta_0) AS d FROM own_x JOIN theta USING (term) GROUP BY row_id),
+p AS (SELECT s.row_id, 1 / (1 + exp(coalesce(d, 0.0))) AS p1, 1 - 1 / (1 + exp(coalesce(d, 0.0))) AS p0
+      FROM {source} s LEFT JOIN z USING (row_id))"""
+
+
+_UNLABELLED = f"(SELECT row_id, {_clean('text')} AS text FROM posts)"
+_PREDICTED = """CAST(CASE WHEN p1 >= 0.47 THEN 1 ELSE 0 END AS INTEGER) AS predicted_label,
+  CASE WHEN p1 >= 0.47 THEN 'positive' ELSE 'negative' END AS predicted_sentiment"""
+_PROBABILITIES = "round(p0, 6) AS negative_probability, round(p1, 6) AS positive_probability"
+_BATCH = f"""
+SELECT row_id, text, {_clean('text')} AS cleaned_text, {_PREDICTED}, CAST(0.47 AS DOUBLE) AS decision_threshold,
+  {_PROBABILITIES} FROM posts JOIN p USING (row_id)"""
+
+ORACLE.update({
+    "bayes_fit": _BAYES + "\nSELECT term, round(-theta_0, 6) AS theta_0, round(-theta_1, 6) AS theta_1 FROM theta",
+    "bayes_score_batch": _bayes_scores(_UNLABELLED) + _BATCH,
+    "bayes_evaluation": _bayes_scores("(SELECT row_id, clean_text AS text FROM final)") + f"""
+SELECT f.row_id, f.text, f.clean_text, CAST(f.sentiment AS INTEGER) AS actual_sentiment,
+  CAST(CASE WHEN p1 > p0 THEN 1 ELSE 0 END AS INTEGER) AS predicted_sentiment, {_PROBABILITIES}
+FROM final f JOIN p USING (row_id) JOIN split s USING (row_id) WHERE s.split = 'test'""",
+    "bayes_log": _bayes_scores(_UNLABELLED) + f"""
+SELECT md5('request:' || CAST(row_id AS VARCHAR)) AS request_id, {_PREDICTED}, {_PROBABILITIES},
+  CAST(0.47 AS DOUBLE) AS threshold, CAST(length({_clean('text')}) AS BIGINT) AS text_length FROM posts JOIN p USING (row_id)""",
+    "bayes_score_stream": _bayes_scores(_UNLABELLED)
+        + _BATCH.replace("SELECT row_id,", "SELECT md5('request:' || CAST(row_id AS VARCHAR)) AS request_id, row_id,"),
+})
+_REVIEWS = duck(REVIEWS_SQL).strip()
+ORACLE["bayes_score_guarded"] = _bayes_scores(f"(SELECT row_id, {_clean('text')} AS text FROM ({_REVIEWS}))") + f""",
+g AS (SELECT *, CASE WHEN text IS NULL OR regexp_full_match(text, '{WS}*') THEN 'empty_text'
+                     WHEN length(text) > 1000 THEN 'text_too_long' END AS why FROM ({_REVIEWS}))
+SELECT row_id, why IS NULL AS accepted, why AS rejection_reason, text,
+  CASE WHEN why IS NULL THEN {_clean('text')} END AS cleaned_text,
+  CASE WHEN why IS NULL THEN predicted_label END AS predicted_label,
+  CASE WHEN why IS NULL THEN predicted_sentiment END AS predicted_sentiment, CAST(0.47 AS DOUBLE) AS decision_threshold,
+  CASE WHEN why IS NULL THEN negative_probability END AS negative_probability,
+  CASE WHEN why IS NULL THEN positive_probability END AS positive_probability
+FROM g JOIN (SELECT row_id, {_PREDICTED}, {_PROBABILITIES} FROM p) USING (row_id)"""

@@ -46,6 +46,33 @@ SELECT row_id, sentiment, text, text AS clean_text,
 FROM ({posts}) p
 """
 
+# posts with nulls, blanks and labels outside 0 and 1
+FLAWED_SQL = """
+SELECT event_id AS row_id,
+  CASE WHEN event_id % 13 = 0 THEN NULL WHEN event_id % 17 = 0 THEN CAST(2 + event_id % 4 AS INT)
+       WHEN value > 10.0 THEN 1 ELSE 0 END AS sentiment,
+  CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 7 = 0 THEN '  ' WHEN event_id % 19 = 0 THEN ''
+       ELSE concat(event_type, ' ', CAST(user_id % 17 AS STRING)) END AS text
+FROM {events}
+"""
+
+# the real texts, with copies among them; parity stands in for a label
+DOCUMENT_POSTS_SQL = """
+SELECT doc_id AS row_id, CAST(doc_id % 2 AS INT) AS sentiment, text FROM {documents}
+"""
+
+TURNS_SQL = """
+SELECT conv_id * 1000 + turn AS row_id, CASE WHEN role = 'user' THEN 1 ELSE 0 END AS sentiment, text FROM {conversations}
+"""
+
+LEADERBOARD_SQL = """
+SELECT n.n_name AS experiment_name,
+  CASE n.n_regionkey % 3 WHEN 0 THEN 'basic_unigram' WHEN 1 THEN 'unigram_bigram' ELSE 'real_word_char_hybrid' END AS tfidf_variant,
+  CAST(count(c.c_custkey) AS DOUBLE) / CAST(100000 AS DOUBLE) AS macro_f1
+FROM {nation} n LEFT JOIN {customer} c ON c.c_nationkey = n.n_nationkey
+GROUP BY n.n_name, n.n_regionkey
+"""
+
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
 
 
@@ -71,6 +98,22 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _spark_sql(spark, sf_dir, SCORED_SQL, posts=posts(spark, sf_dir))
 
 
+def flawed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _spark_sql(spark, sf_dir, FLAWED_SQL)
+
+
+def document_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _spark_sql(spark, sf_dir, DOCUMENT_POSTS_SQL)
+
+
+def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _spark_sql(spark, sf_dir, TURNS_SQL)
+
+
+def leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _spark_sql(spark, sf_dir, LEADERBOARD_SQL)
+
+
 def unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return posts(spark, sf_dir).select("row_id", "text")
 
@@ -87,6 +130,6 @@ def duck(sql: str) -> str:
 
 def duck_cte(*names: str) -> str:
     """``WITH posts AS (...), ...`` prefix for oracle queries."""
-    bodies = {"posts": POSTS_SQL, "reviews": REVIEWS_SQL, "scored": SCORED_SQL.replace("({posts}) p", "posts")}
+    bodies = {"leaderboard": LEADERBOARD_SQL, "posts": POSTS_SQL, "reviews": REVIEWS_SQL, "scored": SCORED_SQL.replace("({posts}) p", "posts")}
     parts = [f"{name} AS ({duck(bodies[name]).strip()})" for name in names]
     return "WITH " + ",\n".join(parts) + "\n"

@@ -18,11 +18,11 @@ from polarity.streaming.scoring import run_to_completion, start_scoring
 
 
 def replay_unlabelled(spark: SparkSession, sf_dir: str, threshold: float | None = 0.47,
-                      files: int = 4) -> tuple[DataFrame, str]:
+                      files: int = 4, model=None) -> tuple[DataFrame, str]:
     """(scored stream output, scratch folder) for the posts of ``sf_dir``."""
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
     fx.unlabelled(spark, sf_dir).repartition(files).write.parquet(f"{root}/input")
-    model, _ = job.posts_baseline(spark, sf_dir)
+    model = job.posts_baseline(spark, sf_dir)[0] if model is None else model
     queries = start_scoring(spark, f"{root}/input", model, f"{root}/out", f"{root}/checkpoints", threshold)
     run_to_completion(queries)
     return spark.read.parquet(f"{root}/out/scored"), root
