@@ -145,6 +145,26 @@ def _kernel(units: list[bytes], t: np.ndarray, decay: float, orders: tuple[int,
     return total
 
 
+def _in_order(units: Units, which: np.ndarray, mark: bytes, spare: int) -> np.ndarray:
+    """Whether ``mark`` is a subsequence of each unit, ``spare`` letters aside."""
+    letters = np.append(np.frombuffer(mark, np.uint8), 0)
+    order = np.argsort(-units.size[which], kind="stable")
+    head, size = units.head[which][order], units.size[which][order]
+    # reach[s]: letters of the mark met so far when s of them may be left out
+    reach = [np.full(len(which), min(s, len(mark)), np.int64) for s in range(spare + 1)]
+    for a in range(int(size.max(initial=0))):
+        n = int(np.searchsorted(-size, -a))         # units longer than a
+        letter = units.letters[head[:n] + a]
+        for s in range(spare, -1, -1):
+            r = reach[s][:n]
+            r += (letters[r] == letter) & (r < len(mark))
+        for s in range(1, spare + 1):
+            np.maximum(reach[s][:n], np.minimum(reach[s - 1][:n] + 1, len(mark)), out=reach[s][:n])
+    whole = np.zeros(len(which), dtype=bool)
+    whole[order] = reach[spare] >= len(mark)
+    return whole
+
+
 @dataclass
 class Model:
     """Landmarks, weights and the logistic curve; small enough for a closure."""
@@ -156,15 +176,17 @@ class Model:
     offset: float
     constant: float | None = None
 
-    def gate(self, masks: np.ndarray) -> np.ndarray:
-        """Units with all letters of a toxic landmark (of six or more distinct
-        letters one may lack).  Others have the margin of an empty unit."""
-        passed = np.zeros(len(masks), dtype=bool)
+    def gate(self, units: Units) -> np.ndarray:
+        """Units that hold all letters of a toxic landmark in their order, with
+        anything in between (of six or more distinct letters one may lack).
+        Others have the margin of an empty unit."""
+        masks, passed = units.masks(), np.zeros(len(units.head), dtype=bool)
         for mark in self.toxic:
             need = np.bitwise_or.reduce(BIT[np.frombuffer(mark, np.uint8)])
-            lacking = np.bitwise_count(need & ~masks)
-            passed |= lacking <= int(np.bitwise_count(need)) // 6
-        return passed
+            spare = int(np.bitwise_count(need)) // 6
+            maybe = np.flatnonzero((np.bitwise_count(need & ~masks) <= spare) & ~passed)
+            passed[maybe[_in_order(units, maybe, mark, spare)]] = True
+        return np.flatnonzero(passed)
 
     def features(self, units: list[bytes]) -> np.ndarray:
         """Kernel with each landmark, scaled by the landmark's own norm; long
@@ -200,7 +222,7 @@ class Scorer:
     def margins(self, texts: list[bytes]) -> np.ndarray:
         best = np.full(len(texts), self.model.bias)
         units = units_of(texts)
-        passed = np.flatnonzero(self.model.gate(units.masks()))
+        passed = self.model.gate(units)
         names = [units.get(i) for i in passed]
         fresh = [n for n in dict.fromkeys(names) if n not in self.margin]
         if len(self.margin) + len(fresh) > CACHE:
@@ -332,7 +354,7 @@ def _suspects(sample: DataFrame, model: Model, clean: int) -> list:
             labels = batch.column("label").to_pylist()
             for first, texts in text_blocks(batch.column("text").to_pylist()):
                 units = units_of(texts)
-                passed = np.flatnonzero(fixed.gate(units.masks()))
+                passed = fixed.gate(units)
                 names = [units.get(i) for i in passed]
                 own = list(dict.fromkeys(names))
                 values = fixed.features(own)

@@ -42,6 +42,23 @@ def test_units_drop_signs_and_join_single_letters():
         (0, b"you"), (0, b"idiot"), (0, b"abc"), (1, "éx".encode()), (1, b"y"), (3, b"z")]
 
 
+def test_gate_wants_the_letters_in_order():
+    model = tx.Model([b"idiot", b"worthless"], [], np.zeros(2), 0.0, 1.0, 0.0)
+    words = ["idiot", "ixdxiot", "toidi", "idio", "worthless", "worhless", "wrthlss", "xworthlesss", "sselhtrow", "", "i"]
+    units = tx.units_of([w.encode() for w in words])
+    assert [units.get(i).decode() for i in model.gate(units)] == ["idiot", "ixdxiot", "worthless", "worhless", "xworthlesss"]
+    rng = random.Random(17)
+    for _ in range(300):
+        mark = bytes(rng.choice(b"abc") for _ in range(rng.randint(1, 6)))
+        unit = bytes(rng.choice(b"abc") for _ in range(rng.randint(1, 12)))
+        for spare in (0, 1):
+            it = {mark[:i] + mark[i + 1:] for i in range(len(mark))} if spare else {mark}
+            want = any(all(c in rest for c in m) for m in it for rest in [iter(unit)])
+            u = tx.units_of([b"zz " + unit]) if len(unit) > 1 else tx.units_of([unit])
+            got = tx._in_order(u, np.array([len(u.head) - 1]), mark, spare)[0]
+            assert got == want, (mark, unit, spare)
+
+
 @pytest.fixture(scope="module")
 def insulted(spark):
     """Invented texts; label 1 where an insult was put in."""
