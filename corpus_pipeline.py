@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from polarity.llm import decontamination, mixing, near_dedup, sharding, toxicity
-from polarity.llm.tables import load, written
+from polarity.llm.tables import drop_tables, load, recorded, written
 
 SHARDS = 16
 CARRY = ["rest", "text"]
@@ -54,13 +54,35 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(docs, SHARDS)
 
 
-STAGES = [
+_helpers: dict[str, tuple[int, list[str]]] = {}     # by session: the last stage begun and its tables
+
+
+def _in_turn(place: int, stage):
+    """``stage``, which first drops the helper tables of the one before it.
+
+    A stage gets what the one before it wrote, so those tables have been read
+    for the last time.  Out of turn, or when ``docs`` itself still reads them,
+    nothing is dropped."""
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        key = spark.sparkContext.applicationId
+        last, tables = _helpers.pop(key, (None, []))
+        if last == place - 1 and not any(t in f for f in docs.inputFiles() for t in tables):
+            drop_tables(spark, tables)
+        with recorded() as made:
+            out = stage(spark, docs, sf_dir)
+        _helpers[key] = (place, made)
+        return out
+
+    return run_stage
+
+
+STAGES = [(name, _in_turn(place, stage)) for place, (name, stage) in enumerate([
     ("toxicity", drop_toxic),
     ("near_dedup", one_of_each_class),
     ("decontamination", drop_contaminated),
     ("mixing", mix_sources),
     ("sharding", shard),
-]
+])]
 
 # A learned score and similarity classes have no SQL form; tests/llm holds the
 # stages against brute force.

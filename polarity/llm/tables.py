@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import uuid
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,10 +32,33 @@ def written(df: DataFrame) -> DataFrame:
     loss of an executor never recomputes what came before.
     """
     path = new_folder(df.sparkSession, "table")
-    df.write.parquet(path)
+    for made in _recording:
+        made.append(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_recording: list[list[str]] = []
+
+
+@contextmanager
+def recorded():
+    """The paths of the tables that ``written`` makes inside the block."""
+    made: list[str] = []
+    _recording.append(made)
+    try:
+        yield made
+    finally:
+        _recording.remove(made)
+
+
+def drop_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables that ``written`` made and that nothing reads any more."""
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def packed(df: DataFrame, carry: list[str], **own: Column) -> DataFrame:
     """The columns ``carry`` of ``df`` in one struct ``row`` beside the
     operator's ``own``.
