@@ -66,7 +66,8 @@ def _in_turn(place: int, stage):
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         key = spark.sparkContext.applicationId
         last, tables = _helpers.pop(key, (None, []))
-        if last == place - 1 and not any(t in f for f in docs.inputFiles() for t in tables):
+        own = [t.rsplit("/", 1)[-1] for t in tables]
+        if last == place - 1 and not any(t in f for f in docs.inputFiles() for t in own):
             drop_tables(spark, tables)
         with recorded() as made:
             out = stage(spark, docs, sf_dir)
