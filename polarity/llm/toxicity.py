@@ -30,7 +30,9 @@ COUNTER_LANDMARKS = 16      # of clean look-alikes at most
 DECAY = 0.6                 # a skipped letter, on either side
 INSERTED = b"aeox"          # letters put into landmarks to make training examples
 ORDERS = (3, 4)             # subsequence lengths
-LEAST_G2 = 20.0             # log-likelihood ratio that makes a string a landmark
+LEAST_G2 = 20.0             # log-likelihood ratio that makes a string a landmark,
+LEAST_SHARE = 0.1           # and at least so much of the best string's (words of a language in which
+                            # toxic texts are common have small ratios too)
 RIDGE = 1e-3                # of the SVM, per row
 CHUNK = 64                  # letters of a unit that the kernel sees at once
 BLOCK_BYTES = 1 << 20
@@ -312,6 +314,7 @@ def landmarks_of(sample: DataFrame, totals: dict[int, int]) -> list[bytes]:
               + F.when(F.col("q") > 0, F.col("q") * F.log(F.col("q") / n0 / share)).otherwise(0.0))
     telling = (counts.filter(F.col("p") / n1 > 10 * F.col("q") / n0).withColumn("g2", g2).filter(F.col("g2") >= LEAST_G2)
                .orderBy(F.desc("p"), F.desc("n"), "stem").limit(64 * LANDMARKS).collect())
+    telling = [r for r in telling if r.g2 >= LEAST_SHARE * max(t.g2 for t in telling)]
     chosen: list[bytes] = []
     for r in telling:
         stem = int(r.stem).to_bytes(8, "little", signed=True)[:r.n]
@@ -392,7 +395,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> Model:
             alike[unit] = max(values)
     model.clean = [u for u, _ in sorted(alike.items(), key=lambda x: (-x[1], x[0])) if u not in toxic and len(u) <= 12][:COUNTER_LANDMARKS]
     model.weights = np.zeros(len(model.toxic + model.clean))
-    _fit_margin(model, _suspects(sample, model, 3) + _spelled_around(model))
+    suspects = _suspects(sample, model, 3)
+    _fit_margin(model, suspects + _spelled_around(model, suspects))
     flat = Model(model.toxic, model.clean, model.weights, model.bias, 1.0, 0.0)
 
     def margins(batches):
@@ -407,10 +411,14 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> Model:
     return model
 
 
-def _spelled_around(model: Model) -> list:
-    """Toxic training examples with a letter put into each landmark."""
-    units = [m[:i] + bytes([c]) + m[i:] for m in model.toxic for i in range(1, len(m)) for c in INSERTED]
-    return [(1, u, f) for u, f in zip(units, model.features(units).tolist())]
+def _spelled_around(model: Model, suspects: list) -> list:
+    """Toxic training examples with a letter put into each landmark, where
+    they are closer to it than any suspect unit of a clean text is."""
+    clean = np.array([f for label, _, f in suspects if label == 0]).reshape(-1, len(model.toxic + model.clean))
+    reach = clean.max(axis=0, initial=0.0)
+    units = [(j, m[:i] + bytes([c]) + m[i:]) for j, m in enumerate(model.toxic) for i in range(1, len(m)) for c in INSERTED]
+    features = model.features([u for _, u in units])
+    return [(1, u, f.tolist()) for (j, u), f in zip(units, features) if f[j] > reach[j]]
 
 
 def _fit_margin(model: Model, suspects: list) -> None:
