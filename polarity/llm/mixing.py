@@ -61,15 +61,14 @@ def mix(df: DataFrame, seed: str = "mix", carry: list[str] | None = None, id_col
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(df[id_col].cast("string"), F.lit("null"))))
     rows = packed(df, carry, source=df[source_col].cast("string"), key=key,
                   size=F.regexp_count(text, F.lit(WORD)).cast("bigint"))
-    ranked = prefix_sums(rows, ["key", "size"], ["size"], ["source"])
-    totals = ranked.groupBy("source").agg(F.max(F.col("size_before") + F.col("size")).alias("source_size"))
-    targets = source_targets(totals, max_epochs).withColumnRenamed("source", "of")
+    ranked = prefix_sums(rows, ["key", "size"], ["size"], ["source"],
+                         lambda totals: source_targets(totals.withColumnRenamed("size_total", "source_size"), max_epochs))
     epochs = F.floor(F.coalesce(F.try_divide(F.col("target"), F.col("source_size")), F.lit(0.0)))
     rest = F.col("target") - epochs * F.col("source_size")
     again = (F.col("size_before") * 2 + F.col("size") <= rest * 2) & (rest > 0)
     copies = (epochs + again.cast("bigint")).cast("bigint")
     return unpacked(
-        ranked.join(targets, F.col("source").eqNullSafe(F.col("of"))), carry,
+        ranked, carry,
         size=F.col("size"), source_size=F.col("source_size"), target=F.col("target"),
         copies=copies, taken=copies * F.col("size"))
 
