@@ -226,10 +226,12 @@ def _links(reps: DataFrame, texts: DataFrame, idf: np.ndarray, similar: float) -
     1. The hub of a bucket is its most popular member: the one that shares
        most buckets with others, hence lies where copies are dense.  Every
        member is compared with the hub that it shares most buckets with.
-    2. Buckets that then still hold several classes are swept: of their pairs
-       between classes, each at its first common bucket, those that FINE draws
-       leave possible are compared too.  So a pair of a bucket is in one class
-       already, compared, or ruled out by its draws.
+    2. Buckets that then still hold several classes, those of two texts too,
+       are swept: of their pairs between classes, each at its first common
+       bucket, those that FINE draws leave possible are compared too.  So a
+       pair of a bucket is in one class already, compared, or ruled out by its
+       draws.  All common buckets of a pair between classes hold several
+       classes, so the first one is among those swept.
     """
     member = reps.select("rid", F.explode(F.array_distinct("keys")).alias("key"))
     shared = member.groupBy(F.col("key").alias("k")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -248,7 +250,7 @@ def _links(reps: DataFrame, texts: DataFrame, idf: np.ndarray, similar: float) -
     found = checked.filter(F.col("similarity") >= similar).select("u", "v")
     roots = written(components(found))
 
-    placed = inside.filter("n > 2").join(roots, F.col("rid") == F.col("node"), "left").select(
+    placed = inside.join(roots, F.col("rid") == F.col("node"), "left").select(
         "rid", "key", F.coalesce("root", "rid").alias("root"))
     several = placed.groupBy(F.col("key").alias("k")).agg(
         F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("k")

@@ -122,3 +122,26 @@ def test_components_of_chains_stars_and_loops(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in range(61)}, **{100 + i: 100 for i in range(30)}, 200: 100, 300: 300, 301: 300}
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def chains(rng, lengths, words=110, edits=2):
+    """Texts that are each an edited copy of the one before."""
+    out = []
+    for n in lengths:
+        w = cases.sentence(rng, words).split(" ")
+        for _ in range(n):
+            out.append(" ".join(w))
+            for at in rng.sample(range(len(w)), edits):
+                w[at] = cases.sentence(rng, 1)
+    return out
+
+
+def test_chains_of_edited_copies_hold_together(spark):
+    rng = random.Random(18)
+    rows = [(i, t, "s", "en") for i, t in enumerate(chains(rng, [5, 6, 7, 8, 9, 10, 11, 12] * 3))]
+    df = cases.frame(spark, rows).repartition(4)
+    want = brute(rows, nd.word_weights(df))
+    groups = {}
+    for r in nd.classes(df).collect():
+        groups.setdefault(r.class_id, set()).add(r.doc_id)
+    assert {frozenset(g) for g in groups.values()} == want
