@@ -1,9 +1,8 @@
-"""Near duplicates by improved consistent weighted sampling (operator 5).
+"""Near duplicates by consistent weighted sampling (operator 5).
 
-A text is its set of five-word shingles, weighted tf * idf.  Improved
-consistent weighted sampling draws one shingle per bin of the shingle hash;
-equal draws are as likely as the weighted Jaccard similarity.  Bands of draws
-make buckets, pairs of a bucket are verified by exact weighted Jaccard on
+A text is its set of five-word shingles, weighted tf * idf.  Each consistent
+weighted draw chooses among all shingles of a text; equal draws are as likely
+as the weighted Jaccard similarity.  Bands of draws make buckets, pairs of a bucket are verified by exact weighted Jaccard on
 whole texts, and verified links make the classes.
 """
 
@@ -27,7 +26,8 @@ BINS = BANDS * ROWS
 FINE = 1024                 # draws that decide which pairs of a sweep are read
 FEATURES = 1 << 18          # hashed words that document frequencies are kept for
 PART = 256                  # of them in a row of the count table
-PROBES = 512
+CELL = 8.0                  # weight whose points come from one hash
+POINTS = 1 << 16            # made at once, once so few cells are left
 
 
 def word_weights(df: DataFrame, text_col: str = "text") -> np.ndarray:
@@ -87,48 +87,41 @@ def shingles(b: wd.Block, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
             times * np.round(np.concatenate(mean)[first], 4))
 
 
-def _uniform(h: np.ndarray, salt: int) -> tuple[np.ndarray, np.ndarray]:
-    z = wd.mixed(h + np.uint64(salt * 0x9E3779B97F4A7C15 % (1 << 64)))
-    return (((z >> np.uint64(32)).astype(np.float64) + 0.5) / (1 << 32),
-            ((z & np.uint64(0xFFFFFFFF)).astype(np.float64) + 0.5) / (1 << 32))
-
-
 def draws(text: np.ndarray, shingle: np.ndarray, weight: np.ndarray, texts: int, bins: int = BINS) -> np.ndarray:
     """(texts, bins) codes of the consistent weighted draws; 0: no shingle.
 
-    For shingle s with weight w: r, c ~ Gamma(2, 1) and b ~ U(0, 1) come from
-    the hash of s; t = floor(ln w / r + b), y = exp(r (t - b)), and the least
-    c / (y e^r) of a bin wins with code (s, t).  Empty bins copy another one
-    of the text, found by a fixed probe order per bin."""
-    u1, u2 = _uniform(shingle, 1)
-    u3, u4 = _uniform(shingle, 2)
-    b, place = _uniform(shingle, 3)
-    r = -np.log(u1 * u2)
-    t = np.floor(np.log(weight) / r + b)
-    rank = np.log(-np.log(u3 * u4)) - r * (t - b) - r
-    slot = text * bins + (place * bins).astype(np.int64)
+    A shingle is a strip of its weight, cut into cells of width CELL.  The hash
+    of a cell gives points in the order of time (a Poisson process), each with
+    a place across the cell and a draw that it belongs to.  A text has the
+    points whose place lies within its weight, and the earliest of each draw
+    wins.  So every draw sees all shingles, is independent of the others, and
+    is equal for two texts with their weighted Jaccard similarity, however
+    short they are."""
+    cells = np.maximum(np.ceil(weight / CELL), 1).astype(np.int64)
+    of = np.repeat(np.arange(len(shingle)), cells)
+    nth = np.arange(len(of)) - np.repeat(np.cumsum(cells) - cells, cells)
+    seed = wd.mixed(shingle[of] + wd.mixed(nth.astype(np.uint64) + np.uint64(1)))
+    room, row = weight[of] / CELL - nth, text[of]
+    time, step = np.zeros(len(of)), 0
     least = np.full(texts * bins, np.inf)
-    np.minimum.at(least, slot, rank)
-    won = rank == least[slot]
     codes = np.zeros(texts * bins, np.uint64)
-    codes[slot[won]] = wd.mixed(shingle[won] + wd.mixed(t[won].astype(np.int64).view(np.uint64))) | np.uint64(1)
-    return _filled(codes.reshape(texts, bins))
-
-
-def _filled(codes: np.ndarray) -> np.ndarray:
-    out, bins = codes.copy(), codes.shape[1]
-    row, hole = np.nonzero((codes == 0) & (codes != 0).any(axis=1)[:, None])
-    for probe in range(PROBES):
-        if len(row) == 0:
-            return out
-        to = (wd.mixed(hole.astype(np.uint64) * np.uint64(PROBES) + np.uint64(probe)) % np.uint64(bins)).astype(np.int64)
-        got = codes[row, to]
-        out[row, hole] = got
-        row, hole = row[got == 0], hole[got == 0]
-    for i, h in zip(row, hole):     # few draws: the next one from the bin on
-        own = np.flatnonzero(codes[i])
-        out[i, h] = codes[i, own[np.searchsorted(own, h) % len(own)]]
-    return out
+    while len(seed):
+        k = max(1, min(POINTS, POINTS // len(seed)))
+        z = wd.mixed(seed[:, None] + np.arange(step + 1, step + k + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        gaps = -np.log(((z >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53))
+        gaps[:, 0] += time
+        times = np.cumsum(gaps, axis=1)
+        other = wd.mixed(z ^ np.uint64(0xD1B54A32D192ED03))
+        inside = ((other & np.uint64(0xFFFFFFFF)).astype(np.float64) + 0.5) / (1 << 32) < room[:, None]
+        slot = (row[:, None] * bins + ((other >> np.uint64(32)) % np.uint64(bins)).astype(np.int64))[inside]
+        at, point = times[inside], z[inside]
+        np.minimum.at(least, slot, at)
+        won = at == least[slot]
+        codes[slot[won]] = wd.mixed(point[won] + np.uint64(1)) | np.uint64(1)
+        # later points of a cell can win no draw once all draws have earlier ones
+        open_ = times[:, -1] < least.reshape(texts, bins).max(axis=1)[row]
+        seed, room, row, time, step = seed[open_], room[open_], row[open_], times[open_, -1], step + k
+    return codes.reshape(texts, bins)
 
 
 def sketches(df: DataFrame, idf: np.ndarray, carry: list[str], id_col: str, text_col: str) -> DataFrame:

@@ -145,3 +145,33 @@ def test_chains_of_edited_copies_hold_together(spark):
     for r in nd.classes(df).collect():
         groups.setdefault(r.class_id, set()).add(r.doc_id)
     assert {frozenset(g) for g in groups.values()} == want
+
+
+def test_draws_of_short_texts_follow_the_weights():
+    """Some heavy shingles shared, light ones in one text only, and the other way round."""
+    rng = np.random.default_rng(19)
+    ids = rng.integers(1, 1 << 48, 2000, dtype=np.uint64)
+    for shared, heavy, own, light, passed in ((100, 6.0, 60, 2.0, True), (12, 10.0, 10, 2.4, True),
+                                              (100, 2.0, 20, 30.0, False), (1, 9.3, 0, 1.0, True)):
+        total, equal, banded, tries = 0.0, 0.0, 0, 60
+        true = shared * heavy / (shared * heavy + own * light)
+        for t in range(tries):
+            s = rng.choice(ids, shared + own, replace=False)
+            text = np.concatenate([np.zeros(shared, np.int64), np.ones(shared + own, np.int64)])
+            weight = np.concatenate([np.full(shared, heavy), np.full(shared, heavy), np.full(own, light)])
+            ids_ = np.concatenate([s[:shared], s])
+            fine = nd.draws(text, ids_, weight, 2, nd.FINE)
+            codes = nd.draws(text, ids_, weight, 2)
+            same = (fine[0] == fine[1]).mean()
+            assert abs(same - true) <= 5 * (true * (1 - true) / nd.FINE) ** 0.5
+            banded += (codes[0] == codes[1]).reshape(nd.BANDS, nd.ROWS).all(axis=1).any()
+        assert banded == tries or not passed, (shared, own, banded)
+
+
+def test_draws_depend_on_the_own_text_only():
+    rng = np.random.default_rng(20)
+    ids = np.sort(rng.integers(1, 1 << 48, 3000, dtype=np.uint64))
+    weight = np.round(rng.uniform(1, 40, 3000), 4)
+    alone = nd.draws(np.zeros(50, np.int64), ids[:50], weight[:50], 1)
+    among = nd.draws(np.concatenate([np.zeros(50, np.int64), np.ones(2950, np.int64)]), ids, weight, 3)
+    assert (alone[0] == among[0]).all() and (among[1] != 0).all() and (among[2] == 0).all()
