@@ -222,19 +222,20 @@ def _unzipped(data: memoryview, at: int, step: int = 1 << 16) -> tuple[bytes, in
     return b"".join(out), here - len(unpacker.unused_data)
 
 
-HEAD_BYTES = 1 << 16
+# An empty line ends a header; a version line before it starts another record.
+HEAD_END = re.compile(rb"\r\n(?:\r\n|WARC/1\.[01]\r\n)")
 
 
 def _parsed(data: memoryview, at: int) -> tuple[dict, memoryview, int]:
     """Header fields (lower-case names) and block of the record at ``at``."""
-    top = bytes(data[at:at + HEAD_BYTES])
-    if not re.match(rb"WARC/1\.[01]\r\n", top):
+    if not re.match(rb"WARC/1\.[01]\r\n", data[at:at + 10]):
         raise Broken("no version line")
-    stop = top.find(b"\r\n\r\n")
-    if stop < 0:
+    found = HEAD_END.search(data, at)
+    if not found or found.group() != b"\r\n\r\n":
         raise Broken("header without end")
+    top, stop = bytes(data[at:found.start()]), found.start() - at
     head = {}
-    for line in top[:stop].split(b"\r\n")[1:]:
+    for line in top.split(b"\r\n")[1:]:
         name, colon, value = line.decode("utf-8", "replace").partition(":")
         if not colon:
             raise Broken("header line without colon")

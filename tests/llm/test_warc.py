@@ -93,3 +93,12 @@ def test_cut_junk_and_mixed_archives():
 def test_user_columns_do_not_matter(spark):
     df = cases.clashing(pages(spark, sample()[:5]), "digest", "payload", "kind")
     assert warc.write_archives(df, new_folder(spark, "warc")).agg({"records": "sum"}).first()[0] == 5
+
+
+def test_a_long_url_is_read_back():
+    row = {"page_id": 7, "uri": "data:text/html," + "x" * 200_000, "digest": "d", "size": 2, "refers_to": None, "payload": "ab"}
+    record = warc._record(row)
+    for data in (warc._member(record), record, b"WARC/1.1\r\nno end" + b"\r\n" + record):
+        *gaps, got = warc.salvage(data)
+        assert (got["kind"], got["page_id"], got["uri"]) == ("record", 7, row["uri"])
+        assert [g["kind"] for g in gaps] == ["gap"] * len(gaps) and sum(g["length"] for g in gaps) + got["length"] == len(data)
