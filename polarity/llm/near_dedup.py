@@ -140,9 +140,7 @@ def sketches(df: DataFrame, idf: np.ndarray, carry: list[str], id_col: str, text
                 keys = wd.mixed((codes.reshape(-1, BANDS, ROWS) * band_key).sum(axis=2)
                                 + np.arange(1, BANDS + 1, dtype=np.uint64))
                 place = wd.mixed((np.arange(len(b.hashes)) - np.repeat(b.bounds[:-1], counts)).astype(np.uint64))
-                heads = np.minimum(b.bounds[:-1], max(0, len(b.hashes) - 1))
-                words = [np.add.reduceat(wd.mixed(b.hashes + np.uint64(salt)) * (place | np.uint64(1)), heads)
-                         if len(b.hashes) else np.zeros(len(counts), np.uint64) for salt in (1, 2)]
+                words = [_sums(wd.mixed(b.hashes + np.uint64(salt)) * (place | np.uint64(1)), b) for salt in (1, 2)]
                 parts.append((counts, words[0], words[1], keys, _short(codes)))
             if n == 0:
                 continue
@@ -160,6 +158,14 @@ def sketches(df: DataFrame, idf: np.ndarray, carry: list[str], id_col: str, text
         "d1 bigint, d2 bigint, keys array<bigint>, codes array<tinyint>"))
 
 
+def _sums(values: np.ndarray, b: wd.Block) -> np.ndarray:
+    """The sum of the values of each text's words, 0 without words."""
+    out, some = np.zeros(len(b.counts()), np.uint64), b.counts() > 0
+    if some.any():
+        out[some] = np.add.reduceat(values, b.bounds[:-1][some])
+    return out
+
+
 def _short(codes: np.ndarray) -> np.ndarray:
     """One byte of each code: enough to count equal draws."""
     return ((codes >> np.uint64(8)) & np.uint64(0xFF)).astype(np.uint8).view(np.int8)

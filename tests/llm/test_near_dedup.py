@@ -175,3 +175,15 @@ def test_draws_depend_on_the_own_text_only():
     alone = nd.draws(np.zeros(50, np.int64), ids[:50], weight[:50], 1)
     among = nd.draws(np.concatenate([np.zeros(50, np.int64), np.ones(2950, np.int64)]), ids, weight, 3)
     assert (alone[0] == among[0]).all() and (among[1] != 0).all() and (among[2] == 0).all()
+
+
+def test_texts_before_trailing_empty_ones_keep_their_last_word(spark):
+    block, = wd.blocks(pa.array(["a b c", "", None, "d", "!", ""]))
+    assert nd._sums(np.array([1, 2, 3, 4], np.uint64), block).tolist() == [6, 0, 0, 4, 0, 0]
+    rows = [(i, t, "s", "en") for i, t in enumerate(["ka lo mi", "", "ka lo tu", None])]
+    idf = np.ones(nd.FEATURES, np.float32)
+    digests = set()
+    for part in (rows[:2], rows[2:]):       # each ends with a text without words
+        df = cases.frame(spark, part).coalesce(1)
+        digests |= {(r.d1, r.d2) for r in nd.sketches(df, idf, ["doc_id"], "doc_id", "text").collect() if r.n_words}
+    assert len(digests) == 2
