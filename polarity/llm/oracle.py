@@ -112,10 +112,51 @@ g AS (
 SELECT doc_id, keep_id, CAST(group_size AS BIGINT) AS group_size, doc_id = keep_id AS kept, text_sha256 FROM g
 """
 
+# k-means in whole numbers: one CTE for each distance, choice and mean
+def _vector_codes(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
+    steps = [f"""
+WITH flat AS (
+  SELECT vec_id, label, len(embedding) // {parts} AS width, CAST(unnest(embedding) AS DOUBLE) AS y,
+         generate_subscripts(embedding, 1) - 1 AS at
+  FROM embeddings),
+whole AS (
+  SELECT vec_id FROM flat GROUP BY vec_id
+  HAVING count(*) = count(y) AND count(*) FILTER (isnan(y) OR isinf(y)) = 0),
+cells AS MATERIALIZED (
+  SELECT vec_id, label, at // width AS part, at % width AS place, CAST(floor({scale} * y) AS BIGINT) AS x
+  FROM flat WHERE vec_id IN (SELECT vec_id FROM whole)),
+seeds AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM whole ORDER BY vec_id LIMIT {entries}),
+book0 AS MATERIALIZED (SELECT part, entry, place, x AS c FROM cells JOIN seeds USING (vec_id))"""]
+    for i in range(rounds + 1):
+        steps.append(f"""
+far{i} AS (
+  SELECT vec_id, part, entry, CAST(sum((x - c) * (x - c)) AS BIGINT) AS d
+  FROM cells JOIN book{i} USING (part, place) GROUP BY vec_id, part, entry),
+near{i} AS MATERIALIZED (
+  SELECT vec_id, part, min(d * {entries} + entry) % {entries} AS entry, min(d) AS d FROM far{i} GROUP BY vec_id, part)""")
+        if i < rounds:
+            steps.append(f"""
+mean{i} AS (
+  SELECT part, entry, place, CAST(floor(CAST(sum(x) AS DOUBLE) / count(*)) AS BIGINT) AS m
+  FROM cells JOIN near{i} USING (vec_id, part) GROUP BY part, entry, place),
+book{i + 1} AS MATERIALIZED (
+  SELECT part, entry, place, coalesce(m, c) AS c FROM book{i} LEFT JOIN mean{i} USING (part, entry, place))""")
+    return ",".join(steps) + f""",
+coded AS (
+  SELECT vec_id, string_agg(printf('%02x', CAST(entry AS INTEGER)), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM near{rounds} GROUP BY vec_id),
+labelled AS (SELECT DISTINCT vec_id, label FROM cells),
+digest AS (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY part, entry, place)) AS codebooks_sha256 FROM book{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded JOIN labelled USING (vec_id) CROSS JOIN digest
+"""
+
+
 ORACLE: dict[str, str] = {
     "op3_mix": MIX,
     "op4_secret_ledger": SECRETS,
     "op7_warc_salvage": WARC,
     "op8_decontaminate": DECONTAMINATION,
     "op10_exact_dedup": EXACT,
+    "op13_vector_codes": _vector_codes(),
 }

@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from polarity.llm import (decontamination, exact_dedup, licences, mixing, near_dedup, quality_cotraining, secret_ledger,
-                          sharding, toxicity, warc)
-from polarity.llm.tables import load, new_folder
+from polarity.llm import (conversation_repair, decontamination, exact_dedup, licences, mixing, near_dedup, quality_cotraining,
+                          secret_ledger, sharding, toxicity, vector_codes, warc)
+from polarity.llm.tables import load, new_folder, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -95,3 +95,19 @@ def op9_licences(spark, sf):
         F.col("doc_id") % 64 == 0, F.concat_ws("/", F.col("lang"), parent, folder, F.lit("LICENSE"))).otherwise(
         F.concat_ws("/", F.col("lang"), parent, folder, F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))))
     return licences.scan(docs.withColumn("path", path), carry=["doc_id", "path"])
+
+
+@query
+def op11_conversation_repair(spark, sf):
+    talks = load(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    rows = conversation_repair.damage(talks)
+    found = written(conversation_repair.with_all(talks, conversation_repair.repairs(rows)))
+    digests = conversation_repair.repaired_digests(rows, found).withColumnRenamed("conv_id", "of")
+    return found.join(digests, F.col("conv_id").eqNullSafe(F.col("of"))).select(
+        "conv_id", *conversation_repair.COUNTS, "audit", "repaired_sha256")
+
+
+@query
+def op13_vector_codes(spark, sf):
+    vectors = load(spark, sf, "embeddings").select("vec_id", "embedding", "label")
+    return vector_codes.compress(vectors, carry=["vec_id"])
