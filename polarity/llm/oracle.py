@@ -117,13 +117,13 @@ def _vector_codes(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int
     steps = [f"""
 WITH flat AS (
   SELECT vec_id, label, len(embedding) // {parts} AS width, CAST(unnest(embedding) AS DOUBLE) AS y,
-         generate_subscripts(embedding, 1) - 1 AS at
+         generate_subscripts(embedding, 1) - 1 AS pos
   FROM embeddings),
 whole AS (
   SELECT vec_id FROM flat GROUP BY vec_id
   HAVING count(*) = count(y) AND count(*) FILTER (isnan(y) OR isinf(y)) = 0),
 cells AS MATERIALIZED (
-  SELECT vec_id, label, at // width AS part, at % width AS place, CAST(floor({scale} * y) AS BIGINT) AS x
+  SELECT vec_id, label, pos // width AS part, pos % width AS place, CAST(floor({scale} * y) AS BIGINT) AS x
   FROM flat WHERE vec_id IN (SELECT vec_id FROM whole)),
 seeds AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM whole ORDER BY vec_id LIMIT {entries}),
 book0 AS MATERIALIZED (SELECT part, entry, place, x AS c FROM cells JOIN seeds USING (vec_id))"""]
