@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from polarity.llm import (conversation_repair, decontamination, exact_dedup, licences, mixing, near_dedup, quality_cotraining,
-                          secret_ledger, sharding, toxicity, vector_codes, warc)
+from polarity.llm import (contextual_pii, conversation_repair, decontamination, exact_dedup, licences, mixing, near_dedup,
+                          quality_cotraining, secret_ledger, sharding, toxicity, vector_codes, warc)
 from polarity.llm.tables import load, new_folder, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +111,12 @@ def op11_conversation_repair(spark, sf):
 def op13_vector_codes(spark, sf):
     vectors = load(spark, sf, "embeddings").select("vec_id", "embedding", "label")
     return vector_codes.compress(vectors, carry=["vec_id"])
+
+
+@query
+def op12_contextual_pii(spark, sf):
+    docs = load(spark, sf, "documents").select("doc_id", "text")
+    base = contextual_pii.joined_spans(with_found=False)
+    return contextual_pii.find(docs, carry=["doc_id"]).select(
+        "doc_id", *[F.size(f"{k}_spans").cast("bigint").alias(f"n_{k}") for k in contextual_pii.KINDS],
+        F.sha2(base, 256).alias("base_sha256"), contextual_pii.joined_spans(with_found=True).alias("spans"))
