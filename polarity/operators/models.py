@@ -1,37 +1,39 @@
 """Classifiers, training, the experiment grid and model persistence.
 
-Objectives are mapped onto Spark ML:
-
-* logistic regression (liblinear, C, balanced): ``LogisticRegression`` with
-  ``weightCol`` = balanced weights, ``regParam = 1 / (C * sum(w))``, no
-  standardisation; liblinear also penalises the intercept, so a constant 1.0
-  feature replaces the free intercept (``fitIntercept=False``).
-* linear SVC: ``LinearSVC`` with the same weights, ``regParam`` and constant
-  feature.  Spark minimises the plain hinge, the reference the squared hinge:
-  close, not identical.  No probabilities.
-* SGD log-loss (alpha, balanced): the same optimum as ``LogisticRegression``
-  with ``regParam = alpha`` and a free intercept; the solver differs.
+Each classifier of the reference is an exact objective:
+
+* logistic regression (liblinear, C, balanced): |w|^2 / 2 + C * sum of weighted
+  logistic losses, the intercept penalised as a constant feature;
+* linear SVC: the same with the squared hinge; no probabilities;
+* SGD log-loss (alpha, balanced): alpha / 2 * |w|^2 + the weighted mean of the
+  logistic loss, free intercept - the optimum that stochastic steps approach;
 * complement naive Bayes (alpha): ``NaiveBayes(modelType="complement")``.
 
-Features are fitted once per variant and written once (checkpoint); the
-variants, then all classifier fits, run concurrently from a thread pool -
-Spark schedules their small jobs side by side.
+The first three are fitted by ``operators.linear``: all linear models of a
+variant share one scan of the rows per solver round, and the gradient norm at
+the end is reported.  Fitted weights become Spark ML models, so scoring,
+persistence and streams are Spark's own.  Features are fitted once per variant
+and written once; the variants run concurrently from a thread pool.
 """
 
 from __future__ import annotations
 
 import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LinearSVCModel, LogisticRegressionModel, NaiveBayes
+from pyspark.ml.common import _py2java
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml.linalg import DenseVector
+from pyspark.ml.wrapper import JavaParams
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from polarity.operators import features as feat
+from polarity.operators import linear
 from polarity.operators import metrics as mx
 from polarity.operators.quality import require_columns
 from polarity.session import materialize, merged, spread
@@ -45,61 +47,53 @@ MODEL_CONFIGS = {
     "complement_nb": {"enabled": True, "alpha": 1.0},
 }
 
-# Relative change of the loss at which a solver stops; ``tol`` in a model's
-# settings overrides it.  At 1e-6 probabilities are within 1e-3 of a fit that
-# runs to 1e-10 (tests/test_models.py); a looser value moves them by a step
-# of the threshold grid.
-DEFAULT_TOL = 1e-6
-
-LABEL, TEXT, WEIGHT, FEATURES = "sentiment", "clean_text", "_weight", "features"
-BIAS_FEATURES = "_features_bias"
+# Gradient norm, as a share of the norm at zero weights, at which a solver
+# stops; ``tol`` in a model's settings overrides it.
+DEFAULT_TOL = 1e-4
 
+LABEL, TEXT, FEATURES = "sentiment", "clean_text", "features"
+LINEAR = ("logistic_regression", "linear_svc", "sgd_classifier")
 
-def with_balanced_weights(df: DataFrame, label: str = LABEL) -> tuple[DataFrame, float]:
-    """J12 weights n / (k * n_c) as a column; returns (frame, sum of weights).
 
-    The class counts are k rows; the weight is a literal map lookup.
-    """
+def class_counts(df: DataFrame, label: str = LABEL) -> dict:
+    """Rows per label (k rows); B16: the positive class must be learnable."""
     counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
-    if 1 not in counts:  # B16: the positive class must be learnable
+    if 1 not in counts:
         raise ValueError("the training labels hold no positive class (1)")
-    n, k = sum(counts.values()), len(counts)
-    mapping = F.create_map(*[x for c, m in counts.items() for x in (F.lit(c), F.lit(n / (k * m)))])
-    return df.withColumn(WEIGHT, F.element_at(mapping, F.col(label)).cast("double")), float(n)
+    return counts
 
 
-def build_classifier(name: str, cfg: dict, weight_sum: float, label: str = LABEL):
-    """(stages to append after the features, uses_weights)."""
-    balanced = cfg.get("class_weight") == "balanced"
-    weight_kw = {"weightCol": WEIGHT} if balanced else {}
+def linear_objective(name: str, cfg: dict, counts: dict) -> linear.Objective:
+    """J13 for the linear models: the objective on rows with these label
+    counts.  Balanced classes (J12) weigh n / (k * n_c)."""
+    n, k = sum(counts.values()), len(counts)
+    weight = {c: n / (k * m) for c, m in counts.items()} if cfg.get("class_weight") == "balanced" else {}
+    positive = weight.get(1, 1.0)
+    negative = next((w for c, w in weight.items() if c != 1), 1.0)
     if name in ("logistic_regression", "linear_svc"):
-        c = float(cfg.get("C", 1.0))
-        bias = [SQLTransformer(statement="SELECT *, 1.0 AS _bias FROM __THIS__"),
-                VectorAssembler(inputCols=[FEATURES, "_bias"], outputCol=BIAS_FEATURES)]
-        common = dict(featuresCol=BIAS_FEATURES, labelCol=label, regParam=1.0 / (c * weight_sum),
-                      standardization=False, fitIntercept=False, tol=float(cfg.get("tol", DEFAULT_TOL)), **weight_kw)
-        if name == "logistic_regression":
-            clf = LogisticRegression(maxIter=int(cfg.get("max_iter", 1000)), elasticNetParam=0.0,
-                                     family="binomial", **common)
-        else:
-            clf = LinearSVC(maxIter=int(cfg.get("max_iter", 5000)), **common)
-        return bias + [clf], balanced
+        loss = "logistic" if name == "logistic_regression" else "squared_hinge"
+        return linear.Objective(loss, 1.0, float(cfg.get("C", 1.0)), negative=negative, positive=positive)
     if name == "sgd_classifier":
         if cfg.get("loss", "log_loss") != "log_loss" or cfg.get("penalty", "l2") != "l2":
             raise ValueError("sgd_classifier supports loss='log_loss' with penalty='l2'")
-        clf = LogisticRegression(featuresCol=FEATURES, labelCol=label, regParam=float(cfg.get("alpha", 1e-4)),
-                                 elasticNetParam=0.0, standardization=False, fitIntercept=True,
-                                 maxIter=int(cfg.get("max_iter", 1000)), tol=float(cfg.get("tol", DEFAULT_TOL)),
-                                 family="binomial",
-                                 **weight_kw)
-        return [clf], balanced
-    if name == "complement_nb":
-        clf = NaiveBayes(featuresCol=FEATURES, labelCol=label, modelType="complement",
-                         smoothing=float(cfg.get("alpha", 1.0)))
-        return [clf], False
+        return linear.Objective("logistic", float(cfg.get("alpha", 1e-4)), 1.0 / n, free_intercept=True,
+                                negative=negative, positive=positive)
     raise ValueError(f"no such model: {name}")
 
 
+def bayes_classifier(cfg: dict, label: str = LABEL) -> NaiveBayes:
+    """Complement naive Bayes, unweighted."""
+    return NaiveBayes(featuresCol=FEATURES, labelCol=label, modelType="complement", smoothing=float(cfg.get("alpha", 1.0)))
+
+
+def linear_stage(name: str, fit: linear.Fit):
+    """Fitted weights as a Spark ML model over the feature column."""
+    kind = LinearSVCModel if name == "linear_svc" else LogisticRegressionModel
+    java = JavaParams._new_java_obj(f"org.apache.spark.ml.classification.{kind.__name__}", f"{name}_{uuid.uuid4().hex[:12]}",
+                                    _py2java(SparkSession.active().sparkContext, DenseVector(fit.weights)), float(fit.intercept))
+    return kind(java).setFeaturesCol(FEATURES)
+
+
 def check_training_frame(df: DataFrame, what: str, text: str = TEXT, label: str = LABEL) -> None:
     """C1/C2 for a training or validation frame (one aggregation)."""
     require_columns(df, [text, label], f"{what} data")
@@ -156,10 +150,20 @@ class FittedVariant:
     features: PipelineModel
     train: DataFrame
     validation: DataFrame
-    weight_sum: float
+    counts: dict
+    length: int
     seconds: float
 
 
+@dataclass
+class Trained:
+    """One classifier on a variant: its stage, the seconds of its own work and,
+    for a linear model, the solver's account."""
+    stage: object
+    seconds: float
+    fit: linear.Fit | None = None
+
+
 def prepare_variant(name: str, spec: feat.FeatureSpec, train: DataFrame, validation: DataFrame,
                     text: str = TEXT, label: str = LABEL, id_col: str = "row_id",
                     vocabs: dict | None = None, vocab_seconds: dict | None = None) -> FittedVariant:
@@ -171,55 +175,86 @@ def prepare_variant(name: str, spec: feat.FeatureSpec, train: DataFrame, validat
     train, validation = spread(train, id_col), spread(validation, id_col)
     fm = feat.fit_features(train, spec, text, FEATURES, id_col, vocabs)
     shared = sum((vocab_seconds or {}).get(p, 0.0) for p in spec.parts)
-    weighted, wsum = with_balanced_weights(train, label)
-    tr = materialize(feat.drop_feature_intermediates(fm.transform(weighted)).select(id_col, label, WEIGHT, FEATURES))
+    counts = class_counts(train, label)
+    tr = materialize(feat.drop_feature_intermediates(fm.transform(train)).select(id_col, label, FEATURES))
     va = materialize(feat.drop_feature_intermediates(fm.transform(validation)).select(id_col, label, FEATURES))
-    # every optimizer iteration is one job over the vectors: partitions follow
-    # their bytes, so small sets do not pay per-task overhead
+    # every solver round is one job over the vectors: partitions follow their
+    # bytes, so small sets do not pay per-task overhead
     tr, va = merged(tr), merged(va)
-    return FittedVariant(name, fm, tr, va, wsum, time.perf_counter() - t0 + shared)
+    length = sum(len(s.vocabulary) for s in fm.stages if hasattr(s, "vocabulary"))
+    return FittedVariant(name, fm, tr, va, counts, length, time.perf_counter() - t0 + shared)
+
+
+def fit_classifiers(fv: FittedVariant, models: dict, label: str = LABEL) -> dict[str, Trained]:
+    """Fit several classifiers on the written vectors of one variant: the
+    linear ones together, one scan a round; naive Bayes in closed form.
+
+    ``seconds`` of a linear model is the time its own sums took, over all
+    tasks, so it doesn't depend on what else runs."""
+    unknown = [m for m in models if m not in LINEAR and m != "complement_nb"]
+    if unknown:
+        raise ValueError(f"no such model: {unknown[0]}")
+    objectives = {m: linear_objective(m, cfg, fv.counts) for m, cfg in models.items() if m in LINEAR}
+    out = {}
+    if objectives:
+        data = merged(linear.blocks(fv.train, FEATURES, label))
+        tol = {m: float(models[m].get("tol", DEFAULT_TOL)) for m in objectives}
+        steps = {m: int(models[m].get("max_iter", 1000)) for m in objectives}
+        for m, fit in linear.solve(data, fv.length, objectives, tol, steps).items():
+            out[m] = Trained(linear_stage(m, fit), fit.task_seconds, fit)
+    if "complement_nb" in models:
+        t0 = time.perf_counter()
+        stage = bayes_classifier(models["complement_nb"], label).fit(fv.train)
+        out["complement_nb"] = Trained(stage, time.perf_counter() - t0)
+    return {m: out[m] for m in models}
+
+
+def pipeline_of(fv: FittedVariant, trained: Trained) -> PipelineModel:
+    """Feature stages plus classifier: scores raw clean text."""
+    return PipelineModel(stages=[*fv.features.stages, trained.stage])
 
 
 def fit_classifier(fv: FittedVariant, model_name: str, cfg: dict, label: str = LABEL) -> tuple[PipelineModel, float]:
-    """Fit one classifier on the cached vectors; the result includes the
-    feature stages, so it scores raw clean text."""
-    stages, _ = build_classifier(model_name, cfg, fv.weight_sum, label)
-    t0 = time.perf_counter()
-    head = Pipeline(stages=stages).fit(fv.train)
-    seconds = time.perf_counter() - t0
-    return PipelineModel(stages=list(fv.features.stages) + list(head.stages)), seconds
+    """One classifier: (pipeline, seconds)."""
+    trained = fit_classifiers(fv, {model_name: cfg}, label)[model_name]
+    return pipeline_of(fv, trained), trained.seconds
 
 
 def _vector_model(model: PipelineModel, fv: FittedVariant) -> PipelineModel:
-    """The classifier part only (for cached feature vectors)."""
+    """The classifier part only (for written feature vectors)."""
     return PipelineModel(stages=model.stages[len(fv.features.stages):])
 
 
-LEADERBOARD_COLUMNS = ["experiment_name", "model_name", "tfidf_variant", "accuracy", "macro_precision",
-                       "macro_recall", "macro_f1", "weighted_f1", "negative_f1", "positive_f1",
-                       "training_time_seconds"]
+LEADERBOARD = ("experiment_name string, model_name string, tfidf_variant string, accuracy double, macro_precision double, "
+               "macro_recall double, macro_f1 double, weighted_f1 double, negative_f1 double, positive_f1 double, "
+               "training_time_seconds double, relative_gradient double")
+METRICS = ["accuracy", "macro_precision", "macro_recall", "macro_f1", "weighted_f1", "negative_f1", "positive_f1"]
+
+
+def leaderboard(board: DataFrame) -> DataFrame:
+    """G1: experiments by macro-F1, best first (ties: experiment name)."""
+    return board.orderBy(F.col("macro_f1").desc(), "experiment_name")
 
 
 def run_experiments(train: DataFrame, validation: DataFrame, models: dict | None = None,
                     variants: dict | None = None, parallelism: int = 8):
     """Every enabled model x feature variant, scored on validation only.
 
-    Feature variants are fitted concurrently, then all classifier fits are
-    submitted to one thread pool: each fit is a chain of small optimizer jobs,
-    so running them side by side keeps the executors busy.
+    Each distinct vectoriser is fitted once.  Variants run side by side; in a
+    variant the linear models share their scans (``fit_classifiers``).
     Returns (leaderboard sorted by macro-F1, {experiment: fitted pipeline}).
-    ``training_time_seconds`` = the variant's feature fit + the classifier fit
-    (wall time of each, measured in its own thread).
+    ``training_time_seconds`` = the variant's feature fit + the classifier's
+    own work; ``relative_gradient`` = gradient norm at the end over that at
+    zero (null for naive Bayes, which has a closed form).
     """
     check_training_frame(train, "train")
     check_training_frame(validation, "validation")
     models = MODEL_CONFIGS if models is None else models
     variants = feat.VARIANTS if variants is None else variants
-    enabled = [(m, c) for m, c in models.items() if c.get("enabled", False)]
+    enabled = {m: c for m, c in models.items() if c.get("enabled", False)}
     if not enabled:
         raise ValueError("no model is enabled")
     workers = max(1, parallelism)
-    # each distinct vectoriser is fitted once, even when several variants use it
     configs = list(dict.fromkeys(p for spec in variants.values() for p in spec.parts))
     fit_train = spread(train, "row_id")
 
@@ -231,29 +266,24 @@ def run_experiments(train: DataFrame, validation: DataFrame, models: dict | None
         fitted_vocabs = list(pool.map(fit_vocab, configs))
     vocabs = {cfg: v for cfg, v, _ in fitted_vocabs}
     vocab_seconds = {cfg: secs for cfg, _, secs in fitted_vocabs}
-    with ThreadPoolExecutor(max_workers=min(workers, len(variants))) as pool:
-        prepared = list(pool.map(lambda kv: prepare_variant(kv[0], kv[1], train, validation,
-                                                            vocabs=vocabs, vocab_seconds=vocab_seconds),
-                                 variants.items()))
 
-    def one(job):
-        fv, (mname, cfg) = job
-        model, secs = fit_classifier(fv, mname, cfg)
-        m = evaluate_model(_vector_model(model, fv), fv.validation)[0].first().asDict()
-        return fv, mname, model, secs, m
+    def one_variant(item):
+        fv = prepare_variant(item[0], item[1], train, validation, vocabs=vocabs, vocab_seconds=vocab_seconds)
+        trained = fit_classifiers(fv, enabled)
+        scored = {m: evaluate_model(PipelineModel(stages=[t.stage]), fv.validation)[0].first().asDict()
+                  for m, t in trained.items()}
+        return fv, trained, scored
 
-    jobs = [(fv, item) for fv in prepared for item in enabled]
+    with ThreadPoolExecutor(max_workers=min(workers, len(variants))) as pool:
+        done = list(pool.map(one_variant, variants.items()))
     rows, fitted = [], {}
-    with ThreadPoolExecutor(max_workers=workers) as pool:
-        for fv, mname, model, secs, m in pool.map(one, jobs):
-            exp = f"{mname}__{fv.name}"
-            fitted[exp] = model
-            rows.append((exp, mname, fv.name, m["accuracy"], m["macro_precision"], m["macro_recall"],
-                         m["macro_f1"], m["weighted_f1"], m["negative_f1"], m["positive_f1"],
-                         float(fv.seconds + secs)))
-    spark = train.sparkSession
-    board = spark.createDataFrame(rows, LEADERBOARD_COLUMNS).orderBy(F.col("macro_f1").desc(), "experiment_name")
-    return board, fitted
+    for fv, trained, scored in done:
+        for m, t in trained.items():
+            name = f"{m}__{fv.name}"
+            fitted[name] = pipeline_of(fv, t)
+            rows.append((name, m, fv.name, *[scored[m][c] for c in METRICS], float(fv.seconds + t.seconds),
+                         t.fit.gradient if t.fit else None))
+    return leaderboard(train.sparkSession.createDataFrame(rows, LEADERBOARD)), fitted
 
 
 def select_best(board: DataFrame, metric: str = "macro_f1") -> dict:

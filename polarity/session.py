@@ -9,9 +9,11 @@ one is created only for local sessions that have none (tests, laptops).
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULT_CONF = {
@@ -79,14 +81,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet into the checkpoint folder and cut its lineage.
 
     The files lie on shared storage, so they survive executor loss, and later
     jobs read only the columns they need.
     """
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -120,3 +122,8 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     if _source_bytes(df) >= cores * TASK_BYTES:
         return df
     return df.repartition(cores * 2, key) if key else df.repartition(cores * 2)
+
+
+def ship_with_tasks(module: str) -> None:
+    """Task functions of ``module`` travel by value: executors need no install."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])

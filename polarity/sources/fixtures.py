@@ -73,6 +73,16 @@ FROM {nation} n LEFT JOIN {customer} c ON c.c_nationkey = n.n_nationkey
 GROUP BY n.n_name, n.n_regionkey
 """
 
+# one distinct short text per order; the label follows the price, with noise
+ORDER_NOTES_SQL = """
+SELECT o_orderkey AS row_id,
+  CASE WHEN o_totalprice + (o_orderkey * 7919) % 100000 > 300000 THEN 1 ELSE 0 END AS sentiment,
+  lower(concat(o_orderpriority, ' order of ', n_name, ' customer ', c_name, ' ', c_mktsegment, ' in month ',
+    CAST(month(o_orderdate) AS STRING), ' of ', CAST(year(o_orderdate) AS STRING), ' number ', CAST(o_orderkey AS STRING),
+    ' in band ', CAST(CAST(floor(o_totalprice / 20000) AS INT) AS STRING), ' status ', o_orderstatus)) AS clean_text
+FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey
+"""
+
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
 
 
@@ -114,6 +124,10 @@ def leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _spark_sql(spark, sf_dir, LEADERBOARD_SQL)
 
 
+def order_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _spark_sql(spark, sf_dir, ORDER_NOTES_SQL)
+
+
 def unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return posts(spark, sf_dir).select("row_id", "text")
 

@@ -3,11 +3,10 @@
 import math
 
 import pytest
-from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes
 from pyspark.ml.functions import vector_to_array
 
 from polarity.operators import features as feat
-from polarity.operators import models, score
+from polarity.operators import linear, models, score
 from polarity.plans import job
 from polarity.sources import fixtures as fx
 
@@ -22,16 +21,21 @@ def baseline(spark, splits):
     return job.posts_baseline(spark, "/root/testdata/sf0.001", splits)[0]
 
 
-def test_factory_types_and_unknown_name(spark):
-    assert isinstance(models.build_classifier("logistic_regression", models.MODEL_CONFIGS["logistic_regression"], 10.0)[0][-1], LogisticRegression)
-    assert isinstance(models.build_classifier("linear_svc", models.MODEL_CONFIGS["linear_svc"], 10.0)[0][-1], LinearSVC)
-    assert isinstance(models.build_classifier("sgd_classifier", models.MODEL_CONFIGS["sgd_classifier"], 10.0)[0][-1], LogisticRegression)
-    nb = models.build_classifier("complement_nb", models.MODEL_CONFIGS["complement_nb"], 10.0)[0][-1]
-    assert isinstance(nb, NaiveBayes) and nb.getModelType() == "complement"
-    lr = models.build_classifier("logistic_regression", {"class_weight": "balanced"}, 200.0)[0][-1]
-    assert math.isclose(lr.getRegParam(), 1 / 200.0) and not lr.getFitIntercept()
-    with pytest.raises(ValueError, match="no such model"):
-        models.build_classifier("xgboost", {}, 1.0)
+def test_factory_objectives_and_unknown_name(spark):
+    counts = {0: 30, 1: 10}
+    of = lambda name, **cfg: models.linear_objective(name, {**models.MODEL_CONFIGS.get(name, {}), **cfg}, counts)
+    balanced = {"negative": 40 / 60, "positive": 2.0}
+    assert of("logistic_regression", C=0.5) == linear.Objective("logistic", 1.0, 0.5, **balanced)
+    assert of("linear_svc") == linear.Objective("squared_hinge", 1.0, 1.0, **balanced)
+    assert of("sgd_classifier", class_weight=None) == linear.Objective("logistic", 1e-4, 1 / 40, free_intercept=True)
+    assert models.bayes_classifier({"alpha": 0.5}).getModelType() == "complement"
+    for bad in ({"loss": "hinge"}, {"penalty": "l1"}):
+        with pytest.raises(ValueError, match="log_loss"):
+            of("sgd_classifier", **bad)
+    for fn in (lambda: of("xgboost"), lambda: models.fit_classifiers(None, {"xgboost": {}}),
+               lambda: linear.Objective("hinge", 1.0, 1.0), lambda: linear.Objective("logistic", 0.0, 1.0)):
+        with pytest.raises(ValueError):
+            fn()
 
 
 def test_feature_spec_choices():
@@ -144,7 +148,7 @@ def test_threshold_range_and_positive_class(spark, sf_small, baseline):
         score.score(df, model, threshold=1.2)
     only_neg = spark.createDataFrame([(i, 0, f"t{i}") for i in range(4)], "row_id long, sentiment int, clean_text string")
     with pytest.raises(ValueError, match="no positive class"):
-        models.with_balanced_weights(only_neg)
+        models.class_counts(only_neg)
 
 
 def test_model_without_probabilities(spark, sf_small, splits):
