@@ -2,20 +2,23 @@
 
 Both forms share one vocabulary rule, computed relationally:
 
-* term frequencies are counted *inside each row* (sort + run lengths), so a
-  20,000-word document never becomes 20,000 shuffled rows;
-* document frequency and corpus frequency per term are one partial
-  aggregation (``groupBy(term)``), keyed by term - a hot term costs one
-  partial row per map task;
+* document and corpus frequency per term are one partial aggregation of one
+  tokenisation (``groupBy(term)``), written once: a hot term costs one partial
+  row per map task, and every later step reads one row per term;
+* on a large corpus a first tokenisation counts terms in a fixed number of
+  hashed places, whose totals rule out the terms that can't reach the cut, so
+  only candidates are shuffled by the second one (``candidate_places``);
 * ``min_df``/``max_df`` filter, then the ``max_features`` most frequent terms
   (ties: term ascending) - a top-k, not a sort;
 * idf = ln((1 + n) / (1 + df)) + 1; rows are L2-normalised.
 
-The vector form turns the same vocabulary into a ``CountVectorizerModel``
-(the vocabulary list is what Spark ML itself keeps on the driver; its size is
-capped by ``max_features``) followed by ``ElementwiseProduct`` with the idf and
+The vector form turns the vocabulary into a ``CountVectorizerModel`` (the
+vocabulary list is what Spark ML itself keeps on the driver; its size is capped
+by ``max_features``) followed by ``ElementwiseProduct`` with the idf and
 ``Normalizer(p=2)``: standard, persistable stages that score batches and
-streams alike.
+streams alike.  The long form of a bounded vocabulary is the vector form,
+exploded: no shuffle.  Without a bound, the most frequent terms are weighted in
+the row and only the rest is joined with the vocabulary.
 """
 
 from __future__ import annotations
@@ -29,11 +32,12 @@ from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normali
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol, Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.wrapper import JavaParams
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from polarity.functions.text import with_term_counts, with_terms
-from polarity.session import materialize, spread
+from polarity.session import materialize, source_bytes, spread
 
 
 @dataclass(frozen=True)
@@ -115,30 +119,101 @@ def doc_terms(df: DataFrame, cfg: TfidfConfig, text_col: str = "clean_text",
 
 
 def document_frequency(terms: DataFrame) -> DataFrame:
-    """(term, df, tf_total) with partial aggregation on the term."""
+    """(term, df, tf_total) of (row, term, tf) with partial aggregation on the term."""
     return terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("tf_total"))
 
 
-def fit_vocabulary(fit_df: DataFrame, cfg: TfidfConfig, text_col: str = "clean_text",
-                   id_col: str = "row_id", terms: DataFrame | None = None) -> tuple[DataFrame, int]:
-    """Fit J4 on ``fit_df``: (vocabulary frame, number of documents).
+def _occurrences(df: DataFrame, cfg: TfidfConfig, text_col: str, id_col: str) -> DataFrame:
+    """(row, which, term): every distinct term of a row once (which = 0), every
+    occurrence (1), and one row without a term (2), which counts the rows.
+
+    Plain explodes of arrays: no lambda, no sort, nothing shuffled."""
+    terms = add_terms(spread(df.select(id_col, text_col), id_col), cfg, text_col, "_terms")
+    lists = F.array(F.array_distinct("_terms"), F.col("_terms"), F.array(F.lit(None).cast("string")))
+    # outer explodes: for plain ones the optimizer infers "size(array) > 0" and
+    # pushes it below the projections, which runs the tokeniser again
+    rows = (terms.select(F.col(id_col).alias("_id"), F.posexplode_outer(lists).alias("which", "_list"))
+            .select("_id", "which", F.explode_outer("_list").alias("term")))
+    return rows.filter((F.col("which") == 2) | F.col("term").isNotNull())
+
+
+def _counted(occurrences: DataFrame, *keys) -> DataFrame:
+    return occurrences.groupBy(*keys).agg(F.count_if(F.col("which") == 0).alias("df"), F.count_if(F.col("which") == 1).alias("tf_total"),
+                                          F.count_if(F.col("which") == 2).alias("docs"))
+
+
+PLACES = 1 << 20            # hashed places of the first pass
+SAMPLE = 16                 # one row in so many gives lower bounds of the counts
+PRUNE_BYTES = 8 << 30       # from this much input on, a first pass rules out terms
+
+
+def _place(term) -> F.Column:
+    return F.pmod(F.xxhash64(term), F.lit(PLACES)).cast("int")
+
 
-    One count job supplies n for ``max_df`` and the idf; the rest stays lazy.
-    ``terms`` may pass the already computed (row_id, term, tf) of ``fit_df``.
+def candidate_places(occurrences: DataFrame, cfg: TfidfConfig) -> tuple[DataFrame, int]:
+    """(places whose terms may enter the vocabulary, number of documents).
+
+    A place's total is an upper bound for each of its terms.  Rows of a fixed
+    sixteenth also count by term: their counts are lower bounds, so the
+    ``max_features``-th largest of those that surely pass ``min_df`` and
+    ``max_df`` is a bound that the true cut reaches.  A place below it, or below
+    ``min_df``, holds no term of the vocabulary.  A map task ships at most one
+    row per place besides its share of the sample.
     """
-    n_docs = fit_df.count()
-    terms = doc_terms(fit_df, cfg, text_col, id_col) if terms is None else terms
-    return vocabulary(document_frequency(terms), n_docs, cfg), n_docs
+    named = F.when(F.pmod(F.xxhash64("_id", F.lit("sample")), F.lit(SAMPLE)) == 0, F.col("term"))
+    both = materialize(_counted(occurrences.select("which", _place("term").alias("place"), named.alias("named"),
+                                                   F.col("term").isNull().alias("doc")), "place", "named", "doc"))
+    n_docs = both.filter("doc").agg(F.sum("docs")).first()[0] or 0
+    lo, hi = _df_limits(cfg, n_docs)
+    totals = both.filter("not doc").groupBy("place").agg(F.sum("df").alias("df_most"), F.sum("tf_total").alias("tf_most"))
+    least = 0
+    if cfg.max_features is not None:
+        sure = (both.filter("named is not null").join(F.broadcast(totals), "place")     # PLACES rows at most
+                .filter((F.col("df") >= F.lit(lo)) & (F.col("df_most") <= F.lit(hi))).select("named", "tf_total"))
+        least = _value_at(sure, int(cfg.max_features)) or 0
+    kept = totals.filter((F.col("df_most") >= F.lit(lo)) & (F.col("tf_most") >= F.lit(least)))
+    return materialize(kept.select("place")), n_docs
+
+
+def term_counts(fit_df: DataFrame, cfg: TfidfConfig, text_col: str = "clean_text", id_col: str = "row_id",
+                pruned: bool | None = None) -> tuple[DataFrame, int]:
+    """Written (term, df, tf_total) and the number of documents.
+
+    One tokenisation; two when ``pruned`` (None: by the size of the input), and
+    then of the terms that may enter the vocabulary only.  Counts are exact in
+    either case."""
+    occurrences = _occurrences(fit_df, cfg, text_col, id_col)
+    if pruned if pruned is not None else source_bytes(fit_df) >= PRUNE_BYTES:
+        places, n_docs = candidate_places(occurrences, cfg)
+        terms = occurrences.filter("term is not null").withColumn("place", _place("term"))
+        terms = terms.join(F.broadcast(places), "place", "left_semi")                   # PLACES rows at most
+        return materialize(_counted(terms, "term").drop("docs")), n_docs
+    counts = materialize(_counted(occurrences, "term"))
+    n_docs = counts.filter("term is null").agg(F.sum("docs")).first()[0] or 0
+    return counts.filter("term is not null").drop("docs"), n_docs
+
+
+def fit_vocabulary(fit_df: DataFrame, cfg: TfidfConfig, text_col: str = "clean_text",
+                   id_col: str = "row_id", pruned: bool | None = None) -> tuple[DataFrame, int]:
+    """Fit J4 on ``fit_df``: (vocabulary frame, number of documents)."""
+    counts, n_docs = term_counts(fit_df, cfg, text_col, id_col, pruned)
+    return vocabulary(counts, n_docs, cfg), n_docs
+
+
+def _df_limits(cfg: TfidfConfig, n_docs: int) -> tuple[float, float]:
+    """Integer limits are document counts, float limits fractions of ``n_docs``."""
+    lo = cfg.min_df if isinstance(cfg.min_df, int) else math.ceil(float(cfg.min_df) * n_docs)
+    hi = cfg.max_df if isinstance(cfg.max_df, int) else float(cfg.max_df) * n_docs
+    return lo, hi
 
 
 def vocabulary(dfreq: DataFrame, n_docs: int, cfg: TfidfConfig) -> DataFrame:
     """min_df / max_df filter, then the top ``max_features`` by corpus tf.
 
-    Integer limits are document counts, float limits fractions of ``n_docs``
-    (the vectoriser's convention).  Output: (term, df, tf_total, idf).
+    Output: (term, df, tf_total, idf).
     """
-    lo = cfg.min_df if isinstance(cfg.min_df, int) else math.ceil(float(cfg.min_df) * n_docs)
-    hi = cfg.max_df if isinstance(cfg.max_df, int) else float(cfg.max_df) * n_docs
+    lo, hi = _df_limits(cfg, n_docs)
     kept = dfreq.where((F.col("df") >= F.lit(lo)) & (F.col("df") <= F.lit(hi)))
     if cfg.max_features is not None:
         kept = _most_frequent(kept, int(cfg.max_features))
@@ -147,39 +222,114 @@ def vocabulary(dfreq: DataFrame, n_docs: int, cfg: TfidfConfig) -> DataFrame:
     return kept.select("term", "df", "tf_total", idf.alias("idf"))
 
 
+def _cut_at(terms: DataFrame, k: int) -> tuple[int, int] | None:
+    """(tf_total of the ``k``-th largest row, rows above that value), or None
+    when there are fewer rows.
+
+    Rows are counted in bands of like ``tf_total`` (some hundreds), then by
+    value inside the band that holds the cut; no sort of the rows."""
+    band = F.floor(F.log2("tf_total") * 16)
+    bands = sorted(((r[0], r[1]) for r in terms.groupBy(band).agg(F.count(F.lit(1))).collect()), reverse=True)
+    before = 0
+    for at, n in bands:
+        if before + n >= k:
+            break
+        before += n
+    else:
+        return None
+    above = Window.orderBy(F.col("tf_total").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    steps = (terms.filter(band == at).groupBy("tf_total").agg(F.count(F.lit(1)).alias("n"))
+             .withColumn("before", F.coalesce(F.sum("n").over(above), F.lit(0)) + F.lit(before)))
+    row = steps.filter((F.col("before") < k) & (F.col("before") + F.col("n") >= k)).first()
+    return row.tf_total, row.before
+
+
+def _value_at(terms: DataFrame, k: int) -> int | None:
+    cut = _cut_at(terms, k)
+    return cut and cut[0]
+
+
 def _most_frequent(terms: DataFrame, k: int) -> DataFrame:
     """The ``k`` rows of largest ``tf_total`` (ties: first term).
 
-    Terms are counted per ``tf_total`` first; that small table gives the value
-    at the cut.  Terms above it stay without any sort, and only those that tie
-    at the cut are put in order."""
-    above = Window.orderBy(F.col("tf_total").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    steps = (terms.groupBy("tf_total").agg(F.count(F.lit(1)).alias("n"))
-             .withColumn("before", F.coalesce(F.sum("n").over(above), F.lit(0))))
-    at_cut = steps.filter((F.col("before") < k) & (F.col("before") + F.col("n") > k)).select("tf_total", "before").first()
-    if at_cut is None:      # all fit, or the cut falls between two values
-        last = steps.filter(F.col("before") < k).agg(F.min("tf_total")).first()[0]
-        return terms if last is None else terms.filter(F.col("tf_total") >= F.lit(last))
-    ties = terms.filter(F.col("tf_total") == F.lit(at_cut.tf_total)).orderBy("term").limit(k - at_cut.before)
-    return terms.filter(F.col("tf_total") > F.lit(at_cut.tf_total)).unionByName(ties)
+    Terms above the value at the cut stay without any sort, and only those that
+    tie with it are put in order."""
+    cut = _cut_at(terms, k)
+    if cut is None:
+        return terms
+    ties = terms.filter(F.col("tf_total") == F.lit(cut[0])).orderBy("term").limit(k - cut[1])
+    return terms.filter(F.col("tf_total") > F.lit(cut[0])).unionByName(ties)
+
+
+HEAVY = 1 << 16             # terms weighted in the row when the vocabulary has no bound
 
 
 def tfidf_long(df: DataFrame, cfg: TfidfConfig, text_col: str = "clean_text", id_col: str = "row_id",
-               fit_df: DataFrame | None = None) -> DataFrame:
+               fit_df: DataFrame | None = None, heavy: int = HEAVY) -> DataFrame:
     """J5 long form: (row_id, term, tfidf), vocabulary fitted on ``fit_df``.
 
-    The texts are read twice: once for the vocabulary, which keeps one row per
-    term, and once for the weights.  Terms are counted inside each row both
-    times; the exploded table is never written.  The vocabulary (one row per
-    term that passes the limits) is joined in whatever way its size allows.
-    The L2 norm is a window over one document's terms.
+    The texts are tokenised twice: for the vocabulary, and for the weights.  A
+    vocabulary of at most ``max_features`` terms weighs every row where it is
+    read.  Without that bound the ``heavy`` most frequent terms, which make up
+    most occurrences, are weighed in the row; the others are joined with the
+    vocabulary by term and gathered by row.
     """
-    vocab, _ = fit_vocabulary(df if fit_df is None else fit_df, cfg, text_col, id_col)
-    v = materialize(vocab.select("term", "idf"))
-    terms = doc_terms(df, cfg, text_col, id_col)
-    weighted = terms.join(v, on="term").select(id_col, "term", (F.col("tf") * F.col("idf")).alias("w"))
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
-    return weighted.select(id_col, "term", F.coalesce(F.try_divide(F.col("w"), norm), F.lit(0.0)).alias("tfidf"))
+    counts, n_docs = term_counts(df if fit_df is None else fit_df, cfg, text_col, id_col)
+    vocab = vocabulary(counts, n_docs, cfg)
+    if cfg.max_features is not None:
+        terms, idf = _as_lists(vocab)
+        if not terms:
+            return df.select(id_col, F.lit("").alias("term"), F.lit(0.0).alias("tfidf")).limit(0)
+        weighed = _weighed(df, cfg, text_col, id_col, terms, idf, Normalizer(p=2.0, inputCol="_tfidf", outputCol="_w"))
+        return _named(weighed, terms, id_col, "tfidf")
+    vocab = materialize(vocab)
+    top = _as_lists(_most_frequent(vocab, heavy))
+    weighed = _weighed(df, cfg, text_col, id_col, *top) if top[0] else None
+    rest = vocab if weighed is None else vocab.join(
+        F.broadcast(df.sparkSession.createDataFrame([(t,) for t in top[0]], "term string")), "term", "left_anti")
+    light = (doc_terms(df, cfg, text_col, id_col).join(materialize(rest.select("term", "idf")), "term")
+             .select(id_col, "term", (F.col("tf") * F.col("idf")).alias("w")))
+    parts = light if weighed is None else light.unionByName(_named(weighed, top[0], id_col, "w"))
+    rows = parts.groupBy(id_col).agg(F.collect_list(F.struct("term", "w")).alias("_t"), F.sum(F.col("w") * F.col("w")).alias("_n"))
+    each = rows.select(id_col, "_n", F.explode("_t").alias("_e"))
+    return each.select(id_col, F.col("_e.term").alias("term"),
+                       F.coalesce(F.try_divide("_e.w", F.sqrt("_n")), F.lit(0.0)).alias("tfidf"))
+
+
+def count_vectorizer(terms: list[str], input_col: str, output_col: str) -> CountVectorizerModel:
+    """``CountVectorizerModel.from_vocabulary`` without a gateway call per term.
+
+    No term holds a line break: terms are made of what stands between
+    whitespace, joined by blanks."""
+    jvm = SparkSession.active().sparkContext._jvm
+    names = jvm.java.util.regex.Pattern.compile("\n").split("\n".join(terms))
+    model = CountVectorizerModel(JavaParams._new_java_obj("org.apache.spark.ml.feature.CountVectorizerModel", names))
+    return model.setInputCol(input_col).setOutputCol(output_col)
+
+
+def _as_lists(vocab: DataFrame) -> tuple[list[str], list[float]]:
+    rows = vocab.orderBy(F.col("tf_total").desc(), F.col("term").asc()).select("term", "idf").collect()
+    return [r[0] for r in rows], [float(r[1]) for r in rows]
+
+
+def _weighed(df: DataFrame, cfg: TfidfConfig, text_col: str, id_col: str, terms: list[str], idf: list[float], *more) -> DataFrame:
+    """(row, sparse weights of ``terms``) in the column the last stage makes."""
+    out = add_terms(spread(df.select(id_col, text_col), id_col), cfg, text_col, "_terms")
+    stages = [count_vectorizer(terms, "_terms", "_tf"),
+              ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="_tf", outputCol="_tfidf"), *more]
+    out = out.withColumn("_terms", F.coalesce("_terms", F.array().cast("array<string>")))
+    for stage in stages:
+        out = stage.transform(out)
+    return out.select(id_col, F.unwrap_udt(stages[-1].getOutputCol()).alias("_v"))
+
+
+def _named(weighed: DataFrame, terms: list[str], id_col: str, out: str) -> DataFrame:
+    """Sparse weights as rows; the names are as many as the vector is long."""
+    names = weighed.sparkSession.createDataFrame(list(enumerate(terms)), "_i int, term string")
+    zipped = F.arrays_zip(F.col("_v.indices").alias("i"), F.col("_v.values").alias("w"))
+    cells = weighed.select(id_col, F.explode_outer(zipped).alias("_c")).filter("_c is not null")
+    return (cells.select(id_col, F.col("_c.i").alias("_j"), F.col("_c.w").alias(out)).join(F.broadcast(names), F.col("_i") == F.col("_j"))
+            .select(id_col, "term", out))
 
 
 # --- vector form (Spark ML stages) -------------------------------------------------
@@ -214,11 +364,10 @@ def fit_vocabulary_lists(train: DataFrame, cfg: TfidfConfig, text_col: str = "cl
     ``max_features`` must say it; ``tfidf_long`` takes any vocabulary."""
     if cfg.max_features is None:
         raise ValueError("vectors need max_features, the length of the model's vocabulary")
-    vocab, _ = fit_vocabulary(train, cfg, text_col, id_col)
-    rows = vocab.orderBy(F.col("tf_total").desc(), F.col("term").asc()).select("term", "idf").collect()
-    if not rows:
+    terms, idf = _as_lists(fit_vocabulary(train, cfg, text_col, id_col)[0])
+    if not terms:
         raise ValueError("empty vocabulary: no term passes min_df/max_df")
-    return [r[0] for r in rows], [float(r[1]) for r in rows]
+    return terms, idf
 
 
 def fit_tfidf_stages(train: DataFrame, cfg: TfidfConfig, text_col: str, out_col: str,
@@ -234,7 +383,7 @@ def fit_tfidf_stages(train: DataFrame, cfg: TfidfConfig, text_col: str, out_col:
         TextTerms(inputCol=text_col, outputCol=f"{tag}_terms", analyzer=cfg.analyzer,
                   ngramMin=cfg.ngram_range[0], ngramMax=cfg.ngram_range[1], lowercase=cfg.lowercase,
                   stripAccents=cfg.strip_accents or ""),
-        CountVectorizerModel.from_vocabulary(terms, inputCol=f"{tag}_terms", outputCol=f"{tag}_tf"),
+        count_vectorizer(terms, f"{tag}_terms", f"{tag}_tf"),
         ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol=f"{tag}_tf", outputCol=f"{tag}_tfidf"),
         Normalizer(p=2.0, inputCol=f"{tag}_tfidf", outputCol=out_col),
     ]

@@ -26,6 +26,7 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LinearSVCModel, LogisticRegressionModel, NaiveBayes
 from pyspark.ml.common import _py2java
+from pyspark.ml.feature import ElementwiseProduct
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import DenseVector
 from pyspark.ml.wrapper import JavaParams
@@ -181,7 +182,7 @@ def prepare_variant(name: str, spec: feat.FeatureSpec, train: DataFrame, validat
     # every solver round is one job over the vectors: partitions follow their
     # bytes, so small sets do not pay per-task overhead
     tr, va = merged(tr), merged(va)
-    length = sum(len(s.vocabulary) for s in fm.stages if hasattr(s, "vocabulary"))
+    length = sum(s.getScalingVec().size for s in fm.stages if isinstance(s, ElementwiseProduct))
     return FittedVariant(name, fm, tr, va, counts, length, time.perf_counter() - t0 + shared)
 
 

@@ -193,22 +193,22 @@ _CHAR35 = features.TfidfConfig(analyzer="char_wb", ngram_range=(3, 5))
 @query("word_tokens")
 def q_word_tokens(spark, sf):
     text = tx.preprocess_for_terms("text", True, "unicode")
-    return fx.reviews(spark, sf).select("row_id", F.array_join(tx.word_tokens(text), " ").alias("tokens"))
+    return fx.texts(spark, sf).select("row_id", F.array_join(tx.word_tokens(text), " ").alias("tokens"))
 
 
 @query("word_ngrams")
 def q_word_ngrams(spark, sf):
-    return features.doc_terms(fx.reviews(spark, sf), _WORD12, text_col="text")
+    return features.doc_terms(fx.texts(spark, sf), _WORD12, text_col="text")
 
 
 @query("char_ngrams")
 def q_char_ngrams(spark, sf):
-    return features.doc_terms(fx.reviews(spark, sf), _CHAR35, text_col="text")
+    return features.doc_terms(fx.texts(spark, sf), _CHAR35, text_col="text")
 
 
 @query("document_frequency")
 def q_document_frequency(spark, sf):
-    return features.document_frequency(features.doc_terms(fx.reviews(spark, sf), _WORD12, text_col="text"))
+    return features.document_frequency(features.doc_terms(fx.texts(spark, sf), _WORD12, text_col="text"))
 
 
 # ln() and window sums differ by an ulp between engines: these three outputs are
@@ -216,19 +216,33 @@ def q_document_frequency(spark, sf):
 
 @query("vocabulary")
 def q_vocabulary(spark, sf):
-    vocab = features.fit_vocabulary(fx.reviews(spark, sf), features.BASELINE_TFIDF, text_col="text")[0]
+    vocab = features.fit_vocabulary(fx.texts(spark, sf), features.BASELINE_TFIDF, text_col="text")[0]
     return vocab.withColumn("idf", F.round("idf", 6))
 
 
 @query("tfidf_long")
 def q_tfidf_long(spark, sf):
-    out = features.tfidf_long(fx.reviews(spark, sf), features.BASELINE_TFIDF, text_col="text")
+    out = features.tfidf_long(fx.texts(spark, sf), features.BASELINE_TFIDF, text_col="text")
+    return out.withColumn("tfidf", F.round("tfidf", 6))
+
+
+@query("vocabulary_pruned")
+def q_vocabulary_pruned(spark, sf):
+    """The same rows by way of the candidate places of a first pass."""
+    vocab = features.fit_vocabulary(fx.texts(spark, sf), features.BASELINE_TFIDF, text_col="text", pruned=True)[0]
+    return vocab.withColumn("idf", F.round("idf", 6))
+
+
+@query("tfidf_all_terms")
+def q_tfidf_all_terms(spark, sf):
+    """No bound on the vocabulary: frequent terms in the row, the rest by a join."""
+    out = features.tfidf_long(fx.texts(spark, sf), _WORD12, text_col="text", heavy=4096)
     return out.withColumn("tfidf", F.round("tfidf", 6))
 
 
 @query("char_tfidf_long")
 def q_char_tfidf_long(spark, sf):
-    out = features.tfidf_long(fx.reviews(spark, sf), features.VARIANTS["real_word_char_hybrid"].parts[1],
+    out = features.tfidf_long(fx.texts(spark, sf), features.VARIANTS["real_word_char_hybrid"].parts[1],
                               text_col="text")
     return out.withColumn("tfidf", F.round("tfidf", 6))
 
@@ -237,7 +251,7 @@ def q_char_tfidf_long(spark, sf):
 
 @query("guarded_input")
 def q_guarded_input(spark, sf):
-    return score.guard_inputs(fx.reviews(spark, sf)).select("row_id", "accepted", "rejection_reason")
+    return score.guard_inputs(fx.texts(spark, sf)).select("row_id", "accepted", "rejection_reason")
 
 
 # --- models, scoring, streams (rows-only: J8-J17, K1-K7, L1-L2) --------------------
@@ -299,7 +313,7 @@ def q_best_experiment(spark, sf):
 @query("score_guarded")
 def q_score_guarded(spark, sf):
     model, _ = job.posts_baseline(spark, sf)
-    return score.score_guarded(fx.reviews(spark, sf), model, 0.47)
+    return score.score_guarded(fx.texts(spark, sf), model, 0.47)
 
 
 # --- more SQL-checked operators (C11, H2, E14 on long texts) -----------------------
@@ -317,7 +331,7 @@ def q_invalid_labels(spark, sf):
 
 @query("review_length_histogram")
 def q_review_length_histogram(spark, sf):
-    return quality.length_histogram(fx.reviews(spark, sf))
+    return quality.length_histogram(fx.texts(spark, sf))
 
 
 # --- rows that the checks must find, and real texts ---------------------------------
@@ -430,7 +444,7 @@ def q_bayes_log(spark, sf):
 
 @query("bayes_score_guarded")
 def q_bayes_score_guarded(spark, sf):
-    return _rounded(score.score_guarded(fx.reviews(spark, sf), _bayes(spark, sf)[1], 0.47))
+    return _rounded(score.score_guarded(fx.texts(spark, sf), _bayes(spark, sf)[1], 0.47))
 
 
 @query("bayes_score_stream")

@@ -8,7 +8,7 @@ consumed preceding character; ``&amp;`` is the only entity in the fixture.
 
 from __future__ import annotations
 
-from polarity.sources.fixtures import DOCUMENT_POSTS_SQL, FLAWED_SQL, REVIEWS_SQL, TURNS_SQL, duck, duck_cte
+from polarity.sources.fixtures import DOCUMENT_POSTS_SQL, FLAWED_SQL, TEXTS_SQL, TURNS_SQL, duck, duck_cte
 
 WS = r"[\s\x{0B}\x{1c}-\x{1f}\x{85}\p{Z}]"
 
@@ -278,12 +278,12 @@ SELECT CAST(total_rows AS BIGINT) AS total_rows, CAST(total_errors AS BIGINT) AS
 })
 
 
-_R = duck_cte("reviews")
+_R = duck_cte("texts")
 _TOKENS = r"regexp_extract_all(strip_accents(lower(text)), '[\p{L}\p{N}_]{2,}')"
 _WORD12_TERMS = f"""word_terms AS (
   SELECT row_id, term, count(*) AS tf FROM (
     SELECT row_id, unnest(list_concat(t, list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1]))) AS term
-    FROM (SELECT row_id, {_TOKENS} AS t FROM reviews))
+    FROM (SELECT row_id, {_TOKENS} AS t FROM texts))
   GROUP BY row_id, term)
 """
 _CHAR35_TERMS = r"""char_terms AS (
@@ -293,13 +293,13 @@ _CHAR35_TERMS = r"""char_terms AS (
              WHEN n = greatest(3, L) THEN [p] ELSE [] END))) AS term
     FROM (SELECT row_id, ' ' || w || ' ' AS p, length(' ' || w || ' ') AS L
           FROM (SELECT row_id, unnest(regexp_extract_all(lower(text), '[^\s\x{0B}\x{1c}-\x{1f}\x{85}\p{Z}]+')) AS w
-                FROM reviews)))
+                FROM texts)))
   GROUP BY row_id, term)
 """
 
 
-def _tfidf_sql(terms: str, min_df: int, max_df: float, max_features: int) -> str:
-    return f"""ndocs AS (SELECT count(*) AS n FROM reviews),
+def _tfidf_sql(terms: str, min_df: int, max_df: float, max_features: int | str) -> str:
+    return f"""ndocs AS (SELECT count(*) AS n FROM texts),
 dfreq AS (SELECT term, count(*) AS df, sum(tf) AS tf_total FROM {terms} GROUP BY term),
 vocab AS (SELECT term, CAST(df AS BIGINT) AS df, CAST(tf_total AS BIGINT) AS tf_total,
                  ln((1 + CAST(n AS DOUBLE)) / (1 + CAST(df AS DOUBLE))) + 1 AS idf
@@ -310,7 +310,7 @@ w AS (SELECT t.row_id, t.term, t.tf * v.idf AS w FROM {terms} t JOIN vocab v USI
 
 
 ORACLE.update({
-    "word_tokens": _R + f"SELECT row_id, array_to_string({_TOKENS}, ' ') AS tokens FROM reviews",
+    "word_tokens": _R + f"SELECT row_id, array_to_string({_TOKENS}, ' ') AS tokens FROM texts",
     "word_ngrams": _R.rstrip() + ",\n" + _WORD12_TERMS + "SELECT row_id, term, CAST(tf AS BIGINT) AS tf FROM word_terms",
     "char_ngrams": _R.rstrip() + ",\n" + _CHAR35_TERMS + "SELECT row_id, term, CAST(tf AS BIGINT) AS tf FROM char_terms",
     "document_frequency": _R.rstrip() + ",\n" + _WORD12_TERMS + """
@@ -319,17 +319,20 @@ SELECT term, CAST(count(*) AS BIGINT) AS df, CAST(sum(tf) AS BIGINT) AS tf_total
         + "SELECT term, df, tf_total, round(idf, 6) AS idf FROM vocab",
     "tfidf_long": _R.rstrip() + ",\n" + _WORD12_TERMS + "," + _tfidf_sql("word_terms", 2, 0.95, 50000)
         + "SELECT row_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY row_id)), 6) AS tfidf FROM w",
+    "tfidf_all_terms": _R.rstrip() + ",\n" + _WORD12_TERMS + "," + _tfidf_sql("word_terms", 1, 1.0, "ALL")
+        + "SELECT row_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY row_id)), 6) AS tfidf FROM w",
     "char_tfidf_long": _R.rstrip() + ",\n" + _CHAR35_TERMS + "," + _tfidf_sql("char_terms", 2, 0.95, 30000)
         + "SELECT row_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY row_id)), 6) AS tfidf FROM w",
 })
 
 
+ORACLE["vocabulary_pruned"] = ORACLE["vocabulary"]
 ORACLE["guarded_input"] = _R + f"""
 SELECT row_id,
   NOT (text IS NULL OR regexp_full_match(text, '{WS}*') OR length(text) > 1000) AS accepted,
   CASE WHEN text IS NULL OR regexp_full_match(text, '{WS}*') THEN 'empty_text'
        WHEN length(text) > 1000 THEN 'text_too_long' END AS rejection_reason
-FROM reviews"""
+FROM texts"""
 
 
 ORACLE.update({
@@ -340,7 +343,7 @@ SELECT c.macro_f1 AS candidate_macro_f1, b.macro_f1 AS baseline_macro_f1,
        COALESCE(c.macro_f1 < b.macro_f1, false) AS below_baseline
 FROM cand c, base b""",
     "invalid_labels": duck_cte("posts") + "SELECT DISTINCT sentiment FROM posts WHERE sentiment IS NOT NULL AND sentiment NOT IN (0, 1)",
-    "review_length_histogram": _R.rstrip() + "," + _histogram("SELECT length(text) AS len FROM reviews WHERE text IS NOT NULL"),
+    "review_length_histogram": _R.rstrip() + "," + _histogram("SELECT length(text) AS len FROM texts WHERE text IS NOT NULL"),
 })
 
 
@@ -436,10 +439,10 @@ SELECT md5('request:' || CAST(row_id AS VARCHAR)) AS request_id, {_PREDICTED}, {
     "bayes_score_stream": _bayes_scores(_UNLABELLED)
         + _BATCH.replace("SELECT row_id,", "SELECT md5('request:' || CAST(row_id AS VARCHAR)) AS request_id, row_id,"),
 })
-_REVIEWS = duck(REVIEWS_SQL).strip()
-ORACLE["bayes_score_guarded"] = _bayes_scores(f"(SELECT row_id, {_clean('text')} AS text FROM ({_REVIEWS}))") + f""",
+_TEXTS = duck(TEXTS_SQL)
+ORACLE["bayes_score_guarded"] = _bayes_scores(f"(SELECT row_id, {_clean('text')} AS text FROM ({_TEXTS}))") + f""",
 g AS (SELECT *, CASE WHEN text IS NULL OR regexp_full_match(text, '{WS}*') THEN 'empty_text'
-                     WHEN length(text) > 1000 THEN 'text_too_long' END AS why FROM ({_REVIEWS}))
+                     WHEN length(text) > 1000 THEN 'text_too_long' END AS why FROM ({_TEXTS}))
 SELECT row_id, why IS NULL AS accepted, why AS rejection_reason, text,
   CASE WHEN why IS NULL THEN {_clean('text')} END AS cleaned_text,
   CASE WHEN why IS NULL THEN predicted_label END AS predicted_label,

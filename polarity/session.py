@@ -95,7 +95,7 @@ def materialize(df: DataFrame, compression: str | None = None) -> DataFrame:
 TASK_BYTES = 8 << 20
 
 
-def _source_bytes(df: DataFrame) -> int:
+def source_bytes(df: DataFrame) -> int:
     """Bytes of the files (or rows held by the driver) that ``df`` starts from.
 
     Read from the plan's leaves: no job runs."""
@@ -106,7 +106,7 @@ def _source_bytes(df: DataFrame) -> int:
 def merged(df: DataFrame) -> DataFrame:
     """A written table (``materialize``) in tasks of at least TASK_BYTES: small
     files are read together, a large table keeps its splits."""
-    tasks = max(1, -(-_source_bytes(df) // TASK_BYTES))
+    tasks = max(1, -(-source_bytes(df) // TASK_BYTES))
     return df.coalesce(tasks) if df.rdd.getNumPartitions() > tasks else df
 
 
@@ -119,7 +119,7 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     Only the plan is looked at: its input is not run.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if _source_bytes(df) >= cores * TASK_BYTES:
+    if source_bytes(df) >= cores * TASK_BYTES:
         return df
     return df.repartition(cores * 2, key) if key else df.repartition(cores * 2)
 

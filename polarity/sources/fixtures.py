@@ -61,6 +61,11 @@ DOCUMENT_POSTS_SQL = """
 SELECT doc_id AS row_id, CAST(doc_id % 2 AS INT) AS sentiment, text FROM {documents}
 """
 
+# every document, for operators that need no label
+TEXTS_SQL = """
+SELECT doc_id AS row_id, text FROM {documents}
+"""
+
 TURNS_SQL = """
 SELECT conv_id * 1000 + turn AS row_id, CASE WHEN role = 'user' THEN 1 ELSE 0 END AS sentiment, text FROM {conversations}
 """
@@ -116,6 +121,10 @@ def document_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _spark_sql(spark, sf_dir, DOCUMENT_POSTS_SQL)
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _spark_sql(spark, sf_dir, TEXTS_SQL)
+
+
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _spark_sql(spark, sf_dir, TURNS_SQL)
 
@@ -144,6 +153,6 @@ def duck(sql: str) -> str:
 
 def duck_cte(*names: str) -> str:
     """``WITH posts AS (...), ...`` prefix for oracle queries."""
-    bodies = {"leaderboard": LEADERBOARD_SQL, "posts": POSTS_SQL, "reviews": REVIEWS_SQL, "scored": SCORED_SQL.replace("({posts}) p", "posts")}
+    bodies = {"leaderboard": LEADERBOARD_SQL, "texts": TEXTS_SQL, "posts": POSTS_SQL, "reviews": REVIEWS_SQL, "scored": SCORED_SQL.replace("({posts}) p", "posts")}
     parts = [f"{name} AS ({duck(bodies[name]).strip()})" for name in names]
     return "WITH " + ",\n".join(parts) + "\n"

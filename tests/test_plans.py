@@ -36,10 +36,10 @@ def test_sweep_is_one_aggregation_over_the_data(spark, sf_small):
     assert "lambdafunction" not in p
 
 
-def test_tfidf_counts_terms_in_row(spark, sf_small):
-    p = plan(feat.tfidf_long(fx.reviews(spark, sf_small), feat.BASELINE_TFIDF, text_col="text"))
-    assert p.count("Exchange hashpartitioning(row_id") <= 2   # the per-document norm, and spreading a small source
-    assert "BroadcastNestedLoopJoin" not in p and p.count("documents.parquet") == 1
+def test_bounded_tfidf_shuffles_no_terms(spark, sf_small):
+    p = plan(feat.tfidf_long(fx.texts(spark, sf_small), feat.BASELINE_TFIDF, text_col="text"))
+    assert p.count("Exchange hashpartitioning") == p.count("Exchange hashpartitioning(row_id") <= 1     # spreading a small source
+    assert "SortMergeJoin" not in p and "Window" not in p and p.count("documents.parquet") == 1
 
 
 def test_scoring_is_map_only(spark, sf_small):
