@@ -263,12 +263,17 @@ import sys
 sys.path.insert(0, {root!r})
 from pyspark.sql import functions as F
 from polarity.session import get_session
-from polarity.functions.accents import strip_accents, strip_accents_py
+from polarity.functions.accents import strip_accents, stripped
+from polarity.operators import linear
+from pyspark.ml.linalg import Vectors
 spark = get_session("local[2]", 2)
 words = ["na\u00efve \ufb01n", "\u00bd", "\ud55c", "\u2019quote\u2019", "plain"]
 rows = spark.createDataFrame([(w,) for w in words], "t string").repartition(2)
 got = {{r.t: r.o for r in rows.select("t", strip_accents(F.col("t")).alias("o")).collect()}}
-assert got == {{w: strip_accents_py(w) for w in words}}, got
+assert got == {{w: stripped(w) for w in words}}, got
+vectors = spark.createDataFrame([(Vectors.sparse(2, [i % 2], [1.0]), i % 2) for i in range(9)], ["features", "sentiment"])
+fit = linear.solve(linear.blocks(vectors, "features", "sentiment"), 2, {{"lr": linear.Objective("logistic", 1.0, 1.0)}})["lr"]
+assert fit.converged and fit.weights[1] > 0 > fit.weights[0]
 """, encoding="utf-8")
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)

@@ -2,12 +2,14 @@
 
 import html
 import unicodedata
+from html.entities import html5
 
 import pytest
 from pyspark.sql import functions as F
 
 from polarity.functions import text as tx
-from polarity.functions.accents import strip_accents, strip_accents_py
+from polarity.functions.accents import strip_accents, stripped
+from polarity.functions.html import decode_html_entities
 from tests import patterns as py
 
 def one(spark, value, expr):
@@ -21,10 +23,16 @@ def many(spark, values, expr):
 
 
 def test_entities_decode_as_python_does(spark):
-    from polarity.functions.html import decode_html_entities
     cases = ["fish &amp; chips", "&lt;-- &#39;q&#39;", "na&iuml;ve &copy;&middot;", "&amp without end", "nothing", "&notit;",
-             "&#0;", "p & q", "&&amp;", "&#", "&#x41;", "&#X4a", "& #38;", "x&\ty", "&\rz", "&;", "tail &"]
+             "&#0;", "p & q", "&&amp;", "&#", "&#x41;", "&#X4a", "& #38;", "x&\ty", "&\rz", "&;", "tail &", "", "&amp;lt;",
+             "&" + "a" * 40 + ";", "&\U0001f600;", "&CounterClockwiseContourIntegralx;", "&lt&gt", "&#99999999999999999999;"]
+    for name in html5:                                   # every name: whole, inside a word, cut short, run on
+        cases += ["&" + name, f"a&{name}b", "&" + name[:-1], f"&{name.rstrip(';')}xyz;"]
+    numbers = [*range(0x180), 0xD7FF, 0xD800, 0xDFFF, 0xE000, 0xFDCF, 0xFDD0, 0xFDEF, 0xFDF0, 0xFFFD, 0xFFFE, 0xFFFF, 0x10000, 0x1FFFE,
+               0x1F600, 0x10FFFD, 0x10FFFF, 0x110000, 99_999_999, 10 ** 12]
+    cases += [form % n for n in numbers for form in ("&#%d;", "x&#%dz", "&#x%x;", "&#X%X", "&#0000000000%d;")]
     assert many(spark, cases, decode_html_entities) == [html.unescape(c) for c in cases]
+    assert many(spark, [None, "x"], decode_html_entities) == [None, "x"]
 
 
 def test_links_mentions_and_tags_follow_their_patterns(spark):
@@ -51,14 +59,18 @@ def test_whitespace_class_matches_python(spark):
 
 def test_signs_and_emoji_survive_cleaning(spark):
     cases = ["wow... @me?! #yes \U0001f680 www.go.to/x", "(\u2764) @a; #b, http://c"]
-    assert many(spark, cases, tx.clean_text) == [py.cleaned(c) for c in cases]
+    assert many(spark, cases, tx.clean_text) == ["wow... <USER>?! yes \U0001f680 <URL>", "(\u2764) <USER>; b, <URL>"]
 
 
 def test_clean_and_key_unicode_cases(spark):
-    cases = ["x² ý z", "\U0001f469‍\U0001f4bb @dev", "a  b", "a\x1cb", "\t\t",
-             "salt &amp; pepper   &AMP; #tag", "ÉCOLE  &eacute;t&eacute;", "ΑΣ ΣΑΣ", "İstanbul"]
-    assert many(spark, cases, tx.clean_text) == [py.cleaned(c) for c in cases]
-    assert many(spark, cases, tx.duplicate_key) == [py.key(c) for c in cases]
+    cases = ["x\u00b2 y\u0301 z", "\U0001f469\u200d\U0001f4bb @dev", "a \u2003 b", "a\x1cb", "\t\t",
+             "salt &amp; pepper   &AMP; #tag", "ÉCOLE  &eacute;t&eacute;", "ΑΣ ΣΑΣ", "\u0130stanbul"]
+    assert many(spark, cases, tx.clean_text) == [
+        "x\u00b2 y\u0301 z", "\U0001f469\u200d\U0001f4bb <USER>", "a b", "a b", "", "salt & pepper & tag", "ÉCOLE été", "ΑΣ ΣΑΣ",
+        "\u0130stanbul"]
+    assert many(spark, cases, tx.duplicate_key) == [
+        "x\u00b2 y\u0301 z", "\U0001f469\u200d\U0001f4bb @dev", "a b", "a b", "", "salt & pepper & #tag", "école été", "ας σας",
+        "i\u0307stanbul"]
 
 
 def test_clean_flags(spark):
@@ -71,24 +83,21 @@ def test_word_count_and_blank(spark):
     assert many(spark, ["", " \t　", "a", None], tx.is_blank) == [True, True, False, None]
 
 
-def test_accent_routing_covers_every_expanding_character():
-    import re
-    from polarity.functions.accents import _tables
-    _, _, _, low, high = _tables()
-    ranges = [tuple(int(x, 16) for x in (r.split("-") if "-" in r else (r, r)))
-              for c in (low, high) for r in re.findall(r"\\x\{([0-9A-F]+)\}(?:-\\x\{([0-9A-F]+)\})?", c)
-              for r in [r[0] + ("-" + r[1] if r[1] else "")]]
-    covered = {cp for a, b in ranges for cp in range(a, b + 1)}
-    for cp in [0xBD, 0xFB01, 0xAC00, 0x1D400, 0x3300]:
-        assert cp in covered
-    for cp in [0x2019, 0x2014, 0x4E2D, 0x1F600, 0x41]:      # quotes, dashes, ideographs, emoji stay native
-        assert cp not in covered
-
-
-def test_strip_accents_matches_rule(spark):
-    cases = ["café", "naïve ﬁancé", "한국어", "½ x²", "ǅ", "plain", "ÀÉÎÕÜ", "𝐀𝐁", "á"]
-    assert many(spark, cases, strip_accents) == [strip_accents_py(c) for c in cases]
-    assert strip_accents_py("é") == "e" and unicodedata.combining("́")
+def test_strip_accents_matches_rule_for_every_character(spark):
+    chars = [chr(c) for c in range(1, 0x110000) if not 0xD800 <= c <= 0xDFFF]
+    cases = ["café", "naïve ﬁancé", "한국어", "½ x²", "ǅ", "plain", "ÀÉÎÕÜ", "𝐀𝐁", "á", "", None]
+    cases += ["a" + "".join(chars[i:i + 50]) + "z" for i in range(0, len(chars), 50)]
+    assert many(spark, cases, strip_accents) == [c if c is None else stripped(c) for c in cases]
+    assert stripped("é") == "e" and unicodedata.combining("\u0301")
+
+
+def test_text_plans_hold_no_python(spark, sf_small):
+    from polarity.operators import dedup, features as feat
+    from polarity.sources import fixtures as fx
+    posts = fx.posts(spark, sf_small)
+    for df in (posts.select(tx.clean_text("text")), posts.select(tx.preprocess_for_terms("text", True, "unicode")),
+               dedup.preprocess_plan(posts).clean, feat.doc_terms(posts, feat.BASELINE_TFIDF, "text")):
+        assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
 
 
 def test_char_wb_ngrams_rule(spark):
