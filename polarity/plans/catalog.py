@@ -7,16 +7,21 @@ names equal the oracle's (``polarity.plans.oracle_sql``).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from polarity.functions import text as tx
-from polarity.operators import dedup, features, metrics, models, quality, score, split
+from polarity.operators import dedup, features, linear, metrics, models, quality, score, split
 from polarity.plans import job
+from polarity.session import ensure_checkpoint_dir
 from polarity.streaming import replay as streams
 from polarity.sources import fixtures as fx
+from polarity.sources import io
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -388,7 +393,7 @@ def q_page_entities(spark, sf):
 
 @query("leaderboard")
 def q_leaderboard(spark, sf):
-    return fx.leaderboard(spark, sf).orderBy(F.col("macro_f1").desc(), "experiment_name")
+    return models.leaderboard(fx.leaderboard(spark, sf))
 
 
 @query("leaderboard_best")
@@ -451,3 +456,55 @@ def q_bayes_score_guarded(spark, sf):
 def q_bayes_score_stream(spark, sf):
     streamed = streams.replay_unlabelled(spark, sf, 0.47, model=_bayes(spark, sf)[1])[0]
     return _rounded(streamed.drop("scored_at"))
+
+
+# --- files, streams and the whole job (A1-A3, K3, L2, N1), exact linear fits (J8-J10), J18 ---
+
+@query("csv_round_trip")
+def q_csv_round_trip(spark, sf):
+    """Quotes, commas and line breaks through the CSV sink and the splittable scan."""
+    path = f"{ensure_checkpoint_dir(spark)}/csv-{uuid.uuid4().hex}"
+    io.write_table(fx.quoted(spark, sf).select("sentiment", "text"), path, fmt="csv")
+    return io.read_quoted_csv(spark, path, with_row_id=False)
+
+
+@query("bayes_score_csv")
+def q_bayes_score_csv(spark, sf):
+    """CSV in, CSV out, read back."""
+    path = f"{ensure_checkpoint_dir(spark)}/csv-{uuid.uuid4().hex}"
+    io.write_table(fx.unlabelled(spark, sf).select("text"), f"{path}/in", fmt="csv")
+    score.score_csv(spark, f"{path}/in", f"{path}/out", _bayes(spark, sf)[1], 0.47)
+    schema = ("text string, cleaned_text string, predicted_label int, predicted_sentiment string, decision_threshold double, "
+              "negative_probability double, positive_probability double")
+    return _rounded(io.read_quoted_csv(spark, f"{path}/out", T.StructType.fromDDL(schema), with_row_id=False))
+
+
+@query("bayes_log_sink")
+def q_bayes_log_sink(spark, sf):
+    """The metadata log as the stream's JSON sink holds it."""
+    return _rounded(streams.replay_paired(spark, sf, 0.47, model=_bayes(spark, sf)[1]).drop("timestamp", "batch"))
+
+
+@query("accent_stripping")
+def q_accent_stripping(spark, sf):
+    return fx.accented(spark, sf).select("row_id", tx.preprocess_for_terms("text", True, "unicode").alias("stripped"))
+
+
+@query("linear_fits")
+def q_linear_fits(spark, sf):
+    """The three linear objectives on two numbers per post, run to the optimum."""
+    rows = VectorAssembler(inputCols=["x1", "x2"], outputCol="features").transform(fx.measured(spark, sf))
+    counts = models.class_counts(rows)
+    objectives = {m: models.linear_objective(m, models.MODEL_CONFIGS[m], counts) for m in models.LINEAR}
+    fits = linear.solve(linear.blocks(rows, "features", "sentiment"), 2, objectives, tol=1e-12)
+    return spark.createDataFrame([(m, *[round(float(w), 6) for w in f.weights], round(f.intercept, 6)) for m, f in fits.items()],
+                                 "model string, w1 double, w2 double, intercept double")
+
+
+@query("full_job")
+def q_full_job(spark, sf):
+    """Clean, split, fit, choose the threshold on validation, measure on test."""
+    cfg = job.JobConfig(models={"complement_nb": models.MODEL_CONFIGS["complement_nb"]},
+                        variants={"basic_unigram": features.VARIANTS["basic_unigram"]})
+    done = job.run_job(spark, fx.posts(spark, sf), cfg, resume_dir=f"{ensure_checkpoint_dir(spark)}/job-{uuid.uuid4().hex}")
+    return done["final_test"]

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from polarity.functions.text import CleaningFlags
 from polarity.operators import dedup, features as feat, metrics as mx, models, quality, score, split
 from polarity.operators.dedup import DEFAULT, Columns
+from polarity.plans import stages
 from polarity.session import materialize
 from polarity.sources import fixtures as fx
 
@@ -88,26 +89,42 @@ def part(table: DataFrame, name: str) -> DataFrame:
 
 
 def run_job(spark: SparkSession, raw: DataFrame, cfg: JobConfig = JobConfig(),
-                 out_dir: str | None = None) -> dict:
+            out_dir: str | None = None, resume_dir: str | None = None) -> dict:
     """Every stage in the reference's order; returns reports and frames.
 
+    With ``resume_dir`` the clean table, the split and the fitted grid are
+    committed there, and a rerun on the same input and settings reads what is
+    there (``plans.stages``); ``result["stages_run"]`` names what was not.
+
     ``cfg.cols`` names the input's columns; from cleaning on they are called
     ``row_id``, ``sentiment`` and ``text``, as in every output."""
     named = {cfg.cols.row_id: DEFAULT.row_id, cfg.cols.label: DEFAULT.label, cfg.cols.text: DEFAULT.text}
     quality.require_columns(raw, list(named), "The job's input")
     raw, cfg = raw.withColumnsRenamed({k: v for k, v in named.items() if k != v}), replace(cfg, cols=DEFAULT)
     timings = {}
+    done = stages.Stages(spark, resume_dir, stages.input_key(raw, repr(cfg)) if resume_dir else "")
     t = time.perf_counter()
-    clean, cleaning = preprocess(raw, cfg)
+    if not done.has("clean", "conflicting_rows", "cleaning_report"):
+        clean, cleaning = preprocess(raw, cfg)
+        conflicting = cleaning["duplicate_report"].pop("conflicting_duplicate_rows")
+    clean = done.table("clean", lambda: clean)
+    conflicting = done.table("conflicting_rows", lambda: conflicting)
+    cleaning = done.report("cleaning_report", lambda: cleaning)
+    cleaning["duplicate_report"]["conflicting_duplicate_rows"] = conflicting
     timings["preprocess"] = time.perf_counter() - t
     t = time.perf_counter()
-    table, split_report = split_dataset(clean, cfg)
+    if not done.has("split", "split_report"):
+        table, split_report = split_dataset(clean, cfg)
+    table = done.table("split", lambda: table)
+    split_report = done.report("split_report", lambda: split_report)
     train, val, test = part(table, "train"), part(table, "validation"), part(table, "test")
     timings["split"] = time.perf_counter() - t
 
     t = time.perf_counter()
-    board, fitted = models.run_experiments(train, val, cfg.models, cfg.variants)
-    board = materialize(board)
+    if not done.has("leaderboard", "grid"):
+        board, fitted = models.run_experiments(train, val, cfg.models, cfg.variants)
+    board = models.leaderboard(done.table("leaderboard", lambda: board))
+    fitted = done.models("grid", lambda: fitted)
     best = models.select_best(board)
     best_model = fitted[best["experiment_name"]]
     timings["grid"] = time.perf_counter() - t
@@ -149,7 +166,7 @@ def run_job(spark: SparkSession, raw: DataFrame, cfg: JobConfig = JobConfig(),
         "leaderboard": board, "best": best, "best_model": best_model, "errors": errors, "top_errors": top,
         "error_summary": summary, "threshold_sweep": sweep, "threshold": threshold,
         "final_test": final_test, "final_test_predictions": score.evaluation_predictions(final_preds),
-        "regression_gate": gate, "quality_gate": baseline_gate, "timings": timings,
+        "regression_gate": gate, "quality_gate": baseline_gate, "timings": timings, "stages_run": done.run,
         "confusion_matrix": mx.confusion_matrix(final_test),
         "classification_report": mx.classification_report(final_test),
         "length_histogram": quality.length_histogram(raw),

@@ -450,3 +450,57 @@ SELECT row_id, why IS NULL AS accepted, why AS rejection_reason, text,
   CASE WHEN why IS NULL THEN negative_probability END AS negative_probability,
   CASE WHEN why IS NULL THEN positive_probability END AS positive_probability
 FROM g JOIN (SELECT row_id, {_PREDICTED}, {_PROBABILITIES} FROM p) USING (row_id)"""
+
+
+# --- files, streams, the whole job ---------------------------------------------------
+
+def _newton(model: str, loss: str, penalty: str, scale: str, free: bool, steps: int = 12) -> str:
+    """Full Newton steps for (w1, w2, intercept), one CTE a step, by Cramer's rule."""
+    first = {"logistic": "-1 / (1 + exp(m))", "squared_hinge": "-2 * greatest(1 - m, 0)"}[loss]
+    second = {"logistic": "1 / (2 + exp(m) + exp(-m))", "squared_hinge": "CASE WHEN m < 1 THEN 2 ELSE 0 END"}[loss]
+    ridge0 = "0" if free else penalty
+    out = [f"{model}_0 AS (SELECT CAST(0 AS DOUBLE) AS a, CAST(0 AS DOUBLE) AS b, CAST(0 AS DOUBLE) AS c)"]
+    for i in range(steps):
+        out.append(f"""{model}_m{i} AS (SELECT r.*, {scale} * weight AS k, sign * (a * x1 + b * x2 + c) AS m FROM rows_ r, {model}_{i}),
+{model}_s{i} AS (SELECT sum(k * sign * ({first}) * x1) AS g1, sum(k * sign * ({first}) * x2) AS g2, sum(k * sign * ({first})) AS g3,
+  sum(k * ({second}) * x1 * x1) + {penalty} AS h11, sum(k * ({second}) * x1 * x2) AS h12, sum(k * ({second}) * x1) AS h13,
+  sum(k * ({second}) * x2 * x2) + {penalty} AS h22, sum(k * ({second}) * x2) AS h23, sum(k * ({second})) + {ridge0} AS h33 FROM {model}_m{i}),
+{model}_g{i} AS (SELECT a, b, c, g1 + {penalty} * a AS p, g2 + {penalty} * b AS q, g3 + {ridge0} * c AS r, s.*,
+  h11 * (h22 * h33 - h23 * h23) - h12 * (h12 * h33 - h23 * h13) + h13 * (h12 * h23 - h22 * h13) AS det
+  FROM {model}_s{i} s, {model}_{i}),
+{model}_{i + 1} AS MATERIALIZED (SELECT
+  a - (p * (h22 * h33 - h23 * h23) - h12 * (q * h33 - h23 * r) + h13 * (q * h23 - h22 * r)) / det AS a,
+  b - (h11 * (q * h33 - h23 * r) - p * (h12 * h33 - h23 * h13) + h13 * (h12 * r - q * h13)) / det AS b,
+  c - (h11 * (h22 * r - q * h23) - h12 * (h12 * r - q * h13) + p * (h12 * h23 - h22 * h13)) / det AS c FROM {model}_g{i})""")
+    return ",\n".join(out)
+
+
+_FITS = (duck_cte("posts", "measured").rstrip() + """,
+sizes AS (SELECT sentiment, CAST(count(*) AS DOUBLE) AS n_c FROM measured GROUP BY sentiment),
+rows_ AS MATERIALIZED (SELECT x1, x2, CASE WHEN sentiment = 1 THEN 1.0 ELSE -1.0 END AS sign,
+  (SELECT sum(n_c) FROM sizes) / ((SELECT count(*) FROM sizes) * n_c) AS weight FROM measured JOIN sizes USING (sentiment)),
+""" + ",\n".join([
+    _newton("logistic_regression", "logistic", "1", "1", False),
+    _newton("linear_svc", "squared_hinge", "1", "1", False),
+    _newton("sgd_classifier", "logistic", "0.0001", "(1 / (SELECT CAST(count(*) AS DOUBLE) FROM measured))", True)]))
+
+ORACLE.update({
+    "csv_round_trip": duck_cte("quoted") + "SELECT CAST(sentiment AS INTEGER) AS sentiment, text FROM quoted",
+    "bayes_score_csv": _bayes_scores(_UNLABELLED) + _BATCH.replace("SELECT row_id, text", "SELECT text"),
+    "bayes_log_sink": ORACLE["bayes_log"],
+    "accent_stripping": duck_cte("accented") + """
+SELECT doc_id AS row_id, concat('cafe ', ['ff', 'fi', 'fl', 'ffi', 'ffl', '1⁄2', '3⁄4', 'dz', chr(4370) || chr(4449) || chr(4523),
+  chr(4352) || chr(4467) || chr(4527), 'kg'][1 + doc_id % 11], 'x ', lower(lang)) AS stripped FROM documents""",
+    "linear_fits": _FITS + "".join(
+        f"{' UNION ALL' if i else ''} SELECT '{m}' AS model, round(a, 6) AS w1, round(b, 6) AS w2, round(c, 6) AS intercept FROM {m}_12"
+        for i, m in enumerate(("logistic_regression", "linear_svc", "sgd_classifier"))),
+    "full_job": _bayes_scores("(SELECT row_id, clean_text AS text FROM final)") + """,
+parts AS (SELECT f.row_id, f.sentiment, p1 AS positive_probability, p0 AS negative_probability, s.split
+  FROM final f JOIN p USING (row_id) JOIN split s USING (row_id)),
+scored AS (SELECT * FROM parts WHERE split = 'validation'),
+""" + _sweep_sql() + """, best AS (SELECT threshold FROM sweep ORDER BY macro_f1 DESC, threshold LIMIT 1),
+tested AS (SELECT sentiment, CASE WHEN positive_probability >= threshold THEN 1 ELSE 0 END AS pred FROM parts, best WHERE split = 'test'),
+counts AS (SELECT count_if(sentiment = 0 AND pred = 0) AS tn, count_if(sentiment = 0 AND pred = 1) AS fp,
+  count_if(sentiment = 1 AND pred = 0) AS fn, count_if(sentiment = 1 AND pred = 1) AS tp FROM tested)
+""" + _metrics_select("(SELECT threshold FROM best)"),
+})

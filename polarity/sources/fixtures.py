@@ -70,6 +70,28 @@ TURNS_SQL = """
 SELECT conv_id * 1000 + turn AS row_id, CASE WHEN role = 'user' THEN 1 ELSE 0 END AS sentiment, text FROM {conversations}
 """
 
+# texts with quotes, commas and line breaks, for CSV
+QUOTED_SQL = """
+SELECT event_id AS row_id, CASE WHEN value > 10.0 THEN 1 ELSE 0 END AS sentiment,
+  concat(CASE WHEN event_id % 3 = 0 THEN '"' ELSE '' END, event_type, CASE WHEN event_id % 4 = 0 THEN concat(',', chr(10)) ELSE ' ' END,
+         props, CASE WHEN event_id % 5 = 0 THEN concat(chr(10), chr(10), '"') ELSE '' END,
+         CASE WHEN event_id % 7 = 0 THEN ' ' ELSE '' END) AS text
+FROM {events}
+"""
+
+# letters whose accent-free form is longer than one character
+ACCENTED_SQL = """
+SELECT doc_id AS row_id, concat('Caf', chr(233), ' ', substring('ﬀﬁﬂﬃﬄ½¾Ǆ한글㎏', CAST(1 + doc_id % 11 AS INT), 1), 'x ', lang) AS text
+FROM {documents}
+"""
+
+# two numbers for each post
+MEASURED_SQL = """
+SELECT row_id, sentiment, CAST(length(text) AS DOUBLE) / CAST(40 AS DOUBLE) AS x1,
+  CAST(row_id % 7 AS DOUBLE) / CAST(7 AS DOUBLE) + 0.5 * sentiment AS x2
+FROM ({posts}) p
+"""
+
 LEADERBOARD_SQL = """
 SELECT n.n_name AS experiment_name,
   CASE n.n_regionkey % 3 WHEN 0 THEN 'basic_unigram' WHEN 1 THEN 'unigram_bigram' ELSE 'real_word_char_hybrid' END AS tfidf_variant,
@@ -133,6 +155,18 @@ def leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _spark_sql(spark, sf_dir, LEADERBOARD_SQL)
 
 
+def quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _spark_sql(spark, sf_dir, QUOTED_SQL)
+
+
+def accented(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _spark_sql(spark, sf_dir, ACCENTED_SQL)
+
+
+def measured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _spark_sql(spark, sf_dir, MEASURED_SQL, posts=posts(spark, sf_dir))
+
+
 def order_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _spark_sql(spark, sf_dir, ORDER_NOTES_SQL)
 
@@ -153,6 +187,7 @@ def duck(sql: str) -> str:
 
 def duck_cte(*names: str) -> str:
     """``WITH posts AS (...), ...`` prefix for oracle queries."""
-    bodies = {"leaderboard": LEADERBOARD_SQL, "texts": TEXTS_SQL, "posts": POSTS_SQL, "reviews": REVIEWS_SQL, "scored": SCORED_SQL.replace("({posts}) p", "posts")}
+    bodies = {"leaderboard": LEADERBOARD_SQL, "texts": TEXTS_SQL, "posts": POSTS_SQL, "reviews": REVIEWS_SQL,
+              "quoted": QUOTED_SQL, "accented": ACCENTED_SQL, "measured": MEASURED_SQL.replace("({posts}) p", "posts"), "scored": SCORED_SQL.replace("({posts}) p", "posts")}
     parts = [f"{name} AS ({duck(bodies[name]).strip()})" for name in names]
     return "WITH " + ",\n".join(parts) + "\n"

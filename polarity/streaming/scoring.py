@@ -94,3 +94,58 @@ def run_to_completion(queries: list[StreamingQuery]) -> None:
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(f"streaming query {q.name or q.id} failed: {q.exception()}")
+
+
+# --- scored rows and their log, committed together -------------------------------------
+
+PAIRED = ("scored", "rejected", "prediction_log")
+
+
+def start_paired_scoring(spark: SparkSession, source_dir: str, model: PipelineModel, out_dir: str, checkpoint: str,
+                         threshold: float | None = None, available_now: bool = True, max_files_per_trigger: int | None = None,
+                         schema: T.StructType = INPUT_SCHEMA, event_time: str | None = None, fmt: str = "parquet") -> StreamingQuery:
+    """L1 + L2 as one query: every micro-batch is scored once and its scored
+    rows, rejected rows and log lines are written under the batch's number.
+
+    A batch that is replayed after a failure overwrites what its first attempt
+    left, in every sink, with the same request ids; the number is added to
+    ``commits`` last, and ``read_paired`` shows committed batches only.  So a
+    reader never sees a row without its log line, nor one twice."""
+    keep = ("row_id", event_time) if event_time else ("row_id",)
+
+    def commit(batch: DataFrame, number: int) -> None:
+        own = batch.sparkSession
+
+        def put(df: DataFrame, name: str, fmt: str = "parquet") -> str:
+            path = f"{out_dir}/{name}/batch={number}"
+            df.write.mode("overwrite").format(fmt).save(path)
+            return path
+
+        scored, rejected = scored_stream(batch, model, threshold, keep)
+        scored = scored.withColumn("request_id", request_of("row_id"))
+        if not event_time:
+            scored = scored.withColumn("scored_at", F.current_timestamp())
+        sent = own.read.schema(scored.schema).parquet(put(scored, "scored"))     # the model runs once
+        put(rejected, "rejected")
+        put(prediction_log(sent, event_time=event_time or "scored_at", request_id="request_id"), "prediction_log", "json")
+        put(own.range(1).select(F.lit(number).cast("long").alias("number")), "commits")
+
+    stream = read_stream(spark, source_dir, schema, max_files_per_trigger, fmt)
+    w = stream.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
+    return w.start()
+
+
+LOG_SCHEMA = ("timestamp timestamp, request_id string, predicted_label int, predicted_sentiment string, positive_probability double, "
+              "negative_probability double, threshold double, text_length long")
+
+
+def read_paired(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
+    """The rows of one sink (``scored``, ``rejected`` or ``prediction_log``) in
+    committed batches, with the column ``batch``."""
+    if name not in PAIRED:
+        raise ValueError(f"no such sink: {name}")
+    numbers = spark.read.parquet(f"{out_dir}/commits").select("number")
+    rows = (spark.read.schema(LOG_SCHEMA + ", batch int").json(f"{out_dir}/{name}") if name == "prediction_log"
+            else spark.read.parquet(f"{out_dir}/{name}"))
+    return rows.join(numbers, F.col("batch") == F.col("number"), "left_semi")
