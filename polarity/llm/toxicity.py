@@ -33,7 +33,8 @@ ORDERS = (3, 4)             # subsequence lengths
 LEAST_G2 = 20.0             # log-likelihood ratio that makes a string a landmark,
 LEAST_SHARE = 0.1           # and at least so much of the best string's (words of a language in which
                             # toxic texts are common have small ratios too)
-RIDGE = 1e-3                # of the SVM, per row
+SPELLED = 1.0               # weight of all made examples, as a share of that of the texts
+RIDGE = 1e-4                # of the SVM, per row
 CHUNK = 64                  # letters of a unit that the kernel sees at once
 BLOCK_BYTES = 1 << 20
 CACHE = 1 << 18             # unit margins that a task remembers
@@ -124,9 +125,23 @@ def kernel(units: list[bytes], marks: list[bytes], decay: float = DECAY, orders:
     return out
 
 
+def own_norms(units: list[bytes], decay: float = DECAY, orders: tuple[int, ...] = ORDERS) -> np.ndarray:
+    """Root of each unit's kernel with itself."""
+    out = np.zeros(len(units))
+    order = np.argsort([len(u) for u in units], kind="stable")
+    for at in range(0, len(order), 256):
+        part = order[at:at + 256]
+        t = np.full((len(part), 1, max(1, max(len(units[i]) for i in part))), -2, np.int16)
+        for row, i in enumerate(part):
+            t[row, 0, :len(units[i])] = np.frombuffer(units[i], np.uint8)
+        out[part] = _kernel([units[i] for i in part], t, decay, orders)[:, 0]
+    return np.sqrt(np.maximum(out, 1e-9))
+
+
 def _kernel(units: list[bytes], t: np.ndarray, decay: float, orders: tuple[int, ...]) -> np.ndarray:
-    """The kernel of a few units and marks ``t`` of one width, all at once."""
-    marks, width = t.shape
+    """The kernel of a few units and marks ``t`` of one width, all at once;
+    ``t`` holds the same marks for all units, or (units, 1, width) one for each."""
+    marks, width = t.shape[-2:]
     gaps = np.triu(decay ** np.abs(np.subtract.outer(np.arange(width), np.arange(width)))).astype(np.float32)
     longest = max(1, max(map(len, units)))
     u = np.full((len(units), longest), -1, np.int16)
@@ -138,7 +153,7 @@ def _kernel(units: list[bytes], t: np.ndarray, decay: float, orders: tuple[int,
     ways += [np.zeros_like(ways[0]) for _ in range(max(orders) - 1)]
     total = np.zeros((len(units), marks))
     for a in range(longest):
-        same = (u[:, a][:, None, None] == t[None]).astype(np.float32)
+        same = (u[:, a][:, None, None] == t).astype(np.float32)
         for p in orders:
             total += (same * ways[p - 1][..., :-1]).sum(axis=2)
         for i in range(len(ways) - 1, 0, -1):
@@ -172,27 +187,30 @@ class Model:
     """Landmarks, weights and the logistic curve; small enough for a closure."""
     toxic: list[bytes]
     clean: list[bytes]
-    weights: np.ndarray     # of the landmark kernel values
+    weights: np.ndarray     # of the landmark kernel values, plain and normalised
     bias: float
     slope: float
     offset: float
     constant: float | None = None
 
     def gate(self, units: Units) -> np.ndarray:
-        """Units that hold all letters of a toxic landmark in their order, with
-        anything in between (of six or more distinct letters one may lack).
-        Others have the margin of an empty unit."""
+        """Units that hold the letters of a toxic landmark in their order, with
+        anything in between; of every four letters one may lack (masked and
+        replaced letters arrive as gaps).  Others have the margin of an empty
+        unit: they share too few subsequences for the kernel to see."""
         masks, passed = units.masks(), np.zeros(len(units.head), dtype=bool)
         for mark in self.toxic:
             need = np.bitwise_or.reduce(BIT[np.frombuffer(mark, np.uint8)])
-            spare = int(np.bitwise_count(need)) // 6
+            spare = len(mark) // 4
             maybe = np.flatnonzero((np.bitwise_count(need & ~masks) <= spare) & ~passed)
             passed[maybe[_in_order(units, maybe, mark, spare)]] = True
         return np.flatnonzero(passed)
 
     def features(self, units: list[bytes]) -> np.ndarray:
-        """Kernel with each landmark, scaled by the landmark's own norm; long
-        units are read in overlapping chunks and keep the greatest values."""
+        """Kernel with each landmark, scaled by the landmark's own norm, and
+        the same scaled by the unit's as well (short units that lack a letter
+        stand out there); long units are read in overlapping chunks and keep
+        the greatest values."""
         marks = self.toxic + self.clean
         chunks, owner = [], []
         for i, unit in enumerate(units):
@@ -200,7 +218,8 @@ class Model:
                 chunks.append(unit[at:at + CHUNK])
                 owner.append(i)
         values = kernel(chunks, marks) / self.norms()
-        out = np.zeros((len(units), len(marks)))
+        values = np.concatenate([values, values / own_norms(chunks)[:, None]], axis=1)
+        out = np.zeros((len(units), 2 * len(marks)))
         np.maximum.at(out, np.array(owner, dtype=np.int64), values)
         return out
 
@@ -388,15 +407,16 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> Model:
     toxic = landmarks_of(sample, totals) if all(totals.values()) else []
     if not toxic:
         return Model([], [], np.zeros(0), 0.0, 1.0, 0.0, constant=totals[1] / rows if rows else 0.0)
-    model = Model(toxic, [], np.zeros(len(toxic)), 0.0, 1.0, 0.0)
+    model = Model(toxic, [], np.zeros(2 * len(toxic)), 0.0, 1.0, 0.0)
     alike = {}
     for label, unit, values in _suspects(sample, model, 3):
         if label == 0:
             alike[unit] = max(values)
     model.clean = [u for u, _ in sorted(alike.items(), key=lambda x: (-x[1], x[0])) if u not in toxic and len(u) <= 12][:COUNTER_LANDMARKS]
-    model.weights = np.zeros(len(model.toxic + model.clean))
+    model.weights = np.zeros(2 * len(model.toxic + model.clean))
     suspects = _suspects(sample, model, 3)
-    _fit_margin(model, suspects + _spelled_around(model, suspects))
+    spelled = _spelled_around(model, suspects)
+    _fit_margin(model, suspects, spelled)
     flat = Model(model.toxic, model.clean, model.weights, model.bias, 1.0, 0.0)
 
     def margins(batches):
@@ -407,42 +427,55 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> Model:
             yield pa.RecordBatch.from_arrays([pa.array(values), batch.column("label")], names=["margin", "label"])
 
     known = sample.mapInArrow(margins, "margin double, label int").collect()
-    model.slope, model.offset = _curve(np.array([r.margin for r in known]), np.array([r.label for r in known]))
+    # the made examples are toxic texts of one unit
+    made = np.maximum(np.array([f for _, _, f in spelled]).reshape(len(spelled), len(model.weights)) @ model.weights + model.bias, model.bias)
+    model.slope, model.offset = _curve(np.append([r.margin for r in known], made),
+                                       np.append([r.label for r in known], np.ones(len(spelled))))
     return model
 
 
 def _spelled_around(model: Model, suspects: list) -> list:
-    """Toxic training examples with a letter put into each landmark, where
-    they are closer to it than any suspect unit of a clean text is."""
-    clean = np.array([f for label, _, f in suspects if label == 0]).reshape(-1, len(model.toxic + model.clean))
+    """Toxic training examples with a letter put into each landmark or taken
+    from it, where they are closer to it than any suspect unit of a clean text is."""
+    n = len(model.toxic + model.clean)
+    clean = np.array([f for label, _, f in suspects if label == 0]).reshape(-1, 2 * n)
     reach = clean.max(axis=0, initial=0.0)
     units = [(j, m[:i] + bytes([c]) + m[i:]) for j, m in enumerate(model.toxic) for i in range(1, len(m)) for c in INSERTED]
+    units += [(j, m[:i] + m[i + 1:]) for j, m in enumerate(model.toxic) for i in range(len(m))]
     features = model.features([u for _, u in units])
-    return [(1, u, f.tolist()) for (j, u), f in zip(units, features) if f[j] > reach[j]]
+    return [(1, u, f.tolist()) for (j, u), f in zip(units, features) if f[n + j] > reach[n + j]]
+
 
+def _fit_margin(model: Model, suspects: list, spelled: list) -> None:
+    """Linear SVM (squared hinge, Newton steps) on Nystroem features K_mm^(-1/2) k(unit).
 
-def _fit_margin(model: Model, suspects: list) -> None:
-    """Linear SVM (squared hinge, Newton steps) on Nystroem features K_mm^(-1/2) k(unit)."""
+    The made examples weigh SPELLED times as much as the texts together: each
+    is one of the many ways to write around a landmark."""
+    texts, suspects = len(suspects), suspects + spelled
     marks, norms = model.toxic + model.clean, model.norms()
     between = kernel(marks, marks) / np.outer(norms, norms)
     value, vector = np.linalg.eigh((between + between.T) / 2)
     root = vector @ np.diag(1 / np.sqrt(np.maximum(value, 1e-3))) @ vector.T
-    space = np.array([f for _, _, f in suspects]).reshape(len(suspects), len(marks)) @ root
+    both = np.kron(np.eye(2), root)
+    space = np.array([f for _, _, f in suspects]).reshape(len(suspects), 2 * len(marks)) @ both
     # a quarter as many texts without any suspicious unit
-    space = np.concatenate([space, np.zeros((max(1, len(suspects) // 4), len(marks)))])
+    space = np.concatenate([space, np.zeros((max(1, len(suspects) // 4), 2 * len(marks)))])
     x = np.column_stack([space, np.ones(len(space))])
     y = np.full(len(x), -1.0)
     y[[i for i, (label, _, _) in enumerate(suspects) if label]] = 1.0
-    penalty = np.diag(np.append(np.full(len(marks), RIDGE), 1e-9)) * len(x)
+    weight = np.ones(len(x))
+    weight[texts:len(suspects)] = max(1.0, SPELLED * texts / max(1, len(spelled)))
+    penalty = np.diag(np.append(np.full(2 * len(marks), RIDGE), 1e-9)) * len(x)
     w, active = np.zeros(x.shape[1]), np.ones(len(x), dtype=bool)
     for _ in range(50):
         inside = x[active]
-        w = np.linalg.solve(inside.T @ inside + penalty, inside.T @ y[active])
+        scaled = inside * weight[active][:, None]
+        w = np.linalg.solve(inside.T @ scaled + penalty, scaled.T @ y[active])
         now = y * (x @ w) < 1
         if (now == active).all():
             break
         active = now
-    model.weights, model.bias = root @ w[:-1], float(w[-1])
+    model.weights, model.bias = both @ w[:-1], float(w[-1])
 
 
 def _curve(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:

@@ -46,7 +46,8 @@ def test_gate_wants_the_letters_in_order():
     model = tx.Model([b"idiot", b"worthless"], [], np.zeros(2), 0.0, 1.0, 0.0)
     words = ["idiot", "ixdxiot", "toidi", "idio", "worthless", "worhless", "wrthlss", "xworthlesss", "sselhtrow", "", "i"]
     units = tx.units_of([w.encode() for w in words])
-    assert [units.get(i).decode() for i in model.gate(units)] == ["idiot", "ixdxiot", "worthless", "worhless", "xworthlesss"]
+    assert [units.get(i).decode() for i in model.gate(units)] == [
+        "idiot", "ixdxiot", "idio", "worthless", "worhless", "wrthlss", "xworthlesss"]
     rng = random.Random(17)
     for _ in range(300):
         mark = bytes(rng.choice(b"abc") for _ in range(rng.randint(1, 6)))
@@ -83,6 +84,7 @@ def test_gapped_and_inserted_insults_are_found(spark, insulted):
     truth = {r.doc_id: r.toxic for r in labels.collect()}
     assert all(scored[i].predicted == truth[i] for i in truth)
     odd = ["lo ka i d i o t mi", "ka m-o-r-o-n", "s.c.u.m lo", "cloxwn ren", "IDIOT!", "idi#ot", "ka idiiot"]
+    odd += ["1d10t no: id1ot", "m*ron ka", "cl0wn", "sc*m", "ka mor0n lo", "c1own"]
     fine = ["lo ka mi", "", "tu ren sop", None, "!!!", "a b c"]
     out = tx.score(cases.frame(spark, [(i, t, "s", "en") for i, t in enumerate(odd + fine)]), model).orderBy("doc_id").collect()
     assert [r.predicted for r in out] == [1] * len(odd) + [0] * len(fine)
