@@ -83,20 +83,27 @@ def find_conflicting_duplicate_texts(df: DataFrame, key: str, cols: Columns = DE
     a left-semi join, which AQE splits when one key is hot.
     """
     _refuse_clash(df)
+    return df.join(_conflicting_keys(df, key, cols), on=key, how="left_semi")
+
+
+def _conflicting_keys(df: DataFrame, key: str, cols: Columns) -> DataFrame:
     label = F.col(cols.label)
-    bad = (df.groupBy(key)
-             .agg(F.min(label).alias("_lo"), F.max(label).alias("_hi"),
-                  F.count_if(label.isNull()).alias("_nulls"), F.count(F.lit(1)).alias("_rows"))
-             .where(_conflict())
-             .select(key))
-    return df.join(bad, on=key, how="left_semi")
+    return (df.groupBy(key)
+              .agg(F.min(label).alias("_lo"), F.max(label).alias("_hi"),
+                   F.count_if(label.isNull()).alias("_nulls"), F.count(F.lit(1)).alias("_rows"))
+              .where(_conflict())
+              .select(key))
 
 
 def remove_conflicting_duplicate_texts(df: DataFrame, key: str, cols: Columns = DEFAULT) -> tuple[DataFrame, DataFrame]:
-    """(rows without conflicting keys, the conflicting rows)."""
-    conflicting = find_conflicting_duplicate_texts(df, key, cols)
-    kept = df.join(conflicting.select(key).distinct(), on=key, how="left_anti")
-    return kept, conflicting
+    """(rows without conflicting keys, the conflicting rows).
+
+    One join marks the rows; they are written once and read as two tables.
+    Rows without a key conflict with none."""
+    _refuse_clash(df)
+    bad = _conflicting_keys(df, key, cols).withColumn("_bad", F.lit(True))
+    marked = materialize(df.join(bad, on=key, how="left"))
+    return marked.where("_bad is null").drop("_bad"), marked.where("_bad").drop("_bad")
 
 
 def remove_duplicate_texts_same_label(df: DataFrame, key: str, cols: Columns = DEFAULT) -> DataFrame:

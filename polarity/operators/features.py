@@ -197,6 +197,9 @@ def term_counts(fit_df: DataFrame, cfg: TfidfConfig, text_col: str = "clean_text
 def fit_vocabulary(fit_df: DataFrame, cfg: TfidfConfig, text_col: str = "clean_text",
                    id_col: str = "row_id", pruned: bool | None = None) -> tuple[DataFrame, int]:
     """Fit J4 on ``fit_df``: (vocabulary frame, number of documents)."""
+    missing = [c for c in (text_col, id_col) if c not in fit_df.columns]
+    if missing:
+        raise ValueError(f"a vocabulary can't be fitted without column(s) {missing}")
     counts, n_docs = term_counts(fit_df, cfg, text_col, id_col, pruned)
     return vocabulary(counts, n_docs, cfg), n_docs
 

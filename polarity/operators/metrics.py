@@ -200,6 +200,8 @@ def error_table(df: DataFrame, actual: str = "sentiment", predicted: str = "pred
                 keep: tuple[str, ...] = ("row_id",)) -> DataFrame:
     """Misclassified rows with type, confidence, length, words."""
     from polarity.functions.text import char_length, word_count
+    from polarity.operators.quality import require_columns
+    require_columns(df, [c for c in (actual, predicted, p_neg, p_pos, "text", "clean_text") if c], "The table of predictions")
     y, yhat = F.col(actual).cast("int"), F.col(predicted).cast("int")
     neg = F.col(p_neg).cast("double") if p_neg else F.lit(None).cast("double")
     pos = F.col(p_pos).cast("double") if p_pos else F.lit(None).cast("double")

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from polarity.functions.text import CleaningFlags, char_length, clean_text, is_blank
 from polarity.operators import metrics as mx
 from polarity.operators.models import check_threshold, has_probability, predict
+from polarity.operators.quality import require_columns
 from polarity.session import spread
 
 # The scoring output columns, in order, and the input limits.
@@ -76,6 +77,7 @@ def guard_inputs(df: DataFrame, text_col: str = "text", max_length: int = MAX_TE
     The online service rejected a whole request; on tables each row is
     routed instead, and the batch-size cap becomes source rate control.
     """
+    require_columns(df, [text_col], "The rows to score")
     text = F.col(text_col)
     reason = (F.when(text.isNull() | is_blank(text), "empty_text")
                .when(char_length(text) > max_length, "text_too_long"))
@@ -108,19 +110,15 @@ def score_guarded(df: DataFrame, model: PipelineModel, threshold: float | None =
                   text_col: str = "text", keep: tuple[str, ...] = ("row_id",)) -> DataFrame:
     """K7: guard every row (C7), score the accepted ones; rejected rows keep
     their reason and carry null predictions.  One output, no row dropped."""
-    guarded = guard_inputs(df, text_col)
-    accepted = score(guarded.where(F.col("accepted")), model, threshold, text_col,
-                     keep=tuple(keep) + ("accepted", "rejection_reason"))
-    rejected = guarded.where(~F.col("accepted")).select(
-        *keep, "accepted", "rejection_reason",
-        F.col(text_col).cast("string").alias("text"),
-        F.lit(None).cast("string").alias("cleaned_text"),
-        F.lit(None).cast("int").alias("predicted_label"),
-        F.lit(None).cast("string").alias("predicted_sentiment"),
-        F.lit(None if threshold is None else float(threshold)).cast("double").alias("decision_threshold"),
-        F.lit(None).cast("double").alias("negative_probability"),
-        F.lit(None).cast("double").alias("positive_probability"))
-    return accepted.unionByName(rejected)
+    said = F.col(text_col).cast("string")
+    guarded = guard_inputs(df, text_col).select(
+        *keep, "accepted", "rejection_reason", said.alias("_said"), F.when(F.col("accepted"), said).alias("_scored"))
+    # one pass: rejected rows go through the model as empty texts
+    scored = score(guarded, model, threshold, "_scored", keep=(*keep, "accepted", "rejection_reason", "_said"))
+    own = [c for c in PREDICTION_COLUMNS if c not in ("text", "decision_threshold")]
+    return scored.select(*keep, "accepted", "rejection_reason", *[
+        F.col("_said").alias(c) if c == "text" else F.when(F.col("accepted"), F.col(c)).alias(c) if c in own else F.col(c)
+        for c in PREDICTION_COLUMNS])
 
 
 def score_csv(spark, input_path: str, output_path: str, model: PipelineModel,

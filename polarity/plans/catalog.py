@@ -61,6 +61,14 @@ def q_label_conflicts(spark, sf):
     return dedup.label_conflicts(fx.posts(spark, sf))
 
 
+@query("conflicts_removed")
+def q_conflicts_removed(spark, sf):
+    """Both halves of the public form, told apart."""
+    keyed = fx.posts(spark, sf).withColumn("duplicate_key", tx.duplicate_key("text"))
+    kept, gone = dedup.remove_conflicting_duplicate_texts(keyed, "duplicate_key")
+    return kept.withColumn("conflicting", F.lit(False)).unionByName(gone.withColumn("conflicting", F.lit(True)))
+
+
 @query("dedup_report")
 def q_dedup_report(spark, sf):
     return dedup.handle_duplicates(fx.posts(spark, sf))[1]

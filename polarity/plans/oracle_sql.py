@@ -53,6 +53,10 @@ ORACLE: dict[str, str] = {
     "label_conflicts": _with_dedup() + """
 SELECT row_id, sentiment, text, duplicate_key FROM keyed
 WHERE duplicate_key IN (SELECT duplicate_key FROM bad)""",
+    "conflicts_removed": duck_cte("posts").rstrip() + f""",
+k AS (SELECT row_id, sentiment, text, {_key('text')} AS duplicate_key FROM posts),
+b AS (SELECT duplicate_key FROM k GROUP BY duplicate_key HAVING count(DISTINCT sentiment) > 1)
+SELECT *, duplicate_key IN (SELECT duplicate_key FROM b) AS conflicting FROM k""",
     "dedup_report": _with_dedup() + """
 SELECT CAST((SELECT count(*) FROM posts) AS BIGINT) AS rows_before,
   CAST((SELECT count(*) FROM posts) - (SELECT count(*) FROM exact) AS BIGINT) AS exact_duplicate_rows_removed,

@@ -44,11 +44,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def csv_columns(spark: SparkSession, path: str) -> list[str]:
     """The header of a CSV file (of the first of several, by path)."""
-    files = sorted(r[0] for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-                   .load(path).select("path").collect())
-    if not files:
+    least = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+             .agg(F.min("path")).first()[0])
+    if least is None:
         raise ValueError(f"{path} holds no file")
-    head = spark.read.option("quote", '"').option("escape", '"').option("header", False).csv(files[0]).first()
+    head = spark.read.option("quote", '"').option("escape", '"').option("header", False).csv(least).first()
     return [] if head is None else [(v or "").lstrip("\ufeff") for v in head]
 
 

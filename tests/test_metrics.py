@@ -127,3 +127,12 @@ def test_gates_and_variant_comparison(spark):
     rows = {r.tfidf_variant: r for r in mx.variant_comparison(board).collect()}
     assert rows["real_word_char_hybrid"].best_macro_f1 == 0.80
     assert abs(rows["unigram_bigram"].real_word_char_hybrid_minus_unigram_bigram - 0.01) < 1e-12
+
+
+def test_absent_columns_are_named(spark):
+    from polarity.operators import features as feat, score
+    df = spark.createDataFrame([(1, "x")], "row_id long, text string")
+    for fn, what in ((lambda: mx.error_table(df), "clean_text"), (lambda: score.guard_inputs(df, "body"), "body"),
+                     (lambda: feat.fit_vocabulary(df, feat.TfidfConfig()), "clean_text")):
+        with pytest.raises(ValueError, match=what):
+            fn()
