@@ -1,9 +1,9 @@
 """Spark-native curation, training and scoring of labelled short texts.
 
 Every stage is a DataFrame -> DataFrame function: native Column expressions,
-partial aggregations and ``pyspark.ml`` stages; two small Arrow UDFs handle
-HTML entities and the rare 1->n accent characters, only for rows that need
-them.  See README.md for the operator map.
+partial aggregations and ``pyspark.ml`` stages.  Python runs in tasks for the
+sums of the linear solver and for CSV records with quoted line breaks only.
+See README.md for the operator map.
 
 Main entry points (submodules; ``import polarity`` loads only the session)::
 
@@ -14,6 +14,7 @@ Main entry points (submodules; ``import polarity`` loads only the session)::
     polarity.operators.models.run_experiments   the model x feature grid
     polarity.operators.score.score              batch scoring with a fitted model
     polarity.streaming.scoring.start_scoring    the same scoring as a stream
+    polarity.streaming.scoring.start_paired_scoring    rows and log committed together
 """
 
 from polarity.session import get_session, materialize, spread
