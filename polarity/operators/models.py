@@ -28,7 +28,7 @@ from pyspark.ml.classification import LinearSVCModel, LogisticRegressionModel, N
 from pyspark.ml.common import _py2java
 from pyspark.ml.feature import ElementwiseProduct
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import DenseVector
+from pyspark.ml.linalg import DenseVector, SparseVector
 from pyspark.ml.wrapper import JavaParams
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,6 +87,20 @@ def bayes_classifier(cfg: dict, label: str = LABEL) -> NaiveBayes:
     return NaiveBayes(featuresCol=FEATURES, labelCol=label, modelType="complement", smoothing=float(cfg.get("alpha", 1.0)))
 
 
+def both_classes(train: DataFrame, counts: dict, length: int, label: str = LABEL) -> DataFrame:
+    """(label, features) with a row of zeros for a class that has no rows.
+
+    Spark's naive Bayes has as many classes as it meets labels.  Cleaning can
+    leave one (every text of the other is in conflict): its sums are zeros, and
+    the model still tells 0 from 1."""
+    rows = train.select(label, FEATURES)
+    absent = [(c, SparseVector(length, [])) for c in (0, 1) if c not in counts]
+    if not absent:
+        return rows
+    zeros = train.sparkSession.createDataFrame(absent, ["c", FEATURES])
+    return rows.unionByName(zeros.select(F.col("c").cast(rows.schema[label].dataType).alias(label), FEATURES))
+
+
 def linear_stage(name: str, fit: linear.Fit):
     """Fitted weights as a Spark ML model over the feature column."""
     kind = LinearSVCModel if name == "linear_svc" else LogisticRegressionModel
@@ -205,7 +219,7 @@ def fit_classifiers(fv: FittedVariant, models: dict, label: str = LABEL) -> dict
             out[m] = Trained(linear_stage(m, fit), fit.task_seconds, fit)
     if "complement_nb" in models:
         t0 = time.perf_counter()
-        stage = bayes_classifier(models["complement_nb"], label).fit(fv.train)
+        stage = bayes_classifier(models["complement_nb"], label).fit(both_classes(fv.train, fv.counts, fv.length, label))
         out["complement_nb"] = Trained(stage, time.perf_counter() - t0)
     return {m: out[m] for m in models}
 
