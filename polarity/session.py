@@ -114,14 +114,17 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     """Give CPU-heavy per-row text work at least one task per core.
 
     A small source (one Parquet row group, say) lands in fewer tasks than
-    there are cores; it is dealt out anew (by ``key`` when given).  A source
-    of more than TASK_BYTES per core has splits enough and is left as it is.
-    Only the plan is looked at: its input is not run.
+    there are cores; it is dealt out anew.  With a ``key`` a large source is too,
+    in tasks of TASK_BYTES: a row group can't be split, so a large file with few
+    of them gives few tasks that grow with it.  Without one, a source of more
+    than TASK_BYTES per core is left as it is.  Only the plan is looked at: its
+    input is not run.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if source_bytes(df) >= cores * TASK_BYTES:
-        return df
-    return df.repartition(cores * 2, key) if key else df.repartition(cores * 2)
+    size = source_bytes(df)
+    if key:
+        return df.repartition(max(cores * 2, -(-size // TASK_BYTES)), key)
+    return df if size >= cores * TASK_BYTES else df.repartition(cores * 2)
 
 
 def ship_with_tasks(module: str) -> None:
