@@ -93,6 +93,7 @@ def materialize(df: DataFrame, compression: str | None = None) -> DataFrame:
 
 
 TASK_BYTES = 8 << 20
+UNKNOWN_BYTES = 1 << 60     # Spark gives a source of unknown size more than this
 
 
 def source_bytes(df: DataFrame) -> int:
@@ -117,12 +118,12 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     there are cores; it is dealt out anew.  With a ``key`` a large source is too,
     in tasks of TASK_BYTES: a row group can't be split, so a large file with few
     of them gives few tasks that grow with it.  Without one, a source of more
-    than TASK_BYTES per core is left as it is.  Only the plan is looked at: its
-    input is not run.
+    than TASK_BYTES per core is left as it is, and so is one of unknown size in
+    either case.  Only the plan is looked at: its input is not run.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     size = source_bytes(df)
-    if key:
+    if key and size < UNKNOWN_BYTES:
         return df.repartition(max(cores * 2, -(-size // TASK_BYTES)), key)
     return df if size >= cores * TASK_BYTES else df.repartition(cores * 2)
 
