@@ -22,3 +22,9 @@ def folder(tmp_path_factory):
 def test_one_class(spark, folder, name):
     res = compare(spark, duck_connection(folder), name, entry.queries()[name], entry.oracle_sql()[name], folder)
     assert res["names"] and res["hash"] and res["rows"][0] == res["rows"][1] > 0
+
+
+@pytest.mark.parametrize("name", ["bayes_score_batch", "bayes_score_csv", "bayes_score_stream", "bayes_log_sink"])
+def test_one_class_scores_and_sinks(spark, folder, name):
+    res = compare(spark, duck_connection(folder), name, entry.queries()[name], entry.oracle_sql()[name], folder)
+    assert res["names"] and res["hash"] and res["rows"][0] == res["rows"][1] > 0
