@@ -140,7 +140,7 @@ def word_ngrams(tokens: Column, ngram_range: tuple[int, int]) -> Column:
     Each n is built from n shifted slices with ``zip_with``; ``tokens`` is only
     read outside lambdas (pass a column, not an expression).
     """
-    lo, hi = _check_range(ngram_range)
+    lo, hi = check_range(ngram_range)
     parts = []
     for n in range(lo, hi + 1):
         if n == 1:
@@ -164,7 +164,7 @@ def char_wb_ngrams(c: Column | str, ngram_range: tuple[int, int]) -> Column:
     A padded word is at least 3 long; for a smallest n above 3 the shorter
     padded words are matched whole by one more alternative.
     """
-    lo, hi = _check_range(ngram_range)
+    lo, hi = check_range(ngram_range)
     if lo < 3:
         return _char_wb_ngrams_lambda(c, (lo, hi))
     padded = F.concat(F.lit(" "), F.array_join(split_words(c), "  "), F.lit(" "))
@@ -180,7 +180,7 @@ def char_wb_ngrams(c: Column | str, ngram_range: tuple[int, int]) -> Column:
 
 def _char_wb_ngrams_lambda(c: Column | str, ngram_range: tuple[int, int]) -> Column:
     """General form of J3 (any n range) with nested lambdas."""
-    lo, hi = _check_range(ngram_range)
+    lo, hi = check_range(ngram_range)
 
     def per_word(w: Column) -> Column:
         padded = F.concat(F.lit(" "), w, F.lit(" "))
@@ -238,7 +238,7 @@ def with_term_counts(df, terms_col: str, out_col: str):
     return out.drop(s, st)
 
 
-def _check_range(ngram_range) -> tuple[int, int]:
+def check_range(ngram_range) -> tuple[int, int]:
     if not isinstance(ngram_range, (list, tuple)) or len(ngram_range) != 2:
         raise ValueError("ngram_range must be a two-item list or tuple")
     lo, hi = int(ngram_range[0]), int(ngram_range[1])

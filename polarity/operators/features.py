@@ -2,10 +2,10 @@
 
 Both forms share one vocabulary rule, computed relationally:
 
-* document and corpus frequency per term are one partial aggregation of one
-  tokenisation (``groupBy(term)``), written once: a hot term costs one partial
-  row per map task, and every later step reads one row per term;
-* on a large corpus a first tokenisation counts terms in a fixed number of
+* document and corpus frequency per term are summed up in the tasks that cut
+  the texts (``functions.grams``), then by term, and written once: a hot term
+  costs a few rows per map task, and every later step reads one row per term;
+* on a large corpus of words a first tokenisation counts terms in a fixed number of
   hashed places, whose totals rule out the terms that can't reach the cut, so
   only candidates are shuffled by the second one (``candidate_places``);
 * ``min_df``/``max_df`` filter, then the ``max_features`` most frequent terms
@@ -16,8 +16,8 @@ The vector form turns the vocabulary into a ``CountVectorizerModel`` (the
 vocabulary list is what Spark ML itself keeps on the driver; its size is capped
 by ``max_features``) followed by ``ElementwiseProduct`` with the idf and
 ``Normalizer(p=2)``: standard, persistable stages that score batches and
-streams alike.  The long form of a bounded vocabulary is the vector form,
-exploded: no shuffle.  Without a bound, the most frequent terms are weighted in
+streams alike.  The long form of a bounded vocabulary is weighed in the same
+tasks: no shuffle.  Without a bound, the most frequent terms are weighted in
 the row and only the rest is joined with the vocabulary.
 """
 
@@ -35,8 +35,10 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.ml.wrapper import JavaParams
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from polarity.functions.text import with_term_counts, with_terms
+from polarity.functions import grams
+from polarity.functions.text import check_range, preprocess_for_terms, with_term_counts, with_terms, word_tokens
 from polarity.session import materialize, source_bytes, spread
 
 
@@ -176,20 +178,28 @@ def candidate_places(occurrences: DataFrame, cfg: TfidfConfig) -> tuple[DataFram
     return materialize(kept.select("place")), n_docs
 
 
+def _as_read(df: DataFrame, cfg: TfidfConfig, text_col: str, *keep: str) -> DataFrame:
+    """(keep, _text): what ``functions.grams`` cuts, the preprocessed text or its tokens joined by blanks."""
+    text = preprocess_for_terms(text_col, cfg.lowercase, cfg.strip_accents)
+    return df.select(*keep, (F.array_join(word_tokens(text), " ") if cfg.analyzer == "word" else F.make_valid_utf8(text)).alias("_text"))
+
+
 def term_counts(fit_df: DataFrame, cfg: TfidfConfig, text_col: str = "clean_text", id_col: str = "row_id",
                 pruned: bool | None = None) -> tuple[DataFrame, int]:
     """Written (term, df, tf_total) and the number of documents.
 
-    One tokenisation; two when ``pruned`` (None: by the size of the input), and
-    then of the terms that may enter the vocabulary only.  Counts are exact in
-    either case."""
-    occurrences = _occurrences(fit_df, cfg, text_col, id_col)
-    if pruned if pruned is not None else source_bytes(fit_df) >= PRUNE_BYTES:
+    One tokenisation, summed up in the tasks; two when ``pruned`` (None: by the
+    size of the input, for words), and then of the terms that may enter the
+    vocabulary only.  Counts are exact in either case."""
+    if pruned if pruned is not None else cfg.analyzer == "word" and source_bytes(fit_df) >= PRUNE_BYTES:
+        occurrences = _occurrences(fit_df, cfg, text_col, id_col)
         places, n_docs = candidate_places(occurrences, cfg)
         terms = occurrences.filter("term is not null").withColumn("place", _place("term"))
         terms = terms.join(F.broadcast(places), "place", "left_semi")                   # PLACES rows at most
         return materialize(_counted(terms, "term").drop("docs")), n_docs
-    counts = materialize(_counted(occurrences, "term"))
+    texts = _as_read(spread(fit_df.select(id_col, text_col), id_col), cfg, text_col)
+    sums = texts.mapInArrow(grams.counting(cfg.analyzer, *check_range(cfg.ngram_range)), grams.COUNTS)
+    counts = materialize(sums.groupBy("term").agg(*[F.sum(c).alias(c) for c in ("df", "tf_total", "docs")]))
     n_docs = counts.filter("term is null").agg(F.sum("docs")).first()[0] or 0
     return counts.filter("term is not null").drop("docs"), n_docs
 
@@ -283,8 +293,9 @@ def tfidf_long(df: DataFrame, cfg: TfidfConfig, text_col: str = "clean_text", id
         terms, idf = _as_lists(vocab)
         if not terms:
             return df.select(id_col, F.lit("").alias("term"), F.lit(0.0).alias("tfidf")).limit(0)
-        weighed = _weighed(df, cfg, text_col, id_col, terms, idf, Normalizer(p=2.0, inputCol="_tfidf", outputCol="_w"))
-        return _named(weighed, terms, id_col, "tfidf")
+        texts = _as_read(spread(df.select(id_col, text_col), id_col), cfg, text_col, id_col)
+        schema = T.StructType([df.schema[id_col], *T.StructType.fromDDL("term string, tfidf double")])
+        return texts.mapInArrow(grams.weighing(cfg.analyzer, *cfg.ngram_range, terms, idf, schema.names), schema)
     vocab = materialize(vocab)
     top = _as_lists(_most_frequent(vocab, heavy))
     weighed = _weighed(df, cfg, text_col, id_col, *top) if top[0] else None
