@@ -284,8 +284,8 @@ def tfidf_long(df: DataFrame, cfg: TfidfConfig, text_col: str = "clean_text", id
     The texts are tokenised twice: for the vocabulary, and for the weights.  A
     vocabulary of at most ``max_features`` terms weighs every row where it is
     read.  Without that bound the ``heavy`` most frequent terms, which make up
-    most occurrences, are weighed in the row; the others are joined with the
-    vocabulary by term and gathered by row.
+    most occurrences, are weighed in the row and travel as one list; the others
+    are cut once more, joined with the vocabulary by term and gathered by row.
     """
     counts, n_docs = term_counts(df if fit_df is None else fit_df, cfg, text_col, id_col)
     vocab = vocabulary(counts, n_docs, cfg)
@@ -297,15 +297,20 @@ def tfidf_long(df: DataFrame, cfg: TfidfConfig, text_col: str = "clean_text", id
         schema = T.StructType([df.schema[id_col], *T.StructType.fromDDL("term string, tfidf double")])
         return texts.mapInArrow(grams.weighing(cfg.analyzer, *cfg.ngram_range, terms, idf, schema.names), schema)
     vocab = materialize(vocab)
-    top = _as_lists(_most_frequent(vocab, heavy))
-    weighed = _weighed(df, cfg, text_col, id_col, *top) if top[0] else None
-    rest = vocab if weighed is None else vocab.join(
-        F.broadcast(df.sparkSession.createDataFrame([(t,) for t in top[0]], "term string")), "term", "left_anti")
-    light = (doc_terms(df, cfg, text_col, id_col).join(materialize(rest.select("term", "idf")), "term")
-             .select(id_col, "term", (F.col("tf") * F.col("idf")).alias("w")))
-    parts = light if weighed is None else light.unionByName(_named(weighed, top[0], id_col, "w"))
-    rows = parts.groupBy(id_col).agg(F.collect_list(F.struct("term", "w")).alias("_t"), F.sum(F.col("w") * F.col("w")).alias("_n"))
-    each = rows.select(id_col, "_n", F.explode("_t").alias("_e"))
+    top, idf = _as_lists(_most_frequent(vocab, heavy))
+    texts = _as_read(spread(df.select(id_col, text_col), id_col), cfg, text_col, id_col)
+    own, cut = df.schema[id_col], (cfg.analyzer, *cfg.ngram_range)
+    heavies = texts.mapInArrow(grams.parting(*cut, top, idf, id_col), T.StructType([own, *T.StructType.fromDDL("_top array<struct<term string, w double>>, _n double")]))
+    rest = texts.mapInArrow(grams.leaving(*cut, top, id_col), T.StructType([own, *T.StructType.fromDDL("term string, tf long")]))
+    w = F.col("tf") * F.col("idf")
+    light = (rest.join(vocab.select("term", "idf"), "term")
+             .select(id_col, F.struct("term", w.alias("w")).alias("_one"), F.lit(None).cast(heavies.schema["_top"].dataType).alias("_top"),
+                     (w * w).alias("_n")))
+    # a row's frequent terms travel as one list
+    parts = light.unionByName(heavies.withColumn("_one", F.lit(None).cast(light.schema["_one"].dataType)))
+    rows = parts.groupBy(id_col).agg(F.collect_list("_one").alias("_light"), F.flatten(F.collect_list("_top")).alias("_heavy"), F.sum("_n").alias("_n"))
+    # the sum comes with the group: taken from the list, every exploded row would carry the list
+    each = rows.select(id_col, "_n", F.explode(F.concat("_light", "_heavy")).alias("_e"))
     return each.select(id_col, F.col("_e.term").alias("term"),
                        F.coalesce(F.try_divide("_e.w", F.sqrt("_n")), F.lit(0.0)).alias("tfidf"))
 
@@ -326,26 +331,6 @@ def _as_lists(vocab: DataFrame) -> tuple[list[str], list[float]]:
     return [r[0] for r in rows], [float(r[1]) for r in rows]
 
 
-def _weighed(df: DataFrame, cfg: TfidfConfig, text_col: str, id_col: str, terms: list[str], idf: list[float], *more) -> DataFrame:
-    """(row, sparse weights of ``terms``) in the column the last stage makes."""
-    out = add_terms(spread(df.select(id_col, text_col), id_col), cfg, text_col, "_terms")
-    stages = [count_vectorizer(terms, "_terms", "_tf"),
-              ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="_tf", outputCol="_tfidf"), *more]
-    out = out.withColumn("_terms", F.coalesce("_terms", F.array().cast("array<string>")))
-    for stage in stages:
-        out = stage.transform(out)
-    return out.select(id_col, F.unwrap_udt(stages[-1].getOutputCol()).alias("_v"))
-
-
-def _named(weighed: DataFrame, terms: list[str], id_col: str, out: str) -> DataFrame:
-    """Sparse weights as rows; the names are as many as the vector is long."""
-    names = weighed.sparkSession.createDataFrame(list(enumerate(terms)), "_i int, term string")
-    zipped = F.arrays_zip(F.col("_v.indices").alias("i"), F.col("_v.values").alias("w"))
-    cells = weighed.select(id_col, F.explode_outer(zipped).alias("_c")).filter("_c is not null")
-    return (cells.select(id_col, F.col("_c.i").alias("_j"), F.col("_c.w").alias(out)).join(F.broadcast(names), F.col("_i") == F.col("_j"))
-            .select(id_col, "term", out))
-
-
 # --- vector form (Spark ML stages) -------------------------------------------------
 
 class TextTerms(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):

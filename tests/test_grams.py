@@ -77,3 +77,16 @@ def test_a_bounded_vocabulary_is_weighed_in_the_task(spark, sf_small):
     cfg = feat.VARIANTS["real_word_char_hybrid"].parts[1]
     p = feat.tfidf_long(fx.texts(spark, sf_small), cfg, text_col="text")._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in p and "Join" not in p and "lambdafunction" not in p
+
+
+@pytest.mark.parametrize("heavy", [3, 1 << 16])
+def test_an_unbounded_vocabulary_is_cut_in_the_task(spark, heavy):
+    df, rows = texts(spark)
+    cfg = feat.TfidfConfig(analyzer="char_wb", ngram_range=(3, 4))
+    bounded = feat.tfidf_long(df, feat.TfidfConfig(analyzer="char_wb", ngram_range=(3, 4), max_features=1_000_000))
+    out = feat.tfidf_long(df, cfg, heavy=heavy)
+    p = out._jdf.queryExecution().executedPlan().toString()
+    assert p.count("MapInArrow") == 2 and "lambdafunction" not in p
+    found, expected = ({(r.row_id, r.term): r.tfidf for r in x.collect()} for x in (out, bounded))
+    assert found.keys() == expected.keys() and found
+    assert all(math.isclose(found[k], expected[k], rel_tol=1e-9) for k in expected)
