@@ -96,12 +96,24 @@ def _longer(ch: Column) -> Column:
     return let(number, lambda n: F.when(n.between(0, N_SYLLABLES - 1), _jamo(n)).otherwise(listed))
 
 
+def _ascii(col: Column) -> Column:
+    return F.octet_length(col) == F.char_length(col)
+
+
 def strip_accents(col: Column) -> Column:
     """Exact accent stripping, without Python.
 
+    All tables hold characters beyond ASCII only, so a text without any is
+    returned as it is, and one that the first table leaves without any is done.
     The longer class is looked at only in texts with a character from
     HIGH_FROM on."""
     matching, replacement, deleted, low, high, _ = _tables()
-    plain = rewrite(F.translate(col, matching + deleted, replacement), low, _longer)
-    any_high = col.rlike(f"[\\x{{{HIGH_FROM:X}}}-\\x{{10FFFF}}]")
-    return F.when(any_high, rewrite(plain, high, _longer)).otherwise(plain)
+
+    def others(c: Column, single: Column) -> Column:
+        any_high = c.rlike(f"[\\x{{{HIGH_FROM:X}}}-\\x{{10FFFF}}]")
+        return let(rewrite(single, low, _longer), lambda plain: F.when(any_high, rewrite(plain, high, _longer)).otherwise(plain))
+
+    def stripping(c: Column) -> Column:
+        return let(F.translate(c, matching + deleted, replacement), lambda single: F.when(_ascii(single), single).otherwise(others(c, single)))
+
+    return let(col, lambda c: F.when(_ascii(c), c).otherwise(stripping(c)))

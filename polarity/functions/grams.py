@@ -299,60 +299,3 @@ def weighing(analyzer: str, lo: int, hi: int, terms: list[str], idf: list[float]
                 yield made(batch.column(0), rows, at, weights)
 
     return run
-
-
-def parting(analyzer: str, lo: int, hi: int, terms: list[str], idf: list[float], name: str) -> Callable:
-    """(row, text) -> (row, a list of the weights of the ``terms``, their squares' sum), for rows that hold one."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, idfs, said = _frequencies(analyzer, lo, hi, terms), np.array(idf), pa.array(terms, pa.string())
-
-        def made(ids, rows, at, tf):
-            places, ends = np.concatenate(at), np.cumsum([0, *map(len, at)]).astype(np.int32)
-            weights = np.concatenate(tf) * idfs[places]
-            cells = pa.StructArray.from_arrays([said.take(pa.array(places)), pa.array(weights)], ["term", "w"])
-            return pa.RecordBatch.from_arrays([ids.take(pa.array(rows)), pa.ListArray.from_arrays(pa.array(ends), cells),
-                                               pa.array(np.add.reduceat(weights * weights, ends[:-1]))], [name, "_top", "_n"])
-
-        for batch in batches:
-            rows, at, tfs, n = [], [], [], 0
-            for row, text in enumerate(_texts(batch, 1)):
-                places, tf = of(text)
-                if len(places):
-                    rows.append(row), at.append(places), tfs.append(tf)
-                    n += len(places)
-                if n > CELLS:
-                    yield made(batch.column(0), rows, at, tfs)
-                    rows, at, tfs, n = [], [], [], 0
-            if n:
-                yield made(batch.column(0), rows, at, tfs)
-
-    return run
-
-
-def leaving(analyzer: str, lo: int, hi: int, terms: list[str], name: str) -> Callable:
-    """(row, text) -> (row, term, tf) of the terms other than ``terms``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        top = set(terms)
-
-        def made(ids, rows, said, tf):
-            return _cells(ids, rows, pa.array(said, pa.string()), pa.array(tf, pa.int64()), [name, "term", "tf"])
-
-        for batch in batches:
-            rows, said, tf = [], [], []
-            for row, text in enumerate(_texts(batch, 1)):
-                words = text.split()
-                own = Counter(word_terms(words, lo, hi) if analyzer == "word" else (g for w in words for g in char_terms(w, lo, hi)))
-                for t in own.keys() & top:
-                    del own[t]
-                rows += [row] * len(own)
-                said += own.keys()
-                tf += own.values()
-                if len(rows) > CELLS:
-                    yield made(batch.column(0), rows, said, tf)
-                    rows, said, tf = [], [], []
-            if rows:
-                yield made(batch.column(0), rows, said, tf)
-
-    return run

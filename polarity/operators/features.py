@@ -17,8 +17,8 @@ vocabulary list is what Spark ML itself keeps on the driver; its size is capped
 by ``max_features``) followed by ``ElementwiseProduct`` with the idf and
 ``Normalizer(p=2)``: standard, persistable stages that score batches and
 streams alike.  The long form of a bounded vocabulary is weighed in the same
-tasks: no shuffle.  Without a bound, the most frequent terms are weighted in
-the row and only the rest is joined with the vocabulary.
+tasks: no shuffle.  Without a bound, blocks of rows exchange their distinct
+terms for document frequencies (``functions.termsets``).
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from polarity.functions import grams
+from polarity.functions import grams, termsets
 from polarity.functions.text import check_range, preprocess_for_terms, with_term_counts, with_terms, word_tokens
 from polarity.session import materialize, source_bytes, spread
 
@@ -274,45 +274,61 @@ def _most_frequent(terms: DataFrame, k: int) -> DataFrame:
     return terms.filter(F.col("tf_total") > F.lit(cut[0])).unionByName(ties)
 
 
-HEAVY = 1 << 16             # terms weighted in the row when the vocabulary has no bound
+HEAVY = 1 << 16             # kept for callers: no term needs a way of its own
+BLOCK_BYTES = 16 << 20      # text of a block when the vocabulary has no bound
 
 
 def tfidf_long(df: DataFrame, cfg: TfidfConfig, text_col: str = "clean_text", id_col: str = "row_id",
-               fit_df: DataFrame | None = None, heavy: int = HEAVY) -> DataFrame:
+               fit_df: DataFrame | None = None, heavy: int = HEAVY, digits: int | None = None) -> DataFrame:
     """J5 long form: (row_id, term, tfidf), vocabulary fitted on ``fit_df``.
+    With ``digits`` the weights are rounded to them.
 
     The texts are tokenised twice: for the vocabulary, and for the weights.  A
     vocabulary of at most ``max_features`` terms weighs every row where it is
-    read.  Without that bound the ``heavy`` most frequent terms, which make up
-    most occurrences, are weighed in the row and travel as one list; the others
-    are cut once more, joined with the vocabulary by term and gathered by row.
+    read.  Without that bound the rows are dealt out in blocks, which are weighed
+    with the frequencies sent back to them (``functions.termsets``): a block
+    sends a distinct term once, however many rows hold it, so frequent terms are
+    not set apart any more and ``heavy`` changes nothing.
     """
+    if cfg.max_features is None:
+        return _weighed_in_blocks(df, cfg, text_col, id_col, fit_df, digits)
     counts, n_docs = term_counts(df if fit_df is None else fit_df, cfg, text_col, id_col)
-    vocab = vocabulary(counts, n_docs, cfg)
-    if cfg.max_features is not None:
-        terms, idf = _as_lists(vocab)
-        if not terms:
-            return df.select(id_col, F.lit("").alias("term"), F.lit(0.0).alias("tfidf")).limit(0)
-        texts = _as_read(spread(df.select(id_col, text_col), id_col), cfg, text_col, id_col)
-        schema = T.StructType([df.schema[id_col], *T.StructType.fromDDL("term string, tfidf double")])
-        return texts.mapInArrow(grams.weighing(cfg.analyzer, *cfg.ngram_range, terms, idf, schema.names), schema)
-    vocab = materialize(vocab)
-    top, idf = _as_lists(_most_frequent(vocab, heavy))
+    terms, idf = _as_lists(vocabulary(counts, n_docs, cfg))
+    if not terms:
+        return df.select(id_col, F.lit("").alias("term"), F.lit(0.0).alias("tfidf")).limit(0)
     texts = _as_read(spread(df.select(id_col, text_col), id_col), cfg, text_col, id_col)
-    own, cut = df.schema[id_col], (cfg.analyzer, *cfg.ngram_range)
-    heavies = texts.mapInArrow(grams.parting(*cut, top, idf, id_col), T.StructType([own, *T.StructType.fromDDL("_top array<struct<term string, w double>>, _n double")]))
-    rest = texts.mapInArrow(grams.leaving(*cut, top, id_col), T.StructType([own, *T.StructType.fromDDL("term string, tf long")]))
-    w = F.col("tf") * F.col("idf")
-    light = (rest.join(vocab.select("term", "idf"), "term")
-             .select(id_col, F.struct("term", w.alias("w")).alias("_one"), F.lit(None).cast(heavies.schema["_top"].dataType).alias("_top"),
-                     (w * w).alias("_n")))
-    # a row's frequent terms travel as one list
-    parts = light.unionByName(heavies.withColumn("_one", F.lit(None).cast(light.schema["_one"].dataType)))
-    rows = parts.groupBy(id_col).agg(F.collect_list("_one").alias("_light"), F.flatten(F.collect_list("_top")).alias("_heavy"), F.sum("_n").alias("_n"))
-    # the sum comes with the group: taken from the list, every exploded row would carry the list
-    each = rows.select(id_col, "_n", F.explode(F.concat("_light", "_heavy")).alias("_e"))
-    return each.select(id_col, F.col("_e.term").alias("term"),
-                       F.coalesce(F.try_divide("_e.w", F.sqrt("_n")), F.lit(0.0)).alias("tfidf"))
+    schema = T.StructType([df.schema[id_col], *T.StructType.fromDDL("term string, tfidf double")])
+    out = texts.mapInArrow(grams.weighing(cfg.analyzer, *cfg.ngram_range, terms, idf, schema.names), schema)
+    return out if digits is None else out.withColumn("tfidf", F.round("tfidf", digits))
+
+
+def _weighed_in_blocks(df: DataFrame, cfg: TfidfConfig, text_col: str, id_col: str, fit_df: DataFrame | None, digits: int | None) -> DataFrame:
+    cut, cores = (cfg.analyzer, *check_range(cfg.ngram_range)), df.sparkSession.sparkContext.defaultParallelism
+
+    def blocks(source: DataFrame, size: int) -> tuple[DataFrame, int]:
+        n = max(cores * 2, -(-size // BLOCK_BYTES))
+        names = F.split(F.lit(",".join(map(str, termsets.spark_places(n)))), ",").cast("array<int>")
+        block = F.element_at(names, (F.pmod(F.xxhash64(id_col), F.lit(n)) + 1).cast("int")).alias("_block")
+        return _as_read(source.select(id_col, text_col, block).repartition(n, "_block"), cfg, text_col, id_col, "_block"), n
+
+    def measured(source: DataFrame) -> tuple[int, int]:
+        row = source.agg(F.count(F.lit(1)), F.sum(F.octet_length(text_col))).first()
+        return row[0], row[1] or 0
+
+    n_docs, size = measured(df)
+    rows, n = blocks(df, size)
+    places = termsets.spark_places(n)
+    if fit_df is None:
+        asked = rows.mapInArrow(termsets.asking(*cut, places, termsets.COUNTS | termsets.ASKS), termsets.ASKED)
+    else:
+        n_docs, size = measured(fit_df)
+        asked = (rows.mapInArrow(termsets.asking(*cut, places, termsets.ASKS), termsets.ASKED)
+                 .unionByName(blocks(fit_df, size)[0].mapInArrow(termsets.asking(*cut, places, termsets.COUNTS), termsets.ASKED)))
+    answers = asked.repartition(n, "_place").mapInArrow(termsets.answering, termsets.ANSWERED)
+    schema = T.StructType([df.schema[id_col], *T.StructType.fromDDL("term string, tfidf double")])
+    weigh = termsets.weighed(*cut, n, _df_limits(cfg, n_docs), n_docs, schema.names, digits)
+    # both sides lie by block; the rows' side is the exchange that the first cut reads, too
+    return rows.groupBy("_block").cogroup(answers.repartition(n, "_block").groupBy("_block")).applyInArrow(weigh, schema)
 
 
 def count_vectorizer(terms: list[str], input_col: str, output_col: str) -> CountVectorizerModel:

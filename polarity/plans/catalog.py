@@ -248,9 +248,8 @@ def q_vocabulary_pruned(spark, sf):
 
 @query("tfidf_all_terms")
 def q_tfidf_all_terms(spark, sf):
-    """No bound on the vocabulary: frequent terms in the row, the rest by a join."""
-    out = features.tfidf_long(fx.texts(spark, sf), _WORD12, text_col="text", heavy=4096)
-    return out.withColumn("tfidf", F.round("tfidf", 6))
+    """No bound on the vocabulary: blocks of rows exchange their terms for frequencies."""
+    return features.tfidf_long(fx.texts(spark, sf), _WORD12, text_col="text", heavy=4096, digits=6)
 
 
 @query("char_tfidf_long")
