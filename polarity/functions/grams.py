@@ -22,6 +22,7 @@ ship_with_tasks(__name__)
 KEPT = 1 << 18              # distinct terms or words that a task holds at once
 KEYS = 1 << 21              # n-grams that are sorted together
 CELLS = 1 << 18             # cells of a batch that a task gives back
+CHARS = 1 << 18             # characters whose n-grams are sorted together
 
 COUNTS = "term string, df long, tf_total long, docs long"
 
@@ -270,7 +271,7 @@ def _frequencies(analyzer: str, lo: int, hi: int, terms: list[str]) -> Callable:
     return of
 
 
-def _cells(ids: pa.Array, rows: list[int], terms: pa.Array, values: pa.Array, names: list[str]) -> pa.RecordBatch:
+def _cells(ids: pa.Array, rows: list[int] | np.ndarray, terms: pa.Array, values: pa.Array, names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([ids.take(pa.array(rows, pa.int64())), terms, values], names)
 
 
@@ -299,3 +300,78 @@ def weighing(analyzer: str, lo: int, hi: int, terms: list[str], idf: list[float]
                 yield made(batch.column(0), rows, at, weights)
 
     return run
+
+
+def _strings(cells: list[np.ndarray]) -> pa.StringArray:
+    """The rows of matrices of code points as strings."""
+    sizes = [(1 + (c >= 0x80) + (c >= 0x800) + (c >= 0x10000)).sum(1) for c in cells]
+    ends = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int32)
+    said = b"".join(c.astype("<u4").tobytes().decode("utf-32-le").encode() for c in cells)
+    return pa.StringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends), pa.py_buffer(said))
+
+
+def listing(lo: int, hi: int, names: list[str]) -> Callable:
+    """(row, text) -> (row, n-gram of ``lo`` = 3 to ``hi`` characters, how often).
+
+    Texts are taken together: an n-gram's key and its row make one number, so
+    one sort counts all, and each distinct n-gram is spelled once."""
+    assert lo == 3
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(0x110000, np.int64)
+
+        def counted(ids: pa.Array, begin: int, padded: list[str]) -> Iterator[pa.RecordBatch]:
+            codes = np.frombuffer("".join(padded).encode("utf-32-le"), np.uint32)
+            seen = np.zeros(len(table), bool)
+            seen[codes] = True
+            seen[32] = False
+            letters = np.concatenate([[0, 32], np.flatnonzero(seen)])       # 0: no character
+            bits, rows = int(len(letters) - 1).bit_length(), (len(padded) - 1).bit_length()
+            if bits * hi + rows > 63:
+                if len(padded) > 1:
+                    half = len(padded) // 2
+                    yield from counted(ids, begin, padded[:half])
+                    yield from counted(ids, begin + half, padded[half:])
+                    return
+                own = Counter(g for w in padded[0].split() for g in char_terms(w, lo, hi))
+                yield _cells(ids, [begin] * len(own), pa.array(list(own), pa.string()), pa.array(list(own.values()), pa.int64()), names)
+                return
+            table[letters] = np.arange(len(letters))
+            a, row = table[codes], np.repeat(np.arange(len(padded)), [len(p) for p in padded])
+            # windows without a space inside: none reaches into the next word or text, which two spaces part
+            inside, key, good, parts = a != 1, a, np.ones(len(a), bool), []
+            for n in range(2, min(hi, len(a)) + 1):
+                key, good = key[:-1] | (a[n - 1:] << (bits * (n - 1))), good[:-1]
+                if n > 2:
+                    good = good & inside[n - 2:-1]
+                    at = np.flatnonzero(good)
+                    parts.append((key[at] << rows) | row[at])
+            cells = np.concatenate([np.empty(0, np.int64), *parts])
+            del a, row, inside, key, good, parts
+            if not len(cells):
+                return
+            cells.sort()
+            first = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
+            tf, cells = np.diff(np.append(first, len(cells))), cells[first]
+            row, key = cells & ((1 << rows) - 1), cells >> rows
+            new = np.concatenate([[True], key[1:] != key[:-1]])
+            known, term = key[new], np.cumsum(new) - 1
+            # shorter n-grams have smaller keys
+            ends = np.searchsorted(known, [1 << (bits * n) for n in range(lo - 1, hi + 1)])
+            said = _strings([letters[(known[i:j, None] >> (bits * np.arange(n))) & ((1 << bits) - 1)] for n, i, j in zip(range(lo, hi + 1), ends[:-1], ends[1:])])
+            for i in range(0, len(cells), CELLS):
+                j = i + CELLS
+                yield _cells(ids, row[i:j] + begin, said.take(pa.array(term[i:j])), pa.array(tf[i:j]), names)
+
+        for batch in batches:
+            ids, begin, padded, n = batch.column(0), 0, [], 0
+            for at, text in enumerate(_texts(batch, 1)):
+                padded.append(f" {'  '.join(text.split())} ")
+                n += len(padded[-1])
+                if n > CHARS:
+                    yield from counted(ids, begin, padded)
+                    begin, padded, n = at + 1, [], 0
+            if padded:
+                yield from counted(ids, begin, padded)
+
+    return run

@@ -111,7 +111,11 @@ def add_terms(df: DataFrame, cfg: TfidfConfig, text_col: str, out_col: str) -> D
 
 def doc_terms(df: DataFrame, cfg: TfidfConfig, text_col: str = "clean_text",
               id_col: str = "row_id") -> DataFrame:
-    """(row_id, term, tf): in-row counting, then one explode of distinct terms."""
+    """(row_id, term, tf): counted in the row; n-grams of 3 characters on as integer keys in the tasks."""
+    if cfg.analyzer == "char_wb" and check_range(cfg.ngram_range)[0] == 3:
+        texts = _as_read(spread(df.select(id_col, text_col), id_col), cfg, text_col, id_col)
+        schema = T.StructType([df.schema[id_col], *T.StructType.fromDDL("term string, tf long")])
+        return texts.mapInArrow(grams.listing(*check_range(cfg.ngram_range), schema.names), schema)
     terms = add_terms(spread(df.select(id_col, text_col), id_col), cfg, text_col, "_terms")
     # explode_outer: a plain explode makes the optimizer infer "size(array) > 0"
     # and push it below the projections, re-running the counting inside it
