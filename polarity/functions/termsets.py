@@ -117,6 +117,7 @@ def _flat(texts: pa.Array, analyzer: str, lo: int, hi: int) -> tuple[pa.Array, n
 
 def block(ids: pa.Array, texts: pa.Array, analyzer: str, lo: int, hi: int) -> Block:
     """Rows of one id count as one row.  The order of the terms does not depend on that of the rows."""
+    pa.default_memory_pool().release_unused()       # of the block before
     flat, row, pairs = _flat(pc.fill_null(texts, ""), analyzer, lo, hi)
     coded, docs = flat.dictionary_encode(), ids.dictionary_encode(null_encoding="encode")
     del flat
@@ -165,8 +166,10 @@ def asking(analyzer: str, lo: int, hi: int, places: list[int], use: int) -> Call
         if not held:
             return
         rows = pa.Table.from_batches(held)
-        for name in pc.unique(rows.column(1)).to_pylist():
-            own = rows.filter(pc.equal(rows.column(1), name))
+        del held
+        names = pc.unique(rows.column(1)).to_pylist()
+        for name in names:
+            own = rows if len(names) == 1 else rows.filter(pc.equal(rows.column(1), name))
             b = block(_whole(own.column(0)), _whole(own.column(2)), analyzer, lo, hi)
             order, begins = b.buckets(len(places))
             out, number = [], np.zeros(len(b.units) + 1, np.int64)

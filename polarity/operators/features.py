@@ -279,7 +279,7 @@ def _most_frequent(terms: DataFrame, k: int) -> DataFrame:
 
 
 HEAVY = 1 << 16             # kept for callers: no term needs a way of its own
-BLOCK_BYTES = 16 << 20      # text of a block when the vocabulary has no bound
+BLOCK_BYTES = 8 << 20       # text of a block when the vocabulary has no bound
 
 
 def tfidf_long(df: DataFrame, cfg: TfidfConfig, text_col: str = "clean_text", id_col: str = "row_id",
@@ -321,16 +321,17 @@ def _weighed_in_blocks(df: DataFrame, cfg: TfidfConfig, text_col: str, id_col: s
 
     n_docs, size = measured(df)
     rows, n = blocks(df, size)
-    places = termsets.spark_places(n)
+    buckets = max(cores * 2, n // 2)                # fewer buckets, fewer words sent more than once
+    places = termsets.spark_places(buckets)
     if fit_df is None:
         asked = rows.mapInArrow(termsets.asking(*cut, places, termsets.COUNTS | termsets.ASKS), termsets.ASKED)
     else:
         n_docs, size = measured(fit_df)
         asked = (rows.mapInArrow(termsets.asking(*cut, places, termsets.ASKS), termsets.ASKED)
                  .unionByName(blocks(fit_df, size)[0].mapInArrow(termsets.asking(*cut, places, termsets.COUNTS), termsets.ASKED)))
-    answers = asked.repartition(n, "_place").mapInArrow(termsets.answering, termsets.ANSWERED)
+    answers = asked.repartition(buckets, "_place").mapInArrow(termsets.answering, termsets.ANSWERED)
     schema = T.StructType([df.schema[id_col], *T.StructType.fromDDL("term string, tfidf double")])
-    weigh = termsets.weighed(*cut, n, _df_limits(cfg, n_docs), n_docs, schema.names, digits)
+    weigh = termsets.weighed(*cut, buckets, _df_limits(cfg, n_docs), n_docs, schema.names, digits)
     # both sides lie by block; the rows' side is the exchange that the first cut reads, too
     return rows.groupBy("_block").cogroup(answers.repartition(n, "_block").groupBy("_block")).applyInArrow(weigh, schema)
 
